@@ -56,3 +56,165 @@ SELECT window_end, item_id, cnt, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id ASC) AS rank FROM counts)
 WHERE rank <= 3
 """
+
+# --- sources and row transforms ---
+
+ORACLE["readings_scan"] = with_views(V_READINGS) + "SELECT id, ts, temperature, event_id FROM readings"
+
+ORACLE["parse_keyed_lines"] = """
+SELECT event_id, event_type AS key, make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) * 1000000) AS ts FROM events
+"""
+
+ORACLE["map_id"] = with_views(V_READINGS) + "SELECT id FROM readings"
+
+ORACLE["filter_positive"] = with_views(V_READINGS) + "SELECT id, ts, temperature FROM readings WHERE temperature > 32.0"
+
+ORACLE["filter_pv"] = with_views(V_BEHAVIORS) + """
+SELECT user_id, item_id, category_id, behavior, ts FROM behaviors WHERE behavior = 'pv'"""
+
+ORACLE["replicate_by_value"] = """
+SELECT event_id, event_type, unnest(range(CASE WHEN event_type = 'view' THEN 1 WHEN event_type = 'click' THEN 2
+                                              ELSE 0 END)) AS copy_no
+FROM events"""
+
+ORACLE["side_output_split"] = with_views(V_READINGS) + """
+SELECT id, ts, temperature, event_id, 'main' AS tag FROM readings
+UNION ALL
+SELECT id, ts, temperature, event_id, 'side' AS tag FROM readings WHERE temperature < 32.0"""
+
+ORACLE["union_all"] = """
+SELECT user_id AS key, ts, event_id FROM events WHERE event_type = 'click'
+UNION ALL
+SELECT user_id AS key, ts, event_id FROM events WHERE event_type = 'view'"""
+
+ORACLE["co_flat_map"] = """
+SELECT user_id AS k, CAST(event_id AS VARCHAR) AS v, 'left' AS side, unnest(range(2)) AS copy_no
+FROM events WHERE event_type = 'click'
+UNION ALL
+SELECT user_id AS k, CAST(event_id AS VARCHAR) AS v, 'right' AS side, CAST(0 AS BIGINT) AS copy_no
+FROM events WHERE event_type = 'view'"""
+
+ORACLE["partition_scoped_map"] = "SELECT event_id, user_id, user_id + 1 AS user_id_plus_1 FROM events"
+
+# --- text ---
+WS = "[ \\t\\n\\x0B\\f\\r]"
+TOKENS = f"""tokens AS (
+  SELECT doc_id, CAST(unnest(range(len(arr))) AS INTEGER) AS pos, unnest(arr) AS word
+  FROM (SELECT doc_id,
+               CASE WHEN text = '' THEN ['']
+                    WHEN regexp_replace(text, '{WS}+$', '') = '' THEN CAST([] AS VARCHAR[])
+                    ELSE regexp_split_to_array(regexp_replace(text, '{WS}+$', ''), '{WS}') END AS arr
+        FROM documents))"""
+
+ORACLE["word_count"] = with_views(TOKENS) + "SELECT word, count(*) AS cnt FROM tokens GROUP BY word"
+
+ORACLE["running_word_count"] = with_views(TOKENS) + """
+SELECT doc_id, pos, word, count(*) OVER (PARTITION BY word ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS running_cnt
+FROM tokens"""
+
+# --- keyed running aggregates ---
+
+ORACLE["running_max"] = with_views(V_READINGS) + """
+SELECT id, ts, event_id, temperature,
+       max(temperature) OVER (PARTITION BY id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS running_max
+FROM readings"""
+
+
+# --- window aggregates ---
+def tumble(ts: str, size: str) -> str:
+    return f"time_bucket(INTERVAL '{size}', {ts})"
+
+
+ORACLE["min_per_window"] = with_views(V_READINGS) + f"""
+SELECT id, {tumble('ts', '1 day')} AS window_start, {tumble('ts', '1 day')} + INTERVAL '1 day' AS window_end,
+       min(temperature) AS min_temp
+FROM readings GROUP BY ALL"""
+
+ORACLE["avg_per_window"] = with_views(V_READINGS) + f"""
+SELECT id, {tumble('ts', '1 day')} AS window_start, {tumble('ts', '1 day')} + INTERVAL '1 day' AS window_end,
+       round(avg(temperature), 6) AS avg_temp
+FROM readings GROUP BY ALL"""
+
+ORACLE["minmax_per_window"] = with_views(V_READINGS) + f"""
+SELECT id, {tumble('ts', '1 day')} AS window_start, {tumble('ts', '1 day')} + INTERVAL '1 day' AS window_end,
+       min(temperature) AS min_temp, max(temperature) AS max_temp
+FROM readings GROUP BY ALL"""
+
+ORACLE["count_per_window"] = with_views(V_ARRIVALS) + f"""
+SELECT key, {tumble('ts', '1 hour')} AS window_start, {tumble('ts', '1 hour')} + INTERVAL '1 hour' AS window_end,
+       count(*) AS cnt
+FROM arrivals GROUP BY ALL"""
+
+ORACLE["sliding_item_counts"] = with_views(V_BEHAVIORS) + f"""
+SELECT item_id, window_end - INTERVAL '1 hour' AS window_start, window_end, count(*) AS cnt
+FROM (SELECT item_id, {sliding_ends('ts', '1 hour', '5 minutes')} AS window_end FROM behaviors WHERE behavior = 'pv')
+GROUP BY item_id, window_end"""
+
+ORACLE["pv_per_hour"] = with_views(V_BEHAVIORS) + f"""
+SELECT {tumble('ts', '1 hour')} AS window_start, {tumble('ts', '1 hour')} + INTERVAL '1 hour' AS window_end,
+       count(*) AS pv
+FROM behaviors WHERE behavior = 'pv' GROUP BY ALL"""
+
+UV_EXACT = f"""
+SELECT {tumble('ts', '1 hour')} AS window_start, {tumble('ts', '1 hour')} + INTERVAL '1 hour' AS window_end,
+       count(DISTINCT user_id) AS uv
+FROM behaviors WHERE behavior = 'pv' GROUP BY ALL"""
+ORACLE["uv_exact"] = with_views(V_BEHAVIORS) + UV_EXACT
+# The Bloom estimate, rounded, equals the exact count as long as fewer than ~4 bit collisions happen in a window
+# (each lost bit moves the estimate by about 1/k); with m = 9.6 M bits and hourly windows that holds here.
+ORACLE["uv_bloom"] = with_views(V_BEHAVIORS) + UV_EXACT
+
+ORACLE["uv_report"] = with_views(V_BEHAVIORS, "uv AS (" + UV_EXACT + ")") + """
+SELECT window_end, uv, 'window end: ' || strftime(window_end, '%Y-%m-%d %I:%M:%S') || ' uv count: ' || CAST(uv AS VARCHAR)
+       AS report
+FROM uv"""
+
+# --- top-n family ---
+TOP3 = f"""top3 AS (
+  SELECT window_end, item_id, cnt, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id ASC) AS rank
+    FROM (SELECT item_id, window_end, count(*) AS cnt
+          FROM (SELECT item_id, {sliding_ends('ts', '1 hour', '5 minutes')} AS window_end
+                FROM behaviors WHERE behavior = 'pv' {{cutoff}})
+          GROUP BY item_id, window_end))
+  WHERE rank <= 3)"""
+
+ORACLE["hot_items_report"] = with_views(V_BEHAVIORS, TOP3.format(cutoff="")) + """
+SELECT window_end,
+       '=============================================================' || chr(10) || 'time: ' ||
+       strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.' ||
+       CASE WHEN rtrim(strftime(window_end, '%f'), '0') = '' THEN '0' ELSE rtrim(strftime(window_end, '%f'), '0') END
+       || chr(10) ||
+       string_agg('No.' || CAST(rank AS VARCHAR) || ' :  itemID = ' || CAST(item_id AS VARCHAR) || ' count = ' ||
+                  CAST(cnt AS VARCHAR) || chr(10), '' ORDER BY rank) ||
+       '=============================================================' || chr(10) || chr(10) AS report
+FROM top3 GROUP BY window_end"""
+
+ORACLE["hot_items_sql"] = with_views(V_BEHAVIORS) + f"""
+SELECT item_id, item_count, window_end, CAST(row_num AS INTEGER) AS row_num FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY item_count DESC, item_id ASC) AS row_num
+  FROM (SELECT item_id, count(item_id) AS item_count, window_end
+        FROM (SELECT item_id, {sliding_ends('ts', '1 hour', '5 minutes')} AS window_end
+              FROM behaviors WHERE behavior = 'pv')
+        GROUP BY item_id, window_end))
+WHERE row_num <= 3"""
+
+ORACLE["topn_changelog"] = with_views(
+    V_BEHAVIORS, TOP3.format(cutoff="AND ts < TIMESTAMP '2024-01-15 12:00:00'").replace("top3 AS", "prev AS", 1),
+    TOP3.format(cutoff="").replace("top3 AS", "curr AS", 1)) + """
+SELECT false AS is_add, * FROM (SELECT * FROM prev EXCEPT ALL SELECT * FROM curr)
+UNION ALL
+SELECT true AS is_add, * FROM (SELECT * FROM curr EXCEPT ALL SELECT * FROM prev)"""
+
+# --- UDF / SQL ---
+HASH31 = """
+SELECT id, event_id, CAST(CASE WHEN hm >= 2147483648 THEN hm - 4294967296 ELSE hm END AS INTEGER) AS hash_code
+FROM (SELECT id, event_id, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) * 31) % 4294967296 AS hm0,
+             (((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) * 31) % 4294967296 + 4294967296)
+             % 4294967296 AS hm
+      FROM (SELECT id, event_id,
+                   list_reduce(list_transform(string_split(id, ''), lambda c: CAST(ord(c) AS BIGINT)),
+                               lambda acc, u: (acc * 31 + u) % 4294967296, CAST(0 AS BIGINT)) AS h
+            FROM readings))"""
+ORACLE["hash_code"] = with_views(V_READINGS) + HASH31
+ORACLE["hash_code_sql"] = with_views(V_READINGS) + HASH31

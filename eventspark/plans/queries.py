@@ -10,10 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import topn
+from ..functions import hashing, udfs
+from ..operators import distinct, rolling, text, topn, transforms, windows
 from ..sources import views
+from ..sources.lines import parse_key_seconds
 from ..sources.tables import read_table
+from . import sqlviews
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,3 +38,189 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("hot_items_topn")
 def q_hot_items_topn(spark, sf_dir):
     return topn.hot_items(views.behaviors(events(spark, sf_dir), only="pv"), n=3, size="1 hour", slide="5 minutes")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def readings(spark, sf_dir):
+    return views.readings(events(spark, sf_dir))
+
+
+# --- sources and row transforms --------------------------------------------------------------------------------------
+
+@query("readings_scan")
+def q_readings_scan(spark, sf_dir):
+    return readings(spark, sf_dir)
+
+
+@query("parse_keyed_lines")
+def q_parse_keyed_lines(spark, sf_dir):
+    return parse_key_seconds(views.keyed_lines(events(spark, sf_dir)))
+
+
+@query("map_id")
+def q_map_id(spark, sf_dir):
+    return transforms.project(readings(spark, sf_dir), "id")
+
+
+@query("filter_positive")
+def q_filter_positive(spark, sf_dir):
+    r = readings(spark, sf_dir)
+    return transforms.filter_by(r, F.col("temperature") > 32.0).select("id", "ts", "temperature")
+
+
+@query("filter_pv")
+def q_filter_pv(spark, sf_dir):
+    b = views.behaviors(events(spark, sf_dir), only="pv")
+    return b.select("user_id", "item_id", "category_id", "behavior", "ts")
+
+
+@query("replicate_by_value")
+def q_replicate_by_value(spark, sf_dir):
+    ev = events(spark, sf_dir).select("event_id", "event_type")
+    return transforms.replicate_by_value(ev, "event_type", {"view": 1, "click": 2}, default=0)
+
+
+@query("side_output_split")
+def q_side_output_split(spark, sf_dir):
+    return transforms.tag_split(readings(spark, sf_dir), F.col("temperature") < 32.0)
+
+
+@query("union_all")
+def q_union_all(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    clicks = ev.where(F.col("event_type") == "click").select(F.col("user_id").alias("key"), "ts", "event_id")
+    views_ = ev.where(F.col("event_type") == "view").select(F.col("user_id").alias("key"), "ts", "event_id")
+    return transforms.union_all(clicks, views_)
+
+
+@query("co_flat_map")
+def q_co_flat_map(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    left = ev.where(F.col("event_type") == "click").select(F.col("user_id").alias("k"),
+                                                           F.col("event_id").cast("string").alias("v"))
+    right = ev.where(F.col("event_type") == "view").select(F.col("user_id").alias("k"),
+                                                           F.col("event_id").cast("string").alias("v"))
+    return transforms.co_flat_map(left, right, left_copies=2, right_copies=1)
+
+
+@query("partition_scoped_map")
+def q_partition_scoped_map(spark, sf_dir):
+    ev = events(spark, sf_dir).select("event_id", "user_id")
+    return udfs.partition_scoped_increment(ev, "user_id", 1, out="user_id_plus_1")
+
+
+# --- text ------------------------------------------------------------------------------------------------------------
+
+@query("word_count")
+def q_word_count(spark, sf_dir):
+    return text.word_count(documents(spark, sf_dir))
+
+
+@query("running_word_count")
+def q_running_word_count(spark, sf_dir):
+    return rolling.running_word_count(documents(spark, sf_dir))
+
+
+# --- keyed running aggregates ----------------------------------------------------------------------------------------
+
+@query("running_max")
+def q_running_max(spark, sf_dir):
+    return rolling.running_max(readings(spark, sf_dir)).select("id", "ts", "event_id", "temperature", "running_max")
+
+
+# --- window aggregates -----------------------------------------------------------------------------------------------
+
+@query("min_per_window")
+def q_min_per_window(spark, sf_dir):
+    return windows.min_per_window(readings(spark, sf_dir), size="1 day")
+
+
+@query("avg_per_window")
+def q_avg_per_window(spark, sf_dir):
+    return windows.avg_per_window(readings(spark, sf_dir), size="1 day")
+
+
+@query("minmax_per_window")
+def q_minmax_per_window(spark, sf_dir):
+    return windows.minmax_per_window(readings(spark, sf_dir), size="1 day")
+
+
+@query("count_per_window")
+def q_count_per_window(spark, sf_dir):
+    return windows.count_per_window(views.arrivals(events(spark, sf_dir)), key="key", size="1 hour")
+
+
+@query("sliding_item_counts")
+def q_sliding_item_counts(spark, sf_dir):
+    pv = views.behaviors(events(spark, sf_dir), only="pv")
+    return windows.sliding_count(pv, key="item_id", size="1 hour", slide="5 minutes")
+
+
+@query("pv_per_hour")
+def q_pv_per_hour(spark, sf_dir):
+    return windows.pv_per_window(views.behaviors(events(spark, sf_dir), only="pv"), size="1 hour")
+
+
+@query("uv_exact")
+def q_uv_exact(spark, sf_dir):
+    return distinct.uv_exact(views.behaviors(events(spark, sf_dir), only="pv"), size="1 hour")
+
+
+@query("uv_bloom")
+def q_uv_bloom(spark, sf_dir):
+    return distinct.uv_bloom(views.behaviors(events(spark, sf_dir), only="pv"), size="1 hour")
+
+
+@query("uv_hll")
+def q_uv_hll(spark, sf_dir):
+    return distinct.uv_hll(views.behaviors(events(spark, sf_dir), only="pv"), size="1 hour")
+
+
+@query("uv_report")
+def q_uv_report(spark, sf_dir):
+    return distinct.uv_report(distinct.uv_exact(views.behaviors(events(spark, sf_dir), only="pv"), size="1 hour"))
+
+
+# --- top-n, report, SQL form, changelog ------------------------------------------------------------------------------
+
+@query("hot_items_report")
+def q_hot_items_report(spark, sf_dir):
+    return topn.hot_items_report(q_hot_items_topn(spark, sf_dir))
+
+
+@query("hot_items_sql")
+def q_hot_items_sql(spark, sf_dir):
+    pv = views.behaviors(events(spark, sf_dir), only="pv").select("item_id", "ts")
+    sqlviews.register_view(pv, "pv_items")
+    return topn.hot_items_sql(spark, "pv_items", n=3, size="1 hour", slide="5 minutes")
+
+
+CHANGELOG_CUTOFF = "2024-01-15 12:00:00"
+
+
+@query("topn_changelog")
+def q_topn_changelog(spark, sf_dir):
+    b = views.behaviors(events(spark, sf_dir), only="pv")
+    prev = topn.hot_items(b.where(F.col("ts") < F.lit(CHANGELOG_CUTOFF).cast("timestamp_ntz")))
+    return topn.changelog(prev, topn.hot_items(b))
+
+
+# --- UDF / SQL surface -----------------------------------------------------------------------------------------------
+
+HASH_FACTOR = 31
+
+
+@query("hash_code")
+def q_hash_code(spark, sf_dir):
+    r = readings(spark, sf_dir)
+    return r.select("id", "event_id", hashing.hash_code_times(F.col("id"), HASH_FACTOR).alias("hash_code"))
+
+
+@query("hash_code_sql")
+def q_hash_code_sql(spark, sf_dir):
+    sqlviews.register_view(readings(spark, sf_dir), "sensor")
+    hashing.register_hash_code(spark, "hashCode", factor=HASH_FACTOR)
+    return spark.sql("SELECT id, event_id, hashCode(id) AS hash_code FROM sensor")
