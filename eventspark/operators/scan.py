@@ -127,3 +127,22 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
 def running_count(df: DataFrame, *, key: str | None, order: Sequence[str], out: str = "running_cnt") -> DataFrame:
     """1-based position of each row within its key in ``order`` (skew-safe ``row_number``)."""
     return prefix_scan(df, key=key, order=order, values=[(out, F.lit(1).cast("bigint"), "sum")])
+
+
+def with_neighbors(df: DataFrame, *, key: str, order: Sequence[str], offsets: Sequence[int],
+                   cols: Sequence[str], rn_col: str = "rn") -> DataFrame:
+    """Attach the columns of the rows ``offset`` positions later (negative: earlier) within the key.
+
+    ``lead``/``lag`` without a single-key window: positions come from the skew-safe :func:`running_count`, and each
+    neighbour is fetched by an equi-join on ``(key, position)``, which is unique, so no join partition can be skewed.
+    Neighbour columns are named ``{col}_{offset}`` (``_m`` for negative offsets).
+    """
+    numbered = running_count(df, key=key, order=order, out=rn_col)
+    out = numbered
+    for off in offsets:
+        tag = f"{off}" if off >= 0 else f"m{-off}"
+        nb = numbered.select(F.col(key).alias(f"_nb_k{tag}"), (F.col(rn_col) - F.lit(off)).alias(f"_nb_rn{tag}"),
+                             *[F.col(c).alias(f"{c}_{tag}") for c in cols])
+        out = (out.join(nb, (out[key].eqNullSafe(nb[f"_nb_k{tag}"])) & (out[rn_col] == nb[f"_nb_rn{tag}"]), "left")
+               .drop(f"_nb_k{tag}", f"_nb_rn{tag}"))
+    return out

@@ -218,3 +218,79 @@ FROM (SELECT id, event_id, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE
             FROM readings))"""
 ORACLE["hash_code"] = with_views(V_READINGS) + HASH31
 ORACLE["hash_code_sql"] = with_views(V_READINGS) + HASH31
+
+# --- joins ---
+ORACLE["window_join"] = f"""
+WITH l AS (SELECT user_id, ts, event_id, {tumble('ts', '1 day')} AS ws FROM events WHERE event_type = 'click'),
+     r AS (SELECT user_id, ts, event_id, {tumble('ts', '1 day')} AS ws FROM events WHERE event_type = 'view')
+SELECT l.user_id, l.ws AS window_start, l.ws + INTERVAL '1 day' AS window_end, l.ts AS left_ts,
+       l.event_id AS left_event_id, r.ts AS right_ts, r.event_id AS right_event_id
+FROM l JOIN r ON l.user_id = r.user_id AND l.ws = r.ws"""
+
+ORACLE["interval_join"] = """
+WITH l AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'click'),
+     r AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'view')
+SELECT l.user_id, l.ts AS left_ts, l.event_id AS left_event_id, r.ts AS right_ts, r.event_id AS right_event_id
+FROM l JOIN r ON l.user_id = r.user_id AND r.ts >= l.ts - INTERVAL '1 day' AND r.ts <= l.ts"""
+
+ORACLE["reconcile"] = with_views(V_ORDER_EVENTS, V_PAY_EVENTS) + """
+, both_ AS (
+  SELECT order_id AS k, ts, event_id, 0 AS side FROM order_events WHERE order_type = 'create'
+  UNION ALL SELECT order_id, ts, event_id, 1 FROM pay_events)
+, lk AS (
+  SELECT *, row_number() OVER w AS rn,
+         CASE WHEN lag(side) OVER w IS NOT NULL AND lag(side) OVER w <> side
+                   AND ts - lag(ts) OVER w <= INTERVAL '1 day' THEN 1 ELSE 0 END AS link
+  FROM both_ WINDOW w AS (PARTITION BY k ORDER BY ts, event_id))
+, ch AS (SELECT *, sum(1 - link) OVER (PARTITION BY k ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS chain FROM lk)
+, pos AS (SELECT *, row_number() OVER (PARTITION BY k, chain ORDER BY ts, event_id) AS p FROM ch)
+SELECT o.k AS order_id,
+       CASE WHEN e.k IS NOT NULL THEN 'matched' WHEN o.side = 0 THEN 'unmatched_order' ELSE 'unmatched_pay' END AS tag,
+       CASE WHEN o.side = 0 THEN o.ts ELSE e.ts END AS order_ts,
+       CASE WHEN o.side = 0 THEN o.event_id ELSE e.event_id END AS order_event_id,
+       CASE WHEN o.side = 1 THEN o.ts ELSE e.ts END AS pay_ts,
+       CASE WHEN o.side = 1 THEN o.event_id ELSE e.event_id END AS pay_event_id
+FROM (SELECT * FROM pos WHERE p % 2 = 1) o
+LEFT JOIN (SELECT * FROM pos WHERE p % 2 = 0) e ON o.k = e.k AND o.chain = e.chain AND e.p = o.p + 1"""
+
+# --- control ---
+ORACLE["smoke_alerts"] = with_views(V_READINGS, V_SMOKE) + """
+, merged AS (
+  SELECT NULL AS id, ts, NULL::DOUBLE AS temperature, event_id, level, 0 AS rk FROM smoke_levels
+  UNION ALL SELECT id, ts, temperature, event_id, NULL, 1 FROM readings)
+SELECT id, ts, temperature, event_id FROM (
+  SELECT *, last_value(level IGNORE NULLS) OVER (ORDER BY ts, rk, event_id ROWS UNBOUNDED PRECEDING) AS lvl
+  FROM merged)
+WHERE rk = 1 AND coalesce(lvl, 'LOW') = 'HIGH' AND temperature > -100.0"""
+
+ORACLE["sensor_switch"] = with_views(V_READINGS, V_SWITCHES) + """
+, merged AS (
+  SELECT id, ts, NULL::DOUBLE AS temperature, event_id, true AS op, 0 AS rk FROM switches
+  UNION ALL SELECT id, ts + INTERVAL '6 hours', NULL, event_id, false, 2 FROM switches
+  UNION ALL SELECT id, ts, temperature, event_id, NULL, 1 FROM readings)
+SELECT id, ts, temperature, event_id FROM (
+  SELECT *, last_value(op IGNORE NULLS) OVER (PARTITION BY id ORDER BY ts, rk, event_id ROWS UNBOUNDED PRECEDING) AS g
+  FROM merged)
+WHERE rk = 1 AND coalesce(g, false)"""
+
+# --- patterns ---
+ORACLE["login_fail_3"] = with_views(V_LOGINS) + """
+SELECT user_id, ip1, ip2, ip3, first_ts, last_ts, first_event_id FROM (
+  SELECT user_id, event_type AS t1, lead(event_type, 1) OVER w AS t2, lead(event_type, 2) OVER w AS t3,
+         ip_address AS ip1, lead(ip_address, 1) OVER w AS ip2, lead(ip_address, 2) OVER w AS ip3,
+         ts AS first_ts, lead(ts, 2) OVER w AS last_ts, event_id AS first_event_id
+  FROM logins WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+WHERE t1 = 'fail' AND t2 = 'fail' AND t3 = 'fail' AND last_ts - first_ts < INTERVAL '1 day'"""
+
+ORACLE["order_timeout_pattern"] = with_views(V_ORDER_EVENTS) + """
+SELECT order_id, create_ts, create_event_id,
+       CASE WHEN payed THEN 'payed' ELSE 'timeout' END AS result,
+       CASE WHEN payed THEN nts END AS pay_ts, CASE WHEN payed THEN nid END AS pay_event_id,
+       CASE WHEN NOT payed THEN create_ts + INTERVAL '1 day' END AS timeout_ts
+FROM (
+  SELECT *, coalesce(ntype = 'pay' AND nts - create_ts < INTERVAL '1 day', false) AS payed,
+         (nts IS NULL OR nts - create_ts >= INTERVAL '1 day') AS timed_out
+  FROM (SELECT order_id, order_type, ts AS create_ts, event_id AS create_event_id,
+               lead(order_type) OVER w AS ntype, lead(ts) OVER w AS nts, lead(event_id) OVER w AS nid
+        FROM order_events WINDOW w AS (PARTITION BY order_id ORDER BY ts, event_id)))
+WHERE order_type = 'create' AND (payed OR timed_out)"""

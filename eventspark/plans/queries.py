@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, udfs
-from ..operators import distinct, rolling, text, topn, transforms, windows
+from ..operators import control, distinct, joins, patterns, rolling, text, topn, transforms, windows
 from ..sources import views
 from ..sources.lines import parse_key_seconds
 from ..sources.tables import read_table
@@ -224,3 +224,56 @@ def q_hash_code_sql(spark, sf_dir):
     sqlviews.register_view(readings(spark, sf_dir), "sensor")
     hashing.register_hash_code(spark, "hashCode", factor=HASH_FACTOR)
     return spark.sql("SELECT id, event_id, hashCode(id) AS hash_code FROM sensor")
+
+
+# --- joins -----------------------------------------------------------------------------------------------------------
+
+def _typed(spark, sf_dir, event_type):
+    ev = events(spark, sf_dir)
+    return ev.where(F.col("event_type") == event_type).select("user_id", "ts", "event_id")
+
+
+@query("window_join")
+def q_window_join(spark, sf_dir):
+    return joins.window_join(_typed(spark, sf_dir, "click"), _typed(spark, sf_dir, "view"), key="user_id",
+                             size="1 day")
+
+
+@query("interval_join")
+def q_interval_join(spark, sf_dir):
+    return joins.interval_join(_typed(spark, sf_dir, "click"), _typed(spark, sf_dir, "view"), key="user_id",
+                               lower="-1 day", upper="0 seconds")
+
+
+@query("reconcile")
+def q_reconcile(spark, sf_dir):
+    oe = views.order_events(events(spark, sf_dir))
+    creates = oe.where(F.col("order_type") == "create")
+    pays = views.pay_events(events(spark, sf_dir))
+    return joins.reconcile(creates, pays, key="order_id", tolerance="1 day")
+
+
+# --- control / as-of -------------------------------------------------------------------------------------------------
+
+@query("smoke_alerts")
+def q_smoke_alerts(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    return control.smoke_alerts(views.readings(ev), views.smoke_levels(ev), threshold=-100.0)
+
+
+@query("sensor_switch")
+def q_sensor_switch(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    return control.gate_by_switch(views.readings(ev), views.switches(ev), duration="6 hours")
+
+
+# --- sequence patterns -----------------------------------------------------------------------------------------------
+
+@query("login_fail_3")
+def q_login_fail_3(spark, sf_dir):
+    return patterns.login_fail_3(views.logins(events(spark, sf_dir)), within="1 day")
+
+
+@query("order_timeout_pattern")
+def q_order_timeout_pattern(spark, sf_dir):
+    return patterns.order_timeout_pattern(views.order_events(events(spark, sf_dir)), within="1 day")

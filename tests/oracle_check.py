@@ -25,9 +25,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def _norm(v):
     if v is None:
         return None
+    try:
+        if not isinstance(v, (list, tuple, bytes, bytearray)) and pd.isna(v):
+            return None
+    except (TypeError, ValueError):
+        pass
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v.is_integer() and abs(v) < 2 ** 53:
+            return int(v)
         return round(v, 6)
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None).isoformat()
@@ -91,8 +98,11 @@ def main(argv):
             continue
         c1, n1, h1, r1 = frame_digest(spdf)
         c2, n2, h2, r2 = frame_digest(opdf)
-        d1 = {c: str(spdf[c].dtype).replace("[ns]", "[us]") for c in c1}
-        d2 = {c: str(opdf[c].dtype).replace("[ns]", "[us]") for c in c2}
+        def kind(pdf, c):
+            t = str(pdf[c].dtype).replace("[ns]", "[us]")
+            return "int64" if t in ("Int64", "float64") and pdf[c].isna().any() else t
+        d1 = {c: kind(spdf, c) for c in c1}
+        d2 = {c: kind(opdf, c) for c in c2}
         if (c1, n1, h1) == (c2, n2, h2):
             if d1 != d2:
                 ok = False
