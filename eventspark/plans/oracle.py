@@ -294,3 +294,126 @@ FROM (
                lead(order_type) OVER w AS ntype, lead(ts) OVER w AS nts, lead(event_id) OVER w AS nid
         FROM order_events WINDOW w AS (PARTITION BY order_id ORDER BY ts, event_id)))
 WHERE order_type = 'create' AND (payed OR timed_out)"""
+
+# --- replay ---
+MAX_BEFORE = "max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+ORACLE["watermark_trace"] = with_views(V_ARRIVALS) + f"""
+SELECT key, ts, arrival, event_id, {MAX_BEFORE} - INTERVAL '1 hour' - INTERVAL '1 millisecond' AS watermark
+FROM arrivals"""
+
+ORACLE["union_watermark_trace"] = with_views(V_ARRIVALS) + """
+, u AS (SELECT *, 'a' AS source FROM arrivals WHERE key = 'click'
+        UNION ALL SELECT *, 'b' AS source FROM arrivals WHERE key = 'view')
+SELECT key, ts, arrival, event_id, source,
+       CASE WHEN ma IS NOT NULL AND mb IS NOT NULL THEN least(ma, mb) - INTERVAL '1 millisecond' END AS watermark
+FROM (SELECT *,
+        max(CASE WHEN source = 'a' THEN ts END) OVER (ORDER BY arrival, event_id
+                                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ma,
+        max(CASE WHEN source = 'b' THEN ts END) OVER (ORDER BY arrival, event_id
+                                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mb
+      FROM u)"""
+
+ORACLE["late_row_split"] = with_views(V_ARRIVALS) + f"""
+SELECT key, ts, arrival, event_id,
+       CASE WHEN ts < {MAX_BEFORE} - INTERVAL '1 hour' - INTERVAL '1 millisecond' THEN 'late' ELSE 'main' END AS tag
+FROM arrivals"""
+
+
+def classified(size: str, bound: str, lateness: str) -> str:
+    return f"""c AS (
+  SELECT *, CASE WHEN mb IS NULL OR mb - INTERVAL '{bound}' < we THEN 'on_time'
+                 WHEN mb - INTERVAL '{bound}' < we + INTERVAL '{lateness}' THEN 'update' ELSE 'dropped' END AS cls
+  FROM (SELECT *, {tumble('ts', size)} AS ws, {tumble('ts', size)} + INTERVAL '{size}' AS we, {MAX_BEFORE} AS mb
+        FROM arrivals))"""
+
+
+ORACLE["late_window_split"] = with_views(V_ARRIVALS, classified("1 hour", "1 hour", "0 seconds")) + """
+SELECT 'main' AS tag, key, ws AS window_start, we AS window_end, count(*) AS cnt, NULL::TIMESTAMP AS ts,
+       NULL::BIGINT AS event_id
+FROM c WHERE cls = 'on_time' GROUP BY key, ws, we
+UNION ALL
+SELECT 'late', key, ws, we, NULL, ts, event_id FROM c WHERE cls <> 'on_time'"""
+
+ORACLE["allowed_lateness"] = with_views(V_ARRIVALS, classified("1 hour", "10 minutes", "30 minutes")) + """
+, n0 AS (SELECT key, ws, we, count(*) AS n0 FROM c WHERE cls = 'on_time' GROUP BY ALL)
+, up AS (SELECT c.key, c.ws, c.we, coalesce(n0.n0, 0) AS n0,
+                row_number() OVER (PARTITION BY c.key, c.ws ORDER BY arrival, event_id) AS u
+         FROM c LEFT JOIN n0 ON c.key = n0.key AND c.ws = n0.ws WHERE cls = 'update')
+SELECT key, ws AS window_start, we AS window_end, CAST(1 AS BIGINT) AS firing, 'first' AS kind, n0 AS cnt FROM n0
+UNION ALL
+SELECT key, ws, we, CAST((CASE WHEN n0 > 0 THEN 1 ELSE 0 END) + u AS BIGINT) AS firing,
+       CASE WHEN (CASE WHEN n0 > 0 THEN 1 ELSE 0 END) + u = 1 THEN 'first' ELSE 'update' END, n0 + u
+FROM up"""
+
+# --- timers / keyed state (recursive CTEs fold each key's rows one by one) ---
+ORACLE["event_timers"] = with_views(V_ARRIVALS) + """
+SELECT DISTINCT key, ts + INTERVAL '10 seconds' AS timer_ts FROM arrivals"""
+
+NUM_READINGS = """num AS (
+  SELECT id, ts, temperature, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS rn FROM readings)
+, lastrn AS (SELECT id, max(rn) AS m FROM num GROUP BY id)"""
+
+ORACLE["periodic_counts"] = "WITH RECURSIVE " + V_READINGS + ", " + NUM_READINGS + """
+, r AS (
+  SELECT id, rn, ts + INTERVAL '6 hours' AS timer, NULL::TIMESTAMP AS fired, NULL::BIGINT AS fired_cnt
+  FROM num WHERE rn = 1
+  UNION ALL
+  SELECT n.id, n.rn,
+         CASE WHEN n.ts > r.timer THEN n.ts + INTERVAL '6 hours' ELSE r.timer END,
+         CASE WHEN n.ts > r.timer THEN r.timer END,
+         CASE WHEN n.ts > r.timer THEN r.rn END
+  FROM r JOIN num n ON n.id = r.id AND n.rn = r.rn + 1)
+SELECT id, fired AS fire_ts, fired_cnt AS cnt FROM r WHERE fired IS NOT NULL
+UNION ALL
+SELECT r.id, r.timer, r.rn FROM r JOIN lastrn l ON r.id = l.id AND r.rn = l.m"""
+
+ORACLE["temp_rise_alerts"] = "WITH RECURSIVE " + V_READINGS + ", " + NUM_READINGS + """
+, r AS (
+  SELECT id, rn, temperature AS prev, NULL::TIMESTAMP AS timer, NULL::TIMESTAMP AS fired FROM num WHERE rn = 1
+  UNION ALL
+  SELECT id, rn, temperature,
+         CASE WHEN temperature < prev THEN NULL
+              WHEN temperature > prev AND t1 IS NULL THEN ts + INTERVAL '6 hours'
+              ELSE t1 END,
+         fired
+  FROM (SELECT n.id, n.rn, n.ts, n.temperature, r.prev,
+               CASE WHEN r.timer IS NOT NULL AND r.timer < n.ts THEN NULL ELSE r.timer END AS t1,
+               CASE WHEN r.timer IS NOT NULL AND r.timer < n.ts THEN r.timer END AS fired
+        FROM r JOIN num n ON n.id = r.id AND n.rn = r.rn + 1))
+SELECT id, fired AS alert_ts FROM r WHERE fired IS NOT NULL
+UNION ALL
+SELECT r.id, r.timer FROM r JOIN lastrn l ON r.id = l.id AND r.rn = l.m WHERE r.timer IS NOT NULL"""
+
+ORACLE["order_timeout_state"] = "WITH RECURSIVE " + V_ORDER_EVENTS + """
+, num AS (SELECT order_id, ts, order_type AS typ,
+                 row_number() OVER (PARTITION BY order_id ORDER BY ts, event_id) AS rn FROM order_events)
+, lastrn AS (SELECT order_id, max(rn) AS m FROM num GROUP BY order_id)
+, r AS (
+  SELECT order_id, rn, CASE WHEN typ = 'create' THEN ts END AS open, false AS paid, typ = 'create' AS seen,
+         NULL::TIMESTAMP AS x_ts, NULL::TIMESTAMP AS x_create,
+         CASE WHEN typ = 'pay' THEN 'orphan_pay' END AS p_res, CASE WHEN typ = 'pay' THEN ts END AS p_ts,
+         NULL::TIMESTAMP AS p_create
+  FROM num WHERE rn = 1
+  UNION ALL
+  SELECT order_id, rn,
+         CASE WHEN typ = 'create' AND open1 IS NULL THEN ts ELSE open1 END,
+         CASE WHEN typ = 'create' AND open1 IS NULL THEN false WHEN typ = 'pay' AND open1 IS NOT NULL THEN true
+              ELSE paid1 END,
+         r_seen OR typ = 'create',
+         CASE WHEN e AND NOT r_paid THEN r_open + INTERVAL '1 day' END,
+         CASE WHEN e AND NOT r_paid THEN r_open END,
+         CASE WHEN typ = 'pay' THEN (CASE WHEN open1 IS NOT NULL THEN 'payed' WHEN r_seen THEN 'late_pay'
+                                          ELSE 'orphan_pay' END) END,
+         CASE WHEN typ = 'pay' THEN ts END,
+         CASE WHEN typ = 'pay' AND open1 IS NOT NULL THEN open1 END
+  FROM (SELECT n.order_id, n.rn, n.ts, n.typ, r.open AS r_open, r.paid AS r_paid, r.seen AS r_seen, e,
+               CASE WHEN e THEN NULL ELSE r.open END AS open1, CASE WHEN e THEN false ELSE r.paid END AS paid1
+        FROM r JOIN num n ON n.order_id = r.order_id AND n.rn = r.rn + 1,
+             LATERAL (SELECT coalesce(r.open IS NOT NULL AND n.ts > r.open + INTERVAL '1 day', false) AS e)))
+SELECT order_id, 'not_payed' AS result, x_ts AS event_ts, x_create AS create_ts FROM r WHERE x_ts IS NOT NULL
+UNION ALL
+SELECT order_id, p_res, p_ts, p_create FROM r WHERE p_res IS NOT NULL
+UNION ALL
+SELECT r.order_id, 'not_payed', r.open + INTERVAL '1 day', r.open
+FROM r JOIN lastrn l ON r.order_id = l.order_id AND r.rn = l.m WHERE r.open IS NOT NULL AND NOT r.paid"""

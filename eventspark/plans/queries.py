@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, udfs
-from ..operators import control, distinct, joins, patterns, rolling, text, topn, transforms, windows
+from ..operators import control, distinct, joins, patterns, replay, rolling, text, timers, topn, transforms, windows
 from ..sources import views
 from ..sources.lines import parse_key_seconds
 from ..sources.tables import read_table
@@ -277,3 +277,59 @@ def q_login_fail_3(spark, sf_dir):
 @query("order_timeout_pattern")
 def q_order_timeout_pattern(spark, sf_dir):
     return patterns.order_timeout_pattern(views.order_events(events(spark, sf_dir)), within="1 day")
+
+
+# --- replay: watermarks and late data --------------------------------------------------------------------------------
+
+def arrivals(spark, sf_dir):
+    return views.arrivals(events(spark, sf_dir))
+
+
+@query("watermark_trace")
+def q_watermark_trace(spark, sf_dir):
+    return replay.watermark_trace(arrivals(spark, sf_dir), bound="1 hour")
+
+
+@query("union_watermark_trace")
+def q_union_watermark_trace(spark, sf_dir):
+    a = arrivals(spark, sf_dir)
+    return replay.union_watermark_trace(a.where(F.col("key") == "click"), a.where(F.col("key") == "view"),
+                                        bound="0 seconds")
+
+
+@query("late_row_split")
+def q_late_row_split(spark, sf_dir):
+    return replay.late_row_split(arrivals(spark, sf_dir), bound="1 hour")
+
+
+@query("late_window_split")
+def q_late_window_split(spark, sf_dir):
+    return replay.late_window_split(arrivals(spark, sf_dir), key="key", size="1 hour", bound="1 hour")
+
+
+@query("allowed_lateness")
+def q_allowed_lateness(spark, sf_dir):
+    return replay.allowed_lateness(arrivals(spark, sf_dir), key="key", size="1 hour", bound="10 minutes",
+                                   lateness="30 minutes")
+
+
+# --- timers and keyed state ------------------------------------------------------------------------------------------
+
+@query("event_timers")
+def q_event_timers(spark, sf_dir):
+    return timers.event_timers(arrivals(spark, sf_dir), key="key", delay="10 seconds")
+
+
+@query("temp_rise_alerts")
+def q_temp_rise_alerts(spark, sf_dir):
+    return timers.temp_rise_alerts(readings(spark, sf_dir), rise_for="6 hours")
+
+
+@query("periodic_counts")
+def q_periodic_counts(spark, sf_dir):
+    return timers.periodic_counts(readings(spark, sf_dir), period="6 hours")
+
+
+@query("order_timeout_state")
+def q_order_timeout_state(spark, sf_dir):
+    return timers.order_timeout_state(views.order_events(events(spark, sf_dir)), timeout="1 day")
