@@ -417,3 +417,17 @@ SELECT order_id, p_res, p_ts, p_create FROM r WHERE p_res IS NOT NULL
 UNION ALL
 SELECT r.order_id, 'not_payed', r.open + INTERVAL '1 day', r.open
 FROM r JOIN lastrn l ON r.order_id = l.order_id AND r.rn = l.m WHERE r.open IS NOT NULL AND NOT r.paid"""
+
+# --- sinks ---
+LATEST = """latest AS (
+  SELECT id, arg_max(ts, (ts, event_id)) AS ts, arg_max(temperature, (ts, event_id)) AS temperature,
+         arg_max(event_id, (ts, event_id)) AS event_id
+  FROM readings GROUP BY id)"""
+ORACLE["upsert_latest"] = with_views(V_READINGS, LATEST) + "SELECT id, ts, temperature, event_id FROM latest"
+ORACLE["redis_hset_rows"] = with_views(V_READINGS, LATEST) + """
+SELECT 'sensor' AS hash, id AS field, CAST(temperature AS VARCHAR) AS value FROM latest"""
+ORACLE["es_bulk_rows"] = with_views(V_READINGS) + """
+SELECT 'sensor' AS index,
+       '{"data":"(' || id || ', ' || CAST(epoch_us(ts) // 1000 AS VARCHAR) || ', ' || CAST(temperature AS VARCHAR) || ')"}'
+       AS source, event_id
+FROM readings"""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing, udfs
 from ..operators import control, distinct, joins, patterns, replay, rolling, text, timers, topn, transforms, windows
+from ..sinks import keyed
 from ..sources import views
 from ..sources.lines import parse_key_seconds
 from ..sources.tables import read_table
@@ -333,3 +334,20 @@ def q_periodic_counts(spark, sf_dir):
 @query("order_timeout_state")
 def q_order_timeout_state(spark, sf_dir):
     return timers.order_timeout_state(views.order_events(events(spark, sf_dir)), timeout="1 day")
+
+
+# --- sinks: shaped rows ----------------------------------------------------------------------------------------------
+
+@query("upsert_latest")
+def q_upsert_latest(spark, sf_dir):
+    return keyed.latest_by_key(readings(spark, sf_dir), key="id")
+
+
+@query("redis_hset_rows")
+def q_redis_hset_rows(spark, sf_dir):
+    return keyed.hset_rows(readings(spark, sf_dir), hash_name="sensor")
+
+
+@query("es_bulk_rows")
+def q_es_bulk_rows(spark, sf_dir):
+    return keyed.es_documents(readings(spark, sf_dir), index="sensor")
