@@ -16,16 +16,16 @@ TWO31 = 1 << 31
 
 
 def _signed32(x: Column) -> Column:
-    return F.when(x >= TWO31, x - F.lit(TWO32)).otherwise(x)
+    """Unsigned 32-bit value in a long → Java int value (one use of ``x``, so it is evaluated once)."""
+    return F.pmod(x + F.lit(TWO31), F.lit(TWO32)) - F.lit(TWO31)
 
 
 def java_hash_code(s: Column) -> Column:
     hx = F.hex(F.encode(s, "UTF-16BE"))
     units = F.transform(F.sequence(F.lit(0), (F.length(hx) / 4).cast("int") - 1),
                         lambda i: F.conv(F.substring(hx, i * 4 + 1, 4), 16, 10).cast("bigint"))
-    folded = F.aggregate(F.when(F.length(hx) > 0, units).otherwise(F.array().cast("array<bigint>")),
-                         F.lit(0).cast("bigint"), lambda acc, u: F.pmod(acc * 31 + u, F.lit(TWO32)))
-    return F.when(s.isNull(), F.lit(None)).otherwise(_signed32(folded)).cast("int")
+    folded = F.aggregate(units, F.lit(0).cast("bigint"), lambda acc, u: F.pmod(acc * 31 + u, F.lit(TWO32)))
+    return F.when(s == "", F.lit(0)).otherwise(_signed32(folded)).cast("int")
 
 
 def hash_code_times(s: Column, factor: int = DEFAULT_FACTOR) -> Column:
@@ -40,15 +40,11 @@ def register_hash_code(spark: SparkSession, name: str = "hashCode", factor: int
     """
     if factor is None:
         factor = int(spark.conf.get("eventspark.hashcode_factor", str(DEFAULT_FACTOR)))
-    body = (
-        "CAST(CASE WHEN s IS NULL THEN NULL ELSE "
-        "(CASE WHEN pmod(h * {f}, 4294967296) >= 2147483648 THEN pmod(h * {f}, 4294967296) - 4294967296 "
-        "ELSE pmod(h * {f}, 4294967296) END) END AS INT)"
-    )
-    fold = ("aggregate(CASE WHEN length(hex(encode(s, 'UTF-16BE'))) > 0 THEN "
-            "transform(sequence(0, length(hex(encode(s, 'UTF-16BE'))) DIV 4 - 1), "
-            "i -> CAST(conv(substring(hex(encode(s, 'UTF-16BE')), i * 4 + 1, 4), 16, 10) AS BIGINT)) "
-            "ELSE CAST(array() AS ARRAY<BIGINT>) END, CAST(0 AS BIGINT), (acc, u) -> pmod(acc * 31 + u, 4294967296))")
-    signed = f"(CASE WHEN {fold} >= 2147483648 THEN {fold} - 4294967296 ELSE {fold} END)"
+    hx = "hex(encode(s, 'UTF-16BE'))"
+    fold = (f"aggregate(transform(sequence(0, length({hx}) DIV 4 - 1), "
+            f"i -> CAST(conv(substring({hx}, i * 4 + 1, 4), 16, 10) AS BIGINT)), CAST(0 AS BIGINT), "
+            f"(acc, u) -> pmod(acc * 31 + u, {TWO32}))")
+    signed = f"(pmod({fold} + {TWO31}, {TWO32}) - {TWO31})"
+    body = f"CAST(pmod({signed} * {int(factor)} + {TWO31}, {TWO32}) - {TWO31} AS INT)"
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) RETURNS INT RETURN "
-              + body.format(f=int(factor)).replace("h *", f"{signed} *"))
+              f"CASE WHEN s IS NULL OR s = '' THEN (CASE WHEN s IS NULL THEN NULL ELSE 0 END) ELSE {body} END")
