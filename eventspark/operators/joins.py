@@ -22,11 +22,17 @@ from ..functions.durations import to_micros
 from .scan import prefix_scan
 
 
+def _plain_time(col: str):
+    """The row time as a value: on a stream, only the window stays the event-time column of the join."""
+    return F.col(col) + F.make_dt_interval(secs=F.lit(0))
+
+
 def window_join(left: DataFrame, right: DataFrame, *, key: str, ts: str = "ts", size: str = "5 seconds",
                 left_cols=("event_id",), right_cols=("event_id",)) -> DataFrame:
-    lw = left.select(F.col(key).alias("key"), F.window(ts, size).alias("w"), F.col(ts).alias("left_ts"),
+    """All pairs of a key inside the same tumbling window (stream-stream capable: the join key holds the window)."""
+    lw = left.select(F.col(key).alias("key"), F.window(ts, size).alias("w"), _plain_time(ts).alias("left_ts"),
                      *[F.col(c).alias(f"left_{c}") for c in left_cols])
-    rw = right.select(F.col(key).alias("key"), F.window(ts, size).alias("w"), F.col(ts).alias("right_ts"),
+    rw = right.select(F.col(key).alias("key"), F.window(ts, size).alias("w"), _plain_time(ts).alias("right_ts"),
                       *[F.col(c).alias(f"right_{c}") for c in right_cols])
     j = lw.join(rw, ["key", "w"])
     return j.select(F.col("key").alias(key), F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),

@@ -15,6 +15,7 @@ microseconds and come back as timestamps.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,6 +29,36 @@ def event_timers(df: DataFrame, *, key: str = "key", ts: str = "ts", delay: str
     return df.select(key, (F.col(ts) + interval(delay)).alias("timer_ts")).distinct()
 
 
+@dataclass(frozen=True)
+class FoldSpec:
+    """A keyed state machine over time-ordered rows.
+
+    ``columns`` are the row fields handed to ``step`` (the first is the event time in epoch microseconds) and
+    ``order`` sorts rows within a key.  ``step(state, row)`` may fire timers that are due before the row and returns
+    output tuples (without the key); ``finish(state)`` fires whatever timer is pending and clears it; ``due(state)``
+    is the pending timer (microseconds) or None.  Timers fire when time passes them strictly, so a row at exactly the
+    timer's time is still seen first.  The batch fold calls ``finish`` at the end of a key's rows; the streaming fold
+    (``eventspark.streaming.stateful``) calls it once the watermark has passed ``due``.
+    """
+    make: Callable[[], dict]
+    step: Callable[[dict, tuple], list]
+    finish: Callable[[dict], list]
+    due: Callable[[dict], int | None]
+    columns: tuple[str, ...]
+    order: tuple[str, ...]
+    out_fields: tuple[tuple[str, T.DataType], ...]
+
+    def out_schema(self, key: str, key_type: T.DataType) -> T.StructType:
+        return T.StructType([T.StructField(key, key_type)] + [T.StructField(n, t) for n, t in self.out_fields])
+
+
+def run_fold(df: DataFrame, spec: FoldSpec, *, key: str, num_partitions: int | None = None) -> DataFrame:
+    """:func:`keyed_fold` driven by a :class:`FoldSpec`."""
+    return keyed_fold(df, key=key, order=spec.order, columns=spec.columns, make_state=spec.make, step=spec.step,
+                      finish=spec.finish, out_schema=spec.out_schema(key, df.schema[key].dataType),
+                      num_partitions=num_partitions)
+
+
 def keyed_fold(df: DataFrame, *, key: str, order: Sequence[str], columns: Sequence[str],
                make_state: Callable[[], dict], step: Callable[[dict, tuple], list],
                finish: Callable[[dict], list], out_schema: T.StructType,
@@ -73,21 +104,17 @@ def _ts(col: str):
     return F.timestamp_micros(F.col(col)).cast("timestamp_ntz")
 
 
-def temp_rise_alerts(readings: DataFrame, *, key: str = "id", rise_for: str = "1 second") -> DataFrame:
-    """Alert when a sensor's temperature has not fallen for ``rise_for`` after it began to rise.
-
-    Per row: a pending timer earlier than the row fires (and clears) first; then a fall (or the key's first row)
-    clears the timer, a rise with no pending timer arms one at ``ts + rise_for``; an equal reading changes nothing.
-    A fall exactly at the timer time cancels it.  A pending timer fires at the end of input.
-    Output ``id, alert_ts``.
-    """
+def temp_rise_spec(rise_for: str = "1 second") -> FoldSpec:
+    """Rise alert: per row, a pending timer earlier than the row fires (and clears) first; then a fall (or the key's
+    first row) clears the timer, a rise with no pending timer arms one at ``ts + rise_for``; an equal reading changes
+    nothing.  A fall exactly at the timer time cancels it."""
     d = to_micros(rise_for)
 
     def make():
         return {"prev": None, "timer": None, "first": True}
 
     def step(s, row):
-        ts, temp = row
+        ts, temp = row[0], row[1]
         out = []
         if s["timer"] is not None and s["timer"] < ts:
             out.append((s["timer"],))
@@ -102,26 +129,32 @@ def temp_rise_alerts(readings: DataFrame, *, key: str = "id", rise_for: str = "1
         return out
 
     def finish(s):
-        return [(s["timer"],)] if s["timer"] is not None else []
+        out = [(s["timer"],)] if s["timer"] is not None else []
+        s["timer"] = None
+        return out
 
-    schema = T.StructType([T.StructField(key, readings.schema[key].dataType), T.StructField("_alert_us", T.LongType())])
+    return FoldSpec(make, step, finish, lambda s: s["timer"], ("_ts_us", "temperature", "event_id"),
+                    ("_ts_us", "event_id"), (("_alert_us", T.LongType()),))
+
+
+def temp_rise_alerts(readings: DataFrame, *, key: str = "id", rise_for: str = "1 second") -> DataFrame:
+    """Alert when a sensor's temperature has not fallen for ``rise_for`` after it began to rise (rule in
+    :func:`temp_rise_spec`).  A pending timer fires at the end of input.  Output ``id, alert_ts``."""
     prepared = readings.select(key, _us("ts").alias("_ts_us"), "temperature", "event_id")
-    out = keyed_fold(prepared, key=key, order=["_ts_us", "event_id"], columns=["_ts_us", "temperature"],
-                     make_state=make, step=step, finish=finish, out_schema=schema)
+    out = run_fold(prepared, temp_rise_spec(rise_for), key=key)
     return out.select(key, _ts("_alert_us").alias("alert_ts"))
 
 
-def periodic_counts(readings: DataFrame, *, key: str = "id", period: str = "10 seconds") -> DataFrame:
+def periodic_counts_spec(period: str = "10 seconds") -> FoldSpec:
     """``period`` after the first reading since the last firing, emit the number of readings so far (cumulative,
-    rows with ``ts <= timer``).  The next timer is armed by the first reading after the firing.  Output
-    ``id, fire_ts, cnt``."""
+    rows with ``ts <= timer``).  The next timer is armed by the first reading after the firing."""
     d = to_micros(period)
 
     def make():
         return {"timer": None, "n": 0}
 
     def step(s, row):
-        (ts,) = row
+        ts = row[0]
         out = []
         if s["timer"] is not None and ts > s["timer"]:
             out.append((s["timer"], s["n"]))
@@ -132,36 +165,40 @@ def periodic_counts(readings: DataFrame, *, key: str = "id", period: str = "10 s
         return out
 
     def finish(s):
-        return [(s["timer"], s["n"])] if s["timer"] is not None else []
+        out = [(s["timer"], s["n"])] if s["timer"] is not None else []
+        s["timer"] = None
+        return out
+
+    return FoldSpec(make, step, finish, lambda s: s["timer"], ("_ts_us", "event_id"), ("_ts_us", "event_id"),
+                    (("_fire_us", T.LongType()), ("cnt", T.LongType())))
+
 
-    schema = T.StructType([T.StructField(key, readings.schema[key].dataType), T.StructField("_fire_us", T.LongType()),
-                           T.StructField("cnt", T.LongType())])
+def periodic_counts(readings: DataFrame, *, key: str = "id", period: str = "10 seconds") -> DataFrame:
+    """Periodic cumulative counts (rule in :func:`periodic_counts_spec`).  Output ``id, fire_ts, cnt``."""
     prepared = readings.select(key, _us("ts").alias("_ts_us"), "event_id")
-    out = keyed_fold(prepared, key=key, order=["_ts_us", "event_id"], columns=["_ts_us"],
-                     make_state=make, step=step, finish=finish, out_schema=schema)
+    out = run_fold(prepared, periodic_counts_spec(period), key=key)
     return out.select(key, _ts("_fire_us").alias("fire_ts"), "cnt")
 
 
-def order_timeout_state(orders: DataFrame, *, key: str = "order_id", timeout: str = "5 seconds") -> DataFrame:
-    """Order create → pay within ``timeout`` with keyed state and a timer.
-
-    A ``create`` opens the order until ``create + timeout`` (a second create while open is ignored).  Each ``pay``
+def order_timeout_spec(timeout: str = "5 seconds") -> FoldSpec:
+    """A ``create`` opens the order until ``create + timeout`` (a second create while open is ignored).  Each ``pay``
     while open → ``payed``; no pay by the deadline → ``not_payed`` at the deadline.  A pay while no order is open is
-    ``late_pay`` when a create came before it, else ``orphan_pay``.  Output
-    ``order_id, result, event_ts, create_ts``.
-    """
+    ``late_pay`` when a create came before it, else ``orphan_pay``."""
     w = to_micros(timeout)
 
     def make():
         return {"open": None, "paid": False, "seen": False}
 
+    def expire(s):
+        out = [("not_payed", s["open"] + w, s["open"])] if not s["paid"] else []
+        s["open"] = None
+        return out
+
     def step(s, row):
-        ts, typ = row
+        ts, typ = row[0], row[1]
         out = []
         if s["open"] is not None and ts > s["open"] + w:
-            if not s["paid"]:
-                out.append(("not_payed", s["open"] + w, s["open"]))
-            s["open"] = None
+            out.extend(expire(s))
         if typ == "create":
             if s["open"] is None:
                 s["open"], s["paid"], s["seen"] = ts, False, True
@@ -174,13 +211,16 @@ def order_timeout_state(orders: DataFrame, *, key: str = "order_id", timeout: st
         return out
 
     def finish(s):
-        if s["open"] is not None and not s["paid"]:
-            return [("not_payed", s["open"] + w, s["open"])]
-        return []
+        return expire(s) if s["open"] is not None else []
 
-    schema = T.StructType([T.StructField(key, orders.schema[key].dataType), T.StructField("result", T.StringType()),
-                           T.StructField("_event_us", T.LongType()), T.StructField("_create_us", T.LongType())])
+    return FoldSpec(make, step, finish, lambda s: None if s["open"] is None else s["open"] + w,
+                    ("_ts_us", "order_type", "event_id"), ("_ts_us", "event_id"),
+                    (("result", T.StringType()), ("_event_us", T.LongType()), ("_create_us", T.LongType())))
+
+
+def order_timeout_state(orders: DataFrame, *, key: str = "order_id", timeout: str = "5 seconds") -> DataFrame:
+    """Order create → pay within ``timeout`` with keyed state and a timer (rule in :func:`order_timeout_spec`).
+    Output ``order_id, result, event_ts, create_ts``."""
     prepared = orders.select(key, _us("ts").alias("_ts_us"), "order_type", "event_id")
-    out = keyed_fold(prepared, key=key, order=["_ts_us", "event_id"], columns=["_ts_us", "order_type"],
-                     make_state=make, step=step, finish=finish, out_schema=schema)
+    out = run_fold(prepared, order_timeout_spec(timeout), key=key)
     return out.select(key, "result", _ts("_event_us").alias("event_ts"), _ts("_create_us").alias("create_ts"))
