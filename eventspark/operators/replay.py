@@ -33,14 +33,19 @@ def _ts_from_us(c: Column) -> Column:
     return F.timestamp_micros(c).cast("timestamp_ntz")
 
 
-def _max_before(df: DataFrame, out: str = "_max_before_us") -> DataFrame:
-    return prefix_scan(df, order=ORDER, inclusive=False, values=[(out, _us("ts"), "max")])
+def _max_before(df: DataFrame, out: str = "_max_before_us", initial_max_us: int | None = None) -> DataFrame:
+    """Max event time of the rows that arrived before each row; ``initial_max_us`` is the max of everything that
+    arrived before ``df`` (earlier micro-batches of a stream)."""
+    s = prefix_scan(df, order=ORDER, inclusive=False, values=[(out, _us("ts"), "max")])
+    if initial_max_us is not None:
+        s = s.withColumn(out, F.greatest(F.col(out), F.lit(int(initial_max_us))))
+    return s
 
 
-def watermark_trace(df: DataFrame, *, bound: str = "10 seconds") -> DataFrame:
+def watermark_trace(df: DataFrame, *, bound: str = "10 seconds", initial_max_us: int | None = None) -> DataFrame:
     """Every row with the watermark in force when it arrives."""
     b = to_micros(bound) + 1000
-    s = _max_before(df)
+    s = _max_before(df, initial_max_us=initial_max_us)
     return s.select(*df.columns, _ts_from_us(F.col("_max_before_us") - F.lit(b)).alias("watermark"))
 
 
@@ -56,16 +61,18 @@ def union_watermark_trace(a: DataFrame, b: DataFrame, *, bound: str = "0 seconds
     return s.select(*u.columns, wm.alias("watermark"))
 
 
-def late_row_split(df: DataFrame, *, bound: str = "0 seconds") -> DataFrame:
+def late_row_split(df: DataFrame, *, bound: str = "0 seconds", initial_max_us: int | None = None) -> DataFrame:
     """Tag every row ``main`` or ``late`` (``ts < watermark``); a late row is not passed on as main."""
-    t = watermark_trace(df, bound=bound)
+    t = watermark_trace(df, bound=bound, initial_max_us=initial_max_us)
     late = F.coalesce(F.col("ts") < F.col("watermark"), F.lit(False))
     return t.select(*df.columns, F.when(late, F.lit("late")).otherwise(F.lit("main")).alias("tag"))
 
 
-def _classify(df: DataFrame, *, key: str, size: str, bound: str, lateness: str = "0 seconds") -> DataFrame:
+def _classify(df: DataFrame, *, key: str, size: str, bound: str, lateness: str = "0 seconds",
+              initial_max_us: int | None = None) -> DataFrame:
     w = F.window(F.col("ts"), size)
-    s = _max_before(df.select("*", w.start.alias("window_start"), w.end.alias("window_end")))
+    s = _max_before(df.select("*", w.start.alias("window_start"), w.end.alias("window_end")),
+                    initial_max_us=initial_max_us)
     m = F.col("_max_before_us") - F.lit(to_micros(bound))
     end = _us("window_end")
     cls = (F.when(F.col("_max_before_us").isNull() | (m < end), F.lit("on_time"))
@@ -74,6 +81,14 @@ def _classify(df: DataFrame, *, key: str, size: str, bound: str, lateness: str =
     return s.withColumn("class", cls)
 
 
+def window_lateness(df: DataFrame, *, key: str = "key", size: str = "5 seconds", bound: str = "0 seconds",
+                    initial_max_us: int | None = None) -> DataFrame:
+    """Every row tagged ``main`` (its window had not fired when it arrived) or ``late``, with its window bounds."""
+    c = _classify(df, key=key, size=size, bound=bound, initial_max_us=initial_max_us)
+    return c.select(*df.columns, "window_start", "window_end",
+                    F.when(F.col("class") == "on_time", F.lit("main")).otherwise(F.lit("late")).alias("tag"))
+
+
 def late_window_split(df: DataFrame, *, key: str = "key", size: str = "5 seconds", bound: str = "0 seconds"
                       ) -> DataFrame:
     """Tumbling-window counts of the rows that arrive before their window fired (``tag = main``) plus the late rows

@@ -287,3 +287,29 @@ def order_timeout_pattern_stream(orders: DataFrame, *, within: str = "5 seconds"
     out = stream_fold(prepared, order_pattern_spec(within), key="order_id")
     return out.select("order_id", ts_of("_create_us").alias("create_ts"), "create_event_id", "result",
                       ts_of("_pay_us").alias("pay_ts"), "pay_event_id", ts_of("_timeout_us").alias("timeout_ts"))
+
+
+def event_timers_spec(delay: str = "10 seconds") -> FoldSpec:
+    """Every row schedules a reminder at ``ts + delay``; a key fires once per distinct time."""
+    d = to_micros(delay)
+
+    def step(s, r):
+        out = []
+        while s["t"] and s["t"][0] < r[0]:
+            out.append((s["t"].pop(0),))
+        t = r[0] + d
+        if t not in s["t"]:
+            s["t"].append(t)
+            s["t"].sort()
+        return out
+
+    def finish(s):
+        return [(s["t"].pop(0),)] if s["t"] else []
+
+    return FoldSpec(lambda: {"t": []}, step, finish, lambda s: s["t"][0] if s["t"] else None,
+                    ("_ts_us", "event_id"), ("_ts_us", "event_id"), (("_timer_us", T.LongType()),))
+
+
+def event_timers_stream(df: DataFrame, *, key: str = "key", delay: str = "10 seconds") -> DataFrame:
+    prepared = df.select(key, "ts", us().alias("_ts_us"), "event_id")
+    return stream_fold(prepared, event_timers_spec(delay), key=key).select(key, ts_of("_timer_us").alias("timer_ts"))

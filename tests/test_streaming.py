@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF001
+from conftest import SF001, ms, rows
 from eventspark.operators import control, distinct, joins, patterns, timers, topn, windows
 from eventspark.sources import views
 from eventspark.sources.tables import read_table
@@ -163,3 +163,109 @@ def test_window_join_parity(spark, stream_dir, batch_events, tmp_path):
                                    size="1 day"),
           joins.window_join(typed(s, "click"), typed(s, "view"), key="user_id", size="1 day"), tmp_path,
           "user_id", FLUSH_USER)
+
+
+def test_event_timers_parity(spark, stream_dir, batch_events, tmp_path):
+    check(spark, timers.event_timers(views.arrivals(batch_events), key="key", delay="6 hours"),
+          stateful.event_timers_stream(views.arrivals(stream_events(spark, stream_dir)), key="key", delay="6 hours"),
+          tmp_path, "key", "__none__")
+
+
+def test_interval_join_parity(spark, stream_dir, batch_events, tmp_path):
+    from eventspark.streaming.joins import interval_join_stream
+
+    def typed(ev, t):
+        return ev.where(F.col("event_type") == t).select("user_id", "ts", "event_id")
+    s = stream_events(spark, stream_dir)
+    check(spark, joins.interval_join(typed(batch_events, "click"), typed(batch_events, "view"), key="user_id",
+                                     lower="-1 day", upper="0 seconds"),
+          interval_join_stream(typed(s, "click"), typed(s, "view"), key="user_id", lower="-1 day",
+                               upper="0 seconds"), tmp_path, "user_id", FLUSH_USER)
+
+
+# --- arrival-order replay per micro-batch (late side outputs) ----------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def arrival_dir(spark, tmp_path_factory):
+    d = tmp_path_factory.mktemp("arrivals_stream")
+    pdf = (views.arrivals(read_table(spark, SF001, "events")).toPandas()
+           .sort_values(["arrival", "event_id"]).reset_index(drop=True))
+    for c in ("ts", "arrival"):
+        pdf[c] = pdf[c].astype("datetime64[us]")
+    for i in range(N_FILES):
+        p = os.path.join(d, f"part-{i:03d}.parquet")
+        pdf.iloc[i * len(pdf) // N_FILES:(i + 1) * len(pdf) // N_FILES].to_parquet(p, index=False)
+        os.utime(p, (1_000_000 + i * 10, 1_000_000 + i * 10))
+    return str(d)
+
+
+def _run_replay(spark, arrival_dir, tmp_path, make_handler):
+    from eventspark.streaming.sources import read_parquet_stream
+    schema = views.arrivals(read_table(spark, SF001, "events")).schema
+    out = str(tmp_path / "out")
+
+    def write(df, batch_id):
+        df.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+    handler = make_handler(write, str(tmp_path / "carry"))
+    q = (read_parquet_stream(spark, arrival_dir, schema, max_files_per_trigger=1).writeStream.foreachBatch(handler)
+         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def test_late_row_split_stream_parity(spark, arrival_dir, batch_events, tmp_path):
+    from eventspark.operators import replay
+    from eventspark.streaming import replay as sreplay
+    got = _run_replay(spark, arrival_dir, tmp_path,
+                      lambda w, c: sreplay.late_row_split_handler(w, c, bound="1 hour"))
+    want = replay.late_row_split(views.arrivals(batch_events), bound="1 hour")
+    assert norm(got) == norm(want.select(*got.columns))
+    assert want.where("tag = 'late'").count() > 0
+
+
+def test_window_lateness_stream_parity(spark, arrival_dir, batch_events, tmp_path):
+    from eventspark.operators import replay
+    from eventspark.streaming import replay as sreplay
+    got = _run_replay(spark, arrival_dir, tmp_path,
+                      lambda w, c: sreplay.window_lateness_handler(w, c, key="key", size="1 hour", bound="1 hour"))
+    want = replay.window_lateness(views.arrivals(batch_events), key="key", size="1 hour", bound="1 hour")
+    assert norm(got) == norm(want.select(*got.columns))
+
+
+def test_watermark_trace_stream_parity(spark, arrival_dir, batch_events, tmp_path):
+    from eventspark.operators import replay
+    from eventspark.streaming import replay as sreplay
+    got = _run_replay(spark, arrival_dir, tmp_path, lambda w, c: sreplay.watermark_trace_handler(w, c, bound="1 hour"))
+    want = replay.watermark_trace(views.arrivals(batch_events), bound="1 hour")
+    assert norm(got) == norm(want.select(*got.columns))
+
+
+# --- text sources ----------------------------------------------------------------------------------------------------
+
+def test_behavior_csv_batch_and_stream(spark, tmp_path):
+    from eventspark.sources.lines import read_behavior_csv, read_behavior_csv_stream
+    d = tmp_path / "csv"
+    d.mkdir()
+    (d / "a.csv").write_text("1,10,100,pv,1511658000\n2,11,100,buy,1511658001\n")
+    (d / "b.csv").write_text("3,10,101,pv,1511658060\n")
+    batch = read_behavior_csv(spark, str(d))
+    assert rows(batch.select("user_id", "behavior"), "user_id", "behavior") == [(1, "pv"), (2, "buy"), (3, "pv")]
+    assert batch.where("user_id = 1").first()["ts"].isoformat() == "2017-11-26T01:00:00"
+    got = run_stream(spark, read_behavior_csv_stream(spark, str(d), max_files_per_trigger=1), tmp_path)
+    assert norm(got) == norm(batch)
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "x.csv").write_text("1,10,100,pv,notanumber\n")
+    with pytest.raises(Exception):
+        read_behavior_csv(spark, str(bad)).collect()
+
+
+def test_line_stream_parse(spark, tmp_path):
+    from eventspark.sources.lines import parse_key_seconds, read_lines_stream
+    d = tmp_path / "lines"
+    d.mkdir()
+    (d / "a.txt").write_text("a 1\nb 2\n")
+    (d / "b.txt").write_text("a 5\n")
+    got = run_stream(spark, parse_key_seconds(read_lines_stream(spark, str(d), max_files_per_trigger=1)), tmp_path)
+    assert rows(got, "key", "ts") == [("a", ms(1000)), ("a", ms(5000)), ("b", ms(2000))]
