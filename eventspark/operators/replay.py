@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.durations import to_micros
+from ..session import reliable_checkpoint
 from .scan import prefix_scan
 
 ORDER = ["arrival", "event_id"]
@@ -115,6 +116,7 @@ def allowed_lateness(df: DataFrame, *, key: str = "key", size: str = "5 seconds"
     c = _classify(df, key=key, size=size, bound=bound, lateness=lateness)
     kw = [key, "window_start", "window_end"]
     on_time = c.where(F.col("class") == "on_time").groupBy(*kw).agg(F.count(F.lit(1)).alias("_n0"))
+    c = reliable_checkpoint(c)  # read three times below, and scanned again for the update rows
     upd = c.where(F.col("class") == "update").withColumn("_kw", F.struct(*kw))
     upd = prefix_scan(upd, key="_kw", order=ORDER, values=[("_u", F.lit(1).cast("bigint"), "sum")])
     upd = upd.join(on_time, kw, "left").select(*kw, F.coalesce("_n0", F.lit(0)).alias("_n0"), "_u")

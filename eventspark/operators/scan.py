@@ -5,15 +5,19 @@
 instead range-partitions on ``(key, order)`` so that even a key holding a third of all rows is cut into many
 partitions of equal size, and stitches the partitions back together with a carry:
 
-1. ``repartitionByRange(n, key, *order)`` + reliable checkpoint (partition ids must stay fixed between the passes,
-   also after an executor loss).
-2. Per partition: first key, last key and the aggregate of the partition's tail (rows of its last key) — one tiny
-   row per partition.
-3. Carry into partition p: the aggregate of all earlier rows with p's first key.  Because keys are sorted across
-   partitions, those rows sit in the tails of the partitions just before p; a window over the n summary rows finds
-   them.  The carry table has exactly one row per partition, a proven bound, so it is broadcast.
-4. Running value inside ``(partition, key)`` with an ordinary window, combined with the carry on the partition's first
-   key.  Every window group is at most one partition.
+1. Range pieces over ``(key, *order)``: a bounded random sample (``SAMPLE_PER_PIECE`` rows per piece, sorted by Spark)
+   gives the piece boundaries, and each row's piece id ``_ps_pid`` is a binary search over them written as nested
+   ``CASE`` (log2(pieces) comparisons per row, JVM-side).  The boundaries are literals in the plan, so a recomputed
+   task after an executor loss assigns exactly the same pieces — no checkpoint of the data is needed.  There are
+   ``PIECES_PER_PARTITION`` pieces per shuffle partition so the hash placement of pieces stays balanced.
+2. One shuffle, ``repartition(n, _ps_pid)``.  Per piece: first key, last key and the aggregate of the piece's tail
+   (rows of its last key) — a map-side aggregation on the existing partitioning, then one tiny row per piece.
+3. Carry into piece p: the aggregate of all earlier rows with p's first key.  Because keys are sorted across
+   pieces, those rows sit in the tails of the pieces just before p; a window over the summary rows finds them.  The
+   carry table has one row per piece, a bound fixed by the partition count, so it is broadcast.
+4. Running value inside ``(piece, key)`` with an ordinary window, combined with the carry on the piece's first key.
+   The window's distribution ``(piece, key)`` is already satisfied by the hash partitioning on the piece, so this
+   adds a sort within partitions but no second shuffle.  Every window group is at most one piece.
 
 Supported aggregates: ``sum`` (counts are sums of 1; an empty prefix sums to 0), ``max``, ``min`` and ``last`` (last non-null value).
 ``inclusive=False`` gives the value over the rows strictly before each row.
@@ -26,10 +30,75 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from pyspark.sql import types as T
 
 _PID, _FIRST, _LAST = "_ps_pid", "_ps_first", "_ps_last"
 
+# Balance knobs: range pieces per shuffle partition, and sampled rows per piece used to place the boundaries.
+PIECES_PER_PARTITION = 4
+SAMPLE_PER_PIECE = 32
+SAMPLE_SEED = 7
+
+
+def _flatten(df: DataFrame, cols: Sequence[str]) -> list[tuple[Column, T.DataType]]:
+    """Comparable scalar expressions whose lexicographic order is the order of ``cols`` (struct columns expanded
+    field by field; zoned timestamps as epoch microseconds so that their literals need no time zone)."""
+    out: list[tuple[Column, T.DataType]] = []
+
+    def add(expr: Column, dt: T.DataType) -> None:
+        if isinstance(dt, T.StructType):
+            for f in dt.fields:
+                add(expr.getField(f.name), f.dataType)
+        elif isinstance(dt, T.TimestampType):
+            out.append((F.unix_micros(expr), T.LongType()))
+        else:
+            out.append((expr, dt))
+
+    for c in cols:
+        add(F.col(c), df.schema[c].dataType)
+    return out
+
+
+def _literal(v, dt: T.DataType) -> Column:
+    if v is None:
+        return F.lit(None).cast(dt)
+    if isinstance(dt, T.TimestampNTZType):
+        return F.lit(v.isoformat(sep=" ")).cast(dt)
+    return F.lit(v).cast(dt)
+
+
+def _boundaries(df: DataFrame, flat: list[tuple[Column, T.DataType]], pieces: int) -> list[Column]:
+    """``pieces - 1`` boundary literals (fewer when the sample has fewer distinct values), in Spark's order.
+
+    A bounded random sample (``pieces * SAMPLE_PER_PIECE`` rows, a per-task top-k by a random number) is sorted by
+    Spark and brought to the driver; only the boundary rows are kept.  The sample only decides balance: any sorted
+    boundaries give correct results."""
+    if pieces <= 1:
+        return []
+    names = [f"_b{i}" for i in range(len(flat))]
+    k = pieces * SAMPLE_PER_PIECE
+    sample = (df.select(*[e.alias(nm) for (e, _), nm in zip(flat, names)])
+              .orderBy(F.rand(SAMPLE_SEED)).limit(k).orderBy(*names).collect())
+    if not sample:
+        return []
+    picks, last = [], None
+    for i in range(1, pieces):
+        row = tuple(sample[min(len(sample) - 1, (i * len(sample)) // pieces)])
+        if row != last:
+            picks.append(row)
+            last = row
+    return [F.struct(*[_literal(v, dt).alias(nm) for v, (_, dt), nm in zip(row, flat, names)]) for row in picks]
+
+
+def _piece_id(probe: Column, bounds: list[Column], flat) -> Column:
+    """Number of boundaries strictly below ``probe``: a balanced binary search as nested CASE expressions."""
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(probe <= bounds[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
+    return build(0, len(bounds))
+
 
 def _partial(how: str, v: Column, order_struct: Column) -> Column:
     if how == "sum":
@@ -81,8 +150,12 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
     vals = [(out, f"_ps_v{i}", expr, how) for i, (out, expr, how) in enumerate(values)]
     prepared = df.select("*", *[expr.alias(tmp) for _, tmp, expr, _ in vals])
 
-    ranged = prepared.repartitionByRange(n, *keycols, *order).sortWithinPartitions(*keycols, *order)
-    ranged = reliable_checkpoint(ranged).withColumn(_PID, F.spark_partition_id())
+    pieces = max(1, n * PIECES_PER_PARTITION)
+    flat = _flatten(prepared, [*keycols, *order])
+    bounds = _boundaries(prepared, flat, pieces)
+    probe = F.struct(*[e.alias(f"_b{i}") for i, (e, _) in enumerate(flat)])
+    ranged = (prepared.withColumn(_PID, _piece_id(probe, bounds, flat))
+              .repartition(n, _PID))
     order_struct = F.struct(*[F.col(c) for c in order])
 
     # 2. per-partition first/last key and tail aggregates (one row per non-empty partition)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -89,3 +90,32 @@ def test_results_independent_of_input_partitioning(spark):
     a = timers.periodic_counts(r, period="6 hours")
     b = timers.periodic_counts(r.repartition(13, "event_id"), period="6 hours")
     _same(a, b)
+
+
+def test_prefix_scan_across_small_arrow_batches(spark):
+    """Runs that span Arrow batches and partitions: all aggregate kinds, inclusive and exclusive, with NULL values."""
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise((F.col("id") % 5).cast("string")).alias("k"),
+        F.col("id").alias("o"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.sin(F.col("id")) * 100).alias("v"),
+        F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise((F.col("id") % 17).cast("string")).alias("s"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for inclusive in (True, False):
+            frame = (Window.unboundedPreceding, 0 if inclusive else -1)
+            w = Window.partitionBy("k").orderBy("o").rowsBetween(*frame)
+            direct = df.select("k", "o", F.sum("v").over(w).alias("sv"), F.max("v").over(w).alias("mx"),
+                               F.min("v").over(w).alias("mn"), F.last("s", ignorenulls=True).over(w).alias("ls"),
+                               F.count(F.lit(1)).over(w).alias("c"))
+            got = scan.prefix_scan(df, key="k", order=["o"], inclusive=inclusive, num_partitions=5, values=[
+                ("sv", F.col("v"), "sum"), ("mx", F.col("v"), "max"), ("mn", F.col("v"), "min"),
+                ("ls", F.col("s"), "last"), ("c", F.lit(1).cast("bigint"), "sum")])
+            a = {(r.k, r.o): r for r in got.select("k", "o", "sv", "mx", "mn", "ls", "c").collect()}
+            b = {(r.k, r.o): r for r in direct.collect()}
+            assert a.keys() == b.keys()
+            for key, rb in b.items():
+                ra = a[key]
+                assert (ra.sv or 0) == pytest.approx(rb.sv or 0, rel=1e-9, abs=1e-6), key
+                assert (ra.mx, ra.mn, ra.ls, ra.c) == (rb.mx, rb.mn, rb.ls, rb.c), key
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
