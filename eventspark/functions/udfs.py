@@ -47,7 +47,10 @@ def partition_scoped_increment(df: DataFrame, col: str, delta: int = 1, *, out:
 def grouped_agg(df: DataFrame, keys: list[str], fn: Callable[[pd.Series], object], value: str, return_type: str,
                 out: str) -> DataFrame:
     """UDAF escape hatch: a grouped-aggregate pandas UDF (Spark still does partial grouping by key)."""
-    udaf = F.pandas_udf(lambda s: fn(s), return_type)  # type: ignore[call-overload]
+    def agg(s: pd.Series) -> float:  # series → scalar: a grouped-aggregate pandas UDF
+        return fn(s)
+
+    udaf = F.pandas_udf(agg, return_type)  # type: ignore[call-overload]
     return df.groupBy(*keys).agg(udaf(F.col(value)).alias(out))
 
 

@@ -211,3 +211,43 @@ def test_periodic_counts(spark):
     out = timers.periodic_counts(df, period="10 seconds")
     # timer 10000 (rows <= 10000 → 3), next anchor 12000 → 22000 (4), next 25000 → 35000 (5)
     assert rows(out, "fire_ts", "cnt") == [(ms(10000), 3), (ms(22000), 4), (ms(35000), 5)]
+
+
+def test_grouped_agg_udf_and_window_apply(spark):
+    import pandas as pd
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([("a", ms(0), 1.0), ("a", ms(1000), 3.0), ("b", ms(0), -2.0), ("a", ms(6000), 5.0)],
+                               "id string, ts timestamp_ntz, temperature double")
+    avg = udfs.grouped_agg(df, ["id"], lambda s: float(s.mean()), "temperature", "double", "avg_t")
+    assert rows(avg, "id", "avg_t") == [("a", 3.0), ("b", -2.0)]
+    win = df.withColumn("w", F.window("ts", "5 seconds").end)
+
+    def minmax(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([{"id": pdf["id"].iloc[0], "window_end": pdf["w"].iloc[0],
+                              "min_t": pdf["temperature"].min(), "max_t": pdf["temperature"].max()}])
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("window_end", T.TimestampNTZType()),
+                           T.StructField("min_t", T.DoubleType()), T.StructField("max_t", T.DoubleType())])
+    out = udfs.window_apply(win, ["id", "w"], minmax, schema)
+    assert rows(out, "id", "window_end", "min_t", "max_t") == [("a", ms(5000), 1.0, 3.0), ("a", ms(10000), 5.0, 5.0),
+                                                                ("b", ms(5000), -2.0, -2.0)]
+
+
+def test_minmax_all_negative_window(spark):
+    from eventspark.operators import windows
+    df = spark.createDataFrame([("s", ms(0), -5.0, 1), ("s", ms(1000), -3.0, 2)],
+                               "id string, ts timestamp_ntz, temperature double, event_id long")
+    out = windows.minmax_per_window(df, size="5 seconds").collect()
+    assert [(r["min_temp"], r["max_temp"]) for r in out] == [(-5.0, -3.0)]
+
+
+def test_hot_items_fewer_than_n_and_ties(spark):
+    from eventspark.operators import topn
+    data = [(1, 7, ms(0)), (2, 5, ms(1000)), (3, 5, ms(2000)), (4, 9, ms(3000)), (5, 9, ms(4000))]
+    b = spark.createDataFrame([(u, i, "view", "pv", t, u) for u, i, t in data],
+                              "user_id long, item_id long, category_id string, behavior string, ts timestamp_ntz, "
+                              "event_id long")
+    out = topn.hot_items(b, n=2, size="1 hour", slide="1 hour")
+    # counts: item 5 → 2, item 9 → 2, item 7 → 1; ties ranked by item id ascending; only 2 per window
+    assert rows(out, "item_id", "cnt", "rank") == [(5, 2, 1), (9, 2, 2)]
+    one = topn.hot_items(b.where("item_id = 7"), n=3, size="1 hour", slide="1 hour")
+    assert rows(one, "item_id", "rank") == [(7, 1)]
