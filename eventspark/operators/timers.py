@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.durations import interval, to_micros
+from . import chains
 
 
 def event_timers(df: DataFrame, *, key: str = "key", ts: str = "ts", delay: str = "10 seconds") -> DataFrame:
@@ -96,6 +97,22 @@ def keyed_fold(df: DataFrame, *, key: str, order: Sequence[str], columns: Sequen
     return sorted_parts.mapInPandas(run, out_schema)
 
 
+def _hybrid(prepared: DataFrame, key: str, parallel_keys: str, fold: Callable[[DataFrame], DataFrame],
+            chain: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Keys with many rows go through the parallel chain form, the others through the sequential fold.
+
+    ``parallel_keys``: ``"auto"`` (keys above the share in :func:`chains.hot_keys`), ``"all"`` or ``"none"``."""
+    if parallel_keys == "none":
+        return fold(prepared)
+    if parallel_keys == "all":
+        return chain(prepared)
+    hot = chains.hot_keys(prepared, key)
+    if not hot:
+        return fold(prepared)
+    inside = chains.is_in(key, hot)
+    return fold(prepared.where(~inside)).unionByName(chain(prepared.where(inside)))
+
+
 def _us(col: str):
     return F.unix_micros(F.col(col).cast("timestamp"))
 
@@ -137,11 +154,13 @@ def temp_rise_spec(rise_for: str = "1 second") -> FoldSpec:
                     ("_ts_us", "event_id"), (("_alert_us", T.LongType()),))
 
 
-def temp_rise_alerts(readings: DataFrame, *, key: str = "id", rise_for: str = "1 second") -> DataFrame:
+def temp_rise_alerts(readings: DataFrame, *, key: str = "id", rise_for: str = "1 second",
+                     parallel_keys: str = "auto") -> DataFrame:
     """Alert when a sensor's temperature has not fallen for ``rise_for`` after it began to rise (rule in
     :func:`temp_rise_spec`).  A pending timer fires at the end of input.  Output ``id, alert_ts``."""
     prepared = readings.select(key, _us("ts").alias("_ts_us"), "temperature", "event_id")
-    out = run_fold(prepared, temp_rise_spec(rise_for), key=key)
+    out = _hybrid(prepared, key, parallel_keys, lambda d: run_fold(d, temp_rise_spec(rise_for), key=key),
+                  lambda d: chains.temp_rise_chain(d, key=key, rise_us=to_micros(rise_for)))
     return out.select(key, _ts("_alert_us").alias("alert_ts"))
 
 
@@ -173,10 +192,12 @@ def periodic_counts_spec(period: str = "10 seconds") -> FoldSpec:
                     (("_fire_us", T.LongType()), ("cnt", T.LongType())))
 
 
-def periodic_counts(readings: DataFrame, *, key: str = "id", period: str = "10 seconds") -> DataFrame:
+def periodic_counts(readings: DataFrame, *, key: str = "id", period: str = "10 seconds",
+                    parallel_keys: str = "auto") -> DataFrame:
     """Periodic cumulative counts (rule in :func:`periodic_counts_spec`).  Output ``id, fire_ts, cnt``."""
     prepared = readings.select(key, _us("ts").alias("_ts_us"), "event_id")
-    out = run_fold(prepared, periodic_counts_spec(period), key=key)
+    out = _hybrid(prepared, key, parallel_keys, lambda d: run_fold(d, periodic_counts_spec(period), key=key),
+                  lambda d: chains.periodic_counts_chain(d, key=key, period_us=to_micros(period)))
     return out.select(key, _ts("_fire_us").alias("fire_ts"), "cnt")
 
 
@@ -218,9 +239,11 @@ def order_timeout_spec(timeout: str = "5 seconds") -> FoldSpec:
                     (("result", T.StringType()), ("_event_us", T.LongType()), ("_create_us", T.LongType())))
 
 
-def order_timeout_state(orders: DataFrame, *, key: str = "order_id", timeout: str = "5 seconds") -> DataFrame:
+def order_timeout_state(orders: DataFrame, *, key: str = "order_id", timeout: str = "5 seconds",
+                        parallel_keys: str = "auto") -> DataFrame:
     """Order create → pay within ``timeout`` with keyed state and a timer (rule in :func:`order_timeout_spec`).
     Output ``order_id, result, event_ts, create_ts``."""
     prepared = orders.select(key, _us("ts").alias("_ts_us"), "order_type", "event_id")
-    out = run_fold(prepared, order_timeout_spec(timeout), key=key)
+    out = _hybrid(prepared, key, parallel_keys, lambda d: run_fold(d, order_timeout_spec(timeout), key=key),
+                  lambda d: chains.order_timeout_chain(d, key=key, timeout_us=to_micros(timeout)))
     return out.select(key, "result", _ts("_event_us").alias("event_ts"), _ts("_create_us").alias("create_ts"))

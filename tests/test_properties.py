@@ -119,3 +119,38 @@ def test_prefix_scan_across_small_arrow_batches(spark):
                 assert (ra.mx, ra.mn, ra.ls, ra.c) == (rb.mx, rb.mn, rb.ls, rb.c), key
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("op", ["temp_rise", "periodic", "order_timeout"])
+def test_parallel_chain_equals_fold(spark, op):
+    """The pointer-doubling form of each greedy-timer operator gives exactly the sequential fold's rows."""
+    from eventspark.operators import timers
+    ev = _events(spark)
+    if op == "temp_rise":
+        r = views.readings(ev)
+        run = lambda m: timers.temp_rise_alerts(r, rise_for="6 hours", parallel_keys=m)
+    elif op == "periodic":
+        r = views.readings(ev)
+        run = lambda m: timers.periodic_counts(r, period="6 hours", parallel_keys=m)
+    else:
+        r = views.order_events(ev)
+        run = lambda m: timers.order_timeout_state(r, timeout="1 day", parallel_keys=m)
+    fold, chain = run("none"), run("all")
+    assert fold.count() > 0
+    _same(chain, fold)
+
+
+def test_hot_key_split_auto(spark, monkeypatch):
+    """A key with most rows is routed to the parallel path, the rest to the fold; the union equals the fold."""
+    from eventspark.operators import chains, timers
+    df = spark.range(0, 4000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 10).cast("string")))
+        .alias("id"),
+        F.timestamp_seconds(F.col("id") * 37).cast("timestamp_ntz").alias("ts"),
+        F.col("id").alias("event_id"))
+    monkeypatch.setattr(chains, "HOT_MIN_ROWS", 10)
+    hot = chains.hot_keys(df, "id")
+    # threshold = max(10, 4000 / (4 x 4 partitions)) = 250 rows: "hot" (2800) and k7..k9 (400 each) all exceed it
+    assert sorted(hot) == ["hot", "k7", "k8", "k9"]
+    _same(timers.periodic_counts(df, period="5 minutes", parallel_keys="auto"),
+          timers.periodic_counts(df, period="5 minutes", parallel_keys="none"))
