@@ -5,8 +5,8 @@
 instead range-partitions on ``(key, order)`` so that even a key holding a third of all rows is cut into many
 partitions of equal size, and stitches the partitions back together with a carry:
 
-1. Range pieces over ``(key, *order)``: a bounded random sample (``SAMPLE_PER_PIECE`` rows per piece, sorted by Spark)
-   gives the piece boundaries, and each row's piece id ``_ps_pid`` is a binary search over them written as nested
+1. Range pieces over ``(key, *order)``: a bounded Bernoulli sample (about ``3 * SAMPLE_PER_PIECE`` rows per piece,
+   sorted by Spark) gives the piece boundaries, and each row's piece id ``_ps_pid`` is a binary search over them written as nested
    ``CASE`` (log2(pieces) comparisons per row, JVM-side).  The boundaries are literals in the plan, so a recomputed
    task after an executor loss assigns exactly the same pieces — no checkpoint of the data is needed.  There are
    ``PIECES_PER_PARTITION`` pieces per shuffle partition so the hash placement of pieces stays balanced.
@@ -70,15 +70,21 @@ def _literal(v, dt: T.DataType) -> Column:
 def _boundaries(df: DataFrame, flat: list[tuple[Column, T.DataType]], pieces: int) -> list[Column]:
     """``pieces - 1`` boundary literals (fewer when the sample has fewer distinct values), in Spark's order.
 
-    A bounded random sample (``pieces * SAMPLE_PER_PIECE`` rows, a per-task top-k by a random number) is sorted by
-    Spark and brought to the driver; only the boundary rows are kept.  The sample only decides balance: any sorted
-    boundaries give correct results."""
+    A Bernoulli sample of expected size ``3 * pieces * SAMPLE_PER_PIECE`` (the fraction comes from a row count, a
+    narrow pass) capped at ``4 *`` that, sorted by Spark and brought to the driver: the driver never holds more than
+    the cap, whatever the number of input partitions.  The sample only decides balance: any sorted boundaries give
+    correct results."""
     if pieces <= 1:
         return []
     names = [f"_b{i}" for i in range(len(flat))]
     k = pieces * SAMPLE_PER_PIECE
+    total = df.count()
+    if total == 0:
+        return []
+    fraction = min(1.0, 3.0 * k / total)
     sample = (df.select(*[e.alias(nm) for (e, _), nm in zip(flat, names)])
-              .orderBy(F.rand(SAMPLE_SEED)).limit(k).orderBy(*names).collect())
+              .sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
+              .limit(4 * k).orderBy(*names).collect())
     if not sample:
         return []
     picks, last = [], None
