@@ -22,7 +22,9 @@ from .scan import prefix_scan
 
 
 def smoke_alerts(readings: DataFrame, levels: DataFrame, *, threshold: float = -100.0, default_level: str = "LOW",
-                 alert_level: str = "HIGH") -> DataFrame:
+                 alert_level: str = "HIGH", initial_level: str | None = None) -> DataFrame:
+    """``initial_level`` is the level in force before the first row of ``levels`` (the last level of earlier
+    micro-batches on a stream); ``default_level`` applies when there is none."""
     ctrl = levels.select(F.lit(None).cast("string").alias("id"), "ts", F.lit(None).cast("double").alias("temperature"),
                          "event_id", F.col("level"), F.lit(0).alias("_rank"))
     data = readings.select("id", "ts", "temperature", "event_id", F.lit(None).cast("string").alias("level"),
@@ -31,7 +33,7 @@ def smoke_alerts(readings: DataFrame, levels: DataFrame, *, threshold: float = -
     scanned = prefix_scan(merged, order=["ts", "_rank", "event_id"],
                           values=[("_level_now", F.col("level"), "last")])
     return (scanned.where((F.col("_rank") == 1)
-                          & (F.coalesce(F.col("_level_now"), F.lit(default_level)) == alert_level)
+                          & (F.coalesce(F.col("_level_now"), F.lit(initial_level), F.lit(default_level)) == alert_level)
                           & (F.col("temperature") > threshold))
             .select("id", "ts", "temperature", "event_id"))
 

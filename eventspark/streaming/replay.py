@@ -65,3 +65,35 @@ def window_lateness_handler(write: Callable[[DataFrame, int], None], carry_path:
 
 def watermark_trace_handler(write: Callable[[DataFrame, int], None], carry_path: str, *, bound: str = "10 seconds"):
     return replay_batches(lambda b, c: replay.watermark_trace(b, bound=bound, initial_max_us=c), write, carry_path)
+
+
+LEVEL_CARRY_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("ts_us", T.LongType()),
+                                   T.StructField("event_id", T.LongType()), T.StructField("level", T.StringType())])
+
+
+def smoke_alerts_handler(write: Callable[[DataFrame, int], None], carry_path: str,
+                         split: Callable[[DataFrame], tuple[DataFrame, DataFrame]], *, threshold: float = -100.0):
+    """``foreachBatch`` handler for the global control gate: each batch is gated with the level carried from the
+    latest control row of earlier batches (one row stored per batch id).  Batches must arrive in time order, as the
+    ascending-timestamp sources of this operator do."""
+    from ..operators import control
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        readings, levels = split(batch)
+        carried = None
+        try:
+            prev = (spark.read.schema(LEVEL_CARRY_SCHEMA).parquet(carry_path).where(F.col("batch_id") < batch_id)
+                    .where(F.col("level").isNotNull())
+                    .agg(F.max_by("level", F.struct("ts_us", "event_id")).alias("l")).first())
+            carried = prev["l"] if prev else None
+        except Exception:  # noqa: BLE001 - nothing carried yet
+            carried = None
+        write(control.smoke_alerts(readings, levels, threshold=threshold, initial_level=carried), batch_id)
+        last = (levels.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "event_id", "level")
+                .orderBy(F.desc("ts_us"), F.desc("event_id")).limit(1).collect())
+        row = (int(batch_id), last[0]["ts_us"], last[0]["event_id"], last[0]["level"]) if last else \
+            (int(batch_id), None, None, None)
+        spark.createDataFrame([row], LEVEL_CARRY_SCHEMA).coalesce(1).write.mode("append").parquet(carry_path)
+
+    return handle
