@@ -97,3 +97,70 @@ def smoke_alerts_handler(write: Callable[[DataFrame, int], None], carry_path: st
         spark.createDataFrame([row], LEVEL_CARRY_SCHEMA).coalesce(1).write.mode("append").parquet(carry_path)
 
     return handle
+
+
+def allowed_lateness_handler(write: Callable[[DataFrame, int], None], carry_path: str, state_path: str, *,
+                             key: str = "key", size: str = "5 seconds", bound: str = "5 seconds",
+                             lateness: str = "5 seconds"):
+    """``foreachBatch`` handler of allowed lateness: the firings of
+    :func:`eventspark.operators.replay.allowed_lateness`, emitted as they happen.
+
+    Per window the handler keeps ``n0`` (rows on time), ``nu`` (late updates so far) and ``fired``, versioned by batch
+    id under ``state_path`` (a re-run batch reads the version before it).  A window's first firing is emitted in the
+    batch where the running max passes its end; each late update row re-fires it with the count so far.  Windows past
+    ``end + lateness`` are dropped from the state (every later row for them is dropped)."""
+    from ..functions.durations import to_micros
+    from ..operators.scan import prefix_scan
+
+    kw = [key, "window_start", "window_end"]
+    b_us, l_us = to_micros(bound), to_micros(lateness)
+
+    def read_state(spark, batch_id):
+        try:
+            st = spark.read.parquet(state_path)
+            last = st.where(F.col("v") < batch_id).agg(F.max("v").alias("m")).first()["m"]
+        except Exception:  # noqa: BLE001 - no state yet
+            return None
+        return None if last is None else st.where(F.col("v") == last).drop("v")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        carry = _carry_before(spark, carry_path, batch_id)
+        c = replay._classify(batch, key=key, size=size, bound=bound, lateness=lateness, initial_max_us=carry).cache()
+        try:
+            batch_max = batch.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("m")).first()["m"]
+            known = [x for x in (carry, batch_max) if x is not None]
+            new_max = max(known) if known else None
+            prev = read_state(spark, batch_id)
+            on_b = c.where(F.col("class") == "on_time").groupBy(*kw).agg(F.count(F.lit(1)).alias("_n0b"))
+            upd = c.where(F.col("class") == "update").withColumn("_kw", F.struct(*kw))
+            upd = prefix_scan(upd, key="_kw", order=replay.ORDER, values=[("_u", F.lit(1).cast("bigint"), "sum")])
+            nub = upd.groupBy(*kw).agg(F.count(F.lit(1)).alias("_nub"))
+            if prev is None:
+                prev = on_b.select(*kw).limit(0).select(*kw, F.lit(0).cast("bigint").alias("n0"),
+                                                     F.lit(0).cast("bigint").alias("nu"), F.lit(False).alias("fired"))
+            merged = (prev.join(on_b, kw, "full").join(nub, kw, "full")
+                      .select(*kw, (F.coalesce("n0", F.lit(0)) + F.coalesce("_n0b", F.lit(0))).alias("n0"),
+                              F.coalesce("nu", F.lit(0)).alias("_nu_prev"), F.coalesce("_nub", F.lit(0)).alias("_nub"),
+                              F.coalesce("fired", F.lit(False)).alias("_fired_prev")))
+            ends_us = F.unix_micros(F.col("window_end").cast("timestamp"))
+            passed = ends_us <= F.lit(new_max - b_us) if new_max is not None else F.lit(False)
+            firsts = merged.where(~F.col("_fired_prev") & passed & (F.col("n0") > 0)).select(
+                *kw, F.lit(1).cast("bigint").alias("firing"), F.lit("first").alias("kind"), F.col("n0").alias("cnt"))
+            n = upd.join(merged.select(*kw, "n0", "_nu_prev"), kw)
+            fire_no = (F.when(F.col("n0") > 0, 1).otherwise(0) + F.col("_nu_prev") + F.col("_u")).cast("bigint")
+            updates = n.select(*kw, fire_no.alias("firing"),
+                               F.when(fire_no == 1, F.lit("first")).otherwise(F.lit("update")).alias("kind"),
+                               (F.col("n0") + F.col("_nu_prev") + F.col("_u")).alias("cnt"))
+            write(firsts.unionByName(updates), batch_id)
+            keep = (ends_us + F.lit(l_us) > F.lit(new_max - b_us)) if new_max is not None else F.lit(True)
+            (merged.where(keep)
+             .select(*kw, "n0", (F.col("_nu_prev") + F.col("_nub")).alias("nu"),
+                     (F.col("_fired_prev") | passed).alias("fired"), F.lit(int(batch_id)).alias("v"))
+             .write.mode("append").partitionBy("v").parquet(state_path))
+            (spark.createDataFrame([(int(batch_id), new_max)], CARRY_SCHEMA).coalesce(1).write.mode("append")
+             .parquet(carry_path))
+        finally:
+            c.unpersist()
+
+    return handle

@@ -319,3 +319,35 @@ def test_word_count_stream(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert norm(spark.table(name)) == norm(text.word_count(read_table(spark, SF001, "documents")))
+
+
+def test_allowed_lateness_stream_parity(spark, arrival_dir, batch_events, tmp_path):
+    import shutil
+    from eventspark.operators import replay
+    from eventspark.streaming import replay as sreplay
+    from eventspark.streaming.sources import read_parquet_stream
+    d = tmp_path / "arrivals_flush"
+    shutil.copytree(arrival_dir, d)
+    schema = views.arrivals(read_table(spark, SF001, "events")).schema
+    flush = pd.DataFrame([{"key": "__flush", "ts": pd.Timestamp("2100-01-01"), "arrival": pd.Timestamp("2100-01-01"),
+                           "event_id": 10 ** 12}])
+    for c in ("ts", "arrival"):
+        flush[c] = flush[c].astype("datetime64[us]")
+    p = os.path.join(d, f"part-{N_FILES:03d}.parquet")
+    flush.to_parquet(p, index=False)
+    os.utime(p, (1_000_000 + N_FILES * 10, 1_000_000 + N_FILES * 10))
+    out = str(tmp_path / "out")
+
+    def write(df, batch_id):
+        df.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+    handler = sreplay.allowed_lateness_handler(write, str(tmp_path / "carry"), str(tmp_path / "state"), key="key",
+                                               size="1 hour", bound="10 minutes", lateness="30 minutes")
+    q = (read_parquet_stream(spark, str(d), schema, max_files_per_trigger=1).writeStream.foreachBatch(handler)
+         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = spark.read.parquet(out).drop("batch_id").where(F.col("key") != "__flush")
+    want = replay.allowed_lateness(views.arrivals(batch_events), key="key", size="1 hour", bound="10 minutes",
+                                   lateness="30 minutes")
+    assert want.where("kind = 'update'").count() > 0
+    assert norm(got) == norm(want.select(*got.columns))
