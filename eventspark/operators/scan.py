@@ -143,7 +143,8 @@ def _combine(how: str, run: Column, carry: Column) -> Column:
 
 
 def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[str, Column, str]],
-                key: str | None = None, inclusive: bool = True, num_partitions: int | None = None) -> DataFrame:
+                key: str | None = None, inclusive: bool = True, num_partitions: int | None = None,
+                keep_piece: bool = False) -> DataFrame:
     """Add running aggregates to ``df``.
 
     ``values`` lists ``(out_col, value_expr, how)``.  ``order`` must make rows unique within a key (add a unique id as
@@ -187,7 +188,7 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
         _PID,
         *[F.when(F.lag(_LAST).over(by_pid).eqNullSafe(F.col(_FIRST)), F.lag(tmp).over(by_pid)).alias(tmp + "_c")
           for _, tmp, _, _ in vals],
-        F.col(_FIRST))
+        F.col(_FIRST), F.col(_LAST))
 
     # 4. running value within (partition, key), combined with the partition's carry on its first key
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
@@ -199,8 +200,9 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
         run = _running(how, F.col(tmp), w)
         other = F.coalesce(run, F.lit(0)) if how == "sum" else run
         out_cols.append(F.when(first_key, _combine(how, run, F.col(tmp + "_c"))).otherwise(other).alias(out))
-    result = joined.select(*df.columns, *out_cols)
-    return result
+    # keep_piece: also return the piece id and its first/last key (the frame stays hash-partitioned by piece, so a
+    # caller can run more windows over (piece, key) without another shuffle)
+    return joined.select(*df.columns, *out_cols, *([_PID, _FIRST, _LAST] if keep_piece else []))
 
 
 def running_count(df: DataFrame, *, key: str | None, order: Sequence[str], out: str = "running_cnt") -> DataFrame:
@@ -212,16 +214,39 @@ def with_neighbors(df: DataFrame, *, key: str, order: Sequence[str], offsets: Se
                    cols: Sequence[str], rn_col: str = "rn") -> DataFrame:
     """Attach the columns of the rows ``offset`` positions later (negative: earlier) within the key.
 
-    ``lead``/``lag`` without a single-key window: positions come from the skew-safe :func:`running_count`, and each
-    neighbour is fetched by an equi-join on ``(key, position)``, which is unique, so no join partition can be skewed.
-    Neighbour columns are named ``{col}_{offset}`` (``_m`` for negative offsets).
+    ``lead``/``lag`` without a single-key window, and with one shuffle: the positions come from the skew-safe
+    :func:`running_count`, whose output stays partitioned by range piece; ``lead``/``lag`` over ``(piece, key)`` find
+    every neighbour inside the same piece.  A neighbour in another piece is at most ``max|offset|`` rows into that
+    piece's first (or last) key, so those edge rows — at most ``max|offset|`` per piece, a proven bound — are
+    broadcast and looked up by ``(key, position)``.  Neighbour columns are named ``{col}_{offset}`` (``_m`` for
+    negative offsets).
     """
-    numbered = running_count(df, key=key, order=order, out=rn_col)
-    out = numbered
+    numbered = prefix_scan(df, key=key, order=order, values=[(rn_col, F.lit(1).cast("bigint"), "sum")],
+                           keep_piece=True)
+    run = Window.partitionBy(_PID, key)
+    w = run.orderBy(*order)
+    ahead = max([o for o in offsets if o > 0], default=0)
+    behind = max([-o for o in offsets if o < 0], default=0)
+
+    def tag(off: int) -> str:
+        return f"{off}" if off >= 0 else f"m{-off}"
+
+    inside = [(F.lead(c, off) if off > 0 else F.lag(c, -off)).over(w).alias(f"{c}_{tag(off)}")
+              for off in offsets for c in cols]
+    fw = F.row_number().over(w)
+    staged = numbered.select("*", *inside, fw.alias("_nb_fw"))
+    staged = staged.withColumn("_nb_bw", F.count(F.lit(1)).over(run) - F.col("_nb_fw") + 1)
+    # one edge table for every offset (identical broadcast subtrees are reused by the planner)
+    edge = staged.where((F.col(key).eqNullSafe(F.col(_FIRST)) & (F.col("_nb_fw") <= ahead))
+                        | (F.col(key).eqNullSafe(F.col(_LAST)) & (F.col("_nb_bw") <= behind))).select(
+        F.col(key).alias("_nb_k"), F.col(rn_col).alias("_nb_rn"), *[F.col(c).alias(f"_nb_{c}") for c in cols])
+    out = staged
     for off in offsets:
-        tag = f"{off}" if off >= 0 else f"m{-off}"
-        nb = numbered.select(F.col(key).alias(f"_nb_k{tag}"), (F.col(rn_col) - F.lit(off)).alias(f"_nb_rn{tag}"),
-                             *[F.col(c).alias(f"{c}_{tag}") for c in cols])
-        out = (out.join(nb, (out[key].eqNullSafe(nb[f"_nb_k{tag}"])) & (out[rn_col] == nb[f"_nb_rn{tag}"]), "left")
-               .drop(f"_nb_k{tag}", f"_nb_rn{tag}"))
-    return out
+        t = tag(off)
+        joined = out.join(F.broadcast(edge), F.col(key).eqNullSafe(F.col("_nb_k"))
+                          & ((F.col(rn_col) + F.lit(off)) == F.col("_nb_rn")), "left")
+        # inside the piece the window found it; across pieces the edge row did (both are the same row when both hit)
+        repl = {f"{c}_{t}": F.coalesce(F.col(f"{c}_{t}"), F.col(f"_nb_{c}")) for c in cols}
+        out = joined.select(*[repl.get(c2, F.col(c2)).alias(c2) for c2 in out.columns])
+    keep = [*df.columns, rn_col] + [f"{c}_{tag(off)}" for off in offsets for c in cols]
+    return out.select(*keep)

@@ -154,3 +154,20 @@ def test_hot_key_split_auto(spark, monkeypatch):
     assert sorted(hot) == ["hot", "k7", "k8", "k9"]
     _same(timers.periodic_counts(df, period="5 minutes", parallel_keys="auto"),
           timers.periodic_counts(df, period="5 minutes", parallel_keys="none"))
+
+
+def test_neighbours_across_many_pieces(spark):
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise((F.col("id") % 10).cast("string")).alias("k"),
+        F.col("id").alias("o"), (F.col("id") * 7 % 11).alias("v"))
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = scan.with_neighbors(df, key="k", order=["o"], offsets=[1, 2, -1, -3], cols=["v", "o"])
+        w = Window.partitionBy("k").orderBy("o")
+        direct = df.select("k", "o", "v", F.row_number().over(w).cast("bigint").alias("rn"),
+                           *[(F.lead(c, off) if off > 0 else F.lag(c, -off)).over(w)
+                             .alias(f"{c}_{off if off > 0 else 'm' + str(-off)}")
+                             for off in (1, 2, -1, -3) for c in ("v", "o")])
+        _same(got.select(*direct.columns), direct)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
