@@ -161,21 +161,22 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
     flat = _flatten(prepared, [*keycols, *order])
     bounds = _boundaries(prepared, flat, pieces)
     probe = F.struct(*[e.alias(f"_b{i}") for i, (e, _) in enumerate(flat)])
-    ranged = (prepared.withColumn(_PID, _piece_id(probe, bounds, flat))
-              .repartition(n, _PID))
+    pieced = prepared.withColumn(_PID, _piece_id(probe, bounds, flat))
+    ranged = pieced.repartition(n, _PID)
     order_struct = F.struct(*[F.col(c) for c in order])
 
     # 2. per-partition first/last key and tail aggregates (one row per non-empty partition)
     if key:
-        # pre-aggregate per (partition, key) map-side, then keep each partition's first key and its last key's row
-        per_key = ranged.groupBy(_PID, key).agg(*[_partial(how, F.col(tmp), order_struct).alias(tmp)
+        # aggregated from the un-shuffled rows, so Spark combines per (piece, key) map-side and only partial rows are
+        # shuffled; then each piece keeps its first key and its last key's aggregate
+        per_key = pieced.groupBy(_PID, key).agg(*[_partial(how, F.col(tmp), order_struct).alias(tmp)
                                                    for _, tmp, _, how in vals])
         tail = F.max_by(F.struct(*[F.col(tmp) for _, tmp, _, _ in vals]), F.col(key))
         summary = (per_key.groupBy(_PID)
                    .agg(F.min(key).alias(_FIRST), F.max(key).alias(_LAST), tail.alias("_ps_tail"))
                    .select(_PID, _FIRST, _LAST, *[F.col("_ps_tail")[tmp].alias(tmp) for _, tmp, _, _ in vals]))
     else:
-        summary = (ranged.groupBy(_PID).agg(*[_partial(how, F.col(tmp), order_struct).alias(tmp)
+        summary = (pieced.groupBy(_PID).agg(*[_partial(how, F.col(tmp), order_struct).alias(tmp)
                                               for _, tmp, _, how in vals])
                    .withColumn(_FIRST, F.lit(0)).withColumn(_LAST, F.lit(0)))
 
