@@ -3,9 +3,8 @@
 The tumbling aggregates of :mod:`eventspark.operators.windows` are plain ``groupBy(window, key)`` aggregations and run on
 a watermarked stream unchanged.  What differs on streams:
 
-* top-N per window — ``row_number`` is rejected on streams, so the counts are aggregated a second time per window and
-  the window's items are reduced to the first ``n`` of ``sort_array`` on ``(-cnt, item)``; the per-window list is
-  bounded by the number of items that occur in the window and is built by a partial (map-side) aggregation;
+* top-N per window — ``row_number`` is rejected on streams, so the final window counts (append mode) are ranked per
+  micro-batch in ``foreachBatch`` (see :func:`hot_items_handler`);
 * distinct users — ``count_distinct`` is rejected on streams: ``dropDuplicates(window, user)`` then ``count``;
 * sliding counts — through ``F.window(ts, size, slide)`` directly (a chained pane aggregation would lose the
   event-time attribute between the two aggregations).
@@ -13,24 +12,35 @@ a watermarked stream unchanged.  What differs on streams:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.topn import top_n_per_window
+
 
 def sliding_count_stream(df: DataFrame, *, key: str, ts: str = "ts", size="1 hour", slide="5 minutes") -> DataFrame:
     out = df.groupBy(key, F.window(F.col(ts), size, slide).alias("w")).agg(F.count(F.lit(1)).alias("cnt"))
     return out.select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "cnt")
 
 
-def hot_items_stream(pv: DataFrame, *, n: int = 3, ts: str = "ts", item: str = "item_id", size="1 hour",
-                     slide="5 minutes") -> DataFrame:
-    """Top ``n`` items per sliding window, emitted once the window is final (ranking ``cnt desc, item asc``)."""
+def window_item_counts_stream(pv: DataFrame, *, ts: str = "ts", item: str = "item_id", size="1 hour",
+                               slide="5 minutes") -> DataFrame:
+    """Sliding-window counts per item, each window emitted once (append mode) when the watermark passes its end."""
     counts = pv.groupBy(F.window(F.col(ts), size, slide).alias("w"), item).agg(F.count(F.lit(1)).alias("cnt"))
-    top = (counts.groupBy("w")
-           .agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(item).alias("it")))),
-                        1, n).alias("top")))
-    return top.select(F.col("w.end").alias("window_end"), F.posexplode("top").alias("pos", "e")).select(
-        "window_end", F.col("e.it").alias(item), (-F.col("e.neg")).alias("cnt"), (F.col("pos") + 1).alias("rank"))
+    return counts.select(F.col("w.end").alias("window_end"), item, "cnt")
+
+
+def hot_items_handler(write: Callable[[DataFrame, int], None], *, n: int = 3, item: str = "item_id"):
+    """``foreachBatch`` handler over :func:`window_item_counts_stream`: top ``n`` items per window.
+
+    In append mode every count of a window arrives in the same micro-batch (the one in which the window closes), so
+    the batch ranking ``row_number() <= n`` — a group limit applied per task before its shuffle — is exact, and no
+    per-window list of items is ever built."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write(top_n_per_window(batch, n=n, item_col=item).select("window_end", item, "cnt", "rank"), batch_id)
+    return handle
 
 
 def uv_stream(df: DataFrame, *, user: str = "user_id", ts: str = "ts", size: str = "1 hour") -> DataFrame:
