@@ -50,13 +50,18 @@ def watermark_trace(df: DataFrame, *, bound: str = "10 seconds", initial_max_us:
     return s.select(*df.columns, _ts_from_us(F.col("_max_before_us") - F.lit(b)).alias("watermark"))
 
 
-def union_watermark_trace(a: DataFrame, b: DataFrame, *, bound: str = "0 seconds") -> DataFrame:
-    """Rows of two inputs merged in arrival order; the watermark is the least of the two inputs' watermarks."""
+def union_watermark_trace(a: DataFrame, b: DataFrame, *, bound: str = "0 seconds", initial_max_a_us: int | None = None,
+                          initial_max_b_us: int | None = None) -> DataFrame:
+    """Rows of two inputs merged in arrival order; the watermark is the least of the two inputs' watermarks.
+    ``initial_max_*_us`` are the inputs' max event times before these rows (earlier micro-batches)."""
     bb = to_micros(bound) + 1000
     u = a.withColumn("source", F.lit("a")).unionByName(b.withColumn("source", F.lit("b")))
     s = prefix_scan(u, order=ORDER, inclusive=False, values=[
         ("_ma", F.when(F.col("source") == "a", _us("ts")), "max"),
         ("_mb", F.when(F.col("source") == "b", _us("ts")), "max")])
+    for col, init in (("_ma", initial_max_a_us), ("_mb", initial_max_b_us)):
+        if init is not None:
+            s = s.withColumn(col, F.greatest(F.col(col), F.lit(int(init))))
     wm = F.when(F.col("_ma").isNotNull() & F.col("_mb").isNotNull(),
                 _ts_from_us(F.least("_ma", "_mb") - F.lit(bb)))
     return s.select(*u.columns, wm.alias("watermark"))

@@ -164,3 +164,31 @@ def allowed_lateness_handler(write: Callable[[DataFrame, int], None], carry_path
             c.unpersist()
 
     return handle
+
+
+PAIR_CARRY_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("max_a", T.LongType()),
+                                  T.StructField("max_b", T.LongType())])
+
+
+def union_watermark_handler(write: Callable[[DataFrame, int], None], carry_path: str,
+                            split: Callable[[DataFrame], tuple[DataFrame, DataFrame]], *, bound: str = "0 seconds"):
+    """``foreachBatch`` handler of the union watermark trace: both inputs' running maxima are carried per batch."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        ca = cb = None
+        try:
+            got = (spark.read.schema(PAIR_CARRY_SCHEMA).parquet(carry_path).where(F.col("batch_id") < batch_id)
+                   .agg(F.max("max_a").alias("a"), F.max("max_b").alias("b")).first())
+            ca, cb = (got["a"], got["b"]) if got else (None, None)
+        except Exception:  # noqa: BLE001 - nothing carried yet
+            pass
+        a, b = split(batch)
+        write(replay.union_watermark_trace(a, b, bound=bound, initial_max_a_us=ca, initial_max_b_us=cb), batch_id)
+        mx = lambda d: d.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("m")).first()["m"]
+        na = [x for x in (ca, mx(a)) if x is not None]
+        nb = [x for x in (cb, mx(b)) if x is not None]
+        (spark.createDataFrame([(int(batch_id), max(na) if na else None, max(nb) if nb else None)], PAIR_CARRY_SCHEMA)
+         .coalesce(1).write.mode("append").parquet(carry_path))
+
+    return handle

@@ -391,3 +391,23 @@ def test_topn_changelog_stream_replays_to_batch(spark, stream_dir, batch_events,
     final = [k for k in final if k[0] not in flush_windows]
     assert final == sorted(tuple(r) for r in want.select("window_end", "item_id", "cnt", "rank").collect())
     assert log.where(~F.col("is_add")).count() > 0
+
+
+def test_union_watermark_stream_parity(spark, arrival_dir, batch_events, tmp_path):
+    from eventspark.operators import replay
+    from eventspark.streaming import replay as sreplay
+
+    def split(df):
+        return df.where(F.col("key") == "click"), df.where(F.col("key") == "view")
+    got = _run_replay(spark, arrival_dir, tmp_path,
+                      lambda w, c: sreplay.union_watermark_handler(w, c, split, bound="0 seconds"))
+    a, b = split(views.arrivals(batch_events))
+    want = replay.union_watermark_trace(a, b, bound="0 seconds")
+    assert norm(got) == norm(want.select(*got.columns))
+
+
+def test_sliding_count_stream_parity(spark, stream_dir, batch_events, tmp_path):
+    check(spark, windows.sliding_count(views.behaviors(batch_events, only="pv"), key="item_id", size="1 day",
+                                       slide="6 hours"),
+          swin.sliding_count_stream(views.behaviors(stream_events(spark, stream_dir), only="pv"), key="item_id",
+                                    size="1 day", slide="6 hours"), tmp_path)
