@@ -9,12 +9,12 @@ partitions of equal size, and stitches the partitions back together with a carry
    sorted by Spark) gives the piece boundaries, and each row's piece id ``_ps_pid`` is a binary search over them written as nested
    ``CASE`` (log2(pieces) comparisons per row, JVM-side).  The boundaries are literals in the plan, so a recomputed
    task after an executor loss assigns exactly the same pieces — no checkpoint of the data is needed.  There are
-   ``PIECES_PER_PARTITION`` pieces per shuffle partition so the hash placement of pieces stays balanced.
-2. One shuffle, ``repartition(n, _ps_pid)``.  Per piece: first key, last key and the aggregate of the piece's tail
+   about ``ROWS_PER_PIECE`` rows per piece (at most ``MAX_PIECES``); AQE coalesces the shuffle partitions.
+2. One shuffle, ``repartition(_ps_pid)``.  Per piece: first key, last key and the aggregate of the piece's tail
    (rows of its last key) — a map-side aggregation on the existing partitioning, then one tiny row per piece.
 3. Carry into piece p: the aggregate of all earlier rows with p's first key.  Because keys are sorted across
    pieces, those rows sit in the tails of the pieces just before p; a window over the summary rows finds them.  The
-   carry table has one row per piece, a bound fixed by the partition count, so it is broadcast.
+   carry table has one row per piece (at most ``MAX_PIECES``), a proven bound, so it is broadcast.
 4. Running value inside ``(piece, key)`` with an ordinary window, combined with the carry on the piece's first key.
    The window's distribution ``(piece, key)`` is already satisfied by the hash partitioning on the piece, so this
    adds a sort within partitions but no second shuffle.  Every window group is at most one piece.
@@ -34,7 +34,11 @@ from pyspark.sql import types as T
 
 _PID, _FIRST, _LAST = "_ps_pid", "_ps_first", "_ps_last"
 
-# Balance knobs: range pieces per shuffle partition, and sampled rows per piece used to place the boundaries.
+# Balance knobs.  Pieces follow the data size (ROWS_PER_PIECE rows each, at most MAX_PIECES, which also bounds the
+# binary-search expression to log2(MAX_PIECES) comparisons per row); an explicit ``num_partitions`` asks for
+# PIECES_PER_PARTITION pieces per partition instead.  SAMPLE_PER_PIECE sampled rows place each boundary.
+ROWS_PER_PIECE = 100_000
+MAX_PIECES = 4096
 PIECES_PER_PARTITION = 4
 SAMPLE_PER_PIECE = 32
 SAMPLE_SEED = 7
@@ -67,7 +71,7 @@ def _literal(v, dt: T.DataType) -> Column:
     return F.lit(v).cast(dt)
 
 
-def _boundaries(df: DataFrame, flat: list[tuple[Column, T.DataType]], pieces: int) -> list[Column]:
+def _boundaries(df: DataFrame, flat: list[tuple[Column, T.DataType]], pieces: int, total: int) -> list[Column]:
     """``pieces - 1`` boundary literals (fewer when the sample has fewer distinct values), in Spark's order.
 
     A Bernoulli sample of expected size ``3 * pieces * SAMPLE_PER_PIECE`` (the fraction comes from a row count, a
@@ -78,7 +82,6 @@ def _boundaries(df: DataFrame, flat: list[tuple[Column, T.DataType]], pieces: in
         return []
     names = [f"_b{i}" for i in range(len(flat))]
     k = pieces * SAMPLE_PER_PIECE
-    total = df.count()
     if total == 0:
         return []
     fraction = min(1.0, 3.0 * k / total)
@@ -150,19 +153,22 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
     ``values`` lists ``(out_col, value_expr, how)``.  ``order`` must make rows unique within a key (add a unique id as
     the last column), otherwise rows of equal order are visited in an arbitrary order.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(order)
     keycols = [key] if key else []
     vals = [(out, f"_ps_v{i}", expr, how) for i, (out, expr, how) in enumerate(values)]
     prepared = df.select("*", *[expr.alias(tmp) for _, tmp, expr, _ in vals])
 
-    pieces = max(1, n * PIECES_PER_PARTITION)
+    total = prepared.count()
+    if num_partitions:
+        pieces = max(1, num_partitions * PIECES_PER_PARTITION)
+    else:
+        pieces = max(1, min(MAX_PIECES, -(-total // ROWS_PER_PIECE)))
     flat = _flatten(prepared, [*keycols, *order])
-    bounds = _boundaries(prepared, flat, pieces)
+    bounds = _boundaries(prepared, flat, pieces, total)
     probe = F.struct(*[e.alias(f"_b{i}") for i, (e, _) in enumerate(flat)])
     pieced = prepared.withColumn(_PID, _piece_id(probe, bounds, flat))
-    ranged = pieced.repartition(n, _PID)
+    # by column only, so AQE may coalesce small partitions (an explicit count is kept when the caller asks for one)
+    ranged = pieced.repartition(num_partitions, _PID) if num_partitions else pieced.repartition(_PID)
     order_struct = F.struct(*[F.col(c) for c in order])
 
     # 2. per-partition first/last key and tail aggregates (one row per non-empty partition)

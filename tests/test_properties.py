@@ -56,7 +56,8 @@ def test_prefix_scan_unkeyed_and_exclusive(spark):
     _same(got.select("event_id", "m"), direct)
 
 
-def test_prefix_scan_hot_key_spans_partitions(spark):
+def test_prefix_scan_hot_key_spans_partitions(spark, monkeypatch):
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 100)
     # one key holding most rows must be cut across partitions and still give exact running counts
     df = spark.range(0, 5000).select(F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(
         (F.col("id") % 10).cast("string")).alias("k"), F.col("id").alias("o"))
@@ -65,7 +66,8 @@ def test_prefix_scan_hot_key_spans_partitions(spark):
     _same(got.select("k", "o", "rn"), df.select("k", "o", F.row_number().over(w).cast("bigint").alias("rn")))
 
 
-def test_neighbours_equal_lead(spark):
+def test_neighbours_equal_lead(spark, monkeypatch):
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 500)  # 20 pieces over 10,000 readings
     r = views.readings(_events(spark))
     w = Window.partitionBy("id").orderBy("ts", "event_id")
     direct = r.select("id", "event_id", F.lead("event_id", 1).over(w).alias("event_id_1"),
@@ -122,9 +124,10 @@ def test_prefix_scan_across_small_arrow_batches(spark):
 
 
 @pytest.mark.parametrize("op", ["temp_rise", "periodic", "order_timeout"])
-def test_parallel_chain_equals_fold(spark, op):
+def test_parallel_chain_equals_fold(spark, op, monkeypatch):
     """The pointer-doubling form of each greedy-timer operator gives exactly the sequential fold's rows."""
     from eventspark.operators import timers
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 700)  # several pieces per scan
     ev = _events(spark)
     if op == "temp_rise":
         r = views.readings(ev)
@@ -156,7 +159,8 @@ def test_hot_key_split_auto(spark, monkeypatch):
           timers.periodic_counts(df, period="5 minutes", parallel_keys="none"))
 
 
-def test_neighbours_across_many_pieces(spark):
+def test_neighbours_across_many_pieces(spark, monkeypatch):
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 40)  # ~75 pieces for 3000 rows
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise((F.col("id") % 10).cast("string")).alias("k"),
         F.col("id").alias("o"), (F.col("id") * 7 % 11).alias("v"))
