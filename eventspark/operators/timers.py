@@ -69,11 +69,12 @@ def keyed_fold(df: DataFrame, *, key: str, order: Sequence[str], columns: Sequen
     ``row`` is a tuple of ``columns`` (in that order); ``step``/``finish`` return lists of output tuples whose first
     element is filled with the key by the fold (so they return tuples without the key).
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = list(columns)
     names = [f.name for f in out_schema.fields]
-    sorted_parts = df.select(key, *cols).repartition(n, key).sortWithinPartitions(key, *order)
+    # by key only unless a count is asked for, so AQE may coalesce small partitions (a key never splits)
+    parts = df.select(key, *cols)
+    parts = parts.repartition(num_partitions, key) if num_partitions else parts.repartition(key)
+    sorted_parts = parts.sortWithinPartitions(key, *order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         have_key, cur, state = False, None, None
