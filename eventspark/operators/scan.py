@@ -177,9 +177,11 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
         # shuffled; then each piece keeps its first key and its last key's aggregate
         per_key = pieced.groupBy(_PID, key).agg(*[_partial(how, F.col(tmp), order_struct).alias(tmp)
                                                    for _, tmp, _, how in vals])
-        tail = F.max_by(F.struct(*[F.col(tmp) for _, tmp, _, _ in vals]), F.col(key))
+        # keys ordered as the sort orders them, NULL first (plain min/max/max_by would skip a NULL key)
+        k_ord = F.struct(F.col(key).isNotNull().alias("nn"), F.col(key).alias("k"))
+        tail = F.max_by(F.struct(*[F.col(tmp) for _, tmp, _, _ in vals]), k_ord)
         summary = (per_key.groupBy(_PID)
-                   .agg(F.min(key).alias(_FIRST), F.max(key).alias(_LAST), tail.alias("_ps_tail"))
+                   .agg(F.min(k_ord)["k"].alias(_FIRST), F.max(k_ord)["k"].alias(_LAST), tail.alias("_ps_tail"))
                    .select(_PID, _FIRST, _LAST, *[F.col("_ps_tail")[tmp].alias(tmp) for _, tmp, _, _ in vals]))
     else:
         summary = (pieced.groupBy(_PID).agg(*[_partial(how, F.col(tmp), order_struct).alias(tmp)

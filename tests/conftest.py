@@ -31,4 +31,4 @@ def ms(v: int) -> dt.datetime:
 def rows(df, *cols):
     """Result rows as sorted tuples of the given columns."""
     sel = df.select(*cols) if cols else df
-    return sorted(tuple(r) for r in sel.collect())
+    return sorted((tuple(r) for r in sel.collect()), key=lambda t: [(v is not None, v) for v in t])
