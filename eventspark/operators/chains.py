@@ -41,6 +41,17 @@ def hot_keys(df: DataFrame, key: str, *, min_rows: int | None = None) -> list:
     return [r[0] for r in counts.where(F.col("_n") > threshold).select(key).collect()]
 
 
+def _join_ns(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal ``cols`` with NULL matching NULL (keys may be NULL); keeps one copy of the join columns."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
+    cond = None
+    for c in cols:
+        e = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = e if cond is None else cond & e
+    out = left.join(r, cond, how)
+    return out if how in ("left_anti", "left_semi") else out.drop(*[f"_r_{c}" for c in cols])
+
+
 def is_in(col: str, keys: list) -> Column:
     return F.coalesce(F.col(col).isin(keys), F.lit(False)) if keys else F.lit(False)
 
@@ -68,16 +79,15 @@ def greedy_chain(df: DataFrame, *, group: str, ts_us: str, id_col: str, gap_us:
     members = reliable_checkpoint(numbered.where(F.col("_rn") == 1).select(group, "_rn"))
     frontier = members
     while True:
-        new = reliable_checkpoint(frontier.join(jump, [group, "_rn"]).select(group, F.col("_nx").alias("_rn")))
+        new = reliable_checkpoint(_join_ns(frontier, jump, [group, "_rn"]).select(group, F.col("_nx").alias("_rn")))
         if new.limit(1).count() == 0:
             break
         members = reliable_checkpoint(members.unionByName(new))
         frontier = members
-        a, b = jump.alias("a"), jump.alias("b")
-        jump = reliable_checkpoint(
-            a.join(b, (F.col(f"a.{group}") == F.col(f"b.{group}")) & (F.col("a._nx") == F.col("b._rn")))
-            .select(F.col(f"a.{group}").alias(group), F.col("a._rn").alias("_rn"), F.col("b._nx").alias("_nx")))
-    return members.join(numbered, [group, "_rn"]).select(group, ts_us, id_col)
+        second = jump.select(group, F.col("_rn").alias("_mid"), F.col("_nx").alias("_nx2"))
+        jump = reliable_checkpoint(_join_ns(jump.withColumnRenamed("_nx", "_mid"), second, [group, "_mid"])
+                                   .select(group, "_rn", F.col("_nx2").alias("_nx")))
+    return _join_ns(members, numbered, [group, "_rn"]).select(group, ts_us, id_col)
 
 
 def _asof_count(rows: DataFrame, probes: DataFrame, *, key: str, ts_us: str) -> DataFrame:
@@ -118,7 +128,7 @@ def order_timeout_chain(rows: DataFrame, *, key: str, timeout_us: int) -> DataFr
     pay_rows = judged.select(key, "result", F.col("_ts_us").alias("_event_us"),
                              F.when(F.col("result") == "payed", F.col("_last_open")).alias("_create_us"))
     paid = judged.where(F.col("result") == "payed").select(key, F.col("_last_open").alias("_open_us")).distinct()
-    unpaid = (opens.select(key, F.col("_ts_us").alias("_open_us")).join(paid, [key, "_open_us"], "left_anti")
+    unpaid = (_join_ns(opens.select(key, F.col("_ts_us").alias("_open_us")), paid, [key, "_open_us"], "left_anti")
               .select(key, F.lit("not_payed").alias("result"), (F.col("_open_us") + F.lit(timeout_us)).alias("_event_us"),
                       F.col("_open_us").alias("_create_us")))
     return pay_rows.unionByName(unpaid)
@@ -145,7 +155,7 @@ def temp_rise_chain(rows: DataFrame, *, key: str, rise_us: int) -> DataFrame:
                                            F.struct(F.col(key).alias("k"), F.col("_seg").alias("s")).alias("_g")))
     arms = greedy_chain(marked, group="_g", ts_us="_ts_us", id_col="event_id", gap_us=rise_us,
                         eligible=F.col("_rise"))
-    fired = arms.join(marked.select("_g", "_ts_us", "event_id", "_next_fall"), ["_g", "_ts_us", "event_id"])
+    fired = _join_ns(arms, marked.select("_g", "_ts_us", "event_id", "_next_fall"), ["_g", "_ts_us", "event_id"])
     alert = F.col("_ts_us") + F.lit(rise_us)
     return fired.where(F.col("_next_fall").isNull() | (F.col("_next_fall") > alert)).select(
         F.col("_g.k").alias(key), alert.alias("_alert_us"))

@@ -62,3 +62,16 @@ def test_duplicate_timestamps_within_key_ordered_by_id(spark):
         ("orphan_pay", ms(1000)), ("payed", ms(1000))]
     r = spark.createDataFrame([("s", ms(0), 1.0, 2), ("s", ms(0), 9.0, 1), ("s", ms(0), 4.0, 3)], READING_SCHEMA)
     assert rows(rolling.running_max(r), "event_id", "running_max") == [(1, 9.0), (2, 9.0), (3, 9.0)]
+
+
+def test_timer_chains_with_null_keys(spark):
+    data = [(None, 0), (None, 3000), (None, 12000), ("a", 0), ("a", 20000)]
+    r = spark.createDataFrame([(k, ms(t), 1.0, i) for i, (k, t) in enumerate(data)], READING_SCHEMA)
+    fold = rows(timers.periodic_counts(r, period="10 seconds", parallel_keys="none"), "id", "fire_ts", "cnt")
+    chain = rows(timers.periodic_counts(r, period="10 seconds", parallel_keys="all"), "id", "fire_ts", "cnt")
+    assert fold == chain == [(None, ms(10000), 2), (None, ms(22000), 3), ("a", ms(10000), 1), ("a", ms(30000), 2)]
+    o = spark.createDataFrame([(None, "create", ms(0), 1), (None, "pay", ms(1000), 2), (None, "create", ms(9000), 3)],
+                              ORDER_SCHEMA)
+    want = rows(timers.order_timeout_state(o, timeout="5 seconds", parallel_keys="none"), "result", "event_ts")
+    assert rows(timers.order_timeout_state(o, timeout="5 seconds", parallel_keys="all"), "result", "event_ts") == want
+    assert want == [("not_payed", ms(14000)), ("payed", ms(1000))]
