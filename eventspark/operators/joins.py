@@ -115,12 +115,12 @@ def reconcile(left: DataFrame, right: DataFrame, *, key: str, ts: str = "ts", id
     even = pos.where(~F.col("_odd")).select(F.col("_k").alias("_k2"), (F.col("_rn") - 1).alias("_rn2"),
                                             F.col("_ts").alias("_pts"), F.col("_id").alias("_pid_"),
                                             F.col("_side").alias("_pside"))
-    pairs = odd.join(even, (odd["_k"] == even["_k2"]) & (odd["_rn"] == even["_rn2"]), "left")
+    pairs = odd.join(even, odd["_k"].eqNullSafe(even["_k2"]) & (odd["_rn"] == even["_rn2"]), "left")
     l_ts = F.when(F.col("_side") == 0, F.col("_ts")).otherwise(F.col("_pts"))
     l_id = F.when(F.col("_side") == 0, F.col("_id")).otherwise(F.col("_pid_"))
     r_ts = F.when(F.col("_side") == 1, F.col("_ts")).otherwise(F.col("_pts"))
     r_id = F.when(F.col("_side") == 1, F.col("_id")).otherwise(F.col("_pid_"))
-    tag = (F.when(F.col("_k2").isNotNull(), F.lit("matched"))
+    tag = (F.when(F.col("_rn2").isNotNull(), F.lit("matched"))
            .when(F.col("_side") == 0, F.lit(f"unmatched_{left_name}")).otherwise(F.lit(f"unmatched_{right_name}")))
     return pairs.select(F.col("_k").alias(key), tag.alias("tag"),
                         l_ts.alias(f"{left_name}_ts"), l_id.alias(f"{left_name}_event_id"),

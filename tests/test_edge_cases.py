@@ -75,3 +75,10 @@ def test_timer_chains_with_null_keys(spark):
     want = rows(timers.order_timeout_state(o, timeout="5 seconds", parallel_keys="none"), "result", "event_ts")
     assert rows(timers.order_timeout_state(o, timeout="5 seconds", parallel_keys="all"), "result", "event_ts") == want
     assert want == [("not_payed", ms(14000)), ("payed", ms(1000))]
+
+
+def test_reconcile_null_key_matches_within_key(spark):
+    orders = spark.createDataFrame([(None, ms(1000), 1)], "order_id string, ts timestamp_ntz, event_id long")
+    pays = spark.createDataFrame([(None, ms(2000), 2)], "order_id string, ts timestamp_ntz, event_id long")
+    assert rows(joins.reconcile(orders, pays, key="order_id", tolerance="5 seconds"), "order_id", "tag") == [
+        (None, "matched")]
