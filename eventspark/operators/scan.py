@@ -2,16 +2,17 @@
 
 ``Window.partitionBy(key).orderBy(t)`` puts every row of a key into one task, and an un-keyed running value
 (watermark = running max over *global* arrival order) would put the whole table into one task.  ``prefix_scan``
-instead range-partitions on ``(key, order)`` so that even a key holding a third of all rows is cut into many
-partitions of equal size, and stitches the partitions back together with a carry:
+instead cuts the rows into range pieces over ``(key, order)`` so that even a key holding a third of all rows spans
+many pieces of similar size, and stitches the pieces back together with a carry:
 
 1. Range pieces over ``(key, *order)``: a bounded Bernoulli sample (about ``3 * SAMPLE_PER_PIECE`` rows per piece,
-   sorted by Spark) gives the piece boundaries, and each row's piece id ``_ps_pid`` is a binary search over them written as nested
-   ``CASE`` (log2(pieces) comparisons per row, JVM-side).  The boundaries are literals in the plan, so a recomputed
+   sorted by Spark) gives the piece boundaries, and each row's piece id ``_ps_pid`` is a binary search over them
+   written as nested ``CASE`` (log2(pieces) comparisons per row, JVM-side).  The boundaries are literals in the plan, so a recomputed
    task after an executor loss assigns exactly the same pieces — no checkpoint of the data is needed.  There are
    about ``ROWS_PER_PIECE`` rows per piece (at most ``MAX_PIECES``); AQE coalesces the shuffle partitions.
-2. One shuffle, ``repartition(_ps_pid)``.  Per piece: first key, last key and the aggregate of the piece's tail
-   (rows of its last key) — a map-side aggregation on the existing partitioning, then one tiny row per piece.
+2. One shuffle of the rows, ``repartition(_ps_pid)``.  Per piece: first key, last key and the aggregate of the
+   piece's tail (rows of its last key) — partial aggregates per ``(piece, key)`` combined map-side before a small
+   shuffle, then one tiny row per piece.
 3. Carry into piece p: the aggregate of all earlier rows with p's first key.  Because keys are sorted across
    pieces, those rows sit in the tails of the pieces just before p; a window over the summary rows finds them.  The
    carry table has one row per piece (at most ``MAX_PIECES``), a proven bound, so it is broadcast.
@@ -29,7 +30,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 _PID, _FIRST, _LAST = "_ps_pid", "_ps_first", "_ps_last"
@@ -171,7 +171,7 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
     ranged = pieced.repartition(num_partitions, _PID) if num_partitions else pieced.repartition(_PID)
     order_struct = F.struct(*[F.col(c) for c in order])
 
-    # 2. per-partition first/last key and tail aggregates (one row per non-empty partition)
+    # 2. per-piece first/last key and tail aggregates (one row per non-empty piece)
     if key:
         # aggregated from the un-shuffled rows, so Spark combines per (piece, key) map-side and only partial rows are
         # shuffled; then each piece keeps its first key and its last key's aggregate
@@ -188,7 +188,7 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
                                               for _, tmp, _, how in vals])
                    .withColumn(_FIRST, F.lit(0)).withColumn(_LAST, F.lit(0)))
 
-    # 3. carry into each partition (window over the n summary rows only)
+    # 3. carry into each piece (windows over the summary rows only, at most MAX_PIECES of them)
     by_last = Window.partitionBy(_LAST).orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     by_pid = Window.orderBy(_PID)
     runs = summary.select(_PID, _FIRST, _LAST,
@@ -199,7 +199,7 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
           for _, tmp, _, _ in vals],
         F.col(_FIRST), F.col(_LAST))
 
-    # 4. running value within (partition, key), combined with the partition's carry on its first key
+    # 4. running value within (piece, key), combined with the piece's carry on its first key
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     w = Window.partitionBy(_PID, *keycols).orderBy(*order).rowsBetween(*frame)
     joined = ranged.join(F.broadcast(carry), _PID, "left")
