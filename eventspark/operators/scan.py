@@ -71,8 +71,8 @@ def _literal(v, dt: T.DataType) -> Column:
     return F.lit(v).cast(dt)
 
 
-def _boundaries(df: DataFrame, flat: list[tuple[Column, T.DataType]], pieces: int, total: int) -> list[Column]:
-    """``pieces - 1`` boundary literals (fewer when the sample has fewer distinct values), in Spark's order.
+def _boundaries(df: DataFrame, flat: list[tuple[Column, T.DataType]], pieces: int, total: int) -> list[tuple]:
+    """``pieces - 1`` boundary rows (fewer when the sample has fewer distinct values), in Spark's order.
 
     A Bernoulli sample of expected size ``3 * pieces * SAMPLE_PER_PIECE`` (the fraction comes from a row count, a
     narrow pass) capped at ``4 *`` that, sorted by Spark and brought to the driver: the driver never holds more than
@@ -96,16 +96,52 @@ def _boundaries(df: DataFrame, flat: list[tuple[Column, T.DataType]], pieces: in
         if row != last:
             picks.append(row)
             last = row
-    return [F.struct(*[_literal(v, dt).alias(nm) for v, (_, dt), nm in zip(row, flat, names)]) for row in picks]
+    return picks
 
 
-def _piece_id(probe: Column, bounds: list[Column], flat) -> Column:
-    """Number of boundaries strictly below ``probe``: a balanced binary search as nested CASE expressions."""
+_SQL_TYPES = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType,
+              T.BooleanType, T.DateType, T.TimestampNTZType, T.DecimalType)
+
+
+def _sql_literal(v, dt: T.DataType) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dt.simpleString()})"
+    if isinstance(dt, T.TimestampNTZType):
+        text = v.isoformat(sep=" ")
+    elif isinstance(dt, T.DateType):
+        text = v.isoformat()
+    elif isinstance(dt, (T.DoubleType, T.FloatType)):
+        text = repr(float(v))
+    elif isinstance(dt, T.BooleanType):
+        text = "true" if v else "false"
+    else:
+        text = str(v)
+    return "CAST('" + text.replace("\\", "\\\\").replace("'", "\\'") + f"' AS {dt.simpleString()})"
+
+
+def _piece_id(probe: Column, bounds: list[tuple], flat) -> Column:
+    """Number of boundaries strictly below ``probe``: a balanced binary search as nested CASE expressions.
+
+    Written as one SQL expression over the probe column when every field type has a plain literal form (one parser
+    call instead of thousands of column objects); other types build the same tree from column objects."""
+    names = [f"_b{i}" for i in range(len(flat))]
+    if all(isinstance(dt, _SQL_TYPES) for _, dt in flat):
+        lits = ["named_struct(" + ", ".join(f"'{nm}', {_sql_literal(v, dt)}" for v, (_, dt), nm in
+                                            zip(row, flat, names)) + ")" for row in bounds]
+
+        def build_sql(lo: int, hi: int) -> str:
+            if lo == hi:
+                return str(lo)
+            mid = (lo + hi) // 2
+            return f"CASE WHEN _ps_probe <= {lits[mid]} THEN {build_sql(lo, mid)} ELSE {build_sql(mid + 1, hi)} END"
+        return F.expr(build_sql(0, len(bounds))) if bounds else F.lit(0)
+    cols = [F.struct(*[_literal(v, dt).alias(nm) for v, (_, dt), nm in zip(row, flat, names)]) for row in bounds]
+
     def build(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(probe <= bounds[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
+        return F.when(F.col("_ps_probe") <= cols[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
     return build(0, len(bounds))
 
 
@@ -166,7 +202,8 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
     flat = _flatten(prepared, [*keycols, *order])
     bounds = _boundaries(prepared, flat, pieces, total)
     probe = F.struct(*[e.alias(f"_b{i}") for i, (e, _) in enumerate(flat)])
-    pieced = prepared.withColumn(_PID, _piece_id(probe, bounds, flat))
+    pieced = (prepared.withColumn("_ps_probe", probe).withColumn(_PID, _piece_id(probe, bounds, flat))
+              .drop("_ps_probe"))
     # by column only, so AQE may coalesce small partitions (an explicit count is kept when the caller asks for one)
     ranged = pieced.repartition(num_partitions, _PID) if num_partitions else pieced.repartition(_PID)
     order_struct = F.struct(*[F.col(c) for c in order])

@@ -82,3 +82,17 @@ def test_reconcile_null_key_matches_within_key(spark):
     pays = spark.createDataFrame([(None, ms(2000), 2)], "order_id string, ts timestamp_ntz, event_id long")
     assert rows(joins.reconcile(orders, pays, key="order_id", tolerance="5 seconds"), "order_id", "tag") == [
         (None, "matched")]
+
+
+def test_prefix_scan_literal_boundaries_awkward_values(spark, monkeypatch):
+    """Boundary literals with quotes, backslashes, non-ASCII text, NaN and NTZ timestamps still cut pieces exactly."""
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 25)
+    keys = ["a'b", "c\\\\d", "é\U0001F600", "plain", None]
+    df = spark.range(0, 1000).select(
+        F.element_at(F.array(*[F.lit(k) for k in keys]), (F.col("id") % 5 + 1).cast("int")).alias("k"),
+        F.when(F.col("id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("id") / 3.0).alias("d"),
+        F.timestamp_seconds(F.col("id") * 61).cast("timestamp_ntz").alias("t"), F.col("id").alias("o"))
+    got = scan.prefix_scan(df, key="k", order=["d", "t", "o"], values=[("c", F.lit(1).cast("bigint"), "sum")])
+    w = Window.partitionBy("k").orderBy("d", "t", "o")
+    want = df.select("k", "o", F.row_number().over(w).cast("bigint").alias("c"))
+    assert rows(got, "k", "o", "c") == rows(want, "k", "o", "c")
