@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.durations import to_micros
 from ..session import reliable_checkpoint
-from .scan import prefix_scan
+from .scan import neighbors_in_pieces, prefix_scan
 
 
 def _plain_time(col: str):
@@ -107,20 +107,23 @@ def reconcile(left: DataFrame, right: DataFrame, *, key: str, ts: str = "ts", id
                                      & (_micros("_ts") - F.col("_prev_us") <= F.lit(tol))))
     # pass 2 samples and scans pass 1's output several times: materialise it once in the shared checkpoint folder
     linked = reliable_checkpoint(linked.select("_k", "_ts", "_id", "_side", "_rn", "_link"))
-    # pass 2: start position of the chain each row belongs to
-    p2 = prefix_scan(linked, key="_k", order=order, values=[
+    # pass 2: start position of the chain each row belongs to; odd chain positions open a pair
+    p2 = prefix_scan(linked, key="_k", order=order, keep_piece=True, values=[
         ("_chain_start", F.when(~F.col("_link"), F.col("_rn")), "last")])
     pos = p2.withColumn("_odd", ((F.col("_rn") - F.col("_chain_start")) % 2) == 0)
-    odd = pos.where("_odd").select("_k", "_rn", "_ts", "_id", "_side")
-    even = pos.where(~F.col("_odd")).select(F.col("_k").alias("_k2"), (F.col("_rn") - 1).alias("_rn2"),
-                                            F.col("_ts").alias("_pts"), F.col("_id").alias("_pid_"),
-                                            F.col("_side").alias("_pside"))
-    pairs = odd.join(even, odd["_k"].eqNullSafe(even["_k2"]) & (odd["_rn"] == even["_rn2"]), "left")
+    # the row after an odd row is its partner when it is even (then it is in the same chain); fetched as a neighbour
+    # inside the scan's pieces, so no join shuffle
+    nb = neighbors_in_pieces(pos, key="_k", order=order, offsets=[1], cols=["_ts", "_id", "_side", "_odd"],
+                             rn_col="_rn", keep=["_k", "_rn", "_ts", "_id", "_side", "_odd"])
+    partner = F.coalesce(~F.col("_odd_1"), F.lit(False))
+    pairs = nb.where(F.col("_odd")).select(
+        "_k", "_ts", "_id", "_side", partner.alias("_paired"),
+        F.when(partner, F.col("_ts_1")).alias("_pts"), F.when(partner, F.col("_id_1")).alias("_pid_"))
     l_ts = F.when(F.col("_side") == 0, F.col("_ts")).otherwise(F.col("_pts"))
     l_id = F.when(F.col("_side") == 0, F.col("_id")).otherwise(F.col("_pid_"))
     r_ts = F.when(F.col("_side") == 1, F.col("_ts")).otherwise(F.col("_pts"))
     r_id = F.when(F.col("_side") == 1, F.col("_id")).otherwise(F.col("_pid_"))
-    tag = (F.when(F.col("_rn2").isNotNull(), F.lit("matched"))
+    tag = (F.when(F.col("_paired"), F.lit("matched"))
            .when(F.col("_side") == 0, F.lit(f"unmatched_{left_name}")).otherwise(F.lit(f"unmatched_{right_name}")))
     return pairs.select(F.col("_k").alias(key), tag.alias("tag"),
                         l_ts.alias(f"{left_name}_ts"), l_id.alias(f"{left_name}_event_id"),

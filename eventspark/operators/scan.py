@@ -269,6 +269,14 @@ def with_neighbors(df: DataFrame, *, key: str, order: Sequence[str], offsets: Se
     """
     numbered = prefix_scan(df, key=key, order=order, values=[(rn_col, F.lit(1).cast("bigint"), "sum")],
                            keep_piece=True)
+    return neighbors_in_pieces(numbered, key=key, order=order, offsets=offsets, cols=cols, rn_col=rn_col,
+                               keep=[*df.columns, rn_col])
+
+
+def neighbors_in_pieces(numbered: DataFrame, *, key: str, order: Sequence[str], offsets: Sequence[int],
+                        cols: Sequence[str], rn_col: str, keep: Sequence[str]) -> DataFrame:
+    """The neighbour step of :func:`with_neighbors` for a frame that came out of :func:`prefix_scan` with
+    ``keep_piece=True`` and holds ``rn_col``, the 1-based position of each row within its key."""
     run = Window.partitionBy(_PID, key)
     w = run.orderBy(*order)
     ahead = max([o for o in offsets if o > 0], default=0)
@@ -294,5 +302,4 @@ def with_neighbors(df: DataFrame, *, key: str, order: Sequence[str], offsets: Se
         # inside the piece the window found it; across pieces the edge row did (both are the same row when both hit)
         repl = {f"{c}_{t}": F.coalesce(F.col(f"{c}_{t}"), F.col(f"_nb_{c}")) for c in cols}
         out = joined.select(*[repl.get(c2, F.col(c2)).alias(c2) for c2 in out.columns])
-    keep = [*df.columns, rn_col] + [f"{c}_{tag(off)}" for off in offsets for c in cols]
-    return out.select(*keep)
+    return out.select(*keep, *[f"{c}_{tag(off)}" for off in offsets for c in cols])

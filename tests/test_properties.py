@@ -175,3 +175,14 @@ def test_neighbours_across_many_pieces(spark, monkeypatch):
         _same(got.select(*direct.columns), direct)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_reconcile_same_result_with_many_pieces(spark, monkeypatch):
+    ev = _events(spark)
+    creates = views.order_events(ev).where("order_type = 'create'")
+    pays = views.pay_events(ev)
+    one = joins.reconcile(creates, pays, key="order_id", tolerance="1 day")
+    want = sorted(map(tuple, one.collect()), key=str)
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 60)  # pairs straddle piece boundaries
+    many = joins.reconcile(creates, pays, key="order_id", tolerance="1 day")
+    assert sorted(map(tuple, many.collect()), key=str) == want
