@@ -13,12 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the characters Java's \s matches (space, \t, \n, \x0B, \f, \r).
+# Fixed value: the characters Java's \s matches (space, \t, \n, \x0B, \f, \r), as a regex class and as a set.
 JAVA_WS_CLASS = "[ \\t\\n\\x0B\\f\\r]"
+JAVA_WS_CHARS = " \t\n\x0b\x0c\r"
 
 
 def java_whitespace_split(text: Column) -> Column:
-    stripped = F.regexp_replace(text, JAVA_WS_CLASS + "+$", "")
+    stripped = F.rtrim(text, F.lit(JAVA_WS_CHARS))  # trailing whitespace off (a character set, no regex)
     return (F.when(text == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, JAVA_WS_CLASS)))

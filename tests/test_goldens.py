@@ -272,3 +272,8 @@ def test_timer_goldens_on_parallel_chain_path(spark):
     assert rows(timers.order_timeout_state(od2, timeout="5 seconds", parallel_keys="all"),
                 "order_id", "result", "event_ts") == [("order_1", "payed", ms(4000)),
                                                       ("order_2", "not_payed", ms(8000))]
+
+
+def test_java_whitespace_split_all_trailing_kinds(spark):
+    docs = spark.createDataFrame([(1, "x\t\r\n\x0b\x0c "), (2, "\x0c\x0b"), (3, "y\x0bz")], "doc_id long, text string")
+    assert rows(text.tokens(docs), "doc_id", "pos", "word") == [(1, 0, "x"), (3, 0, "y"), (3, 1, "z")]
