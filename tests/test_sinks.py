@@ -114,3 +114,62 @@ def test_kafka_refuses_feedback_loop(spark):
     with pytest.raises(ValueError):
         kafka.write_kafka(spark.range(1).selectExpr("'x' AS value"), servers="unused:0", topic="a",
                           checkpoint="/nonexistent", source_topic="a")
+
+
+def test_writers_through_partitions_and_stream(spark, tmp_path):
+    """The per-partition writers run on the executors (file-backed fake clients record their calls), in batch and as
+    a streaming foreachBatch sink; the hash ends at the last value per field."""
+    import glob
+    import os
+    import uuid
+    from pyspark.sql import functions as F
+    from conftest import SF001
+    from eventspark.sources import views
+    from eventspark.sources.tables import read_table
+    from eventspark.streaming.sources import read_parquet_stream
+
+    out = str(tmp_path / "calls")
+    os.makedirs(out)
+
+    def client_factory():
+        class FileRedis:
+            def __init__(self):
+                self.f = open(os.path.join(out, f"{uuid.uuid4().hex}.jsonl"), "w")
+
+            def hset(self, name, field, value):
+                self.f.write(json.dumps([name, field, value]) + "\n")
+
+            def close(self):
+                self.f.close()
+        return FileRedis()
+
+    ev = read_table(spark, SF001, "events")
+    r = views.readings(ev)
+    keyed.write_hset(r, client_factory=client_factory, batch_size=50)
+    calls = [json.loads(line) for p in glob.glob(os.path.join(out, "*.jsonl")) for line in open(p)]
+    want = {x["field"]: x["value"] for x in keyed.hset_rows(r).collect()}
+    assert {f: v for _, f, v in calls} == want and len(calls) == len(want)
+
+    # stream: each micro-batch is reduced to its last value per field and written once
+    src = tmp_path / "src"
+    src.mkdir()
+    pdf = ev.toPandas().sort_values(["ts", "event_id"])
+    pdf["ts"] = pdf["ts"].astype("datetime64[us]")
+    for i in range(3):
+        p = str(src / f"part-{i}.parquet")
+        pdf.iloc[i::3].to_parquet(p, index=False)
+        os.utime(p, (1_000_000 + i, 1_000_000 + i))
+    for p in glob.glob(os.path.join(out, "*.jsonl")):
+        os.replace(p, p + ".batch")
+    stream = views.readings(read_parquet_stream(spark, str(src), ev.schema, max_files_per_trigger=1))
+    q = (stream.writeStream.foreachBatch(keyed.foreach_batch_writer(
+        lambda d: keyed.write_hset(d, client_factory=client_factory)))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    streamed = [json.loads(line) for p in glob.glob(os.path.join(out, "*.jsonl")) for line in open(p)]
+    fields = {f for _, f, _ in streamed}
+    assert fields == set(want)
+    assert len(streamed) >= len(want)  # one write per field per batch that touched it
+    assert all(isinstance(v, str) for _, _, v in streamed)
+    assert r.select(F.countDistinct("id")).first()[0] == len(fields)
