@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.durations import to_seconds
 from .windows import sliding_count
 
 # Fixed values of the ranked report text (must equal the reference's output format).
@@ -61,14 +62,24 @@ def hot_items_report(top: DataFrame, *, window_col="window_end") -> DataFrame:
     return grouped.select(window_col, text.alias("report"))
 
 
+# Sliding-window counts are pre-aggregated per slide-long pane; only pane counts are expanded to the size/slide
+# windows they belong to (a row is never copied into every window).
 HOT_ITEMS_SQL = """
 SELECT item_id, item_count, window_end, row_num
 FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY window_end ORDER BY item_count DESC, item_id ASC) AS row_num
   FROM (
-    SELECT item_id, COUNT(item_id) AS item_count, window.end AS window_end
-    FROM {view}
-    GROUP BY window(ts, '{size}', '{slide}'), item_id
+    SELECT item_id, SUM(pane_count) AS item_count, window_end
+    FROM (
+      SELECT item_id, pane_count,
+             explode(sequence(pane.end, pane.start + INTERVAL '{size}', INTERVAL '{slide}')) AS window_end
+      FROM (
+        SELECT item_id, window(ts, '{slide}') AS pane, COUNT(item_id) AS pane_count
+        FROM {view}
+        GROUP BY window(ts, '{slide}'), item_id
+      )
+    )
+    GROUP BY item_id, window_end
   )
 )
 WHERE row_num <= {n}
@@ -77,6 +88,8 @@ WHERE row_num <= {n}
 
 def hot_items_sql(spark: SparkSession, view: str, *, n: int = 3, size="1 hour", slide="5 minutes") -> DataFrame:
     """The SQL spelling of the hot-items query over a registered view ``(item_id, ts)``."""
+    if to_seconds(size) % to_seconds(slide):
+        raise ValueError("size must be a multiple of slide")
     return spark.sql(HOT_ITEMS_SQL.format(view=view, n=int(n), size=size, slide=slide))
 
 
