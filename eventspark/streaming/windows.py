@@ -6,8 +6,8 @@ a watermarked stream unchanged.  What differs on streams:
 * top-N per window — ``row_number`` is rejected on streams, so the final window counts (append mode) are ranked per
   micro-batch in ``foreachBatch`` (see :func:`hot_items_handler`);
 * distinct users — ``count_distinct`` is rejected on streams: ``dropDuplicates(window, user)`` then ``count``;
-* sliding counts — through ``F.window(ts, size, slide)`` directly (a chained pane aggregation would lose the
-  event-time attribute between the two aggregations).
+* sliding counts — pane pre-aggregation as in batch, chained through ``window_time`` so the second aggregation
+  keeps the event time.
 """
 
 from __future__ import annotations
@@ -17,18 +17,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.durations import to_seconds
 from ..operators.topn import top_n_per_window
 
 
+def _pane_counts(df: DataFrame, key: str, ts: str, size: str, slide: str) -> DataFrame:
+    """Counts per slide-long pane, then pane counts summed into the sliding windows (chained time-window
+    aggregation: ``window_time`` of a pane is its event time, so the second aggregation keeps the watermark).  A
+    row is counted once, in its pane; only pane counts are spread over the ``size/slide`` windows."""
+    if to_seconds(size) % to_seconds(slide):
+        raise ValueError("size must be a multiple of slide")
+    panes = df.groupBy(key, F.window(F.col(ts), slide).alias("p")).agg(F.count(F.lit(1)).alias("_n"))
+    return panes.groupBy(key, F.window(F.window_time("p"), size, slide).alias("w")).agg(F.sum("_n").alias("cnt"))
+
+
 def sliding_count_stream(df: DataFrame, *, key: str, ts: str = "ts", size="1 hour", slide="5 minutes") -> DataFrame:
-    out = df.groupBy(key, F.window(F.col(ts), size, slide).alias("w")).agg(F.count(F.lit(1)).alias("cnt"))
+    out = _pane_counts(df, key, ts, size, slide)
     return out.select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "cnt")
 
 
 def window_item_counts_stream(pv: DataFrame, *, ts: str = "ts", item: str = "item_id", size="1 hour",
                                slide="5 minutes") -> DataFrame:
     """Sliding-window counts per item, each window emitted once (append mode) when the watermark passes its end."""
-    counts = pv.groupBy(F.window(F.col(ts), size, slide).alias("w"), item).agg(F.count(F.lit(1)).alias("cnt"))
+    counts = _pane_counts(pv, item, ts, size, slide)
     return counts.select(F.col("w.end").alias("window_end"), item, "cnt")
 
 
