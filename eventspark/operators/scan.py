@@ -38,7 +38,7 @@ _PID, _FIRST, _LAST = "_ps_pid", "_ps_first", "_ps_last"
 # binary-search expression to log2(MAX_PIECES) comparisons per row); an explicit ``num_partitions`` asks for
 # PIECES_PER_PARTITION pieces per partition instead.  SAMPLE_PER_PIECE sampled rows place each boundary.
 ROWS_PER_PIECE = 100_000
-MAX_PIECES = 4096
+MAX_PIECES = 16384
 PIECES_PER_PARTITION = 4
 SAMPLE_PER_PIECE = 32
 SAMPLE_SEED = 7
