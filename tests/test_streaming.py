@@ -411,3 +411,18 @@ def test_sliding_count_stream_parity(spark, stream_dir, batch_events, tmp_path):
                                        slide="6 hours"),
           swin.sliding_count_stream(views.behaviors(stream_events(spark, stream_dir), only="pv"), key="item_id",
                                     size="1 day", slide="6 hours"), tmp_path)
+
+
+def test_running_max_stream_update_mode(spark, stream_dir, batch_events, tmp_path):
+    """Stream twin of the running max: per-key max in update mode; the last update per key equals the batch final
+    running value."""
+    from eventspark.operators import rolling
+    s = views.readings(stream_events(spark, stream_dir)).groupBy("id").agg(F.max("temperature").alias("running_max"))
+    name = "running_max_updates"
+    q = (s.writeStream.format("memory").queryName(name).outputMode("complete")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = spark.table(name).where(F.col("id") != FLUSH_SENSOR)
+    batch = rolling.running_max(views.readings(batch_events))
+    want = batch.groupBy("id").agg(F.max("running_max").alias("running_max"))
+    assert norm(got) == norm(want)
