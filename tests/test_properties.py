@@ -186,3 +186,28 @@ def test_reconcile_same_result_with_many_pieces(spark, monkeypatch):
     monkeypatch.setattr(scan, "ROWS_PER_PIECE", 60)  # pairs straddle piece boundaries
     many = joins.reconcile(creates, pays, key="order_id", tolerance="1 day")
     assert sorted(map(tuple, many.collect()), key=str) == want
+
+
+@pytest.mark.parametrize("op", ["running_max", "reconcile", "smoke", "login", "hot_items", "late_rows", "switch"])
+def test_order_sensitive_results_independent_of_input_order(spark, op, monkeypatch):
+    """Results depend on (ts, event_id) order only, never on how the input happens to be partitioned."""
+    from eventspark.operators import control, patterns, replay, rolling, topn
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 800)
+
+    def run(ev):
+        if op == "running_max":
+            return rolling.running_max(views.readings(ev))
+        if op == "reconcile":
+            return joins.reconcile(views.order_events(ev).where("order_type = 'create'"), views.pay_events(ev),
+                                   key="order_id", tolerance="1 day")
+        if op == "smoke":
+            return control.smoke_alerts(views.readings(ev), views.smoke_levels(ev))
+        if op == "login":
+            return patterns.login_fail_3(views.logins(ev), within="1 day")
+        if op == "hot_items":
+            return topn.hot_items(views.behaviors(ev, only="pv"))
+        if op == "late_rows":
+            return replay.late_row_split(views.arrivals(ev), bound="1 hour")
+        return control.gate_by_switch(views.readings(ev), views.switches(ev), duration="6 hours")
+    ev = _events(spark)
+    _same(run(ev.repartition(7, F.rand(3))), run(ev))
