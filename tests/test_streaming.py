@@ -426,3 +426,39 @@ def test_running_max_stream_update_mode(spark, stream_dir, batch_events, tmp_pat
     batch = rolling.running_max(views.readings(batch_events))
     want = batch.groupBy("id").agg(F.max("running_max").alias("running_max"))
     assert norm(got) == norm(want)
+
+
+@pytest.fixture(scope="module")
+def disordered_dir(spark, tmp_path_factory):
+    """The same events, but shuffled inside each file and with every tenth row delivered one file late."""
+    d = tmp_path_factory.mktemp("events_disordered")
+    pdf = read_table(spark, SF001, "events").toPandas().sort_values(["ts", "event_id"]).reset_index(drop=True)
+    pdf["ts"] = pdf["ts"].astype("datetime64[us]")
+    chunk = (pdf.index * N_FILES) // len(pdf)
+    late = (pdf["event_id"] % 10 == 0) & (chunk < N_FILES - 1)
+    pdf["file"] = chunk + late.astype(int)
+    files = [pdf[pdf["file"] == i].drop(columns="file").sample(frac=1.0, random_state=i) for i in range(N_FILES)]
+    base = pdf.drop(columns="file")
+    types = sorted(base["event_type"].unique())
+    for j in range(2):
+        f = pd.DataFrame([{"event_id": int(base["event_id"].max()) + 1 + j * len(types) + i,
+                           "ts": pd.Timestamp("2100-01-01") + pd.Timedelta(days=60 * j), "user_id": FLUSH_USER,
+                           "event_type": t, "value": 1.0, "props": '{"k": 0}'} for i, t in enumerate(types)])
+        f["ts"] = f["ts"].astype("datetime64[us]")
+        files.append(f.astype({c: base[c].dtype for c in base.columns}))
+    for i, c in enumerate(files):
+        p = os.path.join(d, f"part-{i:03d}.parquet")
+        c.to_parquet(p, index=False)
+        os.utime(p, (1_000_000 + i * 10, 1_000_000 + i * 10))
+    return str(d)
+
+
+def test_fold_parity_with_out_of_order_batches(spark, disordered_dir, batch_events, tmp_path):
+    s = stream_events(spark, disordered_dir, delay="40 days")
+    check(spark, timers.temp_rise_alerts(views.readings(batch_events), rise_for="6 hours"),
+          stateful.temp_rise_alerts_stream(views.readings(s), rise_for="6 hours"), tmp_path, "id", FLUSH_SENSOR)
+    s = stream_events(spark, disordered_dir, delay="40 days")
+    sl, sr = views.order_events(s).where("order_type = 'create'"), views.pay_events(s)
+    bl, br = views.order_events(batch_events).where("order_type = 'create'"), views.pay_events(batch_events)
+    check(spark, joins.reconcile(bl, br, key="order_id", tolerance="1 day"),
+          stateful.reconcile_stream(sl, sr, key="order_id", tolerance="1 day"), tmp_path, "order_id", FLUSH_ORDER)
