@@ -10,6 +10,7 @@ per batch id).  ``retention`` drops windows that ended that long before the newe
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -52,7 +53,8 @@ def topn_changelog_handler(write: Callable[[DataFrame, int], None], state_path:
                     cutoff = F.lit(newest).cast("timestamp_ntz") - F.make_dt_interval(
                         secs=F.lit(to_micros(retention) / 1e6))
                     keep = merged.where(F.col("window_end") >= cutoff)
-            keep.withColumn("v", F.lit(int(batch_id))).write.mode("append").partitionBy("v").parquet(state_path)
+            # one folder per version, replaced when a batch id is re-run (never two copies of a version)
+            keep.write.mode("overwrite").parquet(os.path.join(state_path, f"v={int(batch_id)}"))
         finally:
             merged.unpersist()
 

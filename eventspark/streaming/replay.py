@@ -156,8 +156,9 @@ def allowed_lateness_handler(write: Callable[[DataFrame, int], None], carry_path
             keep = (ends_us + F.lit(l_us) > F.lit(new_max - b_us)) if new_max is not None else F.lit(True)
             (merged.where(keep)
              .select(*kw, "n0", (F.col("_nu_prev") + F.col("_nub")).alias("nu"),
-                     (F.col("_fired_prev") | passed).alias("fired"), F.lit(int(batch_id)).alias("v"))
-             .write.mode("append").partitionBy("v").parquet(state_path))
+                     (F.col("_fired_prev") | passed).alias("fired"))
+             # one folder per version, replaced when a batch id is re-run (never two copies of a version)
+             .write.mode("overwrite").parquet(os.path.join(state_path, f"v={int(batch_id)}")))
             (spark.createDataFrame([(int(batch_id), new_max)], CARRY_SCHEMA).coalesce(1).write.mode("append")
              .parquet(carry_path))
         finally:
