@@ -277,3 +277,17 @@ def test_timer_goldens_on_parallel_chain_path(spark):
 def test_java_whitespace_split_all_trailing_kinds(spark):
     docs = spark.createDataFrame([(1, "x\t\r\n\x0b\x0c "), (2, "\x0c\x0b"), (3, "y\x0bz")], "doc_id long, text string")
     assert rows(text.tokens(docs), "doc_id", "pos", "word") == [(1, 0, "x"), (3, 0, "y"), (3, 1, "z")]
+
+
+def test_lateness_classes(spark):
+    """One row per class (A-3): on time, late update within the allowed lateness, dropped beyond it."""
+    from eventspark.operators import replay
+    data = [("a", 1000, 1000, 1), ("a", 7000, 7000, 2), ("a", 2000, 8000, 3), ("a", 12000, 12000, 4),
+            ("a", 3000, 20000, 5)]
+    df = spark.createDataFrame([(k, ms(t), ms(a), i) for k, t, a, i in data],
+                               "key string, ts timestamp_ntz, arrival timestamp_ntz, event_id long")
+    out = replay.allowed_lateness(df, key="key", size="5 seconds", bound="0 seconds", lateness="5 seconds")
+    assert rows(out, "window_start", "firing", "kind", "cnt") == [
+        (ms(0), 1, "first", 1), (ms(0), 2, "update", 2), (ms(5000), 1, "first", 1), (ms(10000), 1, "first", 1)]
+    split = replay.late_row_split(df, bound="0 seconds")
+    assert rows(split.where("tag = 'late'"), "event_id") == [(3,), (5,)]
