@@ -30,3 +30,18 @@ def test_prefix_scan_matches_window(spark, monkeypatch, data, rows_per_piece, ho
     expr = F.coalesce(agg.over(w), F.lit(0)) if how == "sum" else agg.over(w)
     want = df.select("id", expr.alias("r"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(ROW, min_size=0, max_size=120), rows_per_piece=st.integers(3, 60),
+       offsets=st.lists(st.sampled_from([-3, -2, -1, 1, 2, 3]), min_size=1, max_size=3, unique=True))
+def test_neighbours_match_lead_lag(spark, monkeypatch, data, rows_per_piece, offsets):
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+    df = spark.createDataFrame([(k, t, v, i) for i, (k, t, v) in enumerate(data)],
+                               "k string, t int, v int, id long")
+    got = scan.with_neighbors(df, key="k", order=["t", "id"], offsets=offsets, cols=["v", "id"])
+    w = Window.partitionBy("k").orderBy("t", "id")
+    names = [f"{c}_{o if o > 0 else 'm' + str(-o)}" for o in offsets for c in ("v", "id")]
+    want = df.select("id", *[(F.lead(c, o) if o > 0 else F.lag(c, -o)).over(w).alias(f"{c}_{o if o > 0 else 'm' + str(-o)}")
+                             for o in offsets for c in ("v", "id")])
+    assert sorted(map(tuple, got.select("id", *names).collect())) == sorted(map(tuple, want.collect()))
