@@ -45,3 +45,28 @@ def test_neighbours_match_lead_lag(spark, monkeypatch, data, rows_per_piece, off
     want = df.select("id", *[(F.lead(c, o) if o > 0 else F.lag(c, -o)).over(w).alias(f"{c}_{o if o > 0 else 'm' + str(-o)}")
                              for o in offsets for c in ("v", "id")])
     assert sorted(map(tuple, got.select("id", *names).collect())) == sorted(map(tuple, want.collect()))
+
+
+TIMER_ROW = st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 60), st.sampled_from(["create", "pay"]),
+                      st.integers(0, 9))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(TIMER_ROW, min_size=1, max_size=60), gap=st.integers(1, 15), rows_per_piece=st.integers(3, 40))
+def test_timer_chains_match_folds(spark, monkeypatch, data, gap, rows_per_piece):
+    import datetime as dt
+    from eventspark.operators import timers
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+    t0 = dt.datetime(2024, 1, 1)
+    rows_ = [(k, t0 + dt.timedelta(seconds=s), typ, float(temp), i) for i, (k, s, typ, temp) in enumerate(data)]
+    r = spark.createDataFrame([(k, ts, temp, i) for k, ts, _, temp, i in rows_],
+                              "id string, ts timestamp_ntz, temperature double, event_id long")
+    o = spark.createDataFrame([(k, typ, ts, i) for k, ts, typ, _, i in rows_],
+                              "order_id string, order_type string, ts timestamp_ntz, event_id long")
+    d = f"{gap} seconds"
+    for run in (lambda m: timers.periodic_counts(r, period=d, parallel_keys=m),
+                lambda m: timers.temp_rise_alerts(r, rise_for=d, parallel_keys=m),
+                lambda m: timers.order_timeout_state(o, timeout=d, parallel_keys=m)):
+        fold = sorted(map(tuple, run("none").collect()), key=str)
+        chain = sorted(map(tuple, run("all").collect()), key=str)
+        assert chain == fold
