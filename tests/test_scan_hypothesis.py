@@ -70,3 +70,67 @@ def test_timer_chains_match_folds(spark, monkeypatch, data, gap, rows_per_piece)
         fold = sorted(map(tuple, run("none").collect()), key=str)
         chain = sorted(map(tuple, run("all").collect()), key=str)
         assert chain == fold
+
+
+def _python_fold(spec, rows_by_key):
+    """Brute force: run a fold spec sequentially over each key's rows (already in order)."""
+    out = []
+    for k, rs in rows_by_key.items():
+        state = spec.make()
+        for r in rs:
+            out.extend((k, *o) for o in spec.step(state, r))
+        while spec.due(state) is not None:
+            out.extend((k, *o) for o in spec.finish(state))
+    return out
+
+
+EV_ROW = st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 40), st.sampled_from([0, 1]),
+                   st.sampled_from(["fail", "success"]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(EV_ROW, min_size=1, max_size=50), within=st.integers(1, 12), rows_per_piece=st.integers(3, 40))
+def test_batch_operators_match_sequential_definitions(spark, monkeypatch, data, within, rows_per_piece):
+    import datetime as dt
+    from eventspark.operators import control, joins, patterns
+    from eventspark.streaming import stateful
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+    t0 = dt.datetime(2024, 1, 1)
+    us = lambda s: int((t0 + dt.timedelta(seconds=s) - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    rows_ = [(k, s, side, ev, i) for i, (k, s, side, ev) in enumerate(data)]
+    d = f"{within} seconds"
+    def by_key(rs, order):
+        """Rows per key, each key's rows sorted by ``order`` (a function of the row without its key)."""
+        return {k: sorted((r[1:] for r in rs if r[0] == k), key=order) for k in {r[0] for r in rs}}
+    ts_id = lambda r: (r[0], r[-1])  # noqa: E731 - (ts, event_id)
+
+    # reconcile: side 0 = order, 1 = pay
+    left = spark.createDataFrame([(k, t0 + dt.timedelta(seconds=s), i) for k, s, side, _, i in rows_ if side == 0],
+                                 "order_id string, ts timestamp_ntz, event_id long")
+    right = spark.createDataFrame([(k, t0 + dt.timedelta(seconds=s), i) for k, s, side, _, i in rows_ if side == 1],
+                                  "order_id string, ts timestamp_ntz, event_id long")
+    got = joins.reconcile(left, right, key="order_id", tolerance=d).select(
+        "order_id", "tag", F.unix_micros(F.col("order_ts").cast("timestamp")), "order_event_id",
+        F.unix_micros(F.col("pay_ts").cast("timestamp")), "pay_event_id")
+    want = _python_fold(stateful.reconcile_spec(d), by_key([(k, us(s), side, i) for k, s, side, _, i in rows_], ts_id))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+    # consecutive failed logins
+    logins = spark.createDataFrame([(k, f"ip{i}", ev, t0 + dt.timedelta(seconds=s), i) for k, s, _, ev, i in rows_],
+                                   "user_id string, ip_address string, event_type string, ts timestamp_ntz, "
+                                   "event_id long")
+    got = patterns.login_fail_3(logins, within=d).select("user_id", "ip1", "ip2", "ip3", "first_event_id")
+    want = [(k, a, b, c, fid) for k, a, b, c, _, _, fid in _python_fold(
+        stateful.login_fail_spec(d), by_key([(k, us(s), ev, f"ip{i}", i) for k, s, _, ev, i in rows_], ts_id))]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+    # switch gate: side 0 rows are switches, side 1 rows readings
+    readings = spark.createDataFrame([(k, t0 + dt.timedelta(seconds=s), float(i), i) for k, s, side, _, i in rows_
+                                      if side == 1], "id string, ts timestamp_ntz, temperature double, event_id long")
+    switches = spark.createDataFrame([(k, t0 + dt.timedelta(seconds=s), i) for k, s, side, _, i in rows_ if side == 0],
+                                     "id string, ts timestamp_ntz, event_id long")
+    got = control.gate_by_switch(readings, switches, duration=d).select("id", "event_id")
+    folded = _python_fold(stateful.switch_gate_spec(d), by_key(
+        [(k, us(s), 0 if side == 0 else 1, i, float(i) if side == 1 else None) for k, s, side, _, i in rows_],
+        lambda r: (r[0], r[1], r[2])))  # (ts, rank, event_id): switches before readings at equal time
+    assert sorted(map(tuple, got.collect())) == sorted((k, eid) for k, _, _, eid in folded)
