@@ -134,3 +134,31 @@ def test_batch_operators_match_sequential_definitions(spark, monkeypatch, data,
         [(k, us(s), 0 if side == 0 else 1, i, float(i) if side == 1 else None) for k, s, side, _, i in rows_],
         lambda r: (r[0], r[1], r[2])))  # (ts, rank, event_id): switches before readings at equal time
     assert sorted(map(tuple, got.collect())) == sorted((k, eid) for k, _, _, eid in folded)
+
+
+ORDER_ROW = st.tuples(st.sampled_from(["o1", "o2"]), st.integers(0, 30), st.sampled_from(["create", "pay"]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(ORDER_ROW, min_size=1, max_size=40), within=st.integers(1, 10), rows_per_piece=st.integers(3, 30))
+def test_order_pattern_matches_sequential_definition(spark, monkeypatch, data, within, rows_per_piece):
+    import datetime as dt
+    from eventspark.operators import patterns
+    from eventspark.streaming import stateful
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+    t0 = dt.datetime(2024, 1, 1)
+    us = lambda s: int((t0 + dt.timedelta(seconds=s) - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    orders = spark.createDataFrame([(k, typ, t0 + dt.timedelta(seconds=s), i) for i, (k, s, typ) in enumerate(data)],
+                                   "order_id string, order_type string, ts timestamp_ntz, event_id long")
+    d = f"{within} seconds"
+    got = patterns.order_timeout_pattern(orders, within=d).select(
+        "order_id", "result", F.unix_micros(F.col("create_ts").cast("timestamp")), "create_event_id",
+        F.unix_micros(F.col("pay_ts").cast("timestamp")), "pay_event_id",
+        F.unix_micros(F.col("timeout_ts").cast("timestamp")))
+    rows_by_key = {}
+    for i, (k, s, typ) in enumerate(data):
+        rows_by_key.setdefault(k, []).append((us(s), typ, i))
+    for k in rows_by_key:
+        rows_by_key[k].sort(key=lambda r: (r[0], r[2]))
+    want = _python_fold(stateful.order_pattern_spec(d), rows_by_key)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
