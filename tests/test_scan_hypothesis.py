@@ -213,3 +213,25 @@ def test_replay_matches_sequential_simulation(spark, monkeypatch, data, bound, l
     got = [(r["key"], int((r["window_start"] - t0).total_seconds()), r["firing"], r["kind"], r["cnt"])
            for r in out.collect()]
     assert sorted(got) == sorted(firings)
+
+
+def _java_hash_times(s, factor):
+    h = 0
+    b = s.encode("utf-16-be")
+    for i in range(0, len(b), 2):
+        h = (h * 31 + int.from_bytes(b[i:i + 2], "big")) & 0xFFFFFFFF
+    h = (h * factor) & 0xFFFFFFFF
+    return h - (1 << 32) if h >= 1 << 31 else h
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(words=st.lists(st.text(max_size=40), min_size=1, max_size=40), factor=st.integers(-1000, 1000))
+def test_hash_code_matches_java_semantics(spark, words, factor):
+    from eventspark.functions import hashing
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i long, s string")
+    got = {r["i"]: r["h"] for r in df.select("i", hashing.hash_code_times(F.col("s"), factor).alias("h")).collect()}
+    assert got == {i: _java_hash_times(w, factor) for i, w in enumerate(words)}
+    hashing.register_hash_code(spark, "hashCodeT", factor=factor)
+    df.createOrReplaceTempView("hash_words")
+    got_sql = {r["i"]: r["h"] for r in spark.sql("SELECT i, hashCodeT(s) AS h FROM hash_words").collect()}
+    assert got_sql == got
