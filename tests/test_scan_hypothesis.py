@@ -235,3 +235,23 @@ def test_hash_code_matches_java_semantics(spark, words, factor):
     df.createOrReplaceTempView("hash_words")
     got_sql = {r["i"]: r["h"] for r in spark.sql("SELECT i, hashCodeT(s) AS h FROM hash_words").collect()}
     assert got_sql == got
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 100)), min_size=1, max_size=30),
+       right=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 100)), min_size=1, max_size=30),
+       lo=st.integers(-40, 40), width=st.integers(0, 40))
+def test_bucketed_interval_join_matches_range_join(spark, left, right, lo, width):
+    import datetime as dt
+    from eventspark.operators import joins
+    t0 = dt.datetime(2024, 1, 1)
+    mk = lambda rs, base: spark.createDataFrame(
+        [(k, t0 + dt.timedelta(seconds=s), base + i) for i, (k, s) in enumerate(rs)],
+        "k string, ts timestamp_ntz, event_id long")
+    lf, rf = mk(left, 0), mk(right, 1000)
+    kw = dict(key="k", lower=f"{lo} seconds", upper=f"{lo + width} seconds")
+    got = sorted(map(tuple, joins.interval_join(lf, rf, **kw).collect()))
+    want = sorted((lk, t0 + dt.timedelta(seconds=ls), li, t0 + dt.timedelta(seconds=rs_), 1000 + ri)
+                  for li, (lk, ls) in enumerate(left) for ri, (rk, rs_) in enumerate(right)
+                  if lk == rk and ls + lo <= rs_ <= ls + lo + width)
+    assert got == want
