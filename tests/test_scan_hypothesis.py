@@ -255,3 +255,24 @@ def test_bucketed_interval_join_matches_range_join(spark, left, right, lo, width
                   for li, (lk, ls) in enumerate(left) for ri, (rk, rs_) in enumerate(right)
                   if lk == rk and ls + lo <= rs_ <= ls + lo + width)
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(st.tuples(st.sampled_from([1, 2, 3]), st.integers(0, 120)), min_size=1, max_size=60),
+       slide=st.sampled_from([1, 2, 5, 7, 11]), mult=st.integers(1, 6))
+def test_pane_sliding_counts_match_brute_force(spark, data, slide, mult):
+    import datetime as dt
+    from eventspark.operators import windows
+    t0 = dt.datetime(2024, 1, 1)
+    base = int((t0 - dt.datetime(1970, 1, 1)).total_seconds())  # windows are aligned on the epoch
+    size = slide * mult
+    df = spark.createDataFrame([(k, t0 + dt.timedelta(seconds=s)) for k, s in data], "item_id long, ts timestamp_ntz")
+    got = sorted((r["item_id"], int((r["window_end"] - t0).total_seconds()), r["cnt"])
+                 for r in windows.sliding_count(df, key="item_id", size=f"{size} seconds",
+                                                slide=f"{slide} seconds").collect())
+    counts = {}
+    for k, s in data:
+        first_end = ((base + s) // slide + 1) * slide - base
+        for end in range(first_end, first_end + size, slide):
+            counts[(k, end)] = counts.get((k, end), 0) + 1
+    assert got == sorted((k, e, c) for (k, e), c in counts.items())
