@@ -276,3 +276,36 @@ def test_pane_sliding_counts_match_brute_force(spark, data, slide, mult):
         for end in range(first_end, first_end + size, slide):
             counts[(k, end)] = counts.get((k, end), 0) + 1
     assert got == sorted((k, e, c) for (k, e), c in counts.items())
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(reads=st.lists(st.tuples(st.integers(0, 40), st.integers(-200, 50)), min_size=1, max_size=40),
+       ctrl=st.lists(st.tuples(st.integers(0, 40), st.sampled_from(["LOW", "HIGH"])), max_size=15),
+       size=st.sampled_from([1, 2, 5]), rows_per_piece=st.integers(3, 30))
+def test_smoke_gate_and_window_join_match_brute_force(spark, monkeypatch, reads, ctrl, size, rows_per_piece):
+    import datetime as dt
+    from eventspark.operators import control, joins
+    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+    t0 = dt.datetime(2024, 1, 1)
+    r = spark.createDataFrame([("s", t0 + dt.timedelta(seconds=s), float(v), i) for i, (s, v) in enumerate(reads)],
+                              "id string, ts timestamp_ntz, temperature double, event_id long")
+    lv = spark.createDataFrame([(t0 + dt.timedelta(seconds=s), lvl, 1000 + i) for i, (s, lvl) in enumerate(ctrl)],
+                               "ts timestamp_ntz, level string, event_id long")
+    got = sorted(x["event_id"] for x in control.smoke_alerts(r, lv, threshold=-100.0).collect())
+    want = []
+    for i, (s, v) in enumerate(reads):
+        before = sorted((cs, 1000 + j, lvl) for j, (cs, lvl) in enumerate(ctrl) if cs <= s)
+        level = before[-1][2] if before else "LOW"
+        if level == "HIGH" and v > -100:
+            want.append(i)
+    assert got == sorted(want)
+
+    left = spark.createDataFrame([("k", t0 + dt.timedelta(seconds=s), i) for i, (s, _) in enumerate(reads)],
+                                 "k string, ts timestamp_ntz, event_id long")
+    right = spark.createDataFrame([("k", t0 + dt.timedelta(seconds=s), 1000 + i) for i, (s, _) in enumerate(ctrl)],
+                                  "k string, ts timestamp_ntz, event_id long")
+    got = sorted((x["left_event_id"], x["right_event_id"])
+                 for x in joins.window_join(left, right, key="k", size=f"{size} seconds").collect())
+    want = sorted((i, 1000 + j) for i, (s, _) in enumerate(reads) for j, (cs, _) in enumerate(ctrl)
+                  if s // size == cs // size)
+    assert got == want
