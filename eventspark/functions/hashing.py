@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_FACTOR = 12  # the reference's default when the job parameter is unset
+# The factor used when the job parameter is unset (12) and Java's hash multiplier (31).
+DEFAULT_FACTOR = 12
+JAVA_HASH_MULTIPLIER = 31
+
 TWO32 = 1 << 32
 TWO31 = 1 << 31
 
@@ -24,7 +27,7 @@ def java_hash_code(s: Column) -> Column:
     hx = F.hex(F.encode(s, "UTF-16BE"))
     units = F.transform(F.sequence(F.lit(0), (F.length(hx) / 4).cast("int") - 1),
                         lambda i: F.conv(F.substring(hx, i * 4 + 1, 4), 16, 10).cast("bigint"))
-    folded = F.aggregate(units, F.lit(0).cast("bigint"), lambda acc, u: F.pmod(acc * 31 + u, F.lit(TWO32)))
+    folded = F.aggregate(units, F.lit(0).cast("bigint"), lambda acc, u: F.pmod(acc * JAVA_HASH_MULTIPLIER + u, F.lit(TWO32)))
     return F.when(s == "", F.lit(0)).otherwise(_signed32(folded)).cast("int")
 
 
@@ -43,7 +46,7 @@ def register_hash_code(spark: SparkSession, name: str = "hashCode", factor: int
     hx = "hex(encode(s, 'UTF-16BE'))"
     fold = (f"aggregate(transform(sequence(0, length({hx}) DIV 4 - 1), "
             f"i -> CAST(conv(substring({hx}, i * 4 + 1, 4), 16, 10) AS BIGINT)), CAST(0 AS BIGINT), "
-            f"(acc, u) -> pmod(acc * 31 + u, {TWO32}))")
+            f"(acc, u) -> pmod(acc * {JAVA_HASH_MULTIPLIER} + u, {TWO32}))")
     signed = f"(pmod({fold} + {TWO31}, {TWO32}) - {TWO31})"
     body = f"CAST(pmod({signed} * {int(factor)} + {TWO31}, {TWO32}) - {TWO31} AS INT)"
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) RETURNS INT RETURN "

@@ -211,6 +211,7 @@ def q_topn_changelog(spark, sf_dir):
 
 # --- UDF / SQL surface -----------------------------------------------------------------------------------------------
 
+# Fixed value: the hash factor the reference's job passes as its parameter.
 HASH_FACTOR = 31
 
 
