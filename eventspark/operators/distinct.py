@@ -58,8 +58,14 @@ def uv_hll(df: DataFrame, *, user="user_id", ts="ts", size="1 hour", lg_k: int =
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv")
 
 
+# Fixed values of the UV report text (must equal the reference's output format; ``hh`` is the 12-hour clock).
+UV_REPORT_PREFIX = "window end: "
+UV_REPORT_TIME_PATTERN = "yyyy-MM-dd hh:mm:ss"
+UV_REPORT_COUNT = " uv count: "
+
+
 def uv_report(uv: DataFrame) -> DataFrame:
     """``window end: yyyy-MM-dd hh:mm:ss uv count: N`` (12-hour clock, as in the reference; zone UTC)."""
-    return uv.select("window_end", "uv", F.concat(F.lit("window end: "),
-                                                  F.date_format("window_end", "yyyy-MM-dd hh:mm:ss"),
-                                                  F.lit(" uv count: "), F.col("uv").cast("string")).alias("report"))
+    return uv.select("window_end", "uv", F.concat(F.lit(UV_REPORT_PREFIX),
+                                                  F.date_format("window_end", UV_REPORT_TIME_PATTERN),
+                                                  F.lit(UV_REPORT_COUNT), F.col("uv").cast("string")).alias("report"))
