@@ -36,16 +36,21 @@ def hset_rows(df: DataFrame, *, hash_name: str = "sensor", key: str = "id", valu
                        F.col(value).cast("string").alias("value"))
 
 
+# A reading's text form is "(" id ", " epoch-ms ", " temperature ")", sent as field "data".
+READING_OPEN, READING_SEP, READING_CLOSE = "(", ", ", ")"
+DOCUMENT_FIELD = "data"
+
+
 def reading_text(id_col="id", ts_col="ts", temp_col="temperature"):
     """A reading's text form ``(id, epoch_ms, temperature)``."""
-    return F.concat(F.lit("("), F.col(id_col), F.lit(", "),
-                    F.unix_millis(F.col(ts_col).cast("timestamp")).cast("string"), F.lit(", "),
-                    F.col(temp_col).cast("string"), F.lit(")"))
+    return F.concat(F.lit(READING_OPEN), F.col(id_col), F.lit(READING_SEP),
+                    F.unix_millis(F.col(ts_col).cast("timestamp")).cast("string"), F.lit(READING_SEP),
+                    F.col(temp_col).cast("string"), F.lit(READING_CLOSE))
 
 
 def es_documents(df: DataFrame, *, index: str = "sensor") -> DataFrame:
     """Index requests ``(index, source)`` where source is ``{"data": "<reading text>"}`` for every reading."""
-    return df.select(F.lit(index).alias("index"), F.to_json(F.struct(reading_text().alias("data"))).alias("source"),
+    return df.select(F.lit(index).alias("index"), F.to_json(F.struct(reading_text().alias(DOCUMENT_FIELD))).alias("source"),
                      "event_id")
 
 
