@@ -6,16 +6,15 @@ ends of one permutation lie in different bands) are the bucket keys.
 
 Steps, every one a shuffle of small rows:
 
-1. One pass over the texts: distinct word shingles, digest of the whole set, band keys, one-byte sketch of each value.
+1. One pass over the texts: distinct word shingles, digest of the whole set, band keys.
 2. Documents with equal sets are one class; only its smallest doc_id goes on, so copies cost nothing further.
 3. Every bucket proposes its smallest member against each of its others (linear in the bucket).  Proposed pairs are
    confirmed on the full sets, which are built once for the documents concerned.
-4. Components of the confirmed links.  A bucket whose members still lie in different components then compares
-   exactly those members, in blocks of ``block`` rows, by sketch, and the pairs that pass are confirmed like the
-   others.  Pairs inside one component need no comparison: they cannot change the result.
+4. Components of the confirmed links.  A bucket whose members still lie in different components then compares the
+   full sets of those members, in pairs of blocks of ``block`` rows; a block pair returns only links that merge
+   components, fewer than its rows.  Pairs inside one component need no comparison: they cannot change the result.
 
-A pair of similarity s shares no band with probability ``(1 - s**rows) ** bands``: 2.4e-7 at 0.85 with 5 and 26.  The
-sketch step asks for an estimate of ``threshold - 0.25``, 6 standard deviations below the threshold.
+A pair of similarity s shares no band with probability ``(1 - s**rows) ** bands``: 2.4e-7 at 0.85 with 5 and 26.
 
 Nulls and odd inputs: null and empty texts have an empty set and link with nothing; texts below five words are one
 shingle; rows that repeat a doc_id keep one result row each, by their own text; a null doc_id takes no part and gets a
@@ -59,7 +58,7 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, perms: int) -> np.ndarray
     return out
 
 
-def _sketches(bands: int, rows: int, width: int):
+def _band_keys(bands: int, rows: int, width: int):
     perms = -(-bands * rows // 2)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,13 +79,11 @@ def _sketches(bands: int, rows: int, width: int):
                     own = np.unique(sh[at[i]:at[i + 1]])
                     n[i] = len(own)
                     digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                sketch = (sig >> U(32)).astype(np.uint8)
                 ends = np.concatenate([[0], np.cumsum(np.where(per > 0, bands, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(words.signed(key[per > 0].ravel())))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, to - row), pa.array(n), pa.array(digest, pa.binary()), lists,
-                     pa.array([x.tobytes() for x in sketch], pa.binary())],
-                    names=["doc_id", "n_shingles", "digest", "bands", "sketch"])
+                    [batch.column(0).slice(row, to - row), pa.array(n), pa.array(digest, pa.binary()), lists],
+                    names=["doc_id", "n_shingles", "digest", "bands"])
 
     return run
 
@@ -145,22 +142,37 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, per_task: int =
     return reliable_checkpoint(dealt.mapInArrow(_confirm(percent), "u long, v long"))
 
 
-def _cross_block(least: float):
-    """One block pair of a bucket: the pairs of different components whose sketches agree enough."""
-
-    def run(key, pdf):
-        left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        if key[1] == key[2]:
-            right = left
-        a, b = (np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(len(x), -1) for x in (left, right))
-        out = []
-        for i in range(len(left)):
-            other = right["component"].to_numpy() != left["component"].iloc[i]
-            if other.any():
-                same = (b[other] == a[i]).mean(axis=1)
-                for rep in right["rep"].to_numpy()[other][same >= least]:
-                    out.append((min(left["rep"].iloc[i], rep), max(left["rep"].iloc[i], rep)))
-        return pd.DataFrame(out, columns=["hub", "rep"]).astype("int64").drop_duplicates()
+def _cross_block(percent: int):
+    """One block pair of a bucket: links between its components, only those that merge two of them."""
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        side = pdf["side"].to_numpy()
+        comp, at = np.unique(pdf["component"].to_numpy(), return_inverse=True)
+        root = np.arange(len(comp))  # of each component, the group it has been merged into
+        sets = [np.frombuffer(x, U) for x in pdf["hashes"]]
+        size = np.array([len(x) for x in sets])
+        shingle, local = np.unique(np.concatenate(sets), return_inverse=True)
+        start = np.cumsum(size) - size
+        rep = pdf["rep"].to_numpy()
+        right = np.flatnonzero(side == (0 if key[1] == key[2] else 1))
+        if not len(right):
+            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+        r_ids = np.concatenate([local[start[j]:start[j] + size[j]] for j in right])
+        r_start = np.cumsum(size[right]) - size[right]
+        mark, links = np.zeros(len(shingle), dtype=np.int32), []
+        for i in np.flatnonzero(side == 0):
+            if (root[at[right]] == root[at[i]]).all():
+                continue
+            own = local[start[i]:start[i] + size[i]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[r_ids], r_start)
+            mark[own] = 0
+            for j in right[100 * both >= percent * (size[i] + size[right] - both)]:
+                a, b = root[at[i]], root[at[j]]
+                if a != b:
+                    root[root == max(a, b)] = min(a, b)
+                    links.append((rep[i], rep[j]))
+        return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
 
     return run
 
@@ -170,30 +182,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     seen = reliable_checkpoint(texts.mapInArrow(
-        _sketches(bands, rows, width),
-        "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"))
+        _band_keys(bands, rows, width), "doc_id long, n_shingles long, digest binary, bands array<long>"))
     useful = seen.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = reliable_checkpoint(useful.groupBy("digest").agg(F.min("doc_id").alias("rep")))
     reps = reliable_checkpoint(
         useful.join(classes, (useful["doc_id"] == classes["rep"]) & (useful["digest"] == classes["digest"]), "leftsemi")
-        .select(F.col("doc_id").alias("rep"), "bands", "sketch"))
+        .select(F.col("doc_id").alias("rep"), "bands"))
     bucket = reps.select("rep", F.explode("bands").alias("key"))
     size = bucket.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top"),
                                      F.count(F.lit(1)).alias("n")).filter("top > hub").drop("top")
     size = reliable_checkpoint(size)
     shared = reliable_checkpoint(bucket.join(size, "key"))
     pairs = reliable_checkpoint(shared.filter("rep <> hub").select("hub", "rep").distinct())
-    links, sets = None, None
     if not pairs.isEmpty():
         needed = shared.select("rep").distinct()
         sets = reliable_checkpoint(texts.join(needed, texts["doc_id"] == needed["rep"], "leftsemi")
                                    .mapInArrow(_sets(width), "doc_id long, hashes binary"))
         links = _confirmed(pairs, sets, percent)
         first = reliable_checkpoint(connected_components(links))
-        more = _cross_pairs(shared.filter("n > 2"), first, reps, (percent - 25) / 100, block)
-        more = reliable_checkpoint(more.join(pairs, ["hub", "rep"], "leftanti"))
+        more = reliable_checkpoint(_cross_links(shared.filter("n > 2"), first, sets, percent, block))
         if not more.isEmpty():
-            first = reliable_checkpoint(connected_components(links.union(_confirmed(more, sets, percent))))
+            first = reliable_checkpoint(connected_components(links.union(more)))
         classes = reliable_checkpoint(classes.join(first, classes["rep"] == first["node"], "left").select(
             "digest", F.coalesce("component", "rep").alias("component")))
     else:
@@ -207,8 +216,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
 
 
-def _cross_pairs(shared: DataFrame, components: DataFrame, reps: DataFrame, least: float, block: int) -> DataFrame:
-    """Pairs ``(hub, rep)`` of one bucket and different components whose sketches agree in at least ``least``."""
+def _cross_links(shared: DataFrame, components: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links ``(u, v)`` that join different components, from buckets whose members lie in several of them."""
     held = shared.select("key", "rep").join(components, F.col("rep") == F.col("node"), "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component"))
     held = reliable_checkpoint(held)
@@ -216,10 +225,10 @@ def _cross_pairs(shared: DataFrame, components: DataFrame, reps: DataFrame, leas
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
         .filter("lo < hi").select("key", F.ceil(F.col("n") / block).alias("blocks")))
     held = reliable_checkpoint(held.join(mixed, "key"))
-    held = held.join(reps.select("rep", "sketch"), "rep")
+    held = held.join(sets, held["rep"] == sets["doc_id"])
     own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    one = held.select("key", "rep", "component", "sketch", own.alias("own"),
+    one = held.select("key", "rep", "component", "hashes", own.alias("own"),
                       F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     one = one.select("key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"),
-                     F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "component", "sketch")
-    return one.groupBy("key", "b1", "b2").applyInPandas(_cross_block(least), "hub long, rep long").distinct()
+                     F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "component", "hashes")
+    return one.groupBy("key", "b1", "b2").applyInPandas(_cross_block(percent), "u long, v long")

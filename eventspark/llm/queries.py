@@ -4,20 +4,69 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventspark.llm.minmax_dedup import near_duplicates
+from eventspark.llm.mixing import Target, mix_sources, mixing_sql
+from eventspark.llm.packing import pack
+from eventspark.llm.personal_data import personal_data
+from eventspark.llm.quality_knn import held_out, quality_scores, train
 from eventspark.sources.tables import read_table
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+KEEP_QUALITY = 0.7
+#: Sources flattened, languages and topics by given weights.
+MIX_TARGETS = {
+    "source": Target(temper=0.7),
+    "lang": Target({"en": 5, "de": 2, "fr": 2, "es": 1}, other=0.5),
+    "topic": Target({"article": 4, "book": 3, "note": 1, "table": 0.5, "license": 0.5, "contact": 1}),
+}
+
+
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked weight, probability and decision of every document."""
+    out = mix_sources(read_table(spark, sf_dir, "documents"), MIX_TARGETS)
+    return out.select("doc_id", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"),
+                      F.round("mix_p", 6).alias("probability"), F.round("mix_weight", 6).alias("weight"),
+                      F.col("mix_sampled").alias("sampled"))
+
 
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' token pieces in windows of 2048."""
+    return pack(read_table(spark, sf_dir, "documents"), VOCABULARY, RANKS, public_tokenizers.PATTERN)
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents, base finds and those behind disguises."""
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
+def op9_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labels that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, read_table(spark, sf_dir, "labels"))
+    return quality_scores(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= KEEP_QUALITY, 1).otherwise(0).alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mix_sources": op3_mix_sources,
     "op5_minmax_dedup": op5_minmax_dedup,
+    "op6_pack_nnls": op6_pack_nnls,
+    "op8_personal_data": op8_personal_data,
+    "op9_quality_knn": op9_quality_knn,
 }
 
 #: DuckDB SQL of the same rows, where SQL can express them on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_mix_sources": mixing_sql(MIX_TARGETS),
+}

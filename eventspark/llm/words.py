@@ -104,10 +104,10 @@ def _pieces(raw: np.ndarray, limit: int) -> Iterator[np.ndarray]:
         at = end
 
 
-def batches(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Yields ``(first row, row after the last, word hashes, words per row)`` for runs of rows of about ``limit`` bytes.
+def chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Yields ``(first row, row after the last, bytes, bounds of the rows in them)`` of about ``limit`` bytes each.
 
-    A row longer than ``limit`` comes alone, its whole text hashed piece by piece.
+    A row longer than ``limit`` comes alone, in several consecutive chunks cut at separators.
     """
     raw, off = text_buffer(column)
     row, n = 0, len(off) - 1
@@ -116,19 +116,35 @@ def batches(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np
         to = min(max(to, row + 1), n)
         part = raw[off[row]:off[to]]
         if len(part) > limit:
-            hashes = [hash_spans(p, *word_spans(p, np.zeros(1, np.int64))) for p in _pieces(part, limit)]
-            h = np.concatenate(hashes)
-            counts = np.array([len(h)], np.int64)
+            for p in _pieces(part, limit):
+                yield row, to, p, np.array([0, len(p)])
         else:
-            bounds = off[row:to + 1] - off[row]
-            full = np.flatnonzero(np.diff(bounds))
-            starts, ends = word_spans(part, bounds[full])
-            h = hash_spans(part, starts, ends)
-            counts = np.diff(np.searchsorted(starts, bounds))
-        yield row, to, h, counts
+            yield row, to, part, off[row:to + 1] - off[row]
         row = to
 
 
+def chunk_words(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word starts and ends of a chunk and the number of words of each of its rows."""
+    starts, ends = word_spans(part, bounds[:-1][np.diff(bounds) > 0])
+    return starts, ends, np.diff(np.searchsorted(starts, bounds))
+
+
+def batches(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Yields ``(first row, row after the last, word hashes, words per row)``, whole rows together."""
+    held: list = []
+    for row, to, part, bounds in chunks(column, limit):
+        if held and held[0] != row:
+            yield held[0], held[1], np.concatenate(held[2]), held[3]
+            held = []
+        starts, ends, counts = chunk_words(part, bounds)
+        if not held:
+            held = [row, to, [], np.zeros(to - row, np.int64)]
+        held[2].append(hash_spans(part, starts, ends))
+        held[3] = held[3] + counts
+    if held:
+        yield held[0], held[1], np.concatenate(held[2]), held[3]
+
+
 def shingles(hashes: np.ndarray, counts: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``width`` words within each row, and how many each row has (repeats included).
 
