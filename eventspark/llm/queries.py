@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventspark.llm import chat
+from eventspark.llm.cover_tree import near_vectors
 from eventspark.llm.minmax_dedup import near_duplicates
 from eventspark.llm.mixing import Target, mix_sources, mixing_sql
 from eventspark.llm.packing import pack
 from eventspark.llm.personal_data import personal_data
 from eventspark.llm.quality_knn import held_out, quality_scores, train
+from eventspark.llm.topk import top_k, top_k_sql
+from eventspark.llm.url_filter import Rule, judge_urls
 from eventspark.sources.tables import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +28,26 @@ MIX_TARGETS = {
     "lang": Target({"en": 5, "de": 2, "fr": 2, "es": 1}, other=0.5),
     "topic": Target({"article": 4, "book": 3, "note": 1, "table": 0.5, "license": 0.5, "contact": 1}),
 }
+#: A conversation whose texts hold every control string of the template.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+URL_RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"),
+             Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations and conversation -7, formatted and read back."""
+    rows = read_table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(CONTROL_TEXT).alias("text"))
+    turns = chat.canonical_turns(chat.conversation_records(rows.union(extra)))
+    return chat.chat_digest(chat.format_chat(turns))
+
+
+def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of equal label."""
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +58,11 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("mix_sampled").alias("sampled"))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows of every embedding whose id is divisible by 50."""
+    return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -58,15 +87,26 @@ def op9_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= KEEP_QUALITY, 1).otherwise(0).alias("predicted"))
 
 
+def op10_url_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page urls."""
+    return judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
+    "op2_cover_tree": op2_cover_tree,
     "op3_mix_sources": op3_mix_sources,
+    "op4_top_k": op4_top_k,
     "op5_minmax_dedup": op5_minmax_dedup,
     "op6_pack_nnls": op6_pack_nnls,
     "op8_personal_data": op8_personal_data,
     "op9_quality_knn": op9_quality_knn,
+    "op10_url_words": op10_url_words,
 }
 
 #: DuckDB SQL of the same rows, where SQL can express them on whole tables.
 ORACLE: dict[str, str] = {
+    "op1_chat": chat.chat_sql(f"SELECT -7, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'"),
+    "op4_top_k": top_k_sql(50),
     "op3_mix_sources": mixing_sql(MIX_TARGETS),
 }
