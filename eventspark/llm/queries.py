@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eventspark.llm import chat
 from eventspark.llm.cover_tree import near_vectors
+from eventspark.llm.maxent_lm import score_texts
 from eventspark.llm.minmax_dedup import near_duplicates
 from eventspark.llm.mixing import Target, mix_sources, mixing_sql
 from eventspark.llm.packing import pack
@@ -73,6 +74,11 @@ def op6_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), VOCABULARY, RANKS, public_tokenizers.PATTERN)
 
 
+def op7_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under the language model and its unigram base."""
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of all documents, base finds and those behind disguises."""
     return personal_data(read_table(spark, sf_dir, "documents"))
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_top_k": op4_top_k,
     "op5_minmax_dedup": op5_minmax_dedup,
     "op6_pack_nnls": op6_pack_nnls,
+    "op7_maxent_lm": op7_maxent_lm,
     "op8_personal_data": op8_personal_data,
     "op9_quality_knn": op9_quality_knn,
     "op10_url_words": op10_url_words,

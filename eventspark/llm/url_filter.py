@@ -2,8 +2,8 @@
 
 1. Rules ``(verdict, host, path)``: a rule fits its host and all subdomains if the url's path starts with the rule's;
    the longest fitting rule decides.
-2. Host names are split into words by a unigram Viterbi search.  The unigram counts come from all pages' texts; the
-   ``vocabulary`` most frequent words go to the tasks.  A stretch of unknown letters is charged by its length.
+2. Host names are split into words by a unigram Viterbi search.  The unigram counts come from all pages' texts; at
+   most ``vocabulary`` of the most frequent words go to the tasks.  A stretch of unknown letters is charged by its length.
 3. Multinomial naive Bayes over the host's words and the path's tokens, learnt from the pages that a rule decides,
    judges the pages that no rule fits.  Tokens are hashed into ``BUCKETS`` counters, summed per task before the shuffle;
    the driver gets at most that many rows.  Equal odds mean allow.
@@ -25,6 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventspark.llm.frequent import most_frequent
+from eventspark.session import reliable_checkpoint
+
 BUCKETS = 1 << 15
 LONGEST = 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -61,10 +64,11 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
 
 
 def unigrams(texts: DataFrame, column: str, vocabulary: int) -> dict[str, int]:
-    """Counts of the ``vocabulary`` most frequent words (runs of a-z, 2 to 20 letters) of all texts."""
+    """Counts of the most frequent words (runs of a-z, 2 to 20 letters) of all texts: at most ``vocabulary`` words."""
     words = texts.select(F.explode(F.split(F.translate(F.col(column), _UPPER, _LOWER), "[^a-z]+")).alias("word"))
     counts = words.filter(F.length("word").between(2, LONGEST)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()}
+    counts = reliable_checkpoint(counts)
+    return {r["word"]: r["n"] for r in most_frequent(counts, vocabulary).collect()}
 
 
 class Segmenter:
