@@ -1,7 +1,7 @@
 """User-function contracts: per-task mapper with setup/teardown, grouped-aggregate and whole-window escape hatches.
 
 These are the slow path and only exist for logic that built-in expressions cannot state; every operator of the
-library that has a built-in form uses it instead.  All of them are Arrow-batched (``mapInPandas`` / ``pandas_udf`` /
+library that has a built-in form uses it instead.  All of them are Arrow-batched (``mapInArrow`` / ``pandas_udf`` /
 ``applyInPandas``), never row-at-a-time.
 """
 
@@ -10,25 +10,30 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def map_partitions_with_lifecycle(df: DataFrame, fn: Callable[[pd.DataFrame, object], pd.DataFrame], schema,
+def map_partitions_with_lifecycle(df: DataFrame, fn: Callable[[pa.RecordBatch, object], pa.RecordBatch], schema,
                                   *, open_fn: Callable[[], object] = lambda: None,
                                   close_fn: Callable[[object], None] = lambda ctx: None) -> DataFrame:
-    """``RichMapFunction`` shape: ``open`` once per task, ``fn`` per Arrow batch, ``close`` once at the end."""
+    """``RichMapFunction`` shape: ``open`` once per task, ``fn`` per Arrow batch, ``close`` once at the end or on error.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Batches stay Arrow, so columns that ``fn`` passes on keep every value, 64-bit integers beside NULLs included.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx = open_fn()
         try:
-            for pdf in batches:
-                yield fn(pdf, ctx)
+            for batch in batches:
+                yield fn(batch, ctx)
         finally:
             close_fn(ctx)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def partition_scoped_increment(df: DataFrame, col: str, delta: int = 1, *, out: str | None = None) -> DataFrame:
@@ -36,17 +41,20 @@ def partition_scoped_increment(df: DataFrame, col: str, delta: int = 1, *, out:
     out = out or col
     fields = [f for f in df.schema.fields if f.name != out]
     schema = T.StructType(fields + [T.StructField(out, df.schema[col].dataType)])
+    names = [f.name for f in schema.fields]
 
-    def add(pdf: pd.DataFrame, _ctx) -> pd.DataFrame:
-        pdf[out] = pdf[col] + delta
-        return pdf[[f.name for f in schema.fields]]
+    def add(batch: pa.RecordBatch, _ctx) -> pa.RecordBatch:
+        column = batch.column(batch.schema.get_field_index(col))
+        added = pc.add(column, pa.scalar(delta, column.type))
+        return pa.RecordBatch.from_arrays(
+            [added if n == out else batch.column(batch.schema.get_field_index(n)) for n in names], names=names)
 
     return map_partitions_with_lifecycle(df, add, schema)
 
 
 def grouped_agg(df: DataFrame, keys: list[str], fn: Callable[[pd.Series], object], value: str, return_type: str,
                 out: str) -> DataFrame:
-    """UDAF escape hatch: a grouped-aggregate pandas UDF (Spark still does partial grouping by key)."""
+    """UDAF escape hatch: a grouped-aggregate pandas UDF; a group's values come together in one task."""
     def agg(s: pd.Series) -> float:  # series → scalar: a grouped-aggregate pandas UDF
         return fn(s)
 

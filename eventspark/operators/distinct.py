@@ -39,14 +39,23 @@ def uv_exact(df: DataFrame, *, user="user_id", ts="ts", size="1 hour") -> DataFr
 
 def uv_bloom(df: DataFrame, *, user="user_id", ts="ts", size="1 hour", expected: int = BLOOM_EXPECTED,
              fpp: float = BLOOM_FPP) -> DataFrame:
-    """Bloom-bitmap estimate of distinct users per window, rounded to a whole number (``uv``) plus set bits."""
+    """Bloom-bitmap estimate of distinct users per window, rounded to a whole number (``uv``).
+
+    NULL users don't count.  A window's users are made distinct before each sets its ``k`` bits.  A full bitmap gives
+    the largest estimate it can state (one bit unset); size it with ``expected``.
+    """
     m, k = bloom_size(expected, fpp)
-    pos = F.explode(F.array(*[F.pmod(F.xxhash64(F.col(user).cast("string"), F.lit(i)), F.lit(m)) + 1
+    df = df.select(_window(df, ts, size).alias("w"), F.col(user).alias("_user"))
+    windows = df.select("w").distinct()
+    users = df.where(F.col("_user").isNotNull()).distinct()
+    pos = F.explode(F.array(*[F.pmod(F.xxhash64(F.col("_user").cast("string"), F.lit(i)), F.lit(m)) + 1
                               for i in range(k)]))
-    bits = df.select(_window(df, ts, size).alias("w"), pos.alias("pos"))
+    bits = users.select("w", pos.alias("pos"))
     per_bucket = (bits.groupBy("w", F.bitmap_bucket_number("pos").alias("b"))
                   .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("pos"))).alias("x")))
     per_window = per_bucket.groupBy("w").agg(F.sum("x").alias("set_bits"))
+    per_window = windows.withColumnRenamed("w", "_w").join(per_window, F.col("_w") == F.col("w"), "left").select(
+        F.col("_w").alias("w"), F.least(F.coalesce("set_bits", F.lit(0)), F.lit(m - 1)).alias("set_bits"))
     est = -F.lit(m / k) * F.log(F.lit(1.0) - F.col("set_bits") / F.lit(float(m)))
     return per_window.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                              F.round(est).cast("bigint").alias("uv"))

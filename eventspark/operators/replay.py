@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.durations import to_micros
 from ..session import reliable_checkpoint
+from .chains import _join_ns
 from .scan import prefix_scan
 
 ORDER = ["arrival", "event_id"]
@@ -124,7 +125,7 @@ def allowed_lateness(df: DataFrame, *, key: str = "key", size: str = "5 seconds"
     c = reliable_checkpoint(c)  # read three times below, and scanned again for the update rows
     upd = c.where(F.col("class") == "update").withColumn("_kw", F.struct(*kw))
     upd = prefix_scan(upd, key="_kw", order=ORDER, values=[("_u", F.lit(1).cast("bigint"), "sum")])
-    upd = upd.join(on_time, kw, "left").select(*kw, F.coalesce("_n0", F.lit(0)).alias("_n0"), "_u")
+    upd = _join_ns(upd, on_time, kw, "left").select(*kw, F.coalesce("_n0", F.lit(0)).alias("_n0"), "_u")
     first_from_on_time = on_time.select(*kw, F.lit(1).cast("bigint").alias("firing"), F.col("_n0").alias("cnt"))
     firings_upd = upd.select(*kw, (F.when(F.col("_n0") > 0, 1).otherwise(0) + F.col("_u")).cast("bigint")
                              .alias("firing"), (F.col("_n0") + F.col("_u")).alias("cnt"))

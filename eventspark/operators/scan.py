@@ -198,16 +198,8 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
     if num_partitions:
         pieces = max(1, num_partitions * PIECES_PER_PARTITION)
     else:
-        pieces = max(1, min(MAX_PIECES, -(-total // ROWS_PER_PIECE)))
+        pieces = max(2, min(MAX_PIECES, -(-total // ROWS_PER_PIECE)))  # one plan at every size
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    if pieces == 1:
-        # at most ROWS_PER_PIECE rows: one piece, so a plain window (bounded by that size) is the whole scan
-        w1 = Window.partitionBy(*keycols).orderBy(*order).rowsBetween(*frame)
-        single = [(F.coalesce(_running(how, F.col(tmp), w1), F.lit(0)) if how == "sum"
-                   else _running(how, F.col(tmp), w1)).alias(out) for out, tmp, _, how in vals]
-        edge = F.lit(None).cast(prepared.schema[key].dataType) if key else F.lit(0)
-        return prepared.select(*df.columns, *single, *([F.lit(0).alias(_PID), edge.alias(_FIRST), edge.alias(_LAST)]
-                                                       if keep_piece else []))
     flat = _flatten(prepared, [*keycols, *order])
     bounds = _boundaries(prepared, flat, pieces, total)
     probe = F.struct(*[e.alias(f"_b{i}") for i, (e, _) in enumerate(flat)])

@@ -159,7 +159,8 @@ def temp_rise_alerts(readings: DataFrame, *, key: str = "id", rise_for: str = "1
                      parallel_keys: str = "auto") -> DataFrame:
     """Alert when a sensor's temperature has not fallen for ``rise_for`` after it began to rise (rule in
     :func:`temp_rise_spec`).  A pending timer fires at the end of input.  Output ``id, alert_ts``."""
-    prepared = readings.select(key, _us("ts").alias("_ts_us"), "temperature", "event_id")
+    prepared = (readings.where(F.col("temperature").isNotNull())  # a reading without a value changes nothing
+                .select(key, _us("ts").alias("_ts_us"), "temperature", "event_id"))
     out = _hybrid(prepared, key, parallel_keys, lambda d: run_fold(d, temp_rise_spec(rise_for), key=key),
                   lambda d: chains.temp_rise_chain(d, key=key, rise_us=to_micros(rise_for)))
     return out.select(key, _ts("_alert_us").alias("alert_ts"))

@@ -17,7 +17,6 @@ from .windows import sliding_count
 # Fixed values of the ranked report text (must equal the reference's output format).
 REPORT_RULE = "=" * 61
 REPORT_TIME_PREFIX = "time: "
-REPORT_LINE = "No.{rank} :  itemID = {item} count = {count}"
 
 
 def top_n_per_window(counts: DataFrame, *, n: int = 3, window_col="window_end", item_col="item_id",

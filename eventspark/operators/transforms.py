@@ -61,8 +61,3 @@ def co_flat_map(left: DataFrame, right: DataFrame, *, left_copies: int = 2, righ
     rgt = right.select("*", F.lit("right").alias(side_col),
                        F.posexplode(F.array_repeat(F.lit(0), right_copies)).alias("copy_no", "_r")).drop("_r")
     return lft.unionByName(rgt, allowMissingColumns=True).withColumn("copy_no", F.col("copy_no").cast("bigint"))
-
-
-def add_constant(df: DataFrame, col: str, delta, out: str | None = None) -> DataFrame:
-    """``value + delta`` as a column (the per-task open/close mapper's body, without the per-task part)."""
-    return df.withColumn(out or col, F.col(col) + F.lit(delta))

@@ -164,6 +164,9 @@ ORACLE["uv_exact"] = with_views(V_BEHAVIORS) + UV_EXACT
 # (each lost bit moves the estimate by about 1/k); with m = 9.6 M bits and hourly windows that holds here.
 ORACLE["uv_bloom"] = with_views(V_BEHAVIORS) + UV_EXACT
 
+ORACLE["uv_hll"] = with_views(V_BEHAVIORS, "uv AS (" + UV_EXACT + ")") + """
+SELECT window_start, window_end, uv >= 0 AS within_5_percent FROM uv"""
+
 ORACLE["uv_report"] = with_views(V_BEHAVIORS, "uv AS (" + UV_EXACT + ")") + """
 SELECT window_end, uv, 'window end: ' || strftime(window_end, '%Y-%m-%d %I:%M:%S') || ' uv count: ' || CAST(uv AS VARCHAR)
        AS report
@@ -339,7 +342,7 @@ ORACLE["allowed_lateness"] = with_views(V_ARRIVALS, classified("1 hour", "10 min
 , n0 AS (SELECT key, ws, we, count(*) AS n0 FROM c WHERE cls = 'on_time' GROUP BY ALL)
 , up AS (SELECT c.key, c.ws, c.we, coalesce(n0.n0, 0) AS n0,
                 row_number() OVER (PARTITION BY c.key, c.ws ORDER BY arrival, event_id) AS u
-         FROM c LEFT JOIN n0 ON c.key = n0.key AND c.ws = n0.ws WHERE cls = 'update')
+         FROM c LEFT JOIN n0 ON c.key IS NOT DISTINCT FROM n0.key AND c.ws = n0.ws WHERE cls = 'update')
 SELECT key, ws AS window_start, we AS window_end, CAST(1 AS BIGINT) AS firing, 'first' AS kind, n0 AS cnt FROM n0
 UNION ALL
 SELECT key, ws, we, CAST((CASE WHEN n0 > 0 THEN 1 ELSE 0 END) + u AS BIGINT) AS firing,

@@ -177,7 +177,12 @@ def q_uv_bloom(spark, sf_dir):
 
 @query("uv_hll")
 def q_uv_hll(spark, sf_dir):
-    return distinct.uv_hll(views.behaviors(events(spark, sf_dir), only="pv"), size="1 hour")
+    """Per window, whether the sketch's estimate lies within 5 % of the exact count (one user at least)."""
+    pv = views.behaviors(events(spark, sf_dir), only="pv")
+    est = distinct.uv_hll(pv, size="1 hour").withColumnRenamed("uv", "est")
+    both = distinct.uv_exact(pv, size="1 hour").join(est, ["window_start", "window_end"])
+    near = F.abs(F.col("est") - F.col("uv")) <= F.greatest(F.col("uv") * 0.05, F.lit(1))
+    return both.select("window_start", "window_end", near.alias("within_5_percent"))
 
 
 @query("uv_report")

@@ -22,9 +22,3 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the parquet tables as temp views under their own names (for ``spark.sql``)."""
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)

@@ -19,17 +19,17 @@ from pyspark.sql import functions as F
 from ..functions.durations import to_micros
 from ..operators.topn import changelog, top_n_per_window
 from ..operators.windows import sliding_count
+from .sources import path_exists
 
 
 def topn_changelog_handler(write: Callable[[DataFrame, int], None], state_path: str, *, n: int = 3,
                            item: str = "item_id", size: str = "1 hour", slide: str = "5 minutes",
                            retention: str | None = None):
     def read_state(spark, batch_id):
-        try:
-            st = spark.read.parquet(state_path)
-            last = st.where(F.col("v") < batch_id).agg(F.max("v").alias("m")).first()["m"]
-        except Exception:  # noqa: BLE001 - no state yet
+        if not path_exists(spark, state_path):
             return None
+        st = spark.read.parquet(state_path)
+        last = st.where(F.col("v") < batch_id).agg(F.max("v").alias("m")).first()["m"]
         return None if last is None else st.where(F.col("v") == last).drop("v")
 
     def handle(batch: DataFrame, batch_id: int) -> None:

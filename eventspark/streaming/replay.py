@@ -20,18 +20,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import replay
+from ..operators.chains import _join_ns
+from .sources import path_exists
 
 CARRY_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("max_us", T.LongType())])
 
 
 def _carry_before(spark, carry_path: str, batch_id: int) -> int | None:
-    if not os.path.exists(carry_path) and "://" not in carry_path:
-        return None
-    try:
-        got = (spark.read.schema(CARRY_SCHEMA).parquet(carry_path).where(F.col("batch_id") < batch_id)
-               .agg(F.max("max_us").alias("m")).first())
-    except Exception:  # noqa: BLE001 - no carry written yet
+    if not path_exists(spark, carry_path):
         return None
+    got = (spark.read.schema(CARRY_SCHEMA).parquet(carry_path).where(F.col("batch_id") < batch_id)
+           .agg(F.max("max_us").alias("m")).first())
     return None if got is None else got["m"]
 
 
@@ -82,13 +81,11 @@ def smoke_alerts_handler(write: Callable[[DataFrame, int], None], carry_path: st
         spark = batch.sparkSession
         readings, levels = split(batch)
         carried = None
-        try:
+        if path_exists(spark, carry_path):
             prev = (spark.read.schema(LEVEL_CARRY_SCHEMA).parquet(carry_path).where(F.col("batch_id") < batch_id)
                     .where(F.col("level").isNotNull())
                     .agg(F.max_by("level", F.struct("ts_us", "event_id")).alias("l")).first())
             carried = prev["l"] if prev else None
-        except Exception:  # noqa: BLE001 - nothing carried yet
-            carried = None
         write(control.smoke_alerts(readings, levels, threshold=threshold, initial_level=carried), batch_id)
         last = (levels.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "event_id", "level")
                 .orderBy(F.desc("ts_us"), F.desc("event_id")).limit(1).collect())
@@ -116,11 +113,10 @@ def allowed_lateness_handler(write: Callable[[DataFrame, int], None], carry_path
     b_us, l_us = to_micros(bound), to_micros(lateness)
 
     def read_state(spark, batch_id):
-        try:
-            st = spark.read.parquet(state_path)
-            last = st.where(F.col("v") < batch_id).agg(F.max("v").alias("m")).first()["m"]
-        except Exception:  # noqa: BLE001 - no state yet
+        if not path_exists(spark, state_path):
             return None
+        st = spark.read.parquet(state_path)
+        last = st.where(F.col("v") < batch_id).agg(F.max("v").alias("m")).first()["m"]
         return None if last is None else st.where(F.col("v") == last).drop("v")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -139,15 +135,19 @@ def allowed_lateness_handler(write: Callable[[DataFrame, int], None], carry_path
             if prev is None:
                 prev = on_b.select(*kw).limit(0).select(*kw, F.lit(0).cast("bigint").alias("n0"),
                                                      F.lit(0).cast("bigint").alias("nu"), F.lit(False).alias("fired"))
-            merged = (prev.join(on_b, kw, "full").join(nub, kw, "full")
-                      .select(*kw, (F.coalesce("n0", F.lit(0)) + F.coalesce("_n0b", F.lit(0))).alias("n0"),
-                              F.coalesce("nu", F.lit(0)).alias("_nu_prev"), F.coalesce("_nub", F.lit(0)).alias("_nub"),
-                              F.coalesce("fired", F.lit(False)).alias("_fired_prev")))
+            # summed, not joined, so that NULL keys meet
+            zero, no = F.lit(0).cast("bigint"), F.lit(False)
+            parts = (prev.select(*kw, "n0", F.col("nu").alias("_nu_prev"), zero.alias("_nub"), F.col("fired").alias("_fired"))
+                     .unionByName(on_b.select(*kw, F.col("_n0b").alias("n0"), zero.alias("_nu_prev"), zero.alias("_nub"),
+                                              no.alias("_fired")))
+                     .unionByName(nub.select(*kw, zero.alias("n0"), zero.alias("_nu_prev"), "_nub", no.alias("_fired"))))
+            merged = parts.groupBy(*kw).agg(F.sum("n0").alias("n0"), F.sum("_nu_prev").alias("_nu_prev"),
+                                            F.sum("_nub").alias("_nub"), F.max("_fired").alias("_fired_prev"))
             ends_us = F.unix_micros(F.col("window_end").cast("timestamp"))
             passed = ends_us <= F.lit(new_max - b_us) if new_max is not None else F.lit(False)
             firsts = merged.where(~F.col("_fired_prev") & passed & (F.col("n0") > 0)).select(
                 *kw, F.lit(1).cast("bigint").alias("firing"), F.lit("first").alias("kind"), F.col("n0").alias("cnt"))
-            n = upd.join(merged.select(*kw, "n0", "_nu_prev"), kw)
+            n = _join_ns(upd, merged.select(*kw, "n0", "_nu_prev"), kw)
             fire_no = (F.when(F.col("n0") > 0, 1).otherwise(0) + F.col("_nu_prev") + F.col("_u")).cast("bigint")
             updates = n.select(*kw, fire_no.alias("firing"),
                                F.when(fire_no == 1, F.lit("first")).otherwise(F.lit("update")).alias("kind"),
@@ -178,12 +178,10 @@ def union_watermark_handler(write: Callable[[DataFrame, int], None], carry_path:
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         ca = cb = None
-        try:
+        if path_exists(spark, carry_path):
             got = (spark.read.schema(PAIR_CARRY_SCHEMA).parquet(carry_path).where(F.col("batch_id") < batch_id)
                    .agg(F.max("max_a").alias("a"), F.max("max_b").alias("b")).first())
             ca, cb = (got["a"], got["b"]) if got else (None, None)
-        except Exception:  # noqa: BLE001 - nothing carried yet
-            pass
         a, b = split(batch)
         write(replay.union_watermark_trace(a, b, bound=bound, initial_max_a_us=ca, initial_max_b_us=cb), batch_id)
         mx = lambda d: d.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("m")).first()["m"]

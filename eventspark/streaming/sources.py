@@ -35,3 +35,10 @@ def read_parquet_stream(spark: SparkSession, path: str, schema: T.StructType,
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     """Per-query checkpoint folder under the session's shared checkpoint directory (``spark.checkpoint.dir``)."""
     return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists in whatever store its path names; any other trouble raises."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

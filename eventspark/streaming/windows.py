@@ -55,7 +55,7 @@ def hot_items_handler(write: Callable[[DataFrame, int], None], *, n: int = 3, it
 
 
 def uv_stream(df: DataFrame, *, user: str = "user_id", ts: str = "ts", size: str = "1 hour") -> DataFrame:
-    """Exact distinct users per tumbling window on a stream."""
-    firsts = df.select(F.window(F.col(ts), size).alias("w"), user).dropDuplicates(["w", user])
+    """Exact distinct users per tumbling window on a stream; NULL users don't count."""
+    firsts = df.where(F.col(user).isNotNull()).select(F.window(F.col(ts), size).alias("w"), user).dropDuplicates(["w", user])
     out = firsts.groupBy("w").agg(F.count(F.lit(1)).alias("uv"))
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv")

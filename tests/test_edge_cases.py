@@ -96,3 +96,53 @@ def test_prefix_scan_literal_boundaries_awkward_values(spark, monkeypatch):
     w = Window.partitionBy("k").orderBy("d", "t", "o")
     want = df.select("k", "o", F.row_number().over(w).cast("bigint").alias("c"))
     assert rows(got, "k", "o", "c") == rows(want, "k", "o", "c")
+
+
+def test_partition_scoped_increment_keeps_big_integers_beside_nulls(spark):
+    from eventspark.functions import udfs
+    big = 9007199254740993
+    df = spark.createDataFrame([(1, big), (2, None)], "event_id long, user_id long")
+    got = sorted(tuple(r) for r in udfs.partition_scoped_increment(df, "user_id", 1, out="more").collect())
+    assert got == [(1, big, big + 1), (2, None, None)]
+
+
+def test_lifecycle_opens_and_closes_once_per_task(spark, tmp_path):
+    import os
+    import uuid
+    from eventspark.functions import udfs
+
+    folder = str(tmp_path)
+
+    def note(what):
+        open(os.path.join(folder, f"{what}-{uuid.uuid4()}"), "w").close()
+
+    df = spark.range(100, numPartitions=3)
+    out = udfs.map_partitions_with_lifecycle(df, lambda b, ctx: b, df.schema, open_fn=lambda: note("open"),
+                                             close_fn=lambda ctx: note("close"))
+    assert out.count() == 100
+    kinds = [x.split("-")[0] for x in os.listdir(folder)]
+    assert kinds.count("open") == kinds.count("close") == 3
+
+
+def test_uv_ignores_null_users_and_states_a_full_bitmap(spark):
+    from eventspark.operators import distinct
+    df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS ts, CAST(x AS BIGINT) AS user_id "
+                   "FROM VALUES (NULL), (1) AS t(x)")
+    assert [r["uv"] for r in distinct.uv_exact(df).collect()] == [1]
+    assert [r["uv"] for r in distinct.uv_bloom(df).collect()] == [1]
+    many = spark.range(20_000).selectExpr("timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id")
+    assert distinct.uv_bloom(many, expected=200).first()["uv"] > 200
+    none = df.where("user_id IS NULL")
+    assert [r["uv"] for r in distinct.uv_bloom(none).collect()] == [0]
+
+
+def test_allowed_lateness_null_key(spark):
+    from eventspark.operators import replay
+    rows = [(a, k, t) for k in ("x", None) for a, t in ((1, 1), (2, 11), (3, 2))]
+    df = spark.createDataFrame([(i, k, a, t) for i, (a, k, t) in enumerate(sorted(rows, key=lambda r: r[0]))],
+                               "event_id long, key string, arrival long, t long")
+    df = df.selectExpr("event_id", "key", "arrival", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, t) AS ts")
+    out = replay.allowed_lateness(df, key="key", size="5 seconds", bound="0 seconds", lateness="10 seconds").collect()
+    per = {k: sorted((r["firing"], r["kind"], r["cnt"]) for r in out if r["key"] == k and r["window_end"].second == 5)
+           for k in ("x", None)}
+    assert per["x"] == per[None] and len(per["x"]) == 2
