@@ -160,7 +160,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], vocabulary: int = 50_000
     table = np.zeros((2, BUCKETS + 1))
     for r in sums.groupBy("kind", "bucket").agg(F.sum("n").alias("n")).collect():  # at most 2 * (BUCKETS + 1) rows
         table[r["kind"], r["bucket"]] = r["n"]
-    share = np.log(table[:, :BUCKETS] + 1) - np.log(table[:, :BUCKETS].sum(axis=1, keepdims=True) + BUCKETS)
+    seen = (table[:, :BUCKETS].sum(axis=0) > 0).sum() + 1  # token kinds met, and one for all others
+    tenth = 0.1  # of a count is added to each kind, so rare kinds of a small class still tell
+    share = np.log(table[:, :BUCKETS] + tenth) - np.log(table[:, :BUCKETS].sum(axis=1, keepdims=True) + tenth * seen)
     prior = math.log(table[1, BUCKETS] + 1) - math.log(table[0, BUCKETS] + 1)
     return parts.select("page_id", "host", "path", "rule", "verdict").mapInArrow(
         _judged(counts, share[1] - share[0], prior),

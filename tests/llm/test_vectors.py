@@ -1,0 +1,77 @@
+"""Cover-tree links and exact top-k against brute force, with nulls, ties, repeats and lengths that differ."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from eventspark.llm.cover_tree import near_vectors
+from eventspark.llm.topk import products, top_k
+from pyspark.sql import functions as F
+
+SCHEMA = "vec_id long, embedding array<float>, label int, component long"
+
+
+def sample(seed=0):
+    rng = np.random.default_rng(seed)
+    rows, at = [], 0
+    for label in (0, 1, 2):
+        for _ in range(12):
+            center = rng.normal(size=8)
+            for _ in range(int(rng.integers(1, 14))):
+                rows.append((at, (center + rng.normal(size=8) * rng.choice([0, 0.02, 0.06, 0.2])).tolist(), label, 7))
+                at += 1
+    rows += [(at + i, v, lab, 7) for i, (v, lab) in enumerate([
+        (None, 1), ([0.0] * 8, 1), ([1.0] * 7 + [float("nan")], 1), ([1.0] * 7 + [None], 1), ([1.0] * 8, None),
+        ([1.0] * 8, None), ([1.0] * 5, 1), ([2.0] * 5, 1), ([], 1), ([float("inf")] + [0.0] * 7, 1)])]
+    return spark_order(rows, rng)
+
+
+def spark_order(rows, rng):
+    return [rows[i] for i in rng.permutation(len(rows))]
+
+
+def fine(v):
+    return v is not None and all(x is not None and np.isfinite(x) for x in v)
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_links_match_brute_force(spark, block):
+    rows = sample()
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in
+           near_vectors(spark.createDataFrame(rows, SCHEMA), block=block).collect()}
+    root, links = {r[0]: r[0] for r in rows}, dict.fromkeys((r[0] for r in rows), 0)
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    ok = [(i, np.array(v, np.float32).astype(float), lab) for i, v, lab, _ in rows if lab is not None and fine(v) and np.any(v)]
+    for k, (i, x, a) in enumerate(ok):
+        for j, y, b in ok[:k]:
+            if a == b and len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.98:
+                links[i] += 1
+                links[j] += 1
+                lo, hi = sorted((find(i), find(j)))
+                root[hi] = lo
+    assert sum(links.values()) > 100
+    assert got == {i: (links[i], find(i), find(i) == i) for i in root}
+    assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_top_k_matches_brute_force(spark):
+    rows = sample(3)
+    rows += [rows[0], (900, rows[0][1], 0, 1), (901, rows[0][1], 0, 1), (None, [1.0] * 8, 0, 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = [tuple(r) for r in top_k(df, F.col("vec_id") % 5 == 0, shard_rows=40, tile=4).collect()]
+    ints = {i: np.floor(np.array(v, np.float32).astype(float) * 256).astype(np.int64) for i, v, _, _ in rows if i is not None and fine(v)}
+    want = []
+    for q in (i for i in ints if i % 5 == 0):
+        scored = sorted((-int(ints[q] @ v), i) for i, v in ints.items() if i != q and len(v) == len(ints[q]))
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])]
+    assert sorted(got) == sorted(want)
+    assert top_k(df.limit(0), F.col("vec_id") % 5 == 0).count() == 0
+
+
+def test_products_stay_exact():
+    a = np.array([[2 ** 40, 3], [1, 2]], np.int64)
+    assert products(a, np.array([[2 ** 20, 1]], np.int64)).tolist() == [[2 ** 60 + 3], [2 ** 20 + 2]]
