@@ -1,20 +1,20 @@
-"""Greedy timer chains computed in parallel, for keys too large for one task.
+"""Greedy timer chains computed in parallel.
 
 The re-arming timers of :mod:`eventspark.operators.timers` all select a *greedy chain* of rows per group: the first
-eligible row, then the first eligible row later than ``gap`` after it, and so on.  ``keyed_fold`` finds the chain
-with one sequential pass per key; for a key holding a large share of all rows that pass is one long task.
-:func:`greedy_chain` finds the same rows without ever putting a group into one task:
+eligible row, then the first eligible row later than ``gap`` after it, and so on.  :func:`greedy_chain` finds these
+rows without ever putting a group into one task:
 
-1. eligible rows get their position ``rn`` in the group (skew-safe :func:`~eventspark.operators.scan.running_count`);
+1. eligible rows get their position ``rn`` in the group and the time of the row before (one prefix scan).  A row more
+   than ``gap`` after the row before it is in the chain whatever came earlier, so it starts a segment of its own;
 2. every eligible row gets ``nxt`` = position of the first eligible row later than ``ts + gap`` — an as-of lookup
-   done with a prefix scan in descending time over the rows and one probe per row;
+   done with a prefix scan in descending time over the rows and one probe per row; steps to a segment's start are
+   dropped, so all segments are followed at once;
 3. pointer doubling: with ``J_t`` = ``nxt`` applied ``2^t`` times, the chain members known after round t are
-   ``M_t = {J^m(first) : m < 2^t}`` and ``M_{t+1} = M_t ∪ J_t(M_t)``, ``J_{t+1} = J_t ∘ J_t``.  Both steps are
+   ``M_t = {J^m(start) : m < 2^t}`` and ``M_{t+1} = M_t ∪ J_t(M_t)``, ``J_{t+1} = J_t ∘ J_t``.  Both steps are
    equi-joins on ``(group, rn)``, unique on the lookup side, so no join partition is skewed.  The loop stops when a
-   round adds no member: log2(longest chain) + 1 rounds, each checkpointed to the shared folder to cut lineage.
+   round adds no member: log2(longest chain without a gap) + 1 rounds, each written to the shared checkpoint folder.
 
-The ``*_chain`` functions below restate the timer operators with it; they return exactly the rows of the folds
-(the tests run both on the same data).  :func:`hot_keys` picks the keys that take this path.
+The ``*_chain`` functions below restate the timer operators with it.
 """
 
 from __future__ import annotations
@@ -23,23 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .scan import prefix_scan, running_count
-
-# A key takes the parallel path when it holds more than 1/(HOT_SHARE_DIVISOR × shuffle partitions) of all rows (and
-# at least HOT_MIN_ROWS): at most HOT_SHARE_DIVISOR × partitions keys qualify, so the list is bounded.
-HOT_SHARE_DIVISOR = 4
-HOT_MIN_ROWS = 100_000
-
-
-def hot_keys(df: DataFrame, key: str, *, min_rows: int | None = None) -> list:
-    """Keys holding more rows than one task should fold sequentially (a bounded list, see above)."""
-    min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
-    threshold = max(min_rows, total // (HOT_SHARE_DIVISOR * n))
-    return [r[0] for r in counts.where(F.col("_n") > threshold).select(key).collect()]
-
+from .scan import prefix_scan
 
 def _join_ns(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
     """Join on equal ``cols`` with NULL matching NULL (keys may be NULL); keeps one copy of the join columns."""
@@ -52,38 +36,36 @@ def _join_ns(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inn
     return out if how in ("left_anti", "left_semi") else out.drop(*[f"_r_{c}" for c in cols])
 
 
-def is_in(col: str, keys: list) -> Column:
-    return F.coalesce(F.col(col).isin(keys), F.lit(False)) if keys else F.lit(False)
-
-
 def greedy_chain(df: DataFrame, *, group: str, ts_us: str, id_col: str, gap_us: int, eligible: Column
                  ) -> DataFrame:
     """Chain members ``(group, ts_us, id_col)``: per group the first eligible row in ``(ts_us, id_col)`` order, then
     repeatedly the first eligible row with ``ts_us > previous + gap_us``."""
     rows = df.where(eligible).select(group, ts_us, id_col)
-    numbered = reliable_checkpoint(running_count(rows, key=group, order=[ts_us, id_col], out="_rn"))
+    numbered = prefix_scan(rows, key=group, order=[ts_us, id_col], inclusive=False, values=[
+        ("_before", F.lit(1).cast("bigint"), "sum"), ("_prev", F.col(ts_us), "last")])
+    numbered = reliable_checkpoint(numbered.select(
+        group, ts_us, id_col, (F.col("_before") + 1).alias("_rn"),
+        F.coalesce(F.col(ts_us) > F.col("_prev") + F.lit(gap_us), F.lit(True)).alias("_start")))
 
     # nxt: probes at ts + gap; in descending (ts, kind, id) order the last data row seen before a probe is the first
     # row strictly later than the probe (data rows at the probe's time come after it, so they are not counted)
     data = numbered.select(group, F.col(ts_us).alias("_t"), F.lit(0).alias("_kind"), F.col(id_col).alias("_i"),
-                           F.col("_rn"), F.lit(None).cast("bigint").alias("_src"))
+                           F.struct("_rn", "_start").alias("_row"), F.lit(None).cast("bigint").alias("_src"))
     probes = numbered.select(group, (F.col(ts_us) + F.lit(gap_us)).alias("_t"), F.lit(1).alias("_kind"),
-                             F.col(id_col).alias("_i"), F.lit(None).cast("bigint").alias("_rn"),
+                             F.col(id_col).alias("_i"), F.lit(None).cast(data.schema["_row"].dataType).alias("_row"),
                              F.col("_rn").alias("_src"))
     both = data.unionByName(probes).select("*", (-F.col("_t")).alias("_nt"), (-F.col("_kind")).alias("_nk"),
                                            (-F.col("_i")).alias("_ni"))
-    scanned = prefix_scan(both, key=group, order=["_nt", "_nk", "_ni"], values=[("_nx", F.col("_rn"), "last")])
-    jump = reliable_checkpoint(scanned.where(F.col("_kind") == 1).where(F.col("_nx").isNotNull())
-                               .select(group, F.col("_src").alias("_rn"), "_nx"))
-
-    members = reliable_checkpoint(numbered.where(F.col("_rn") == 1).select(group, "_rn"))
-    frontier = members
-    while True:
-        new = reliable_checkpoint(_join_ns(frontier, jump, [group, "_rn"]).select(group, F.col("_nx").alias("_rn")))
-        if new.limit(1).count() == 0:
+    scanned = prefix_scan(both, key=group, order=["_nt", "_nk", "_ni"], values=[("_nx", F.col("_row"), "last")])
+    jump = reliable_checkpoint(scanned.where((F.col("_kind") == 1) & ~F.col("_nx._start"))
+                               .select(group, F.col("_src").alias("_rn"), F.col("_nx._rn").alias("_nx")))
+
+    members = numbered.where("_start").select(group, "_rn")
+    while not jump.isEmpty():
+        new = reliable_checkpoint(_join_ns(members, jump, [group, "_rn"]).select(group, F.col("_nx").alias("_rn")))
+        if new.isEmpty():
             break
-        members = reliable_checkpoint(members.unionByName(new))
-        frontier = members
+        members = members.unionByName(new)
         second = jump.select(group, F.col("_rn").alias("_mid"), F.col("_nx").alias("_nx2"))
         jump = reliable_checkpoint(_join_ns(jump.withColumnRenamed("_nx", "_mid"), second, [group, "_mid"])
                                    .select(group, "_rn", F.col("_nx2").alias("_nx")))

@@ -5,23 +5,21 @@
 instead cuts the rows into range pieces over ``(key, order)`` so that even a key holding a third of all rows spans
 many pieces of similar size, and stitches the pieces back together with a carry:
 
-1. Range pieces over ``(key, *order)``: a bounded Bernoulli sample (about ``3 * SAMPLE_PER_PIECE`` rows per piece,
-   sorted by Spark) gives the piece boundaries, and each row's piece id ``_ps_pid`` is a binary search over them
-   written as nested ``CASE`` (log2(pieces) comparisons per row, JVM-side).  The boundaries are literals in the plan, so a recomputed
-   task after an executor loss assigns exactly the same pieces — no checkpoint of the data is needed.  There are
-   about ``ROWS_PER_PIECE`` rows per piece (at most ``MAX_PIECES``); AQE coalesces the shuffle partitions.
-2. One shuffle of the rows, ``repartition(_ps_pid)``.  Per piece: first key, last key and the aggregate of the
-   piece's tail (rows of its last key) — partial aggregates per ``(piece, key)`` combined map-side before a small
-   shuffle, then one tiny row per piece.
+1. Range pieces: ``repartitionByRange`` over ``(key, *order)`` into ``spark.sql.shuffle.partitions`` pieces (two at
+   least), at every size.  The rows are written once to the shared checkpoint folder together with their piece id
+   ``_ps_pid`` (the partition's number, so ids follow the sort order); summary and scan both read that copy, and a task
+   that is recomputed after an executor loss sees the same pieces.  The input is evaluated twice: by Spark's range
+   sampling and by the write.
+2. Per piece: first key, last key and the aggregate of the piece's tail (rows of its last key) — partial aggregates
+   per ``(piece, key)`` combined map-side before a small shuffle, then one tiny row per piece.
 3. Carry into piece p: the aggregate of all earlier rows with p's first key.  Because keys are sorted across
    pieces, those rows sit in the tails of the pieces just before p; a window over the summary rows finds them.  The
-   carry table has one row per piece (at most ``MAX_PIECES``), a proven bound, so it is broadcast.
+   carry table has one row per piece, as many as there are shuffle partitions, so it is broadcast.
 4. Running value inside ``(piece, key)`` with an ordinary window, combined with the carry on the piece's first key.
-   The window's distribution ``(piece, key)`` is already satisfied by the hash partitioning on the piece, so this
-   adds a sort within partitions but no second shuffle.  Every window group is at most one piece.
+   Every window group is at most one piece.
 
-Supported aggregates: ``sum`` (counts are sums of 1; an empty prefix sums to 0), ``max``, ``min`` and ``last`` (last non-null value).
-``inclusive=False`` gives the value over the rows strictly before each row.
+Supported aggregates: ``sum``, ``max``, ``min`` and ``last`` (last non-null value in order, the carrier of as-of
+lookups).  ``sum`` treats NULL as 0; the others ignore NULL.  ``inclusive=False`` gives the value before the row.
 """
 
 from __future__ import annotations
@@ -30,119 +28,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_PID, _FIRST, _LAST = "_ps_pid", "_ps_first", "_ps_last"
-
-# Balance knobs.  Pieces follow the data size (ROWS_PER_PIECE rows each, at most MAX_PIECES, which also bounds the
-# binary-search expression to log2(MAX_PIECES) comparisons per row); an explicit ``num_partitions`` asks for
-# PIECES_PER_PARTITION pieces per partition instead.  SAMPLE_PER_PIECE sampled rows place each boundary.
-ROWS_PER_PIECE = 100_000
-MAX_PIECES = 16384
-PIECES_PER_PARTITION = 4
-SAMPLE_PER_PIECE = 32
-SAMPLE_SEED = 7
-
-
-def _flatten(df: DataFrame, cols: Sequence[str]) -> list[tuple[Column, T.DataType]]:
-    """Comparable scalar expressions whose lexicographic order is the order of ``cols`` (struct columns expanded
-    field by field; zoned timestamps as epoch microseconds so that their literals need no time zone)."""
-    out: list[tuple[Column, T.DataType]] = []
-
-    def add(expr: Column, dt: T.DataType) -> None:
-        if isinstance(dt, T.StructType):
-            for f in dt.fields:
-                add(expr.getField(f.name), f.dataType)
-        elif isinstance(dt, T.TimestampType):
-            out.append((F.unix_micros(expr), T.LongType()))
-        else:
-            out.append((expr, dt))
-
-    for c in cols:
-        add(F.col(c), df.schema[c].dataType)
-    return out
-
-
-def _literal(v, dt: T.DataType) -> Column:
-    if v is None:
-        return F.lit(None).cast(dt)
-    if isinstance(dt, T.TimestampNTZType):
-        return F.lit(v.isoformat(sep=" ")).cast(dt)
-    return F.lit(v).cast(dt)
-
-
-def _boundaries(df: DataFrame, flat: list[tuple[Column, T.DataType]], pieces: int, total: int) -> list[tuple]:
-    """``pieces - 1`` boundary rows (fewer when the sample has fewer distinct values), in Spark's order.
-
-    A Bernoulli sample of expected size ``3 * pieces * SAMPLE_PER_PIECE`` (the fraction comes from a row count, a
-    narrow pass) capped at ``4 *`` that, sorted by Spark and brought to the driver: the driver never holds more than
-    the cap, whatever the number of input partitions.  The sample only decides balance: any sorted boundaries give
-    correct results."""
-    if pieces <= 1:
-        return []
-    names = [f"_b{i}" for i in range(len(flat))]
-    k = pieces * SAMPLE_PER_PIECE
-    if total == 0:
-        return []
-    fraction = min(1.0, 3.0 * k / total)
-    sample = (df.select(*[e.alias(nm) for (e, _), nm in zip(flat, names)])
-              .sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
-              .limit(4 * k).orderBy(*names).collect())
-    if not sample:
-        return []
-    picks, last = [], None
-    for i in range(1, pieces):
-        row = tuple(sample[min(len(sample) - 1, (i * len(sample)) // pieces)])
-        if row != last:
-            picks.append(row)
-            last = row
-    return picks
+from ..session import reliable_checkpoint
 
-
-_SQL_TYPES = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType,
-              T.BooleanType, T.DateType, T.TimestampNTZType, T.DecimalType)
-
-
-def _sql_literal(v, dt: T.DataType) -> str:
-    if v is None:
-        return f"CAST(NULL AS {dt.simpleString()})"
-    if isinstance(dt, T.TimestampNTZType):
-        text = v.isoformat(sep=" ")
-    elif isinstance(dt, T.DateType):
-        text = v.isoformat()
-    elif isinstance(dt, (T.DoubleType, T.FloatType)):
-        text = repr(float(v))
-    elif isinstance(dt, T.BooleanType):
-        text = "true" if v else "false"
-    else:
-        text = str(v)
-    return "CAST('" + text.replace("\\", "\\\\").replace("'", "\\'") + f"' AS {dt.simpleString()})"
-
-
-def _piece_id(probe: Column, bounds: list[tuple], flat) -> Column:
-    """Number of boundaries strictly below ``probe``: a balanced binary search as nested CASE expressions.
-
-    Written as one SQL expression over the probe column when every field type has a plain literal form (one parser
-    call instead of thousands of column objects); other types build the same tree from column objects."""
-    names = [f"_b{i}" for i in range(len(flat))]
-    if all(isinstance(dt, _SQL_TYPES) for _, dt in flat):
-        lits = ["named_struct(" + ", ".join(f"'{nm}', {_sql_literal(v, dt)}" for v, (_, dt), nm in
-                                            zip(row, flat, names)) + ")" for row in bounds]
-
-        def build_sql(lo: int, hi: int) -> str:
-            if lo == hi:
-                return str(lo)
-            mid = (lo + hi) // 2
-            return f"CASE WHEN _ps_probe <= {lits[mid]} THEN {build_sql(lo, mid)} ELSE {build_sql(mid + 1, hi)} END"
-        return F.expr(build_sql(0, len(bounds))) if bounds else F.lit(0)
-    cols = [F.struct(*[_literal(v, dt).alias(nm) for v, (_, dt), nm in zip(row, flat, names)]) for row in bounds]
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col("_ps_probe") <= cols[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(bounds))
+_PID, _FIRST, _LAST = "_ps_pid", "_ps_first", "_ps_last"
 
 
 def _partial(how: str, v: Column, order_struct: Column) -> Column:
@@ -194,25 +83,16 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
     vals = [(out, f"_ps_v{i}", expr, how) for i, (out, expr, how) in enumerate(values)]
     prepared = df.select("*", *[expr.alias(tmp) for _, tmp, expr, _ in vals])
 
-    total = prepared.count()
-    if num_partitions:
-        pieces = max(1, num_partitions * PIECES_PER_PARTITION)
-    else:
-        pieces = max(2, min(MAX_PIECES, -(-total // ROWS_PER_PIECE)))  # one plan at every size
+    pieces = max(2, num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    flat = _flatten(prepared, [*keycols, *order])
-    bounds = _boundaries(prepared, flat, pieces, total)
-    probe = F.struct(*[e.alias(f"_b{i}") for i, (e, _) in enumerate(flat)])
-    pieced = (prepared.withColumn("_ps_probe", probe).withColumn(_PID, _piece_id(probe, bounds, flat))
-              .drop("_ps_probe"))
-    # by column only, so AQE may coalesce small partitions (an explicit count is kept when the caller asks for one)
-    ranged = pieced.repartition(num_partitions, _PID) if num_partitions else pieced.repartition(_PID)
+    pieced = reliable_checkpoint(prepared.repartitionByRange(pieces, *keycols, *order)
+                                 .withColumn(_PID, F.spark_partition_id()))
     order_struct = F.struct(*[F.col(c) for c in order])
 
     # 2. per-piece first/last key and tail aggregates (one row per non-empty piece)
     if key:
-        # aggregated from the un-shuffled rows, so Spark combines per (piece, key) map-side and only partial rows are
-        # shuffled; then each piece keeps its first key and its last key's aggregate
+        # combined per (piece, key) map-side, so only partial rows are shuffled; then each piece keeps its first key and
+        # its last key's aggregate
         per_key = pieced.groupBy(_PID, key).agg(*[_partial(how, F.col(tmp), order_struct).alias(tmp)
                                                    for _, tmp, _, how in vals])
         # keys ordered as the sort orders them, NULL first (plain min/max/max_by would skip a NULL key)
@@ -226,7 +106,7 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
                                               for _, tmp, _, how in vals])
                    .withColumn(_FIRST, F.lit(0)).withColumn(_LAST, F.lit(0)))
 
-    # 3. carry into each piece (windows over the summary rows only, at most MAX_PIECES of them)
+    # 3. carry into each piece (windows over the summary rows only, one per piece)
     by_last = Window.partitionBy(_LAST).orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     by_pid = Window.orderBy(_PID)
     runs = summary.select(_PID, _FIRST, _LAST,
@@ -239,7 +119,7 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
 
     # 4. running value within (piece, key), combined with the piece's carry on its first key
     w = Window.partitionBy(_PID, *keycols).orderBy(*order).rowsBetween(*frame)
-    joined = ranged.join(F.broadcast(carry), _PID, "left")
+    joined = pieced.join(F.broadcast(carry), _PID, "left")
     first_key = F.col(key).eqNullSafe(F.col(_FIRST)) if key else F.lit(True)
     out_cols = []
     for out, tmp, _, how in vals:
@@ -260,7 +140,7 @@ def with_neighbors(df: DataFrame, *, key: str, order: Sequence[str], offsets: Se
                    cols: Sequence[str], rn_col: str = "rn") -> DataFrame:
     """Attach the columns of the rows ``offset`` positions later (negative: earlier) within the key.
 
-    ``lead``/``lag`` without a single-key window, and with one shuffle: the positions come from the skew-safe
+    ``lead``/``lag`` without a single-key window, and without a further shuffle: the positions come from the skew-safe
     :func:`running_count`, whose output stays partitioned by range piece; ``lead``/``lag`` over ``(piece, key)`` find
     every neighbour inside the same piece.  A neighbour in another piece is at most ``max|offset|`` rows into that
     piece's first (or last) key, so those edge rows — at most ``max|offset|`` per piece, a proven bound — are

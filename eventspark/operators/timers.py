@@ -3,21 +3,18 @@
 * ``event_timers`` — every event schedules a reminder at ``ts + delay``; a key fires once per distinct time.  This is
   a ``DISTINCT`` and needs no state at all.
 * ``temp_rise_alerts``, ``periodic_counts``, ``order_timeout_state`` — greedy, re-arming timers whose next state
-  depends on the previous firing, which no window expression states.  They run through :func:`keyed_fold`: rows are
-  hash-partitioned by key and sorted by ``(key, ts, id)`` inside each partition, and one pass over the Arrow batches
-  of each partition carries O(1) state per key (a key change flushes the previous key's pending timer).  No key's
-  rows are ever collected: memory is one batch plus the state of the current key.
+  depends on the previous firing, which no window expression states.  All keys, at every size, go through the parallel
+  chains of :mod:`eventspark.operators.chains`: DataFrame operations only, keys of any type, NULL keys one group.
 
-The fold bodies are the step functions below (a few comparisons per row).  Times enter the fold as epoch
-microseconds and come back as timestamps.
+The :class:`FoldSpec` state machines state the same rules row by row; the streaming twins run them, and the tests hold
+the chains against them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +35,7 @@ class FoldSpec:
     ``order`` sorts rows within a key.  ``step(state, row)`` may fire timers that are due before the row and returns
     output tuples (without the key); ``finish(state)`` fires whatever timer is pending and clears it; ``due(state)``
     is the pending timer (microseconds) or None.  Timers fire when time passes them strictly, so a row at exactly the
-    timer's time is still seen first.  The batch fold calls ``finish`` at the end of a key's rows; the streaming fold
+    timer's time is still seen first.  ``finish`` is due at the end of a key's rows; the streaming fold
     (``eventspark.streaming.stateful``) calls it once the watermark has passed ``due``.
     """
     make: Callable[[], dict]
@@ -53,67 +50,6 @@ class FoldSpec:
         return T.StructType([T.StructField(key, key_type)] + [T.StructField(n, t) for n, t in self.out_fields])
 
 
-def run_fold(df: DataFrame, spec: FoldSpec, *, key: str, num_partitions: int | None = None) -> DataFrame:
-    """:func:`keyed_fold` driven by a :class:`FoldSpec`."""
-    return keyed_fold(df, key=key, order=spec.order, columns=spec.columns, make_state=spec.make, step=spec.step,
-                      finish=spec.finish, out_schema=spec.out_schema(key, df.schema[key].dataType),
-                      num_partitions=num_partitions)
-
-
-def keyed_fold(df: DataFrame, *, key: str, order: Sequence[str], columns: Sequence[str],
-               make_state: Callable[[], dict], step: Callable[[dict, tuple], list],
-               finish: Callable[[dict], list], out_schema: T.StructType,
-               num_partitions: int | None = None) -> DataFrame:
-    """Run ``step(state, row)`` over each key's rows in ``order``; ``finish(state)`` at the key's end.
-
-    ``row`` is a tuple of ``columns`` (in that order); ``step``/``finish`` return lists of output tuples whose first
-    element is filled with the key by the fold (so they return tuples without the key).
-    """
-    cols = list(columns)
-    names = [f.name for f in out_schema.fields]
-    # by key only unless a count is asked for, so AQE may coalesce small partitions (a key never splits)
-    parts = df.select(key, *cols)
-    parts = parts.repartition(num_partitions, key) if num_partitions else parts.repartition(key)
-    sorted_parts = parts.sortWithinPartitions(key, *order)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        have_key, cur, state = False, None, None
-        for pdf in batches:
-            out = []
-            keys = pdf[key].tolist()
-            vals = list(zip(*[pdf[c].tolist() for c in cols])) if cols else [()] * len(keys)
-            for k, row in zip(keys, vals):
-                if not have_key or k != cur:
-                    if have_key:
-                        out.extend((cur, *r) for r in finish(state))
-                    have_key, cur, state = True, k, make_state()
-                out.extend((k, *r) for r in step(state, row))
-            if out:
-                yield pd.DataFrame(out, columns=names)
-        if have_key:
-            tail = [(cur, *r) for r in finish(state)]
-            if tail:
-                yield pd.DataFrame(tail, columns=names)
-
-    return sorted_parts.mapInPandas(run, out_schema)
-
-
-def _hybrid(prepared: DataFrame, key: str, parallel_keys: str, fold: Callable[[DataFrame], DataFrame],
-            chain: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Keys with many rows go through the parallel chain form, the others through the sequential fold.
-
-    ``parallel_keys``: ``"auto"`` (keys above the share in :func:`chains.hot_keys`), ``"all"`` or ``"none"``."""
-    if parallel_keys == "none":
-        return fold(prepared)
-    if parallel_keys == "all":
-        return chain(prepared)
-    hot = chains.hot_keys(prepared, key)
-    if not hot:
-        return fold(prepared)
-    inside = chains.is_in(key, hot)
-    return fold(prepared.where(~inside)).unionByName(chain(prepared.where(inside)))
-
-
 def _us(col: str):
     return F.unix_micros(F.col(col).cast("timestamp"))
 
@@ -155,14 +91,12 @@ def temp_rise_spec(rise_for: str = "1 second") -> FoldSpec:
                     ("_ts_us", "event_id"), (("_alert_us", T.LongType()),))
 
 
-def temp_rise_alerts(readings: DataFrame, *, key: str = "id", rise_for: str = "1 second",
-                     parallel_keys: str = "auto") -> DataFrame:
+def temp_rise_alerts(readings: DataFrame, *, key: str = "id", rise_for: str = "1 second") -> DataFrame:
     """Alert when a sensor's temperature has not fallen for ``rise_for`` after it began to rise (rule in
     :func:`temp_rise_spec`).  A pending timer fires at the end of input.  Output ``id, alert_ts``."""
     prepared = (readings.where(F.col("temperature").isNotNull())  # a reading without a value changes nothing
                 .select(key, _us("ts").alias("_ts_us"), "temperature", "event_id"))
-    out = _hybrid(prepared, key, parallel_keys, lambda d: run_fold(d, temp_rise_spec(rise_for), key=key),
-                  lambda d: chains.temp_rise_chain(d, key=key, rise_us=to_micros(rise_for)))
+    out = chains.temp_rise_chain(prepared, key=key, rise_us=to_micros(rise_for))
     return out.select(key, _ts("_alert_us").alias("alert_ts"))
 
 
@@ -194,12 +128,10 @@ def periodic_counts_spec(period: str = "10 seconds") -> FoldSpec:
                     (("_fire_us", T.LongType()), ("cnt", T.LongType())))
 
 
-def periodic_counts(readings: DataFrame, *, key: str = "id", period: str = "10 seconds",
-                    parallel_keys: str = "auto") -> DataFrame:
+def periodic_counts(readings: DataFrame, *, key: str = "id", period: str = "10 seconds") -> DataFrame:
     """Periodic cumulative counts (rule in :func:`periodic_counts_spec`).  Output ``id, fire_ts, cnt``."""
     prepared = readings.select(key, _us("ts").alias("_ts_us"), "event_id")
-    out = _hybrid(prepared, key, parallel_keys, lambda d: run_fold(d, periodic_counts_spec(period), key=key),
-                  lambda d: chains.periodic_counts_chain(d, key=key, period_us=to_micros(period)))
+    out = chains.periodic_counts_chain(prepared, key=key, period_us=to_micros(period))
     return out.select(key, _ts("_fire_us").alias("fire_ts"), "cnt")
 
 
@@ -241,11 +173,9 @@ def order_timeout_spec(timeout: str = "5 seconds") -> FoldSpec:
                     (("result", T.StringType()), ("_event_us", T.LongType()), ("_create_us", T.LongType())))
 
 
-def order_timeout_state(orders: DataFrame, *, key: str = "order_id", timeout: str = "5 seconds",
-                        parallel_keys: str = "auto") -> DataFrame:
+def order_timeout_state(orders: DataFrame, *, key: str = "order_id", timeout: str = "5 seconds") -> DataFrame:
     """Order create → pay within ``timeout`` with keyed state and a timer (rule in :func:`order_timeout_spec`).
     Output ``order_id, result, event_ts, create_ts``."""
     prepared = orders.select(key, _us("ts").alias("_ts_us"), "order_type", "event_id")
-    out = _hybrid(prepared, key, parallel_keys, lambda d: run_fold(d, order_timeout_spec(timeout), key=key),
-                  lambda d: chains.order_timeout_chain(d, key=key, timeout_us=to_micros(timeout)))
+    out = chains.order_timeout_chain(prepared, key=key, timeout_us=to_micros(timeout))
     return out.select(key, "result", _ts("_event_us").alias("event_ts"), _ts("_create_us").alias("create_ts"))

@@ -237,7 +237,8 @@ def order_pattern_spec(within: str = "5 seconds") -> FoldSpec:
 
 def temp_rise_alerts_stream(readings: DataFrame, *, key: str = "id", rise_for: str = "1 second") -> DataFrame:
     from ..operators.timers import temp_rise_spec
-    prepared = readings.select(key, "ts", us().alias("_ts_us"), "temperature", "event_id")
+    prepared = (readings.where(F.col("temperature").isNotNull())  # a reading without a value changes nothing
+                .select(key, "ts", us().alias("_ts_us"), "temperature", "event_id"))
     return stream_fold(prepared, temp_rise_spec(rise_for), key=key).select(key, ts_of("_alert_us").alias("alert_ts"))
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import ms, rows
+from conftest import cut, ms, rows
 from eventspark.operators import control, joins, patterns, rolling, scan, timers, topn, windows
 
 READING_SCHEMA = "id string, ts timestamp_ntz, temperature double, event_id long"
@@ -42,7 +42,7 @@ def test_null_keys_group_together_and_null_values(spark):
 @pytest.mark.parametrize("pieces", [None, 3])
 def test_prefix_scan_null_keys_across_pieces(spark, monkeypatch, pieces):
     if pieces:
-        monkeypatch.setattr(scan, "ROWS_PER_PIECE", 40)
+        cut(spark, 12)
     df = spark.range(0, 400).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 2).cast("string"))
                                     .alias("k"), F.col("id").alias("o"))
     got = scan.running_count(df, key="k", order=["o"], out="rn")
@@ -58,8 +58,6 @@ def test_duplicate_timestamps_within_key_ordered_by_id(spark):
                               ORDER_SCHEMA)
     assert rows(timers.order_timeout_state(o, timeout="5 seconds"), "result", "event_ts") == [
         ("orphan_pay", ms(1000)), ("payed", ms(1000))]
-    assert rows(timers.order_timeout_state(o, timeout="5 seconds", parallel_keys="all"), "result", "event_ts") == [
-        ("orphan_pay", ms(1000)), ("payed", ms(1000))]
     r = spark.createDataFrame([("s", ms(0), 1.0, 2), ("s", ms(0), 9.0, 1), ("s", ms(0), 4.0, 3)], READING_SCHEMA)
     assert rows(rolling.running_max(r), "event_id", "running_max") == [(1, 9.0), (2, 9.0), (3, 9.0)]
 
@@ -67,14 +65,27 @@ def test_duplicate_timestamps_within_key_ordered_by_id(spark):
 def test_timer_chains_with_null_keys(spark):
     data = [(None, 0), (None, 3000), (None, 12000), ("a", 0), ("a", 20000)]
     r = spark.createDataFrame([(k, ms(t), 1.0, i) for i, (k, t) in enumerate(data)], READING_SCHEMA)
-    fold = rows(timers.periodic_counts(r, period="10 seconds", parallel_keys="none"), "id", "fire_ts", "cnt")
-    chain = rows(timers.periodic_counts(r, period="10 seconds", parallel_keys="all"), "id", "fire_ts", "cnt")
-    assert fold == chain == [(None, ms(10000), 2), (None, ms(22000), 3), ("a", ms(10000), 1), ("a", ms(30000), 2)]
+    assert rows(timers.periodic_counts(r, period="10 seconds"), "id", "fire_ts", "cnt") == [
+        (None, ms(10000), 2), (None, ms(22000), 3), ("a", ms(10000), 1), ("a", ms(30000), 2)]
     o = spark.createDataFrame([(None, "create", ms(0), 1), (None, "pay", ms(1000), 2), (None, "create", ms(9000), 3)],
                               ORDER_SCHEMA)
-    want = rows(timers.order_timeout_state(o, timeout="5 seconds", parallel_keys="none"), "result", "event_ts")
-    assert rows(timers.order_timeout_state(o, timeout="5 seconds", parallel_keys="all"), "result", "event_ts") == want
-    assert want == [("not_payed", ms(14000)), ("payed", ms(1000))]
+    assert rows(timers.order_timeout_state(o, timeout="5 seconds"), "result", "event_ts") == [
+        ("not_payed", ms(14000)), ("payed", ms(1000))]
+
+
+def test_timers_keep_big_integer_keys_beside_nulls(spark):
+    big = 9007199254740993
+    data = [(big, 0), (big, 1000), (None, 0), (None, 2000), (None, 3000)]
+    r = spark.createDataFrame([(k, ms(t), 1.0, i) for i, (k, t) in enumerate(data)],
+                              READING_SCHEMA.replace("id string", "id long"))
+    assert rows(timers.periodic_counts(r, period="10 seconds"), "id", "fire_ts", "cnt") == [
+        (None, ms(10000), 3), (big, ms(10000), 2)]
+
+
+def test_rise_alert_ignores_missing_readings(spark):
+    data = [(0, 1.0), (1000, 2.0), (1500, None), (1800, 1.5), (3000, 4.0), (3500, None)]
+    r = spark.createDataFrame([("s", ms(t), v, i) for i, (t, v) in enumerate(data)], READING_SCHEMA)
+    assert rows(timers.temp_rise_alerts(r, rise_for="1 second"), "alert_ts") == [(ms(4000),)]
 
 
 def test_reconcile_null_key_matches_within_key(spark):
@@ -86,7 +97,7 @@ def test_reconcile_null_key_matches_within_key(spark):
 
 def test_prefix_scan_literal_boundaries_awkward_values(spark, monkeypatch):
     """Boundary literals with quotes, backslashes, non-ASCII text, NaN and NTZ timestamps still cut pieces exactly."""
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 25)
+    cut(spark, 12)
     keys = ["a'b", "c\\\\d", "é\U0001F600", "plain", None]
     df = spark.range(0, 1000).select(
         F.element_at(F.array(*[F.lit(k) for k in keys]), (F.col("id") % 5 + 1).cast("int")).alias("k"),

@@ -253,23 +253,23 @@ def test_hot_items_fewer_than_n_and_ties(spark):
     assert rows(one, "item_id", "rank") == [(7, 1)]
 
 
-def test_timer_goldens_on_parallel_chain_path(spark):
-    """The golden edge cases above, forced through the pointer-doubling form."""
+def test_timer_goldens_edge_cases(spark):
+    """Equal readings, a fall at the timer time, re-arming and late pays."""
     data = [(0, 1.0), (1000, 2.0), (1500, 2.0), (2500, 1.0), (3000, 2.0), (4000, 1.0), (5000, 3.0)]
     df = spark.createDataFrame([("s", ms(t), v, i) for i, (t, v) in enumerate(data)],
                                "id string, ts timestamp_ntz, temperature double, event_id long")
-    assert rows(timers.temp_rise_alerts(df, rise_for="1 second", parallel_keys="all"), "alert_ts") == [
+    assert rows(timers.temp_rise_alerts(df, rise_for="1 second"), "alert_ts") == [
         (ms(2000),), (ms(6000),)]
     pc = spark.createDataFrame([("s", ms(t), 1.0, i) for i, t in enumerate([0, 3000, 10000, 12000, 25000])],
                                "id string, ts timestamp_ntz, temperature double, event_id long")
-    assert rows(timers.periodic_counts(pc, period="10 seconds", parallel_keys="all"), "fire_ts", "cnt") == [
+    assert rows(timers.periodic_counts(pc, period="10 seconds"), "fire_ts", "cnt") == [
         (ms(10000), 3), (ms(22000), 4), (ms(35000), 5)]
     od = _orders(spark, [("o", "create", 0), ("o", "create", 1000), ("o", "pay", 7000), ("p", "pay", 0)])
-    assert rows(timers.order_timeout_state(od, timeout="5 seconds", parallel_keys="all"),
+    assert rows(timers.order_timeout_state(od, timeout="5 seconds"),
                 "order_id", "result", "event_ts") == [("o", "late_pay", ms(7000)), ("o", "not_payed", ms(5000)),
                                                       ("p", "orphan_pay", ms(0))]
     od2 = _orders(spark, ORDER_ROWS[:3])
-    assert rows(timers.order_timeout_state(od2, timeout="5 seconds", parallel_keys="all"),
+    assert rows(timers.order_timeout_state(od2, timeout="5 seconds"),
                 "order_id", "result", "event_ts") == [("order_1", "payed", ms(4000)),
                                                       ("order_2", "not_payed", ms(8000))]
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from conftest import SF01, cut, folded, in_micros
 from eventspark.operators import distinct, joins, scan, windows
 from eventspark.sources import views
 from eventspark.sources.tables import read_table
@@ -57,7 +57,7 @@ def test_prefix_scan_unkeyed_and_exclusive(spark):
 
 
 def test_prefix_scan_hot_key_spans_partitions(spark, monkeypatch):
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 100)
+    cut(spark, 12)
     # one key holding most rows must be cut across partitions and still give exact running counts
     df = spark.range(0, 5000).select(F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(
         (F.col("id") % 10).cast("string")).alias("k"), F.col("id").alias("o"))
@@ -67,7 +67,7 @@ def test_prefix_scan_hot_key_spans_partitions(spark, monkeypatch):
 
 
 def test_neighbours_equal_lead(spark, monkeypatch):
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 500)  # 20 pieces over 10,000 readings
+    cut(spark, 12)
     r = views.readings(_events(spark))
     w = Window.partitionBy("id").orderBy("ts", "event_id")
     direct = r.select("id", "event_id", F.lead("event_id", 1).over(w).alias("event_id_1"),
@@ -124,47 +124,42 @@ def test_prefix_scan_across_small_arrow_batches(spark):
 
 
 @pytest.mark.parametrize("op", ["temp_rise", "periodic", "order_timeout"])
-def test_parallel_chain_equals_fold(spark, op, monkeypatch):
-    """The pointer-doubling form of each greedy-timer operator gives exactly the sequential fold's rows."""
+def test_timer_chains_equal_folds(spark, op):
+    """The pointer-doubling plan of each greedy-timer operator gives exactly the rows of its sequential definition."""
     from eventspark.operators import timers
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 700)  # several pieces per scan
+    cut(spark, 6)
     ev = _events(spark)
     if op == "temp_rise":
-        r = views.readings(ev)
-        run = lambda m: timers.temp_rise_alerts(r, rise_for="6 hours", parallel_keys=m)
+        df, key, spec = views.readings(ev), "id", timers.temp_rise_spec("6 hours")
+        got = timers.temp_rise_alerts(df, rise_for="6 hours")
     elif op == "periodic":
-        r = views.readings(ev)
-        run = lambda m: timers.periodic_counts(r, period="6 hours", parallel_keys=m)
+        df, key, spec = views.readings(ev), "id", timers.periodic_counts_spec("6 hours")
+        got = timers.periodic_counts(df, period="6 hours")
     else:
-        r = views.order_events(ev)
-        run = lambda m: timers.order_timeout_state(r, timeout="1 day", parallel_keys=m)
-    fold, chain = run("none"), run("all")
-    assert fold.count() > 0
-    _same(chain, fold)
+        df, key, spec = views.order_events(ev), "order_id", timers.order_timeout_spec("1 day")
+        got = timers.order_timeout_state(df, timeout="1 day")
+    want = folded(df, spec, key)
+    assert want and in_micros(got) == want
 
 
-def test_hot_key_split_auto(spark, monkeypatch):
-    """A key with most rows is routed to the parallel path, the rest to the fold; the union equals the fold."""
-    from eventspark.operators import chains, timers
+def test_timer_chain_of_a_dense_hot_key(spark):
+    """A key with most rows and no gap longer than the timer: one chain of hundreds of steps."""
+    from eventspark.operators import timers
     df = spark.range(0, 4000).select(
         F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 10).cast("string")))
         .alias("id"),
         F.timestamp_seconds(F.col("id") * 37).cast("timestamp_ntz").alias("ts"),
         F.col("id").alias("event_id"))
-    monkeypatch.setattr(chains, "HOT_MIN_ROWS", 10)
-    hot = chains.hot_keys(df, "id")
-    # threshold = max(10, 4000 / (4 x 4 partitions)) = 250 rows: "hot" (2800) and k7..k9 (400 each) all exceed it
-    assert sorted(hot) == ["hot", "k7", "k8", "k9"]
-    _same(timers.periodic_counts(df, period="5 minutes", parallel_keys="auto"),
-          timers.periodic_counts(df, period="5 minutes", parallel_keys="none"))
+    assert in_micros(timers.periodic_counts(df, period="5 minutes")) == folded(
+        df, timers.periodic_counts_spec("5 minutes"), "id")
 
 
 def test_neighbours_across_many_pieces(spark, monkeypatch):
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 40)  # ~75 pieces for 3000 rows
+    cut(spark, 12)
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise((F.col("id") % 10).cast("string")).alias("k"),
         F.col("id").alias("o"), (F.col("id") * 7 % 11).alias("v"))
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    cut(spark, 60)
     try:
         got = scan.with_neighbors(df, key="k", order=["o"], offsets=[1, 2, -1, -3], cols=["v", "o"])
         w = Window.partitionBy("k").orderBy("o")
@@ -183,7 +178,7 @@ def test_reconcile_same_result_with_many_pieces(spark, monkeypatch):
     pays = views.pay_events(ev)
     one = joins.reconcile(creates, pays, key="order_id", tolerance="1 day")
     want = sorted(map(tuple, one.collect()), key=str)
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 60)  # pairs straddle piece boundaries
+    cut(spark, 12)
     many = joins.reconcile(creates, pays, key="order_id", tolerance="1 day")
     assert sorted(map(tuple, many.collect()), key=str) == want
 
@@ -192,7 +187,7 @@ def test_reconcile_same_result_with_many_pieces(spark, monkeypatch):
 def test_order_sensitive_results_independent_of_input_order(spark, op, monkeypatch):
     """Results depend on (ts, event_id) order only, never on how the input happens to be partitioned."""
     from eventspark.operators import control, patterns, replay, rolling, topn
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", 800)
+    cut(spark, 12)
 
     def run(ev):
         if op == "running_max":

@@ -1,5 +1,5 @@
 """Randomised check of the skew-safe prefix scan against a plain window (NULL keys and values, ties broken by id,
-any piece size)."""
+any number of pieces)."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from conftest import cut, folded, in_micros
 from eventspark.operators import scan
 
 ROW = st.tuples(st.sampled_from(["a", "b", "hot", None]), st.integers(0, 30),
@@ -15,10 +16,10 @@ ROW = st.tuples(st.sampled_from(["a", "b", "hot", None]), st.integers(0, 30),
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=st.lists(ROW, min_size=0, max_size=120), rows_per_piece=st.integers(3, 60),
+@given(data=st.lists(ROW, min_size=0, max_size=120), pieces=st.integers(2, 12),
        how=st.sampled_from(["sum", "max", "min", "last"]), inclusive=st.booleans(), keyed=st.booleans())
-def test_prefix_scan_matches_window(spark, monkeypatch, data, rows_per_piece, how, inclusive, keyed):
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+def test_prefix_scan_matches_window(spark, monkeypatch, data, pieces, how, inclusive, keyed):
+    cut(spark, pieces)
     df = spark.createDataFrame([(k, t, v, i) for i, (k, t, v) in enumerate(data)],
                                "k string, t int, v int, id long")
     key = "k" if keyed else None
@@ -33,10 +34,10 @@ def test_prefix_scan_matches_window(spark, monkeypatch, data, rows_per_piece, ho
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=st.lists(ROW, min_size=0, max_size=120), rows_per_piece=st.integers(3, 60),
+@given(data=st.lists(ROW, min_size=0, max_size=120), pieces=st.integers(2, 12),
        offsets=st.lists(st.sampled_from([-3, -2, -1, 1, 2, 3]), min_size=1, max_size=3, unique=True))
-def test_neighbours_match_lead_lag(spark, monkeypatch, data, rows_per_piece, offsets):
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+def test_neighbours_match_lead_lag(spark, monkeypatch, data, pieces, offsets):
+    cut(spark, pieces)
     df = spark.createDataFrame([(k, t, v, i) for i, (k, t, v) in enumerate(data)],
                                "k string, t int, v int, id long")
     got = scan.with_neighbors(df, key="k", order=["t", "id"], offsets=offsets, cols=["v", "id"])
@@ -52,11 +53,11 @@ TIMER_ROW = st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 60), st.sample
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=st.lists(TIMER_ROW, min_size=1, max_size=60), gap=st.integers(1, 15), rows_per_piece=st.integers(3, 40))
-def test_timer_chains_match_folds(spark, monkeypatch, data, gap, rows_per_piece):
+@given(data=st.lists(TIMER_ROW, min_size=1, max_size=60), gap=st.integers(1, 15), pieces=st.integers(2, 12))
+def test_timer_chains_match_folds(spark, monkeypatch, data, gap, pieces):
     import datetime as dt
     from eventspark.operators import timers
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+    cut(spark, pieces)
     t0 = dt.datetime(2024, 1, 1)
     rows_ = [(k, t0 + dt.timedelta(seconds=s), typ, float(temp), i) for i, (k, s, typ, temp) in enumerate(data)]
     r = spark.createDataFrame([(k, ts, temp, i) for k, ts, _, temp, i in rows_],
@@ -64,12 +65,11 @@ def test_timer_chains_match_folds(spark, monkeypatch, data, gap, rows_per_piece)
     o = spark.createDataFrame([(k, typ, ts, i) for k, ts, typ, _, i in rows_],
                               "order_id string, order_type string, ts timestamp_ntz, event_id long")
     d = f"{gap} seconds"
-    for run in (lambda m: timers.periodic_counts(r, period=d, parallel_keys=m),
-                lambda m: timers.temp_rise_alerts(r, rise_for=d, parallel_keys=m),
-                lambda m: timers.order_timeout_state(o, timeout=d, parallel_keys=m)):
-        fold = sorted(map(tuple, run("none").collect()), key=str)
-        chain = sorted(map(tuple, run("all").collect()), key=str)
-        assert chain == fold
+    for got, df, spec, key in (
+            (timers.periodic_counts(r, period=d), r, timers.periodic_counts_spec(d), "id"),
+            (timers.temp_rise_alerts(r, rise_for=d), r, timers.temp_rise_spec(d), "id"),
+            (timers.order_timeout_state(o, timeout=d), o, timers.order_timeout_spec(d), "order_id")):
+        assert in_micros(got) == folded(df, spec, key)
 
 
 def _python_fold(spec, rows_by_key):
@@ -89,12 +89,12 @@ EV_ROW = st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 40), st.samp
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=st.lists(EV_ROW, min_size=1, max_size=50), within=st.integers(1, 12), rows_per_piece=st.integers(3, 40))
-def test_batch_operators_match_sequential_definitions(spark, monkeypatch, data, within, rows_per_piece):
+@given(data=st.lists(EV_ROW, min_size=1, max_size=50), within=st.integers(1, 12), pieces=st.integers(2, 12))
+def test_batch_operators_match_sequential_definitions(spark, monkeypatch, data, within, pieces):
     import datetime as dt
     from eventspark.operators import control, joins, patterns
     from eventspark.streaming import stateful
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+    cut(spark, pieces)
     t0 = dt.datetime(2024, 1, 1)
     us = lambda s: int((t0 + dt.timedelta(seconds=s) - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
     rows_ = [(k, s, side, ev, i) for i, (k, s, side, ev) in enumerate(data)]
@@ -140,12 +140,12 @@ ORDER_ROW = st.tuples(st.sampled_from(["o1", "o2"]), st.integers(0, 30), st.samp
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=st.lists(ORDER_ROW, min_size=1, max_size=40), within=st.integers(1, 10), rows_per_piece=st.integers(3, 30))
-def test_order_pattern_matches_sequential_definition(spark, monkeypatch, data, within, rows_per_piece):
+@given(data=st.lists(ORDER_ROW, min_size=1, max_size=40), within=st.integers(1, 10), pieces=st.integers(2, 12))
+def test_order_pattern_matches_sequential_definition(spark, monkeypatch, data, within, pieces):
     import datetime as dt
     from eventspark.operators import patterns
     from eventspark.streaming import stateful
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+    cut(spark, pieces)
     t0 = dt.datetime(2024, 1, 1)
     us = lambda s: int((t0 + dt.timedelta(seconds=s) - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
     orders = spark.createDataFrame([(k, typ, t0 + dt.timedelta(seconds=s), i) for i, (k, s, typ) in enumerate(data)],
@@ -169,12 +169,12 @@ ARR_ROW = st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 40), st.integers
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=st.lists(ARR_ROW, min_size=1, max_size=50), bound=st.integers(0, 5), lateness=st.integers(0, 10),
-       rows_per_piece=st.integers(3, 30))
-def test_replay_matches_sequential_simulation(spark, monkeypatch, data, bound, lateness, rows_per_piece):
+       pieces=st.integers(2, 12))
+def test_replay_matches_sequential_simulation(spark, monkeypatch, data, bound, lateness, pieces):
     """Late rows and allowed-lateness firings equal a row-by-row simulation in arrival order (A-2, A-3)."""
     import datetime as dt
     from eventspark.operators import replay
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+    cut(spark, pieces)
     size = 5
     t0 = dt.datetime(2024, 1, 1)
     rows_ = [(k, s, s + delay, i) for i, (k, s, delay) in enumerate(data)]  # (key, ts, arrival, id) in seconds
@@ -281,11 +281,11 @@ def test_pane_sliding_counts_match_brute_force(spark, data, slide, mult):
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(reads=st.lists(st.tuples(st.integers(0, 40), st.integers(-200, 50)), min_size=1, max_size=40),
        ctrl=st.lists(st.tuples(st.integers(0, 40), st.sampled_from(["LOW", "HIGH"])), max_size=15),
-       size=st.sampled_from([1, 2, 5]), rows_per_piece=st.integers(3, 30))
-def test_smoke_gate_and_window_join_match_brute_force(spark, monkeypatch, reads, ctrl, size, rows_per_piece):
+       size=st.sampled_from([1, 2, 5]), pieces=st.integers(2, 12))
+def test_smoke_gate_and_window_join_match_brute_force(spark, monkeypatch, reads, ctrl, size, pieces):
     import datetime as dt
     from eventspark.operators import control, joins
-    monkeypatch.setattr(scan, "ROWS_PER_PIECE", rows_per_piece)
+    cut(spark, pieces)
     t0 = dt.datetime(2024, 1, 1)
     r = spark.createDataFrame([("s", t0 + dt.timedelta(seconds=s), float(v), i) for i, (s, v) in enumerate(reads)],
                               "id string, ts timestamp_ntz, temperature double, event_id long")
