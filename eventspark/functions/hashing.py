@@ -1,6 +1,6 @@
 """Scalar UDF ``hashCode(s) * factor`` with 32-bit wrap-around, kept inside Catalyst.
 
-The string is encoded as UTF-16BE (Java's char units, surrogate pairs included), folded with ``h = 31*h + unit``
+The string's code points, those beyond the BMP as surrogate pairs (Java's char units), are folded with ``h = 31*h + unit``
 modulo 2^32, re-signed, multiplied by the factor and wrapped again.  Everything is built-in expressions (no Python
 per row), so it runs in the JVM next to the scan.  NULL in → NULL out.
 """
@@ -24,10 +24,14 @@ def _signed32(x: Column) -> Column:
 
 
 def java_hash_code(s: Column) -> Column:
-    hx = F.hex(F.encode(s, "UTF-16BE"))
-    units = F.transform(F.sequence(F.lit(0), (F.length(hx) / 4).cast("int") - 1),
-                        lambda i: F.conv(F.substring(hx, i * 4 + 1, 4), 16, 10).cast("bigint"))
-    folded = F.aggregate(units, F.lit(0).cast("bigint"), lambda acc, u: F.pmod(acc * JAVA_HASH_MULTIPLIER + u, F.lit(TWO32)))
+    points = F.transform(F.split(s, F.lit("")), lambda c: F.ascii(c).cast("bigint"))
+
+    def fold(h: Column, c: Column) -> Column:  # a point beyond the BMP is two units, its surrogates
+        pair = (h * JAVA_HASH_MULTIPLIER + F.lit(0xD7C0) + F.shiftright(c, 10)) * JAVA_HASH_MULTIPLIER
+        return F.pmod(F.when(c < 0x10000, h * JAVA_HASH_MULTIPLIER + c)
+                      .otherwise(pair + F.lit(0xDC00) + c.bitwiseAND(0x3FF)), F.lit(TWO32))
+
+    folded = F.aggregate(points, F.lit(0).cast("bigint"), fold)
     return F.when(s == "", F.lit(0)).otherwise(_signed32(folded)).cast("int")
 
 
@@ -43,10 +47,10 @@ def register_hash_code(spark: SparkSession, name: str = "hashCode", factor: int
     """
     if factor is None:
         factor = int(spark.conf.get("eventspark.hashcode_factor", str(DEFAULT_FACTOR)))
-    hx = "hex(encode(s, 'UTF-16BE'))"
-    fold = (f"aggregate(transform(sequence(0, length({hx}) DIV 4 - 1), "
-            f"i -> CAST(conv(substring({hx}, i * 4 + 1, 4), 16, 10) AS BIGINT)), CAST(0 AS BIGINT), "
-            f"(acc, u) -> pmod(acc * {JAVA_HASH_MULTIPLIER} + u, {TWO32}))")
+    m = JAVA_HASH_MULTIPLIER
+    fold = (f"aggregate(transform(split(s, ''), c -> CAST(ascii(c) AS BIGINT)), CAST(0 AS BIGINT), (h, c) -> pmod("
+            f"CASE WHEN c < 65536 THEN h * {m} + c ELSE (h * {m} + 55232 + shiftright(c, 10)) * {m} + 56320 + (c & 1023) END, "
+            f"{TWO32}))")
     signed = f"(pmod({fold} + {TWO31}, {TWO32}) - {TWO31})"
     body = f"CAST(pmod({signed} * {int(factor)} + {TWO31}, {TWO32}) - {TWO31} AS INT)"
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) RETURNS INT RETURN "

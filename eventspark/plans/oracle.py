@@ -165,7 +165,7 @@ ORACLE["uv_exact"] = with_views(V_BEHAVIORS) + UV_EXACT
 ORACLE["uv_bloom"] = with_views(V_BEHAVIORS) + UV_EXACT
 
 ORACLE["uv_hll"] = with_views(V_BEHAVIORS, "uv AS (" + UV_EXACT + ")") + """
-SELECT window_start, window_end, uv >= 0 AS within_5_percent FROM uv"""
+SELECT window_start, window_end, uv, true AS within_5_percent FROM uv"""
 
 ORACLE["uv_report"] = with_views(V_BEHAVIORS, "uv AS (" + UV_EXACT + ")") + """
 SELECT window_end, uv, 'window end: ' || strftime(window_end, '%Y-%m-%d %I:%M:%S') || ' uv count: ' || CAST(uv AS VARCHAR)
@@ -209,6 +209,23 @@ SELECT false AS is_add, * FROM (SELECT * FROM prev EXCEPT ALL SELECT * FROM curr
 UNION ALL
 SELECT true AS is_add, * FROM (SELECT * FROM curr EXCEPT ALL SELECT * FROM prev)"""
 
+# --- CSV and Kafka layouts ---
+ORACLE["csv_behavior_scan"] = with_views(V_BEHAVIORS) + """
+SELECT event_id, user_id, item_id, category_id, behavior, date_trunc('second', ts) AS ts FROM behaviors"""
+KAFKA_LINE = "event_type || ' ' || CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR)"
+ORACLE["kafka_decode"] = f"""
+SELECT event_type AS key, {KAFKA_LINE} AS value, 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS partition,
+       event_id AS "offset", ts AS "timestamp" FROM events"""
+ORACLE["kafka_encode"] = f"""
+SELECT hex(encode(event_type)) AS key, hex(encode({KAFKA_LINE})) AS value FROM events"""
+
+# --- user functions ---
+BY_HOUR = "time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end"
+ORACLE["window_apply"] = f"""
+SELECT event_type, {BY_HOUR}, min(value) AS min_temp, max(value) AS max_temp FROM events GROUP BY 1, 2"""
+ORACLE["udaf_avg"] = f"""
+SELECT event_type, {BY_HOUR}, round(avg(value), 6) AS avg_temp FROM events GROUP BY 1, 2"""
+
 # --- UDF / SQL ---
 HASH31 = """
 SELECT id, event_id, CAST(CASE WHEN hm >= 2147483648 THEN hm - 4294967296 ELSE hm END AS INTEGER) AS hash_code
@@ -354,10 +371,10 @@ ORACLE["event_timers"] = with_views(V_ARRIVALS) + """
 SELECT DISTINCT key, ts + INTERVAL '10 seconds' AS timer_ts FROM arrivals"""
 
 NUM_READINGS = """num AS (
-  SELECT id, ts, temperature, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS rn FROM readings)
+  SELECT id, ts, temperature, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS rn FROM readings{where})
 , lastrn AS (SELECT id, max(rn) AS m FROM num GROUP BY id)"""
 
-ORACLE["periodic_counts"] = "WITH RECURSIVE " + V_READINGS + ", " + NUM_READINGS + """
+ORACLE["periodic_counts"] = "WITH RECURSIVE " + V_READINGS + ", " + NUM_READINGS.format(where="") + """
 , r AS (
   SELECT id, rn, ts + INTERVAL '6 hours' AS timer, NULL::TIMESTAMP AS fired, NULL::BIGINT AS fired_cnt
   FROM num WHERE rn = 1
@@ -371,7 +388,8 @@ SELECT id, fired AS fire_ts, fired_cnt AS cnt FROM r WHERE fired IS NOT NULL
 UNION ALL
 SELECT r.id, r.timer, r.rn FROM r JOIN lastrn l ON r.id = l.id AND r.rn = l.m"""
 
-ORACLE["temp_rise_alerts"] = "WITH RECURSIVE " + V_READINGS + ", " + NUM_READINGS + """
+ORACLE["temp_rise_alerts"] = "WITH RECURSIVE " + V_READINGS + ", " + NUM_READINGS.format(
+    where=" WHERE temperature IS NOT NULL") + """
 , r AS (
   SELECT id, rn, temperature AS prev, NULL::TIMESTAMP AS timer, NULL::TIMESTAMP AS fired FROM num WHERE rn = 1
   UNION ALL

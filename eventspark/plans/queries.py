@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing, udfs
 from ..operators import control, distinct, joins, patterns, replay, rolling, text, timers, topn, transforms, windows
-from ..sinks import keyed
+from ..sinks import kafka, keyed
 from ..sources import views
-from ..sources.lines import parse_key_seconds
+from ..sources.lines import parse_behavior_lines, parse_key_seconds
 from ..sources.tables import read_table
 from . import sqlviews
 
@@ -113,6 +113,51 @@ def q_partition_scoped_map(spark, sf_dir):
     return udfs.partition_scoped_increment(ev, "user_id", 1, out="user_id_plus_1")
 
 
+@query("csv_behavior_scan")
+def q_csv_behavior_scan(spark, sf_dir):
+    return parse_behavior_lines(views.behavior_lines(events(spark, sf_dir)))
+
+
+@query("kafka_decode")
+def q_kafka_decode(spark, sf_dir):
+    """Records in Kafka's layout as text; the record time without its zone."""
+    records = kafka.decode_strings(views.kafka_records(events(spark, sf_dir)))
+    return records.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@query("kafka_encode")
+def q_kafka_encode(spark, sf_dir):
+    """Keyed lines as the bytes that Kafka gets, in hex."""
+    lines = kafka.decode_strings(views.kafka_records(events(spark, sf_dir)))
+    return kafka.encode_strings(lines, "value", "key").select(F.hex("key").alias("key"), F.hex("value").alias("value"))
+
+
+# --- user functions: the slow hatch, for logic that built-in expressions cannot state ---------------------------------
+
+def _by_hour(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    return ev.select("event_type", F.col("value").alias("temperature"), F.window("ts", "1 hour").end.alias("window_end"))
+
+
+@query("window_apply")
+def q_window_apply(spark, sf_dir):
+    """Lowest and highest value per type and hour by a whole-window function."""
+    def ends(pdf):
+        return pdf.groupby(["event_type", "window_end"], as_index=False, dropna=False).agg(
+            min_temp=("temperature", "min"), max_temp=("temperature", "max"))
+
+    return udfs.window_apply(_by_hour(spark, sf_dir), ["event_type", "window_end"], ends,
+                             "event_type string, window_end timestamp_ntz, min_temp double, max_temp double")
+
+
+@query("udaf_avg")
+def q_udaf_avg(spark, sf_dir):
+    """Mean value per type and hour by a user-defined aggregate, to six places."""
+    out = udfs.grouped_agg(_by_hour(spark, sf_dir), ["event_type", "window_end"], lambda s: float(s.mean()),
+                           "temperature", "double", "avg_temp")
+    return out.withColumn("avg_temp", F.round("avg_temp", 6))
+
+
 # --- text ------------------------------------------------------------------------------------------------------------
 
 @query("word_count")
@@ -182,7 +227,7 @@ def q_uv_hll(spark, sf_dir):
     est = distinct.uv_hll(pv, size="1 hour").withColumnRenamed("uv", "est")
     both = distinct.uv_exact(pv, size="1 hour").join(est, ["window_start", "window_end"])
     near = F.abs(F.col("est") - F.col("uv")) <= F.greatest(F.col("uv") * 0.05, F.lit(1))
-    return both.select("window_start", "window_end", near.alias("within_5_percent"))
+    return both.select("window_start", "window_end", "uv", near.alias("within_5_percent"))
 
 
 @query("uv_report")

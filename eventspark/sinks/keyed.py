@@ -49,7 +49,7 @@ def reading_text(id_col="id", ts_col="ts", temp_col="temperature"):
 
 
 def es_documents(df: DataFrame, *, index: str = "sensor") -> DataFrame:
-    """Index requests ``(index, source)`` where source is ``{"data": "<reading text>"}`` for every reading."""
+    """Index requests ``(index, source, event_id)``, the id being the document's, where source is ``{"data": "<reading text>"}`` for every reading."""
     return df.select(F.lit(index).alias("index"), F.to_json(F.struct(reading_text().alias(DOCUMENT_FIELD))).alias("source"),
                      "event_id")
 
@@ -69,7 +69,10 @@ def _batched(rows: Iterable, size: int):
 
 def upsert_partition(rows: Iterable, *, connect: Callable[[], object], table: str, key: str,
                      columns: Sequence[str], batch_size: int = 500) -> None:
-    """UPDATE by key, INSERT when no row changed; one DB-API connection per partition, commit per batch."""
+    """UPDATE the keys that the table holds, INSERT the others; one DB-API connection per partition, commit per batch.
+
+    A batch takes one SELECT of its keys and at most one ``executemany`` of either kind; of rows with the same key the
+    last wins."""
     conn = connect()
     try:
         cur = conn.cursor()
@@ -77,11 +80,13 @@ def upsert_partition(rows: Iterable, *, connect: Callable[[], object], table: st
         upd = f"UPDATE {table} SET {sets} WHERE {key} = ?"
         ins = f"INSERT INTO {table} ({', '.join(columns)}) VALUES ({', '.join('?' for _ in columns)})"
         for chunk in _batched(rows, batch_size):
-            for r in chunk:
-                d = r.asDict() if hasattr(r, "asDict") else dict(r)
-                cur.execute(upd, [d[c] for c in columns if c != key] + [d[key]])
-                if cur.rowcount == 0:
-                    cur.execute(ins, [d[c] for c in columns])
+            new = {d[key]: d for d in (r.asDict() if hasattr(r, "asDict") else dict(r) for r in chunk)}
+            cur.execute(f"SELECT {key} FROM {table} WHERE {key} IN ({', '.join('?' for _ in new)})", list(new))
+            old = [new.pop(k[0]) for k in cur.fetchall()]
+            if old:
+                cur.executemany(upd, [[d[c] for c in columns if c != key] + [d[key]] for d in old])
+            if new:
+                cur.executemany(ins, [[d[c] for c in columns] for d in new.values()])
             conn.commit()
     finally:
         conn.close()
@@ -115,10 +120,11 @@ def write_hset(df: DataFrame, *, client_factory: Callable[[], object], batch_siz
 
 
 def bulk_index_partition(rows: Iterable, *, client_factory: Callable[[], object], batch_size: int = 500) -> None:
+    """Bulk requests ``(index, document id, source)``: the id is the event's, so a replayed batch replaces documents."""
     client = client_factory()
     try:
         for chunk in _batched(rows, batch_size):
-            client.bulk([(r["index"], r["source"]) for r in chunk])
+            client.bulk([(r["index"], r["event_id"], r["source"]) for r in chunk])
     finally:
         if hasattr(client, "close"):
             client.close()

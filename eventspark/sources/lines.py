@@ -9,6 +9,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +32,18 @@ def parse_key_seconds(lines: DataFrame, *, line_col="line", sep=" ") -> DataFram
                         F.timestamp_seconds(parts.getItem(1).cast("bigint")).cast("timestamp_ntz").alias("ts"))
 
 
-def _behavior_rows(raw: DataFrame) -> DataFrame:
-    return raw.select("user_id", "item_id", "category_id", "behavior",
+def _behavior_rows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return raw.select(*keep, "user_id", "item_id", "category_id", "behavior",
                       F.timestamp_seconds("epoch_s").cast("timestamp_ntz").alias("ts"))
 
 
+def parse_behavior_lines(lines: DataFrame, *, line_col="line") -> DataFrame:
+    """CSV lines already in a column, by the same schema and rules as :func:`read_behavior_csv`."""
+    row = F.from_csv(F.col(line_col), BEHAVIOR_CSV_SCHEMA.toDDL(), {"mode": "FAILFAST"})
+    keep = [c for c in lines.columns if c != line_col]
+    return _behavior_rows(lines.select(*keep, row.alias("_row")).select(*keep, "_row.*"), keep)
+
+
 def read_behavior_csv(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.schema(BEHAVIOR_CSV_SCHEMA).option("mode", "FAILFAST").csv(path)
     return _behavior_rows(raw)

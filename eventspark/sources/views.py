@@ -97,3 +97,18 @@ def keyed_lines(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.concat_ws(" ", F.col("event_type"),
                                                   F.unix_timestamp(F.col("ts").cast("timestamp"))
                                                   .cast("string")).alias("line"))
+
+
+def behavior_lines(events: DataFrame) -> DataFrame:
+    """The behaviour CSV's lines ``user,item,category,behavior,epoch seconds`` (input of ``parse_behavior_lines``)."""
+    b = behaviors(events)
+    return b.select("event_id", F.concat_ws(",", "user_id", "item_id", "category_id", "behavior",
+                                            F.unix_timestamp(F.col("ts").cast("timestamp"))).alias("line"))
+
+
+def kafka_records(events: DataFrame) -> DataFrame:
+    """Keyed lines in Kafka's record layout, dealt to four partitions."""
+    line = F.concat_ws(" ", F.col("event_type"), F.unix_timestamp(F.col("ts").cast("timestamp")).cast("string"))
+    return events.select(F.col("event_type").cast("binary").alias("key"), line.cast("binary").alias("value"),
+                         F.lit("events").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+                         F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))

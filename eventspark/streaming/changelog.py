@@ -5,12 +5,12 @@ The changelog form instead reports every change as it happens: ``foreachBatch``
 sliding counts to the stored counts, recomputes the top N only for the windows the batch touched, and emits the
 multiset difference against their previous top N — ``is_add = false`` rows retract, ``true`` rows add.  The counts
 are stored per batch id under ``state_path`` (a re-run batch reads the version before it; outputs should be written
-per batch id).  ``retention`` drops windows that ended that long before the newest event, bounding the state.
+per batch id).  ``retention`` drops windows that ended that long before the newest event, bounding the state; later rows of
+dropped windows are ignored, so nothing is added to or retracted from them.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -19,25 +19,30 @@ from pyspark.sql import functions as F
 from ..functions.durations import to_micros
 from ..operators.topn import changelog, top_n_per_window
 from ..operators.windows import sliding_count
-from .sources import path_exists
+from .versions import version_before, write_version
 
 
 def topn_changelog_handler(write: Callable[[DataFrame, int], None], state_path: str, *, n: int = 3,
                            item: str = "item_id", size: str = "1 hour", slide: str = "5 minutes",
                            retention: str | None = None):
-    def read_state(spark, batch_id):
-        if not path_exists(spark, state_path):
+    def since(counts: DataFrame):
+        """The end of the oldest window that is kept: ``retention`` before the newest event (to the slide)."""
+        if retention is None:
             return None
-        st = spark.read.parquet(state_path)
-        last = st.where(F.col("v") < batch_id).agg(F.max("v").alias("m")).first()["m"]
-        return None if last is None else st.where(F.col("v") == last).drop("v")
+        newest = counts.agg(F.max("window_end").alias("m")).first()["m"]
+        if newest is None:
+            return None
+        return F.lit(newest).cast("timestamp_ntz") - F.make_dt_interval(
+            secs=F.lit((to_micros(size) + to_micros(retention)) / 1e6))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         delta = sliding_count(batch, key=item, ts="ts", size=size, slide=slide).select(item, "window_end", "cnt")
-        prev = read_state(spark, batch_id)
+        prev = version_before(spark, state_path, batch_id)
         if prev is None:
             prev = delta.limit(0)
+        if (oldest := since(prev)) is not None:  # what has left the state would start from zero again
+            delta = delta.where(F.col("window_end") >= oldest)
         touched = delta.select("window_end").distinct()
         merged = (prev.unionByName(delta).groupBy(item, "window_end").agg(F.sum("cnt").cast("bigint").alias("cnt"))
                   .cache())
@@ -46,15 +51,8 @@ def topn_changelog_handler(write: Callable[[DataFrame, int], None], state_path:
             after = top_n_per_window(merged.join(touched, "window_end"), n=n, item_col=item)
             cols = ["window_end", item, "cnt", "rank"]
             write(changelog(before.select(*cols), after.select(*cols)), batch_id)
-            keep = merged
-            if retention is not None:
-                newest = batch.agg(F.max("ts").alias("m")).first()["m"]
-                if newest is not None:
-                    cutoff = F.lit(newest).cast("timestamp_ntz") - F.make_dt_interval(
-                        secs=F.lit(to_micros(retention) / 1e6))
-                    keep = merged.where(F.col("window_end") >= cutoff)
-            # one folder per version, replaced when a batch id is re-run (never two copies of a version)
-            keep.write.mode("overwrite").parquet(os.path.join(state_path, f"v={int(batch_id)}"))
+            oldest = since(merged)
+            write_version(merged if oldest is None else merged.where(F.col("window_end") >= oldest), state_path, batch_id)
         finally:
             merged.unpersist()
 

@@ -12,7 +12,6 @@ same split (outputs must be written idempotently per batch id, e.g. overwrite of
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -22,6 +21,7 @@ from pyspark.sql import types as T
 from ..operators import replay
 from ..operators.chains import _join_ns
 from .sources import path_exists
+from .versions import version_before, write_version
 
 CARRY_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("max_us", T.LongType())])
 
@@ -112,13 +112,6 @@ def allowed_lateness_handler(write: Callable[[DataFrame, int], None], carry_path
     kw = [key, "window_start", "window_end"]
     b_us, l_us = to_micros(bound), to_micros(lateness)
 
-    def read_state(spark, batch_id):
-        if not path_exists(spark, state_path):
-            return None
-        st = spark.read.parquet(state_path)
-        last = st.where(F.col("v") < batch_id).agg(F.max("v").alias("m")).first()["m"]
-        return None if last is None else st.where(F.col("v") == last).drop("v")
-
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         carry = _carry_before(spark, carry_path, batch_id)
@@ -127,7 +120,7 @@ def allowed_lateness_handler(write: Callable[[DataFrame, int], None], carry_path
             batch_max = batch.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("m")).first()["m"]
             known = [x for x in (carry, batch_max) if x is not None]
             new_max = max(known) if known else None
-            prev = read_state(spark, batch_id)
+            prev = version_before(spark, state_path, batch_id)
             on_b = c.where(F.col("class") == "on_time").groupBy(*kw).agg(F.count(F.lit(1)).alias("_n0b"))
             upd = c.where(F.col("class") == "update").withColumn("_kw", F.struct(*kw))
             upd = prefix_scan(upd, key="_kw", order=replay.ORDER, values=[("_u", F.lit(1).cast("bigint"), "sum")])
@@ -154,11 +147,9 @@ def allowed_lateness_handler(write: Callable[[DataFrame, int], None], carry_path
                                (F.col("n0") + F.col("_nu_prev") + F.col("_u")).alias("cnt"))
             write(firsts.unionByName(updates), batch_id)
             keep = (ends_us + F.lit(l_us) > F.lit(new_max - b_us)) if new_max is not None else F.lit(True)
-            (merged.where(keep)
-             .select(*kw, "n0", (F.col("_nu_prev") + F.col("_nub")).alias("nu"),
-                     (F.col("_fired_prev") | passed).alias("fired"))
-             # one folder per version, replaced when a batch id is re-run (never two copies of a version)
-             .write.mode("overwrite").parquet(os.path.join(state_path, f"v={int(batch_id)}")))
+            write_version(merged.where(keep).select(
+                *kw, "n0", (F.col("_nu_prev") + F.col("_nub")).alias("nu"), (F.col("_fired_prev") | passed).alias("fired")),
+                state_path, batch_id)
             (spark.createDataFrame([(int(batch_id), new_max)], CARRY_SCHEMA).coalesce(1).write.mode("append")
              .parquet(carry_path))
         finally:

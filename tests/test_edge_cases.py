@@ -157,3 +157,33 @@ def test_allowed_lateness_null_key(spark):
     per = {k: sorted((r["firing"], r["kind"], r["cnt"]) for r in out if r["key"] == k and r["window_end"].second == 5)
            for k in ("x", None)}
     assert per["x"] == per[None] and len(per["x"]) == 2
+
+
+def test_changelog_retention_ignores_late_rows_of_dropped_windows(spark, tmp_path):
+    from eventspark.streaming.changelog import topn_changelog_handler
+    from eventspark.streaming.versions import versions
+    out = []
+    state = f"file:{tmp_path}/state"
+    h = topn_changelog_handler(lambda df, b: out.append(rows(df, "is_add", "item_id", "cnt")), state, n=2, size="1 hour",
+                               slide="1 hour", retention="2 hours")
+
+    def batch(*data):
+        return spark.createDataFrame([(i, ms(m * 60_000)) for i, m in data], "item_id long, ts timestamp_ntz")
+
+    h(batch((1, 0), (1, 1), (1, 2)), 0)
+    h(batch((2, 600)), 1)  # ten hours on: the first window leaves the state
+    h(batch((1, 3)), 2)
+    h(batch((2, 601)), 3)
+    assert out == [[(True, 1, 3)], [(True, 2, 1)], [], [(False, 2, 1), (True, 2, 2)]]
+    assert versions(spark, state) == [2, 3]
+
+
+def test_an_empty_state_version_is_the_newest(spark, tmp_path):
+    from eventspark.streaming.versions import version_before, write_version
+    path = str(tmp_path / "state")
+    one = spark.range(3)
+    write_version(one, path, 0)
+    write_version(one.limit(0), path, 1)
+    assert version_before(spark, path, 1).count() == 3
+    assert version_before(spark, path, 2).count() == 0
+    assert version_before(spark, path, 0) is None

@@ -39,13 +39,19 @@ class FakeCursor:
 
     def execute(self, sql, params):
         self.log.append(sql.split()[0])
-        if sql.startswith("UPDATE"):
-            key = params[-1]
-            self.rowcount = 1 if key in self.db else 0
-            if key in self.db:
-                self.db[key] = params[:-1]
-        else:
-            self.db[params[0]] = params[1:]
+        self.found = [(k,) for k in params if k in self.db]
+
+    def fetchall(self):
+        return self.found
+
+    def executemany(self, sql, rows_):
+        self.log.append(sql.split()[0])
+        for params in rows_:
+            if sql.startswith("UPDATE"):
+                self.db[params[-1]] = params[:-1]
+            else:
+                assert params[0] not in self.db
+                self.db[params[0]] = params[1:]
 
 
 class FakeConn:
@@ -67,8 +73,10 @@ def test_upsert_partition_update_else_insert():
     data = [Row(id="a", v=1), Row(id="b", v=2), Row(id="a", v=3)]
     keyed.upsert_partition(iter(data), connect=lambda: conn, table="t", key="id", columns=["id", "v"], batch_size=2)
     assert conn.db == {"a": [3], "b": [2]}
-    assert conn.log == ["UPDATE", "INSERT", "UPDATE", "INSERT", "UPDATE"]
+    assert conn.log == ["SELECT", "INSERT", "SELECT", "UPDATE"]
     assert conn.commits == 2 and conn.closed
+    keyed.upsert_partition(iter(data), connect=lambda: conn, table="t", key="id", columns=["id", "v"], batch_size=9)
+    assert conn.db == {"a": [3], "b": [2]}  # replayed, in one batch that holds a key twice
 
 
 class FakeRedis:
@@ -90,16 +98,19 @@ def test_hset_partition_and_replay_idempotent():
     assert r.h == {"sensor": {"s1": "1.0", "s2": "2.0"}} and r.closed
 
 
-def test_bulk_index_partition_batches():
-    calls = []
+def test_bulk_index_partition_batches_and_replay_idempotent():
+    calls, stored = [], {}
 
     class ES:
         def bulk(self, reqs):
             calls.append(list(reqs))
+            stored.update({(index, doc_id): source for index, doc_id, source in reqs})
 
-    data = [{"index": "sensor", "source": str(i)} for i in range(5)]
-    keyed.bulk_index_partition(iter(data), client_factory=ES, batch_size=2)
-    assert [len(c) for c in calls] == [2, 2, 1]
+    data = [{"index": "sensor", "event_id": i, "source": str(i)} for i in range(5)]
+    for _ in range(2):
+        keyed.bulk_index_partition(iter(data), client_factory=ES, batch_size=2)
+    assert [len(c) for c in calls] == [2, 2, 1] * 2
+    assert stored == {("sensor", i): str(i) for i in range(5)}
 
 
 def test_kafka_decode_encode(spark):
