@@ -127,7 +127,6 @@ def temp_rise_chain(rows: DataFrame, *, key: str, rise_us: int) -> DataFrame:
     rel = prev.select(key, "_ts_us", "event_id",
                       F.coalesce(F.col("temperature") > F.col("_prev"), F.lit(False)).alias("_rise"),
                       F.coalesce(F.col("temperature") < F.col("_prev"), F.lit(False)).alias("_fall"))
-    rel = reliable_checkpoint(rel)
     seg = prefix_scan(rel, key=key, order=["_ts_us", "event_id"],
                       values=[("_seg", F.col("_fall").cast("bigint"), "sum")])
     nf = prefix_scan(seg.select("*", (-F.col("_ts_us")).alias("_nt"), (-F.col("event_id")).alias("_ni")),

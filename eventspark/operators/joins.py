@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.durations import to_micros
-from ..session import reliable_checkpoint
 from .scan import neighbors_in_pieces, prefix_scan
 
 
@@ -105,8 +104,7 @@ def reconcile(left: DataFrame, right: DataFrame, *, key: str, ts: str = "ts", id
         ("_prev_us", _micros("_ts"), "last")]).withColumn("_rn", F.col("_before") + 1)
     linked = p1.withColumn("_link", (F.col("_prev_side").isNotNull() & (F.col("_prev_side") != F.col("_side"))
                                      & (_micros("_ts") - F.col("_prev_us") <= F.lit(tol))))
-    # pass 2 samples and scans pass 1's output several times: materialise it once in the shared checkpoint folder
-    linked = reliable_checkpoint(linked.select("_k", "_ts", "_id", "_side", "_rn", "_link"))
+    linked = linked.select("_k", "_ts", "_id", "_side", "_rn", "_link")
     # pass 2: start position of the chain each row belongs to; odd chain positions open a pair
     p2 = prefix_scan(linked, key="_k", order=order, keep_piece=True, values=[
         ("_chain_start", F.when(~F.col("_link"), F.col("_rn")), "last")])

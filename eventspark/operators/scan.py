@@ -106,7 +106,8 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
                                               for _, tmp, _, how in vals])
                    .withColumn(_FIRST, F.lit(0)).withColumn(_LAST, F.lit(0)))
 
-    # 3. carry into each piece (windows over the summary rows only, one per piece)
+    # 3. carry into each piece (windows over the summary rows only, one per piece, brought together once)
+    summary = summary.repartition(1)
     by_last = Window.partitionBy(_LAST).orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     by_pid = Window.orderBy(_PID)
     runs = summary.select(_PID, _FIRST, _LAST,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,8 +144,8 @@ def _by_hour(spark, sf_dir):
 def q_window_apply(spark, sf_dir):
     """Lowest and highest value per type and hour by a whole-window function."""
     def ends(pdf):
-        return pdf.groupby(["event_type", "window_end"], as_index=False, dropna=False).agg(
-            min_temp=("temperature", "min"), max_temp=("temperature", "max"))
+        return pd.DataFrame({"event_type": pdf["event_type"].iloc[:1], "window_end": pdf["window_end"].iloc[:1],
+                             "min_temp": pdf["temperature"].min(), "max_temp": pdf["temperature"].max()})
 
     return udfs.window_apply(_by_hour(spark, sf_dir), ["event_type", "window_end"], ends,
                              "event_type string, window_end timestamp_ntz, min_temp double, max_temp double")
