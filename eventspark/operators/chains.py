@@ -1,30 +1,31 @@
 """Greedy timer chains computed in parallel.
 
-The re-arming timers of :mod:`eventspark.operators.timers` all select a *greedy chain* of rows per group: the first
-eligible row, then the first eligible row later than ``gap`` after it, and so on.  :func:`greedy_chain` finds these
-rows without ever putting a group into one task:
+The re-arming timers of :mod:`eventspark.operators.timers` all select a *greedy chain* of rows per key: the first
+eligible row, then the first eligible row later than ``gap`` after it, and so on.  They are found without ever putting
+a key into one task:
 
-1. eligible rows get their position ``rn`` in the group and the time of the row before (one prefix scan).  A row more
+1. eligible rows get their position ``_rn`` in the key and whether they start a segment (one prefix scan).  A row more
    than ``gap`` after the row before it is in the chain whatever came earlier, so it starts a segment of its own;
-2. every eligible row gets ``nxt`` = position of the first eligible row later than ``ts + gap`` — an as-of lookup
-   done with a prefix scan in descending time over the rows and one probe per row; steps to a segment's start are
-   dropped, so all segments are followed at once;
-3. pointer doubling: with ``J_t`` = ``nxt`` applied ``2^t`` times, the chain members known after round t are
+2. every eligible row gets the position of the first eligible row later than ``ts + gap`` — an as-of lookup done with a
+   prefix scan in descending time over the rows and one probe per row.  Steps to a segment's start or into another
+   segment are dropped, so all segments are followed at once and only rows with a real step go on;
+3. pointer doubling: with ``J_t`` = the step applied ``2^t`` times, the chain members known after round t are
    ``M_t = {J^m(start) : m < 2^t}`` and ``M_{t+1} = M_t ∪ J_t(M_t)``, ``J_{t+1} = J_t ∘ J_t``.  Both steps are
-   equi-joins on ``(group, rn)``, unique on the lookup side, so no join partition is skewed.  The loop stops when a
+   equi-joins on ``(key, _rn)``, unique on the lookup side, so no join partition is skewed.  The loop stops when a
    round adds no member: log2(longest chain without a gap) + 1 rounds, each written to the shared checkpoint folder.
 
-The ``*_chain`` functions below restate the timer operators with it.
+The ``*_chain`` functions below restate the timer operators with it.  Rows without a time are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
 from .scan import prefix_scan
 
+
 def _join_ns(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
     """Join on equal ``cols`` with NULL matching NULL (keys may be NULL); keeps one copy of the join columns."""
     r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
@@ -36,66 +37,74 @@ def _join_ns(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inn
     return out if how in ("left_anti", "left_semi") else out.drop(*[f"_r_{c}" for c in cols])
 
 
-def greedy_chain(df: DataFrame, *, group: str, ts_us: str, id_col: str, gap_us: int, eligible: Column
-                 ) -> DataFrame:
-    """Chain members ``(group, ts_us, id_col)``: per group the first eligible row in ``(ts_us, id_col)`` order, then
-    repeatedly the first eligible row with ``ts_us > previous + gap_us``."""
-    rows = df.where(eligible).select(group, ts_us, id_col)
-    numbered = prefix_scan(rows, key=group, order=[ts_us, id_col], inclusive=False, values=[
-        ("_before", F.lit(1).cast("bigint"), "sum"), ("_prev", F.col(ts_us), "last")])
-    numbered = reliable_checkpoint(numbered.select(
-        group, ts_us, id_col, (F.col("_before") + 1).alias("_rn"),
-        F.coalesce(F.col(ts_us) > F.col("_prev") + F.lit(gap_us), F.lit(True)).alias("_start")))
+def _numbered(rows: DataFrame, *, key: str, gap_us: int) -> DataFrame:
+    """``(key, _ts_us, event_id, _rn, _seg, _start)`` of all rows: one segment number, starts by gaps alone."""
+    s = prefix_scan(rows.select(key, "_ts_us", "event_id"), key=key, order=["_ts_us", "event_id"], inclusive=False,
+                    values=[("_before", F.lit(1).cast("bigint"), "sum"), ("_prev", F.col("_ts_us"), "last")])
+    return reliable_checkpoint(s.select(
+        key, "_ts_us", "event_id", (F.col("_before") + 1).alias("_rn"), F.lit(0).cast("bigint").alias("_seg"),
+        F.coalesce(F.col("_ts_us") > F.col("_prev") + F.lit(gap_us), F.lit(True)).alias("_start")))
+
+
+def greedy_chain(numbered: DataFrame, *, key: str, gap_us: int) -> DataFrame:
+    """The chain members among ``numbered`` rows ``(key, _ts_us, event_id, _rn, _seg, _start)``: every start, then
+    within its segment repeatedly the first row with ``_ts_us > previous + gap_us``.
 
-    # nxt: probes at ts + gap; in descending (ts, kind, id) order the last data row seen before a probe is the first
+    Also returns ``_next_rn``, the position of the key's first row later than ``_ts_us + gap_us`` (null: none)."""
+    # probes at ts + gap; in descending (ts, kind, id) order the last data row seen before a probe is the first
     # row strictly later than the probe (data rows at the probe's time come after it, so they are not counted)
-    data = numbered.select(group, F.col(ts_us).alias("_t"), F.lit(0).alias("_kind"), F.col(id_col).alias("_i"),
-                           F.struct("_rn", "_start").alias("_row"), F.lit(None).cast("bigint").alias("_src"))
-    probes = numbered.select(group, (F.col(ts_us) + F.lit(gap_us)).alias("_t"), F.lit(1).alias("_kind"),
-                             F.col(id_col).alias("_i"), F.lit(None).cast(data.schema["_row"].dataType).alias("_row"),
-                             F.col("_rn").alias("_src"))
-    both = data.unionByName(probes).select("*", (-F.col("_t")).alias("_nt"), (-F.col("_kind")).alias("_nk"),
-                                           (-F.col("_i")).alias("_ni"))
-    scanned = prefix_scan(both, key=group, order=["_nt", "_nk", "_ni"], values=[("_nx", F.col("_row"), "last")])
-    jump = reliable_checkpoint(scanned.where((F.col("_kind") == 1) & ~F.col("_nx._start"))
-                               .select(group, F.col("_src").alias("_rn"), F.col("_nx._rn").alias("_nx")))
-
-    members = numbered.where("_start").select(group, "_rn")
+    row = F.struct("_rn", "_seg", "_start")
+    own = F.struct("_ts_us", "event_id", "_rn", "_seg", "_start")
+    kinds = numbered.select(row.alias("r"), own.alias("o")).schema
+    data = numbered.select(key, (-F.col("_ts_us")).alias("_nt"), F.lit(0).alias("_nk"), (-F.col("event_id")).alias("_ni"),
+                           row.alias("_row"), F.lit(None).cast(kinds["o"].dataType).alias("_own"))
+    probes = numbered.select(key, (-F.col("_ts_us") - F.lit(gap_us)).alias("_nt"), F.lit(-1).alias("_nk"),
+                             (-F.col("event_id")).alias("_ni"), F.lit(None).cast(kinds["r"].dataType).alias("_row"),
+                             own.alias("_own"))
+    scanned = prefix_scan(data.unionByName(probes), key=key, order=["_nt", "_nk", "_ni"],
+                          values=[("_nx", F.col("_row"), "last")])
+    step = F.coalesce((F.col("_nx._seg") == F.col("_own._seg")) & ~F.col("_nx._start"), F.lit(False))
+    rows = reliable_checkpoint(scanned.where("_own IS NOT NULL").select(
+        key, "_own.*", F.col("_nx._rn").alias("_next_rn"), step.alias("_steps")))
+
+    known = rows.where("_start").select(key, "_rn")
+    jump = reliable_checkpoint(rows.where("_steps").select(key, "_rn", F.col("_next_rn").alias("_nx")))
+    added = None
     while not jump.isEmpty():
-        new = reliable_checkpoint(_join_ns(members, jump, [group, "_rn"]).select(group, F.col("_nx").alias("_rn")))
+        new = reliable_checkpoint(_join_ns(known, jump, [key, "_rn"]).select(key, F.col("_nx").alias("_rn")))
         if new.isEmpty():
             break
-        members = members.unionByName(new)
-        second = jump.select(group, F.col("_rn").alias("_mid"), F.col("_nx").alias("_nx2"))
-        jump = reliable_checkpoint(_join_ns(jump.withColumnRenamed("_nx", "_mid"), second, [group, "_mid"])
-                                   .select(group, "_rn", F.col("_nx2").alias("_nx")))
-    return _join_ns(members, numbered, [group, "_rn"]).select(group, ts_us, id_col)
-
-
-def _asof_count(rows: DataFrame, probes: DataFrame, *, key: str, ts_us: str) -> DataFrame:
-    """For every probe ``(key, _probe_us, ...)``: the number of rows of its key with ``ts_us <= _probe_us``."""
-    # ties inside (key, _t, _kind) do not change a probe's count: probes add 0 and tied rows are all counted
-    d = rows.select(key, F.col(ts_us).alias("_t"), F.lit(0).alias("_kind"), F.lit(1).cast("bigint").alias("_one"))
-    p = probes.select(key, F.col("_probe_us").alias("_t"), F.lit(1).alias("_kind"), F.lit(0).cast("bigint").alias("_one"))
-    s = prefix_scan(d.unionByName(p), key=key, order=["_t", "_kind"], values=[("_cnt", F.col("_one"), "sum")])
-    return s.where(F.col("_kind") == 1).select(key, F.col("_t").alias("_probe_us"), "_cnt")
+        known = known.unionByName(new)
+        added = new if added is None else added.unionByName(new)
+        second = jump.select(key, F.col("_rn").alias("_mid"), F.col("_nx").alias("_nx2"))
+        jump = reliable_checkpoint(_join_ns(jump.withColumnRenamed("_nx", "_mid"), second, [key, "_mid"])
+                                   .select(key, "_rn", F.col("_nx2").alias("_nx")))
+    members = rows.where("_start")
+    if added is not None:
+        members = members.unionByName(_join_ns(rows.where("NOT _start"), added, [key, "_rn"], "left_semi"))
+    return members.select(key, "_ts_us", "event_id", "_rn", "_seg", "_next_rn")
 
 
 def periodic_counts_chain(rows: DataFrame, *, key: str, period_us: int) -> DataFrame:
     """``(key, _fire_us, cnt)`` of :func:`~eventspark.operators.timers.periodic_counts_spec` — anchors are the greedy
-    chain of all rows; each fires at ``anchor + period`` with the number of rows up to then."""
-    anchors = greedy_chain(rows, group=key, ts_us="_ts_us", id_col="event_id", gap_us=period_us, eligible=F.lit(True))
-    fires = anchors.select(key, (F.col("_ts_us") + F.lit(period_us)).alias("_probe_us"))
-    counted = _asof_count(rows, fires, key=key, ts_us="_ts_us")
-    return counted.select(key, F.col("_probe_us").alias("_fire_us"), F.col("_cnt").alias("cnt"))
+    chain of all rows; each fires at ``anchor + period`` with the number of rows up to then, which are those before
+    the first row later than that (all rows of the key for its last anchor)."""
+    numbered = _numbered(rows.where(F.col("_ts_us").isNotNull()), key=key, gap_us=period_us)
+    anchors = greedy_chain(numbered, key=key, gap_us=period_us)
+    total = numbered.groupBy(key).agg(F.max("_rn").alias("cnt"))
+    fire = (F.col("_ts_us") + F.lit(period_us)).alias("_fire_us")
+    inner = anchors.where(F.col("_next_rn").isNotNull()).select(key, fire, (F.col("_next_rn") - 1).alias("cnt"))
+    last = _join_ns(anchors.where(F.col("_next_rn").isNull()), total, [key])  # at most one anchor a key
+    return inner.unionByName(last.select(key, fire, "cnt"))
 
 
 def order_timeout_chain(rows: DataFrame, *, key: str, timeout_us: int) -> DataFrame:
     """``(key, result, _event_us, _create_us)`` of :func:`~eventspark.operators.timers.order_timeout_spec` — the
     creates that open an order are the greedy chain of creates; each pay is judged against the last opening before
     it."""
-    opens = greedy_chain(rows, group=key, ts_us="_ts_us", id_col="event_id", gap_us=timeout_us,
-                         eligible=F.col("order_type") == "create")
+    rows = rows.where(F.col("_ts_us").isNotNull())
+    creates = _numbered(rows.where(F.col("order_type") == "create"), key=key, gap_us=timeout_us)
+    opens = greedy_chain(creates, key=key, gap_us=timeout_us)
     o = opens.select(key, "_ts_us", "event_id", F.col("_ts_us").alias("_open_us"), F.lit(0).alias("_rank"))
     pays = rows.where(F.col("order_type") == "pay").select(key, "_ts_us", "event_id",
                                                           F.lit(None).cast("bigint").alias("_open_us"),
@@ -121,22 +130,24 @@ def temp_rise_chain(rows: DataFrame, *, key: str, rise_us: int) -> DataFrame:
 
     Falls cut a key's rows into segments; inside a segment the armed rises are the greedy chain of rise rows (a
     timer armed at r blocks re-arming until the first row after ``r + rise_for``), and an armed timer alerts unless
-    the segment's closing fall comes at or before it."""
-    prev = prefix_scan(rows, key=key, order=["_ts_us", "event_id"], inclusive=False,
+    the segment's closing fall comes at or before it.  Both scans share one set of range pieces."""
+    order = ["_ts_us", "event_id"]
+    prev = prefix_scan(rows.where(F.col("_ts_us").isNotNull()), key=key, order=order, inclusive=False, keep_piece=True,
                        values=[("_prev", F.col("temperature"), "last")])
-    rel = prev.select(key, "_ts_us", "event_id",
-                      F.coalesce(F.col("temperature") > F.col("_prev"), F.lit(False)).alias("_rise"),
-                      F.coalesce(F.col("temperature") < F.col("_prev"), F.lit(False)).alias("_fall"))
-    seg = prefix_scan(rel, key=key, order=["_ts_us", "event_id"],
-                      values=[("_seg", F.col("_fall").cast("bigint"), "sum")])
-    nf = prefix_scan(seg.select("*", (-F.col("_ts_us")).alias("_nt"), (-F.col("event_id")).alias("_ni")),
-                     key=key, order=["_nt", "_ni"], inclusive=False,
-                     values=[("_next_fall", F.when(F.col("_fall"), F.col("_ts_us")), "last")])
-    marked = reliable_checkpoint(nf.select(key, "_ts_us", "event_id", "_rise", "_next_fall",
-                                           F.struct(F.col(key).alias("k"), F.col("_seg").alias("s")).alias("_g")))
-    arms = greedy_chain(marked, group="_g", ts_us="_ts_us", id_col="event_id", gap_us=rise_us,
-                        eligible=F.col("_rise"))
-    fired = _join_ns(arms, marked.select("_g", "_ts_us", "event_id", "_next_fall"), ["_g", "_ts_us", "event_id"])
+    rel = prev.withColumns({
+        "_rise": F.coalesce(F.col("temperature") > F.col("_prev"), F.lit(False)),
+        "_fall": F.coalesce(F.col("temperature") < F.col("_prev"), F.lit(False))}).drop("temperature", "_prev")
+    at = F.struct(*order)
+    seen = prefix_scan(rel, key=key, order=order, inclusive=False, in_pieces=True, values=[
+        ("_before", F.col("_rise").cast("bigint"), "sum"), ("_seg", F.col("_fall").cast("bigint"), "sum"),
+        ("_last_rise", F.when(F.col("_rise"), at), "last"), ("_last_fall", F.when(F.col("_fall"), at), "last")])
+    first = F.col("_last_rise").isNull() | (F.col("_last_fall") > F.col("_last_rise"))
+    marked = reliable_checkpoint(seen.where("_rise OR _fall").select(
+        key, *order, "_rise", (F.col("_before") + 1).alias("_rn"), "_seg",
+        F.coalesce(first | (F.col("_ts_us") > F.col("_last_rise._ts_us") + F.lit(rise_us)), F.lit(False)).alias("_start")))
+    arms = greedy_chain(marked.where("_rise").drop("_rise"), key=key, gap_us=rise_us)
+    falls = marked.where("NOT _rise").select(key, "_seg", F.col("_ts_us").alias("_next_fall"))  # one ends each segment
     alert = F.col("_ts_us") + F.lit(rise_us)
-    return fired.where(F.col("_next_fall").isNull() | (F.col("_next_fall") > alert)).select(
-        F.col("_g.k").alias(key), alert.alias("_alert_us"))
+    return (_join_ns(arms, falls, [key, "_seg"], "left")
+            .where(F.col("_next_fall").isNull() | (F.col("_next_fall") > alert))
+            .select(key, alert.alias("_alert_us")))

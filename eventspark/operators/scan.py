@@ -72,21 +72,26 @@ def _combine(how: str, run: Column, carry: Column) -> Column:
 
 def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[str, Column, str]],
                 key: str | None = None, inclusive: bool = True, num_partitions: int | None = None,
-                keep_piece: bool = False) -> DataFrame:
+                keep_piece: bool = False, in_pieces: bool = False) -> DataFrame:
     """Add running aggregates to ``df``.
 
     ``values`` lists ``(out_col, value_expr, how)``.  ``order`` must make rows unique within a key (add a unique id as
-    the last column), otherwise rows of equal order are visited in an arbitrary order.
+    the last column), otherwise rows of equal order are visited in an arbitrary order.  ``in_pieces``: ``df`` comes out
+    of a scan by the same key and order with ``keep_piece``; its pieces are used again, without another range shuffle.
     """
     order = list(order)
     keycols = [key] if key else []
+    names = [c for c in df.columns if c not in (_PID, _FIRST, _LAST)]
     vals = [(out, f"_ps_v{i}", expr, how) for i, (out, expr, how) in enumerate(values)]
     prepared = df.select("*", *[expr.alias(tmp) for _, tmp, expr, _ in vals])
 
     pieces = max(2, num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    pieced = reliable_checkpoint(prepared.repartitionByRange(pieces, *keycols, *order)
-                                 .withColumn(_PID, F.spark_partition_id()))
+    if in_pieces:
+        pieced = reliable_checkpoint(prepared.drop(_FIRST, _LAST))
+    else:
+        pieced = reliable_checkpoint(prepared.repartitionByRange(pieces, *keycols, *order)
+                                     .withColumn(_PID, F.spark_partition_id()))
     order_struct = F.struct(*[F.col(c) for c in order])
 
     # 2. per-piece first/last key and tail aggregates (one row per non-empty piece)
@@ -129,7 +134,7 @@ def prefix_scan(df: DataFrame, *, order: Sequence[str], values: Sequence[tuple[s
         out_cols.append(F.when(first_key, _combine(how, run, F.col(tmp + "_c"))).otherwise(other).alias(out))
     # keep_piece: also return the piece id and its first/last key (the frame stays hash-partitioned by piece, so a
     # caller can run more windows over (piece, key) without another shuffle)
-    return joined.select(*df.columns, *out_cols, *([_PID, _FIRST, _LAST] if keep_piece else []))
+    return joined.select(*names, *out_cols, *([_PID, _FIRST, _LAST] if keep_piece else []))
 
 
 def running_count(df: DataFrame, *, key: str | None, order: Sequence[str], out: str = "running_cnt") -> DataFrame:

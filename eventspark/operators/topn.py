@@ -95,9 +95,31 @@ def hot_items_sql(spark: SparkSession, view: str, *, n: int = 3, size="1 hour",
 def changelog(prev: DataFrame, curr: DataFrame, *, flag_col="is_add") -> DataFrame:
     """Retract/add pairs turning result ``prev`` into ``curr`` (multiset difference both ways).
 
-    Rows only in ``prev`` come out with ``is_add = false`` (retractions), rows only in ``curr`` with ``true``.
+    Rows only in ``prev`` come out with ``is_add = false`` (retractions), rows only in ``curr`` with ``true``.  Each
+    side is read once: equal rows cancel out in one aggregate.
     """
     cols = curr.columns
-    retract = prev.select(*cols).exceptAll(curr.select(*cols)).withColumn(flag_col, F.lit(False))
-    add = curr.select(*cols).exceptAll(prev.select(*cols)).withColumn(flag_col, F.lit(True))
-    return retract.unionByName(add).select(flag_col, *cols)
+    signed = (prev.select(*cols, F.lit(-1).alias("_sign"))
+              .unionByName(curr.select(*cols, F.lit(1).alias("_sign"))))
+    net = signed.groupBy(*cols).agg(F.sum("_sign").alias("_net")).where("_net <> 0")
+    copies = F.explode(F.array_repeat(F.col("_net") > 0, F.abs("_net").cast("int"))).alias(flag_col)
+    return net.select(copies, *cols)
+
+
+def hot_items_changelog(behaviors: DataFrame, since, *, n: int = 3, size="1 hour", slide="5 minutes",
+                        behavior="pv") -> DataFrame:
+    """:func:`changelog` from the hot items of the rows before ``since`` to the hot items of all rows.
+
+    One scan and one pane aggregate count both versions; the windows' counts are then unpivoted, ranked per window
+    and version (a group limit in each task), and compared, at most ``2 * n`` rows a window.
+    """
+    pv = behaviors.where(F.col("behavior") == behavior).select("item_id", "ts")
+    both = sliding_count(pv, key="item_id", ts="ts", size=size, slide=slide, also=F.col("ts") < since)
+    versions = both.select("window_end", "item_id", F.explode(F.array(
+        F.struct(F.lit(False).alias("curr"), F.col("cnt_also").alias("cnt")),
+        F.struct(F.lit(True).alias("curr"), F.col("cnt").alias("cnt")))).alias("v")).where("v.cnt > 0")
+    versions = versions.select("window_end", "item_id", "v.*").withColumn("_group", F.struct("window_end", "curr"))
+    top = top_n_per_window(versions, n=n, window_col="_group")
+    net = (top.groupBy("window_end", "item_id", "cnt", "rank").agg(F.count(F.lit(1)).alias("versions"),
+                                                                    F.max("curr").alias("is_add")))
+    return net.where("versions = 1").select("is_add", "window_end", "item_id", "cnt", "rank")

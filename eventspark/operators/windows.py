@@ -60,7 +60,8 @@ def pv_per_window(df: DataFrame, *, ts="ts", size="1 hour", behavior_col="behavi
     return tumbling_agg(df.where(F.col(behavior_col) == pv), ts, size, None, [F.count(F.lit(1)).alias("pv")])
 
 
-def sliding_count(df: DataFrame, *, key: str, ts="ts", size="1 hour", slide="5 minutes") -> DataFrame:
+def sliding_count(df: DataFrame, *, key: str, ts="ts", size="1 hour", slide="5 minutes",
+                  also: Column | None = None) -> DataFrame:
     """Sliding-window row count per key with pane pre-aggregation.
 
     Each row belongs to ``size/slide`` windows.  Instead of expanding every row ``size/slide`` times (what
@@ -68,20 +69,21 @@ def sliding_count(df: DataFrame, *, key: str, ts="ts", size="1 hour", slide="5 m
     one slide long — a map-side-combined aggregate — and only the pane counts are expanded to the windows they belong
     to and summed.  The expansion thus grows with the number of non-empty panes, not with the number of rows.
     Requires ``size`` to be a multiple of ``slide``.  Windows are identified by their end (and start) like
-    ``F.window``.
+    ``F.window``.  ``also`` adds ``cnt_also``, the count of the rows that meet this condition.
     """
     size_s, slide_s = to_seconds(size), to_seconds(slide)
     if size_s % slide_s:
         raise ValueError("size must be a multiple of slide")
+    counts = {"cnt": F.count(F.lit(1))} | ({} if also is None else {"cnt_also": F.count_if(also)})
     panes = (df.groupBy(key, F.window(F.col(ts), slide).alias("p"))
-             .agg(F.count(F.lit(1)).alias("n")))
+             .agg(*[c.alias(name) for name, c in counts.items()]))
     expanded = panes.select(
-        key, "n",
+        key, *counts,
         F.explode(F.sequence(F.col("p.end"), F.col("p.start") + F.make_dt_interval(secs=F.lit(size_s)),
                              F.make_dt_interval(secs=F.lit(slide_s)))).alias("window_end"))
-    out = expanded.groupBy(key, "window_end").agg(F.sum("n").alias("cnt"))
+    out = expanded.groupBy(key, "window_end").agg(*[F.sum(name).alias(name) for name in counts])
     return out.select(key, (F.col("window_end") - F.make_dt_interval(secs=F.lit(size_s))).alias("window_start"),
-                      "window_end", "cnt")
+                      "window_end", *counts)
 
 
 def sliding_count_direct(df: DataFrame, *, key: str, ts="ts", size="1 hour", slide="5 minutes") -> DataFrame:

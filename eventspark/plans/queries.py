@@ -256,8 +256,7 @@ CHANGELOG_CUTOFF = "2024-01-15 12:00:00"
 @query("topn_changelog")
 def q_topn_changelog(spark, sf_dir):
     b = views.behaviors(events(spark, sf_dir), only="pv")
-    prev = topn.hot_items(b.where(F.col("ts") < F.lit(CHANGELOG_CUTOFF).cast("timestamp_ntz")))
-    return topn.changelog(prev, topn.hot_items(b))
+    return topn.hot_items_changelog(b, F.lit(CHANGELOG_CUTOFF).cast("timestamp_ntz"))
 
 
 # --- UDF / SQL surface -----------------------------------------------------------------------------------------------
