@@ -3,9 +3,11 @@
 Base identifiers (email, ip, card, phone) are found in the text as it stands.  Then a chain of small transducers
 rewrites a copy of the text, each keeping for every output character the source span it came from:
 
-1. homoglyphs and wide forms become ASCII, invisible characters vanish;
-2. bracketed or spoken "at" and "dot" become ``@`` and ``.``;
-3. runs of spelled digits become digits, a leading "plus" becomes ``+``.
+1. homoglyphs, wide forms and escaped signs (``&#64;``, ``%40``) become ASCII, invisible characters vanish;
+2. runs of spelled digits become digits, a leading "plus" becomes ``+``, four spelled groups with "dot" between them an
+   ip address;
+3. bracketed, spoken or joined (``_at_``) "at" and "dot" become ``@`` and ``.``.  A spoken or joined "at" counts only
+   where a "dot" in the same manner follows: "see us at example.com" is no address.
 
 The same detectors run over the rewritten text; a find that a transducer touched is mapped back to source characters
 and added, unless it lies inside a base find of its kind.  Texts in which no transducer has anything to do (a search
@@ -47,9 +49,13 @@ _DIGIT_RUN = re.compile(rf"(?:\bplus[\s-]+)?\b{_SPELLED}\b(?:[\s,-]{{1,3}}(?:{_S
 _SOME_RUN = re.compile(rf"\b{_SPELLED}[\s,-]{{1,3}}{_SPELLED}[\s,-]{{1,3}}{_SPELLED}\b")
 _WORD = re.compile(r"[A-Za-z]+|[0-9]+")
 _BRACKETED = re.compile(r"\s{0,3}[\[({<]\s{0,3}(at|dot|@|\.)\s{0,3}[\])}>]\s{0,3}", re.I)
-_SPOKEN = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\s{1,3}dot\s{1,3}[A-Za-z0-9._%+-]++)*+\s{1,3}at\s{1,3}"
-                     r"[A-Za-z0-9-]++(?:\s{1,3}dot\s{1,3}[A-Za-z0-9-]++)++", re.I)
+_SPOKEN = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\s{1,3}(?:at|dot)\s{1,3}[A-Za-z0-9._%+-]++)++", re.I)
 _SPOKEN_IP = re.compile(r"(?<![0-9])[0-9]++(?:(?:\s{1,3}dot\s{1,3}|\.)[0-9]++){3}", re.I)
+_JOINED = re.compile(r"(?<=[A-Za-z0-9])([_-])at\1[A-Za-z0-9]++(?:\1dot\1[A-Za-z0-9]++)++", re.I)
+_JOINED_SIGN = re.compile(r"[_-](at|dot)[_-]", re.I)
+_SPELLED_GROUP = rf"{_SPELLED}(?:[\s-]{{1,3}}{_SPELLED}){{0,2}}"
+_SPELLED_IP = re.compile(rf"\b{_SPELLED_GROUP}(?:\s{{1,3}}dot\s{{1,3}}{_SPELLED_GROUP}){{3}}\b", re.I)
+_ESCAPED = re.compile(r"&(?:#0{0,4}(?:64|46)|#x0{0,4}(?:40|2e)|commat|period);|%40", re.I)
 _AT_DOT = re.compile(r"\s{1,3}(at|dot)\s{1,3}", re.I)
 
 
@@ -109,25 +115,38 @@ class _Tape:
 
 def _plain_letters(tape: _Tape) -> None:
     tape.rewrite([(m.start(), m.end(), _MAP.get(ord(m[0]), "")) for m in _ODD.finditer(tape.text)])
+    dots = ("46;", "2e;", "period;")
+    tape.rewrite([(m.start(), m.end(), "." if m[0].lower().endswith(dots) else "@") for m in _ESCAPED.finditer(tape.text)])
 
 
 def _at_dot(tape: _Tape) -> None:
     sign = {"at": "@", "dot": "."}
     tape.rewrite([(m.start(), m.end(), sign.get(m[1].lower(), m[1])) for m in _BRACKETED.finditer(tape.text)])
-    for whole in (_SPOKEN, _SPOKEN_IP):
-        tape.rewrite([(m.start() + x.start(), m.start() + x.end(), sign[x[1].lower()])
-                      for m in whole.finditer(tape.text) for x in _AT_DOT.finditer(m[0])])
+    edits = []
+    for m in _SPOKEN.finditer(tape.text):  # chains of words with "at" or "dot" between, each taken whole
+        signs = [(m.start() + x.start(), m.start() + x.end(), sign[x[1].lower()]) for x in _AT_DOT.finditer(m[0])]
+        real = [x for x, after in zip(signs, [*signs[1:], (0, 0, "")], strict=True) if x[2] == "." or after[2] == "."]
+        edits += real if any(x[2] == "@" for x in real) else []
+    tape.rewrite(edits)
+    tape.rewrite([(m.start() + x.start(), m.start() + x.end(), ".")
+                  for m in _SPOKEN_IP.finditer(tape.text) for x in _AT_DOT.finditer(m[0])])
+    tape.rewrite([(m.start() + x.start(), m.start() + x.end(), sign[x[1].lower()])
+                  for m in _JOINED.finditer(tape.text) for x in _JOINED_SIGN.finditer(m[0])])
+
+
+def _words(m: re.Match, signs: dict[str, str]) -> list[tuple[int, int, str]]:
+    """Edits that put signs for the words of a match; the separators go with the word before them."""
+    found = list(_WORD.finditer(m[0]))
+    return [(m.start() + w.start(), m.start() + (after.start() if after else w.end()), signs.get(w[0].lower(), w[0]))
+            for w, after in zip(found, [*found[1:], None], strict=True)]
 
 
 def _spelled_digits(tape: _Tape) -> None:
+    tape.rewrite([x for m in _SPELLED_IP.finditer(tape.text) for x in _words(m, _DIGITS | {"dot": "."})])
     edits = []
     for m in _DIGIT_RUN.finditer(tape.text):
-        found = list(_WORD.finditer(m[0]))
-        if sum(w[0].lower() in _DIGITS for w in found) < 3:
-            continue
-        for w, after in zip(found, [*found[1:], None], strict=True):  # the separators go with the word before them
-            new = "+" if w[0].lower() == "plus" else _DIGITS.get(w[0].lower(), w[0])
-            edits.append((m.start() + w.start(), m.start() + (after.start() if after else w.end()), new))
+        if sum(w[0].lower() in _DIGITS for w in _WORD.finditer(m[0])) >= 3:
+            edits += _words(m, _DIGITS | {"plus": "+"})
     tape.rewrite(edits)
 
 
@@ -135,7 +154,9 @@ def _disguised(text: str) -> bool:
     if not text.isascii() and _ODD.search(text):
         return True
     low = text.lower()
-    return "dot" in low and bool(_AT_DOT.search(text)) or _BRACKETED.search(text) is not None or _SOME_RUN.search(low) is not None
+    if ("&" in low or "%40" in low) and _ESCAPED.search(low):
+        return True
+    return "dot" in low and bool(_AT_DOT.search(text) or _JOINED.search(text)) or _BRACKETED.search(text) is not None or _SOME_RUN.search(low) is not None
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:

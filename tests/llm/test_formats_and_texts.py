@@ -97,6 +97,10 @@ def test_disguises_map_back():
     for text, kind, part in [
             ("write to joe [at] mail (dot) example [dot] com now", "email", "joe [at] mail (dot) example [dot] com"),
             ("mail joe at mail dot example dot com please", "email", "joe at mail dot example dot com"),
+            ("ask joe_b_at_mail_dot_example_dot_com or", "email", "joe_b_at_mail_dot_example_dot_com"),
+            ("ask joe&#64;mail&period;com or", "email", "joe&#64;mail&period;com"),
+            ("to=joe%40mail.com&x", "email", "joe%40mail.com"),
+            ("host one zero dot one two dot zero dot five up", "ip", "one zero dot one two dot zero dot five"),
             ("see jоe@mаil.example.com ok", "email", "jоe@mаil.example.com"),
             ("ip １０.0.0.1 here", "ip", "１０.0.0.1"), ("ip 10 dot 0 dot 0 dot 1 here", "ip", "10 dot 0 dot 0 dot 1"),
             ("call plus one two one two five five five zero one two three now", "phone",
@@ -104,8 +108,11 @@ def test_disguises_map_back():
             ("a j​oe@mail.example.com", "email", "j​oe@mail.example.com")]:
         found = [(k, text[s:e]) for k, s, e, base in find_spans(text) if not base]
         assert (kind, part) in found, (text, found)
-    for clean in ("meet at the dot", "one two three men at sea", "the plus one", "we met at noon. dot com boom", None, ""):
+    for clean in ("meet at the dot", "one two three men at sea", "the plus one", "we met at noon. dot com boom",
+                  "see us at example.com", "a five-at-ten b", None, ""):
         assert find_spans(clean) == []
+    for text in ("one dot " * 100_000, "nine nine nine dot " * 50_000, "a at b dot " * 50_000, "x-at-y-dot-" * 50_000):
+        find_spans(text)  # linear, so quick
     assert masked("a x@y.zz b") == "a [EMAIL] b" and masked(None) is None
 
 
