@@ -32,7 +32,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (similarity 0.8 or more): the one with the smallest doc_id."""
+    """One document of each near-duplicate group (similarity 0.8 or more): the one with the smallest doc_id.
+
+    Rows that repeat a doc_id stay or go together; rows without one stay."""
     gone = near_duplicates(docs, percent=80, bands=38).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "leftanti").select(*COLUMNS)
 
