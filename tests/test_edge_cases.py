@@ -187,3 +187,27 @@ def test_an_empty_state_version_is_the_newest(spark, tmp_path):
     assert version_before(spark, path, 1).count() == 3
     assert version_before(spark, path, 2).count() == 0
     assert version_before(spark, path, 0) is None
+
+
+def test_changelog_counts_repeats_and_nulls(spark):
+    from eventspark.operators.topn import changelog
+
+    prev = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, None)], "k long, v string")
+    curr = spark.createDataFrame([(1, "a"), (3, None), (3, None), (4, "d")], "k long, v string")
+    got = sorted(tuple(r) for r in changelog(prev, curr).fillna("-").collect())
+    assert got == [(False, 1, "a"), (False, 2, "-"), (True, 3, "-"), (True, 4, "d")]
+
+
+def test_rows_without_time_change_nothing(spark):
+    from eventspark.operators import timers
+
+    schema = "id string, ts timestamp_ntz, event_id long, temperature double"
+    rows = spark.sql("""SELECT * FROM VALUES ('a', timestamp_ntz'2024-01-01 00:00:00', 1L, 1.0D),
+        ('a', timestamp_ntz'2024-01-01 00:00:04', 2L, 2.0D), ('a', timestamp_ntz'2024-01-01 00:00:12', 3L, 3.0D),
+        (NULL, timestamp_ntz'2024-01-01 00:00:01', 4L, 5.0D) AS t(id, ts, event_id, temperature)""")
+    more = rows.union(spark.createDataFrame([("a", None, 9, 0.5), (None, None, 10, 0.5)], schema))
+    for op in (timers.periodic_counts, timers.temp_rise_alerts):
+        want, got = (sorted(map(str, op(x).collect())) for x in (rows, more))
+        assert want == got
+    counts = {(r["id"], str(r["fire_ts"]), r["cnt"]) for r in timers.periodic_counts(rows).collect()}
+    assert counts == {("a", "2024-01-01 00:00:10", 2), ("a", "2024-01-01 00:00:22", 3), (None, "2024-01-01 00:00:11", 1)}
