@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF01
-from eventspark.llm import chat, queries
+from eventspark.llm import chat, maxent_lm, queries
 from eventspark.llm.maxent_lm import score_texts
 from eventspark.llm.mixing import Target, mix_sources
 from eventspark.llm.packing import encoder, nnls, pack, plan, slots
@@ -225,3 +225,17 @@ def test_language_model(spark):
     held = got[got.held_out]
     assert held.score.sum() / held.n_tokens.sum() > held.base_score.sum() / held.n_tokens.sum() + 0.05
     assert score_texts(odd.limit(0)).count() == 0
+
+
+def test_language_model_rounds_cover_all_texts(spark, monkeypatch):
+    docs, summed, gathered = spark.range(60).selectExpr("id AS doc_id", "concat('the w', id % 7, ' of x') AS text"), [], maxent_lm._gathered
+
+    def noted(texts, model, expected):
+        out = gathered(texts, model, expected)
+        summed.append((expected, texts.count(), round(out.sum() / maxent_lm.ACTIVE, 1)))
+        return out
+
+    monkeypatch.setattr(maxent_lm, "_gathered", noted)
+    rows = score_texts(docs).collect()
+    n = sum(not r["held_out"] for r in rows)
+    assert summed == [(False, n, 5 * n), (True, n, 5 * n), (True, n, 5 * n)]  # four words and the end each
