@@ -7,7 +7,8 @@ rewrites a copy of the text, each keeping for every output character the source
 2. runs of spelled digits become digits, a leading "plus" becomes ``+``, four spelled groups with "dot" between them an
    ip address;
 3. bracketed, spoken or joined (``_at_``) "at" and "dot" become ``@`` and ``.``.  A spoken or joined "at" counts only
-   where a "dot" in the same manner follows: "see us at example.com" is no address.
+   where a disguised "dot" follows, spoken, joined or bracketed: "see us at example.com" is no address.  A spoken
+   or joined "dot" counts in the same chain of words as a literal or bracketed ``@`` as well.
 
 The same detectors run over the rewritten text; a find that a transducer touched is mapped back to source characters
 and added, unless it lies inside a base find of its kind.  Texts in which no transducer has anything to do (a search
@@ -49,9 +50,9 @@ _DIGIT_RUN = re.compile(rf"(?:\bplus[\s-]+)?\b{_SPELLED}\b(?:[\s,-]{{1,3}}(?:{_S
 _SOME_RUN = re.compile(rf"\b{_SPELLED}[\s,-]{{1,3}}{_SPELLED}[\s,-]{{1,3}}{_SPELLED}\b")
 _WORD = re.compile(r"[A-Za-z]+|[0-9]+")
 _BRACKETED = re.compile(r"\s{0,3}[\[({<]\s{0,3}(at|dot|@|\.)\s{0,3}[\])}>]\s{0,3}", re.I)
-_SPOKEN = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\s{1,3}(?:at|dot)\s{1,3}[A-Za-z0-9._%+-]++)++", re.I)
+_CHAIN = re.compile(r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+@-]++(?:\s{1,3}(?:at|dot)\s{1,3}[A-Za-z0-9._%+@-]++)*+", re.I)
+_SIGNS = re.compile(r"\s{1,3}(?:at|dot)\s{1,3}|(?<=[A-Za-z0-9])([_-])(?:at|dot)\1(?=[A-Za-z0-9])", re.I)
 _SPOKEN_IP = re.compile(r"(?<![0-9])[0-9]++(?:(?:\s{1,3}dot\s{1,3}|\.)[0-9]++){3}", re.I)
-_JOINED = re.compile(r"(?<=[A-Za-z0-9])([_-])at\1[A-Za-z0-9]++(?:\1dot\1[A-Za-z0-9]++)++", re.I)
 _JOINED_SIGN = re.compile(r"[_-](at|dot)[_-]", re.I)
 _SPELLED_GROUP = rf"{_SPELLED}(?:[\s-]{{1,3}}{_SPELLED}){{0,2}}"
 _SPELLED_IP = re.compile(rf"\b{_SPELLED_GROUP}(?:\s{{1,3}}dot\s{{1,3}}{_SPELLED_GROUP}){{3}}\b", re.I)
@@ -97,7 +98,7 @@ class _Tape:
     """A rewritten text with the source span of each of its characters."""
 
     def __init__(self, text: str):
-        self.text, self.start, self.end = text, list(range(len(text))), list(range(1, len(text) + 1))
+        self.source, self.text, self.start, self.end = text, text, list(range(len(text))), list(range(1, len(text) + 1))
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Replaces the non-overlapping, sorted ``(start, end, new text)``."""
@@ -119,19 +120,23 @@ def _plain_letters(tape: _Tape) -> None:
     tape.rewrite([(m.start(), m.end(), "." if m[0].lower().endswith(dots) else "@") for m in _ESCAPED.finditer(tape.text)])
 
 
+def _made_dot(tape: _Tape, start: int, end: int) -> bool:
+    """Whether a dot there was something else in the source."""
+    return any(tape.text[i] == "." and tape.source[tape.start[i]:tape.end[i]] != "." for i in range(start, end))
+
+
 def _at_dot(tape: _Tape) -> None:
     sign = {"at": "@", "dot": "."}
     tape.rewrite([(m.start(), m.end(), sign.get(m[1].lower(), m[1])) for m in _BRACKETED.finditer(tape.text)])
     edits = []
-    for m in _SPOKEN.finditer(tape.text):  # chains of words with "at" or "dot" between, each taken whole
-        signs = [(m.start() + x.start(), m.start() + x.end(), sign[x[1].lower()]) for x in _AT_DOT.finditer(m[0])]
-        real = [x for x, after in zip(signs, [*signs[1:], (0, 0, "")], strict=True) if x[2] == "." or after[2] == "."]
-        edits += real if any(x[2] == "@" for x in real) else []
+    for m in _CHAIN.finditer(tape.text):  # words with spoken or joined "at" or "dot" between or in them, each chain taken whole
+        signs = [(m.start() + x.start(), m.start() + x.end(), sign[x[0].strip().strip("_-").lower()]) for x in _SIGNS.finditer(m[0])]
+        real = [x for x, after in zip(signs, [*signs, (m.end(), 0, "")][1:], strict=True)
+                if x[2] == "." or after[2] == "." or _made_dot(tape, x[1], after[0])]
+        edits += real if "@" in m[0] or any(x[2] == "@" for x in real) else []
     tape.rewrite(edits)
     tape.rewrite([(m.start() + x.start(), m.start() + x.end(), ".")
                   for m in _SPOKEN_IP.finditer(tape.text) for x in _AT_DOT.finditer(m[0])])
-    tape.rewrite([(m.start() + x.start(), m.start() + x.end(), sign[x[1].lower()])
-                  for m in _JOINED.finditer(tape.text) for x in _JOINED_SIGN.finditer(m[0])])
 
 
 def _words(m: re.Match, signs: dict[str, str]) -> list[tuple[int, int, str]]:
@@ -156,7 +161,7 @@ def _disguised(text: str) -> bool:
     low = text.lower()
     if ("&" in low or "%40" in low) and _ESCAPED.search(low):
         return True
-    return "dot" in low and bool(_AT_DOT.search(text) or _JOINED.search(text)) or _BRACKETED.search(text) is not None or _SOME_RUN.search(low) is not None
+    return "dot" in low and bool(_AT_DOT.search(text) or _JOINED_SIGN.search(text)) or _BRACKETED.search(text) is not None or _SOME_RUN.search(low) is not None
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:

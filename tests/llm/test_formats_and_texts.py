@@ -116,6 +116,19 @@ def test_disguises_map_back():
     assert masked("a x@y.zz b") == "a [EMAIL] b" and masked(None) is None
 
 
+def test_mixed_disguises():
+    for part in ("joe [at] mail dot com", "joe at mail [dot] com", "joe@mail dot com", "joe at mail&period;com", "joe&#64;mail dot com",
+                 "joe at mail dot example [dot] com", "joe (at) mail dot example.com", "joe_b [at] mail_dot_com", "joe_at_mail [dot] com",
+                 "joe at mail_dot_com", "joe@mail_dot_com", "joe_at_mail dot com"):
+        text = f"write to {part}, or call"
+        assert ("email", text.index(part), text.index(part) + len(part)) in [x[:3] for x in find_spans(text)], part
+        assert part not in masked(text)
+    for clean in ("see us at example.com", "we met at noon [dot] com", "look at this. dot com", "@ noon dot"):
+        assert all(k != "email" or "noon" in clean for k, *_ in find_spans(clean)), clean
+    for text in ("a@b dot " * 50_000, "a at b[dot]" * 50_000, "a@" * 100_000 + " dot x"):
+        find_spans(text)  # linear, so quick
+
+
 def test_personal_data_rows(spark):
     texts = {1: "mail a.b@c.de and +1 (988) 555-2485", 2: None, 3: "", 4: "joe [at] mail [dot] com"}
     df = spark.createDataFrame([(k, t, "z") for k, t in texts.items()], "doc_id long, text string, spans string")
