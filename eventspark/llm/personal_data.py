@@ -21,6 +21,7 @@ are code points, end exclusive.  A null text counts as empty and has no spans; o
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -47,7 +48,6 @@ _ODD = re.compile("[" + "".join(map(chr, sorted(_MAP))) + _INVISIBLE + "]")
 _DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())}
 _SPELLED = "(?:" + "|".join(_DIGITS) + ")"
 _DIGIT_RUN = re.compile(rf"(?:\bplus[\s-]+)?\b{_SPELLED}\b(?:[\s,-]{{1,3}}(?:{_SPELLED}\b|[0-9]++))+", re.I)
-_SOME_RUN = re.compile(rf"\b{_SPELLED}[\s,-]{{1,3}}{_SPELLED}[\s,-]{{1,3}}{_SPELLED}\b")
 _WORD = re.compile(r"[A-Za-z]+|[0-9]+")
 _BRACKETED = re.compile(r"\s{0,3}[\[({<]\s{0,3}(at|dot|@|\.)\s{0,3}[\])}>]\s{0,3}", re.I)
 _CHAIN = re.compile(r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+@-]++(?:\s{1,3}(?:at|dot)\s{1,3}[A-Za-z0-9._%+@-]++)*+", re.I)
@@ -146,13 +146,14 @@ def _words(m: re.Match, signs: dict[str, str]) -> list[tuple[int, int, str]]:
             for w, after in zip(found, [*found[1:], None], strict=True)]
 
 
+def _digit_runs(text: str) -> Iterator[re.Match]:
+    """Runs of spelled digits, numerals among them, with three spelled ones at least."""
+    return (m for m in _DIGIT_RUN.finditer(text) if sum(w[0].lower() in _DIGITS for w in _WORD.finditer(m[0])) >= 3)
+
+
 def _spelled_digits(tape: _Tape) -> None:
     tape.rewrite([x for m in _SPELLED_IP.finditer(tape.text) for x in _words(m, _DIGITS | {"dot": "."})])
-    edits = []
-    for m in _DIGIT_RUN.finditer(tape.text):
-        if sum(w[0].lower() in _DIGITS for w in _WORD.finditer(m[0])) >= 3:
-            edits += _words(m, _DIGITS | {"plus": "+"})
-    tape.rewrite(edits)
+    tape.rewrite([x for m in _digit_runs(tape.text) for x in _words(m, _DIGITS | {"plus": "+"})])
 
 
 def _disguised(text: str) -> bool:
@@ -161,7 +162,7 @@ def _disguised(text: str) -> bool:
     low = text.lower()
     if ("&" in low or "%40" in low) and _ESCAPED.search(low):
         return True
-    return "dot" in low and bool(_AT_DOT.search(text) or _JOINED_SIGN.search(text)) or _BRACKETED.search(text) is not None or _SOME_RUN.search(low) is not None
+    return "dot" in low and bool(_AT_DOT.search(text) or _JOINED_SIGN.search(text)) or _BRACKETED.search(text) is not None or any(_digit_runs(text))
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:

@@ -129,6 +129,13 @@ def test_mixed_disguises():
         find_spans(text)  # linear, so quick
 
 
+def test_spelled_digits_among_numerals():
+    part = "plus four nine 30 one two 34 five six 78"
+    for text in (f"call {part} now", f"call {part} now, \u0430"):
+        assert [(k, text[s:e]) for k, s, e, _ in find_spans(text)] == [("phone", part)]
+    find_spans("nine 5 " * 100_000)  # linear, so quick
+
+
 def test_personal_data_rows(spark):
     texts = {1: "mail a.b@c.de and +1 (988) 555-2485", 2: None, 3: "", 4: "joe [at] mail [dot] com"}
     df = spark.createDataFrame([(k, t, "z") for k, t in texts.items()], "doc_id long, text string, spans string")
