@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventspark.llm.minmax_dedup import near_duplicates
+from eventspark.llm.minmax_dedup import deduplicated
 from eventspark.llm.mixing import mix_sources
 from eventspark.llm.packing import pack
 from eventspark.llm.personal_data import redact
@@ -32,11 +32,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (similarity 0.8 or more): the one with the smallest doc_id.
+    """One row of each near-duplicate group (similarity 0.8 or more): the one with the smallest doc_id, a null one last.
 
-    Rows that repeat a doc_id stay or go together; rows without one stay."""
-    gone = near_duplicates(docs, percent=80, bands=38).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "leftanti").select(*COLUMNS)
+    Rows are compared by their own text, also where ids repeat or are missing; rows without words stay."""
+    return deduplicated(docs, percent=80, bands=38).select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

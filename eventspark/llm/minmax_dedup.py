@@ -7,7 +7,8 @@ ends of one permutation lie in different bands) are the bucket keys.
 Steps, every one a shuffle of small rows:
 
 1. One pass over the texts: distinct word shingles, digest of the whole set, band keys.
-2. Documents with equal sets are one class; only its smallest doc_id goes on, so copies cost nothing further.
+2. Documents with equal sets are one class, known by 64 bits of the set's digest (never by a doc_id); only one row of it
+   goes on, so copies cost nothing further.
 3. Every bucket proposes its smallest member against each of its others (linear in the bucket).  Proposed pairs are
    confirmed on the full sets, which are built once for the documents concerned.
 4. Components of the confirmed links.  A bucket whose members still lie in different components then compares the
@@ -17,8 +18,8 @@ Steps, every one a shuffle of small rows:
 A pair of similarity s shares no band with probability ``(1 - s**rows) ** bands``: 2.4e-7 at 0.85 with 5 and 26.
 
 Nulls and odd inputs: null and empty texts have an empty set and link with nothing; texts below five words are one
-shingle; rows that repeat a doc_id keep one result row each, by their own text; a null doc_id takes no part and gets a
-null component; other columns are ignored.
+shingle; rows that repeat a doc_id keep one result row each, by their own text; in ``near_duplicates`` a null doc_id takes
+no part and gets a null component, in ``deduplicated`` it is compared like any other; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,6 +59,11 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, perms: int) -> np.ndarray
     return out
 
 
+def _digest(own: np.ndarray) -> int:
+    """64 bits of a set's digest."""
+    return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def _band_keys(bands: int, rows: int, width: int):
     perms = -(-bands * rows // 2)
 
@@ -78,12 +84,12 @@ def _band_keys(bands: int, rows: int, width: int):
                 for i in range(len(per)):
                     own = np.unique(sh[at[i]:at[i + 1]])
                     n[i] = len(own)
-                    digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                    digest.append(_digest(own))
                 ends = np.concatenate([[0], np.cumsum(np.where(per > 0, bands, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(words.signed(key[per > 0].ravel())))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, to - row), pa.array(n), pa.array(digest, pa.binary()), lists],
-                    names=["doc_id", "n_shingles", "digest", "bands"])
+                    [batch.column(0).slice(row, to - row), batch.column(2).slice(row, to - row), pa.array(n),
+                     pa.array(digest, pa.int64()), lists], names=["doc_id", "row", "n_shingles", "rep", "bands"])
 
     return run
 
@@ -94,10 +100,10 @@ def _sets(width: int):
             for row, to, h, counts in words.batches(batch.column(1)):
                 sh, per = words.shingles(h, counts, width)
                 at = np.concatenate([[0], np.cumsum(per)])
-                own = [np.unique(sh[at[i]:at[i + 1]]).tobytes() for i in range(len(per))]
+                own = [np.unique(sh[at[i]:at[i + 1]]) for i in range(len(per))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, to - row), pa.array(own, pa.large_binary()).cast(pa.binary())],
-                    names=["doc_id", "hashes"])
+                    [pa.array([_digest(x) for x in own], pa.int64()),
+                     pa.array([x.tobytes() for x in own], pa.large_binary()).cast(pa.binary())], names=["doc_id", "hashes"])
 
     return run
 
@@ -106,7 +112,7 @@ def _confirm(percent: int):
     """Rows ``(hub, salt, member, doc_id, hashes)``, a hub's own row first: links of at least ``percent``."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, own = None, []  # own: the hub's set (several, where rows repeat its doc_id with other texts)
+        hub, own = None, []  # own: the hub's set
         for batch in it:
             h, s, m, d = (batch.column(i).to_pylist() for i in range(4))
             us, vs = [], []
@@ -177,45 +183,74 @@ def _cross_block(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
-                    bands: int = 26, rows: int = 5, width: int = 5, block: int = 256) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``."""
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, text, row)``; ``row`` is a hash of the two, the same in every pass."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    seen = reliable_checkpoint(texts.mapInArrow(
-        _band_keys(bands, rows, width), "doc_id long, n_shingles long, digest binary, bands array<long>"))
-    useful = seen.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = reliable_checkpoint(useful.groupBy("digest").agg(F.min("doc_id").alias("rep")))
-    reps = reliable_checkpoint(
-        useful.join(classes, (useful["doc_id"] == classes["rep"]) & (useful["digest"] == classes["digest"]), "leftsemi")
-        .select(F.col("doc_id").alias("rep"), "bands"))
-    bucket = reps.select("rep", F.explode("bands").alias("key"))
+    return texts.withColumn("row", F.xxhash64("doc_id", "text"))
+
+
+def _classes(texts: DataFrame, seen: DataFrame, percent: int, block: int, width: int) -> DataFrame:
+    """``(rep, least, component)`` of the classes of ``seen``: smallest ``(doc_id, row)``, a null doc_id last; component's rep."""
+    least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    classes = reliable_checkpoint(seen.filter("n_shingles > 0").groupBy("rep").agg(
+        F.min(least).alias("least"), F.first("bands").alias("bands")))  # equal sets have equal bands
+    bucket = classes.select("rep", F.explode("bands").alias("key"))
     size = bucket.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top"),
                                      F.count(F.lit(1)).alias("n")).filter("top > hub").drop("top")
     size = reliable_checkpoint(size)
     shared = reliable_checkpoint(bucket.join(size, "key"))
     pairs = reliable_checkpoint(shared.filter("rep <> hub").select("hub", "rep").distinct())
-    if not pairs.isEmpty():
-        needed = shared.select("rep").distinct()
-        sets = reliable_checkpoint(texts.join(needed, texts["doc_id"] == needed["rep"], "leftsemi")
-                                   .mapInArrow(_sets(width), "doc_id long, hashes binary"))
-        links = _confirmed(pairs, sets, percent)
-        first = reliable_checkpoint(connected_components(links))
-        more = reliable_checkpoint(_cross_links(shared.filter("n > 2"), first, sets, percent, block))
-        if not more.isEmpty():
-            first = reliable_checkpoint(connected_components(links.union(more)))
-        classes = reliable_checkpoint(classes.join(first, classes["rep"] == first["node"], "left").select(
-            "digest", F.coalesce("component", "rep").alias("component")))
-    else:
-        classes = classes.withColumnRenamed("rep", "component")
-    none = F.lit(None).cast("binary")
-    keyed = seen.select("doc_id", "n_shingles",
-                        F.when(F.col("n_shingles") > 0, F.col("digest")).otherwise(none).alias("digest"))
-    out = keyed.join(classes, "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    classes = classes.drop("bands")
+    if pairs.isEmpty():
+        return classes.withColumn("component", F.col("rep"))
+    needed = classes.join(shared.select("rep").distinct(), "rep", "leftsemi").select("least.row")
+    sets = texts.join(needed, "row", "leftsemi").select("doc_id", "text").mapInArrow(_sets(width), "doc_id long, hashes binary")
+    sets = reliable_checkpoint(sets.dropDuplicates(["doc_id"]))
+    links = _confirmed(pairs, sets, percent)
+    first = reliable_checkpoint(connected_components(links))
+    more = reliable_checkpoint(_cross_links(shared.filter("n > 2"), first, sets, percent, block))
+    if not more.isEmpty():
+        first = reliable_checkpoint(connected_components(links.union(more)))
+    return reliable_checkpoint(classes.join(first, classes["rep"] == first["node"], "left").select(
+        "rep", "least", F.coalesce("component", "rep").alias("component")))
+
+
+def _seen(texts: DataFrame, bands: int, rows: int, width: int) -> DataFrame:
+    return reliable_checkpoint(texts.mapInArrow(
+        _band_keys(bands, rows, width), "doc_id long, row long, n_shingles long, rep long, bands array<long>"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
+                    bands: int = 26, rows: int = 5, width: int = 5, block: int = 256) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``."""
+    texts = _texts(docs, id_col, text_col)
+    seen = _seen(texts, bands, rows, width)
+    classes = _classes(texts, seen.filter("doc_id IS NOT NULL"), percent, block, width)
+    smallest = classes.groupBy("component").agg(F.min("least.doc_id").alias("smallest"))
+    classes = classes.join(smallest, "component").select("rep", "smallest")
+    keyed = seen.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).alias("rep"))
+    out = keyed.join(classes, "rep", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
 
 
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
+                 bands: int = 26, rows: int = 5, width: int = 5, block: int = 256) -> DataFrame:
+    """Exactly one row of ``docs`` per component, that of the smallest doc_id (null last), and all rows without words.
+
+    Rows of equal doc_id and text differ in their other columns only; the smallest of them stays.
+    """
+    texts = _texts(docs, id_col, text_col)
+    classes = _classes(texts, _seen(texts, bands, rows, width), percent, block, width)
+    stay = reliable_checkpoint(classes.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row_")))
+    text = F.col(text_col).cast("string")
+    some = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    one = docs.filter(some).withColumn("row_", F.xxhash64(F.col(id_col).cast("long"), text)).join(stay, "row_", "leftsemi")
+    one = one.groupBy("row_").agg(F.min(F.struct(*docs.columns)).alias("one")).select("one.*")
+    return docs.filter(~some).union(one)
+
+
 def _cross_links(shared: DataFrame, components: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
     """Links ``(u, v)`` that join different components, from buckets whose members lie in several of them."""
     held = shared.select("key", "rep").join(components, F.col("rep") == F.col("node"), "left").select(

@@ -43,3 +43,12 @@ def test_empty_documents(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF001)
         assert docs.count() == 0
+
+
+def test_near_dedup_of_repeated_and_missing_ids(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(60)) for x in "abc")
+    near, d = a + "end", "".join(f"d{i} " for i in range(60))
+    rows = [(3, a), (7, near), (7, b), (9, b + "end"), (None, c), (None, c), (5, d), (5, d), (None, a), (11, ""), (11, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in P.near_dedup(spark, docs, SF001).collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (7, b), (None, c), (5, d), (11, ""), (11, "")], key=str)
