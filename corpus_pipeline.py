@@ -25,9 +25,13 @@ MIX_KEEP = 0.8
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts; all of them, if it has learnt no label.
+
+    A text without words has the learnt sample's share of label 1 for its score and is judged by it like any other."""
     docs = docs.select(*COLUMNS)
     model = train(docs, read_table(spark, sf_dir, "labels"))
+    if not len(model.labels):
+        return docs
     return quality_scores(docs, model).filter(F.col("score") >= KEEP_QUALITY).select(*COLUMNS)
 
 

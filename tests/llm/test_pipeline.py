@@ -52,3 +52,9 @@ def test_near_dedup_of_repeated_and_missing_ids(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = [(r["doc_id"], r["text"]) for r in P.near_dedup(spark, docs, SF001).collect()]
     assert sorted(got, key=str) == sorted([(3, a), (7, b), (None, c), (5, d), (11, ""), (11, "")], key=str)
+
+
+def test_quality_without_labels(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    spark.read.parquet(f"{SF001}/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    assert P.quality(spark, docs, str(tmp_path)).count() == docs.count() > 0
