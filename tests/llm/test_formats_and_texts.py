@@ -22,7 +22,7 @@ from eventspark.llm.mixing import Target, mix_sources
 from eventspark.llm.packing import encoder, nnls, pack, plan, slots
 from eventspark.llm.personal_data import base_spans, find_spans, masked, personal_data
 from eventspark.llm.quality_knn import quality_scores, train
-from eventspark.llm.url_filter import Rule, Segmenter, judge_urls
+from eventspark.llm.url_filter import Rule, Segmenter, host_words, judge_urls, unigrams
 from oracle_check import duck, frame_digest
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -259,3 +259,11 @@ def test_language_model_rounds_cover_all_texts(spark, monkeypatch):
     rows = score_texts(docs).collect()
     n = sum(not r["held_out"] for r in rows)
     assert summed == [(False, n, 5 * n), (True, n, 5 * n), (True, n, 5 * n)]  # four words and the end each
+
+
+def test_hosts_are_split_by_all_words(spark):
+    page = " ".join("q" + "".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(60_000)) + " rare shopping"
+    counts = unigrams(spark.createDataFrame([(page,)], "html string"), "html")
+    hosts = spark.createDataFrame([("rareshopping.x9",), ("rareshopping.x9",), ("",)], "host string")
+    assert {r["host"]: r["words"] for r in host_words(hosts, counts).collect()} == {
+        "rareshopping.x9": ["rare", "shopping", "x", "#1"], "": []}
