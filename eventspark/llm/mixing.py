@@ -7,15 +7,16 @@ below its cell's probability, so the same document gets the same decision in any
 
 Only sums per category (combined map-side) and the cell table are shuffled; the joins back to the cells and to the
 documents are plain equi-joins on null-safe keys, which Spark broadcasts only where the measured size allows and splits
-where one category holds much of the rows.  Each sweep is written to the shared checkpoint folder.
+where one category holds much of the rows.  Each step is written to the shared checkpoint folder.
 
 Nulls and odd inputs: a null source, language or topic is a category of its own; a null text has no tokens; a null id
-is hashed as the word "null"; repeated ids share their decision; a category without tokens keeps its probability.
+is hashed as the word "null"; repeated ids share their decision; a category without tokens keeps its probability; of
+other columns those named like an added one are replaced, all others stay as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -56,34 +57,26 @@ def topic(text: Column) -> Column:
             .when(F.length(text) < 4000, "article").when(text.isNotNull(), "book"))
 
 
-def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    out = F.lit(True)
-    for k in keys:
-        out = out & a[k].eqNullSafe(b[k])
-    return out
-
-
 def cell_probabilities(cells: DataFrame, targets: Mapping[str, Target], keep: float, rounds: int) -> DataFrame:
     """``cells`` (one column per dimension, ``tokens``) with the raked inclusion probability ``p``."""
     dims = list(targets)
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    wanted = {}
     for d in dims:
         sums = cells.groupBy(F.col(d).alias("category")).agg(F.sum("tokens").alias("all"))
         sums = sums.select("category", targets[d].weight("category", "all").alias("w"))
         whole = sums.agg(F.sum("w")).first()[0] or 1.0
-        wanted[d] = reliable_checkpoint(sums.select("category", (F.col("w") * keep * total / whole).alias("target")))
+        wanted = sums.select("category", (F.col("w") * keep * total / whole).alias(f"target_{d}"))
+        cells = reliable_checkpoint(cells.join(wanted, cells[d].eqNullSafe(wanted["category"])).drop("category"))
     cells = cells.withColumn("p", F.lit(float(keep)))
+    others = [c for c in cells.columns if c != "p"]
     for _ in range(rounds):
-        for d in dims:
+        for d in dims:  # one aggregate and one join a step
             now = cells.groupBy(F.col(d).alias("category")).agg(F.sum(F.col("p") * F.col("tokens")).alias("now"))
-            now = now.alias("n").join(wanted[d].alias("t"), F.col("n.category").eqNullSafe(F.col("t.category")))
-            ratio = now.select(F.col("n.category").alias("category"),
-                               F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(1.0).alias("ratio"))
-            cells = cells.join(ratio, cells[d].eqNullSafe(ratio["category"])).select(
-                *dims, "tokens", (F.col("p") * F.col("ratio")).alias("p"))
-        cells = reliable_checkpoint(cells.withColumn("p", F.least("p", F.lit(1.0))))
-    return cells
+            ratio = F.when(F.col("now") > 0, F.col(f"target_{d}") / F.col("now")).otherwise(1.0)
+            p = F.col("p") * ratio
+            cells = reliable_checkpoint(cells.join(now, cells[d].eqNullSafe(now["category"])).select(
+                *others, (F.least(p, F.lit(1.0)) if d == dims[-1] else p).alias("p")))
+    return cells.select(*dims, "tokens", "p")
 
 
 def unit_hash(key: Column, seed: str) -> Column:
@@ -100,17 +93,21 @@ def mix_sources(docs: DataFrame, targets: Mapping[str, Target], keep: float = 0.
     to sample.  ``mix_weight`` is the raked weight of a token (probability over ``keep``).
     """
     column = {d: F.col(d) for d in targets if d != "topic"} | {"topic": topic_of(F.col(text_col))}
-    keyed = docs.withColumns({f"mix_{d}": column[d] for d in targets} | {"mix_tokens": n_words(F.col(text_col))})
-    cells = keyed.groupBy(*[F.col(f"mix_{d}").alias(d) for d in targets]).agg(F.sum("mix_tokens").alias("tokens"))
+    own = [F.col(f"`{c}`") for c in docs.columns]  # in one column, out of the way of the names used here
+    keyed = docs.select(F.struct(*own).alias("doc"), F.col(id_col).alias("id"), n_words(F.col(text_col)).alias("words"),
+                        *[column[d].alias(f"of_{d}") for d in targets])
+    cells = keyed.groupBy(*[F.col(f"of_{d}").alias(d) for d in targets]).agg(F.sum("words").alias("tokens"))
     cells = cell_probabilities(reliable_checkpoint(cells), targets, keep, rounds)
-    cells = cells.select(*[F.col(d).alias(f"cell_{d}") for d in targets], F.round("p", 9).alias("mix_p"))
     same = F.lit(True)
     for d in targets:
-        same = same & F.col(f"mix_{d}").eqNullSafe(F.col(f"cell_{d}"))
-    out = keyed.join(cells, same).withColumns({
-        "mix_weight": F.col("mix_p") / F.lit(float(keep)),
-        "mix_sampled": unit_hash(F.col(id_col), seed) < F.col("mix_p")})
-    return out.drop(*[f"cell_{d}" for d in targets], *[f"mix_{d}" for d in targets if d != "topic"])
+        same = same & F.col(f"of_{d}").eqNullSafe(F.col(d))
+    p = F.round("p", 9)
+    added = {"mix_tokens": F.col("words"), "mix_weight": p / F.lit(float(keep)), "mix_p": p,
+             "mix_sampled": unit_hash(F.col("id"), seed) < p}
+    if "topic" in targets:
+        added = {"mix_topic": F.col("of_topic")} | added
+    return keyed.join(cells, same).select(*[F.col(f"doc.`{c}`") for c in docs.columns if c not in added],
+                                          *[v.alias(k) for k, v in added.items()])
 
 
 def mixing_sql(targets: Mapping[str, Target], keep: float = 0.5, rounds: int = 6, seed: str = "mix") -> str:

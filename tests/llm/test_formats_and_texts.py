@@ -191,6 +191,17 @@ def test_mixing_reaches_targets(spark):
     assert mix_sources(df.limit(0), targets).count() == 0
 
 
+def test_mixing_keeps_clashing_columns(spark):
+    rows = [(i, "a b c " * (i % 5), ["en", "de", None][i % 3], "s", 7, f"x{i}", "y", "z", {"k": i}) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, cell_lang string, "
+                                     "mix_lang string, mix_p string, tokens map<string,int>")
+    out = mix_sources(df, {"source": Target(), "lang": Target(temper=0.0), "topic": Target()}, keep=0.5)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert len(got) == 30 and dict(out.dtypes)["mix_p"] == "double"
+    assert all(r["cell_lang"] == f"x{i}" and r["mix_lang"] == "y" and r["tokens"] == {"k": i} for i, r in got.items())
+    assert mix_sources(df.limit(0), {"source": Target(), "topic": Target()}).count() == 0
+
+
 def test_packing(spark):
     rng = np.random.default_rng(1)
     for n in (0, 1, 7, 3000):
