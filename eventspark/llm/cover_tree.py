@@ -3,7 +3,7 @@
 Cosine ``c`` between unit vectors is distance ``sqrt(2 - 2c)``, so links are pairs within a radius.  Vectors are
 compared only with vectors of the same label:
 
-1. Equal vectors of a label become one weighted point.
+1. Equal vectors of a label become one weighted point, known by 64 bits of a hash of both (never by a vec_id).
 2. A label's points are split into blocks of about ``block`` points by their nearest pivot (a bounded sample of points,
    as many of them as the label needs) and, where a pivot has more, by hash.
 3. Each block builds a cover tree: nested levels whose radii halve, every node with its exact covering radius.
@@ -16,8 +16,8 @@ Work is quadratic in a label only as far as the bounds fail to prune, which in m
 do: distances between unrelated vectors concentrate, and blocks of one label then all meet.
 
 Nulls and odd inputs: a null label, a null or zero vector and one with null or non-finite components link with
-nothing; vectors of different length don't either; repeated rows count as vectors of their own; a null id takes part
-in nothing and gets a null component; other columns are ignored.
+nothing; vectors of different length don't either; repeated rows, and rows that share an id, count as vectors of their
+own; a null id takes part in nothing and gets a null component; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventspark.llm.components import connected_components
-from eventspark.llm.vectors import usable
+from eventspark.llm.vectors import matrices, usable
 from eventspark.session import reliable_checkpoint
 
 _SLACK = 1e-7  # added to every bound, so rounding never prunes a link
@@ -124,16 +124,13 @@ def traverse(x: np.ndarray, y: np.ndarray, a: Node, b: Node, cosine: float, link
 def _normal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Unit vectors as bytes; null for a zero vector."""
     for batch in it:
-        units = []
-        for i in range(batch.num_rows):
-            v = batch.column(2)[i]
-            v = np.array(v.as_py(), np.float64) if v.is_valid else np.zeros(0)
-            top = np.abs(v).max() if len(v) else 0
-            if top > 0:
-                v = v / top  # so that neither squares nor norms leave the range
-                units.append((v / np.sqrt((v * v).sum())).tobytes())
-            else:
-                units.append(None)
+        units: list[bytes | None] = [None] * batch.num_rows
+        some = np.flatnonzero(batch.column(2).is_valid().to_numpy(zero_copy_only=False))
+        for at, x in matrices(batch.column(2).take(pa.array(some))):
+            top = np.abs(x).max(axis=1, initial=0)
+            at, x = at[top > 0], x[top > 0] / top[top > 0, None]  # so that neither squares nor norms leave the range
+            for row, unit in zip(some[at], x / np.sqrt((x * x).sum(axis=1, keepdims=True)), strict=True):
+                units[row] = unit.tobytes()
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(units, pa.binary())],
                                          names=["vec_id", "label", "unit"])
 
@@ -145,11 +142,13 @@ def _cells(pivots: list[bytes]):
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            units, use = batch.column(1).to_pylist(), batch.column(4).to_pylist()
-            cell = []
-            for u, n in zip(units, use, strict=True):
-                own = by_size.get(len(u), [])[:n]
-                cell.append(int(np.argmax(np.stack(own) @ np.frombuffer(u))) if len(own) > 1 else 0)
+            units, use = batch.column(1).to_pylist(), batch.column(4).to_numpy()
+            size, cell = np.array([len(u) for u in units], np.int64), np.zeros(batch.num_rows, np.int64)
+            for n, own in by_size.items():
+                rows = np.flatnonzero(size == n)
+                x = np.frombuffer(b"".join(units[r] for r in rows)).reshape(len(rows), n // 8)
+                unused = np.arange(len(own)) >= use[rows, None]
+                cell[rows] = np.where(unused, -np.inf, x @ np.stack(own).T).argmax(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(cell, pa.int64())],
                                              names=["label", "unit", "rep", "n", "cell"])
 
@@ -195,7 +194,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, block: int = 4096, pi
                           F.when(usable(v) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull(), v).alias("v"))
     rows = reliable_checkpoint(rows.mapInArrow(_normal, "vec_id long, label string, unit binary"))
     points = reliable_checkpoint(rows.filter("unit IS NOT NULL").groupBy("label", "unit").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")))
+        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n")).withColumn("rep", F.xxhash64("label", "unit")))
     size = reliable_checkpoint(points.groupBy(F.col("label").alias("of")).agg(
         F.least(F.ceil(F.count(F.lit(1)) / block), F.lit(pivots)).cast("int").alias("use")))
     sample = [bytes(r["unit"]) for r in points.orderBy(F.xxhash64("unit"), "unit").limit(pivots).collect()]
@@ -227,8 +226,10 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, block: int = 4096, pi
     parts = reliable_checkpoint(connected_components(found.select(F.col("rep").alias("u"), F.col("other").alias("v"))))
     per = reliable_checkpoint(points.join(counts, F.col("rep") == F.col("node_"), "left").drop("node_")
                               .join(parts, F.col("rep") == F.col("node"), "left").select(
-        F.col("label").alias("of"), F.col("unit").alias("own"),
-        (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("component")))
+        F.col("label").alias("of"), F.col("unit").alias("own"), "least",
+        (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("part")))
+    smallest = per.groupBy("part").agg(F.min("least").alias("component"))
+    per = reliable_checkpoint(per.join(smallest, "part").select("of", "own", "links", "component"))
     out = rows.join(per, (F.col("label") == F.col("of")) & (F.col("unit") == F.col("own")), "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),

@@ -239,16 +239,20 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  bands: int = 26, rows: int = 5, width: int = 5, block: int = 256) -> DataFrame:
     """Exactly one row of ``docs`` per component, that of the smallest doc_id (null last), and all rows without words.
 
-    Rows of equal doc_id and text differ in their other columns only; the smallest of them stays.
+    Rows of equal doc_id and text differ in their other columns only; the one whose others come first as JSON stays.
+    All columns are returned as they are, whatever their names and types.
     """
     texts = _texts(docs, id_col, text_col)
     classes = _classes(texts, _seen(texts, bands, rows, width), percent, block, width)
-    stay = reliable_checkpoint(classes.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row_")))
+    stay = reliable_checkpoint(classes.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("stays")))
     text = F.col(text_col).cast("string")
     some = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    one = docs.filter(some).withColumn("row_", F.xxhash64(F.col(id_col).cast("long"), text)).join(stay, "row_", "leftsemi")
-    one = one.groupBy("row_").agg(F.min(F.struct(*docs.columns)).alias("one")).select("one.*")
-    return docs.filter(~some).union(one)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    one = docs.filter(some).select(F.struct(*own).alias("doc"), F.xxhash64(F.col(id_col).cast("long"), text).alias("row"),
+                                   (F.to_json(F.struct(*others)) if others else F.lit("")).alias("first"))
+    one = one.join(stay, F.col("row") == F.col("stays"), "leftsemi").groupBy("row").agg(F.min_by("doc", "first").alias("doc"))
+    return docs.filter(~some).union(one.select(*[F.col(f"doc.`{c}`") for c in docs.columns]))
 
 
 def _cross_links(shared: DataFrame, components: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:

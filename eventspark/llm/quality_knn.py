@@ -134,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1024, dims: int =
     spark = docs.sparkSession
     sample = spark.createDataFrame([(r[0], r[1]) for r in sample], "doc_id long, label_ int")
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # 2 * per_class pairs of numbers
-    texts = texts.dropDuplicates(["doc_id"]).select("label_", "text")
+    texts = texts.groupBy("doc_id").agg(F.first("label_").alias("label_"), F.min("text").alias("text")).select("label_", "text")
     rows = texts.mapInArrow(_counted, "quality int, counts binary").collect()
     rows = sorted((r["quality"], bytes(r["counts"])) for r in rows)  # order of arrival doesn't matter
     counts = np.frombuffer(b"".join(r[1] for r in rows), np.float32).reshape(-1, TERMS)

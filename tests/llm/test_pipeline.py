@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline as P
 from conftest import SF001
+from eventspark.llm.minmax_dedup import deduplicated
 from eventspark.llm.personal_data import masked
+from eventspark.llm.quality_knn import train
 from test_minmax_dedup import brute
 
 
@@ -54,6 +56,23 @@ def test_near_dedup_of_repeated_and_missing_ids(spark):
     assert sorted(got, key=str) == sorted([(3, a), (7, b), (None, c), (5, d), (11, ""), (11, "")], key=str)
 
 
+def test_near_dedup_keeps_all_columns(spark):
+    a, b = ("".join(f"{x}{i} " for i in range(60)) for x in "ab")
+    rows = [(1, a, "r2", {"m": 2}), (1, a, "r1", {"m": 1}), (2, a + "end", "r3", None), (3, b, None, {"m": 3}), (4, None, "r4", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_ string, doc map<string,int>")
+    got = sorted(map(tuple, deduplicated(docs, percent=80, bands=38).collect()), key=str)
+    assert got == [(1, a, "r1", {"m": 1}), (3, b, None, {"m": 3}), (4, None, "r4", None)]
+
+
+def test_training_text_of_a_repeated_id(spark):
+    words = [f"w{i} " * 9 for i in range(40)]
+    rows = [(i, words[i] + x) for i in range(40) for x in ("one", "two", "three")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    models = [train(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels)
+              for r, n in ((rows, 1), (rows[::-1], 3))]
+    assert (models[0].vectors == models[1].vectors).all() and len(models[0].labels)
+
+
 def test_quality_without_labels(spark, tmp_path):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     spark.read.parquet(f"{SF001}/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))

@@ -58,6 +58,14 @@ def test_links_match_brute_force(spark, block):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_links_of_shared_ids(spark):
+    rows = [(1, [1.0, 0.0], 1, 0), (2, [1.0, 0.01], 1, 0), (1, [0.0, 1.0], 1, 0), (1, [0.5, 0.5], 2, 0), (7, [0.5, 0.51], 2, 0),
+            (None, [1.0, 0.0], 1, 0), (9, [0.0, 1.0], 1, 0), (9, [0.0, 2.0], 1, 0)]
+    got = sorted((r[0] or -1, r[1], r[2] or -1, r[3]) for r in near_vectors(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [(-1, 0, -1, False), (1, 1, 1, True), (1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False),
+                   (7, 1, 1, False), (9, 2, 1, False), (9, 2, 1, False)]
+
+
 def test_top_k_matches_brute_force(spark):
     rows = sample(3)
     rows += [rows[0], (900, rows[0][1], 0, 1), (901, rows[0][1], 0, 1), (None, [1.0] * 8, 0, 1)]
