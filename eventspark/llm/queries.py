@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventspark.llm import chat
+from eventspark.llm.conversation_repair import REPAIR_SQL, damaged, repair_conversations, repair_digest
 from eventspark.llm.cover_tree import near_vectors
+from eventspark.llm.line_dedup import LINES_SQL, LineIndex
 from eventspark.llm.maxent_lm import score_texts
 from eventspark.llm.minmax_dedup import near_duplicates
 from eventspark.llm.mixing import Target, mix_sources, mixing_sql
@@ -18,6 +20,7 @@ from eventspark.llm.personal_data import personal_data
 from eventspark.llm.quality_knn import held_out, quality_scores, train
 from eventspark.llm.topk import top_k, top_k_sql
 from eventspark.llm.url_filter import Rule, judge_urls
+from eventspark.llm.whitening import whiten
 from eventspark.sources.tables import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -98,6 +101,26 @@ def op10_url_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable embeddings on their eight leading whitened components."""
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their shared lines."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = LineIndex(spark)
+    index.insert(docs)
+    return index.deduplicated(docs).select("doc_id", "n_lines", "n_dropped",
+                                           F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repairs of all conversations after damage."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_digest(rows, repair_conversations(damaged(rows)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_cover_tree": op2_cover_tree,
@@ -109,6 +132,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_quality_knn": op9_quality_knn,
     "op10_url_words": op10_url_words,
+    "op11_whitening": op11_whitening,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 #: DuckDB SQL of the same rows, where SQL can express them on whole tables.
@@ -116,4 +142,6 @@ ORACLE: dict[str, str] = {
     "op1_chat": chat.chat_sql(f"SELECT -7, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'"),
     "op4_top_k": top_k_sql(50),
     "op3_mix_sources": mixing_sql(MIX_TARGETS),
+    "op12_line_dedup": LINES_SQL,
+    "op13_conversation_repair": REPAIR_SQL,
 }

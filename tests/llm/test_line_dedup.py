@@ -1,0 +1,132 @@
+"""Cuckoo filters and the reversible line index against plain versions."""
+
+from __future__ import annotations
+
+import collections
+import random
+
+import numpy as np
+
+from conftest import SF001
+from eventspark.llm.cuckoo import CuckooFilter
+from eventspark.llm.line_dedup import BLANK, LineIndex
+
+
+def test_cuckoo_inserts_and_deletes():
+    rng = np.random.default_rng(1)
+    keys, others = rng.integers(-(1 << 62), 1 << 62, (2, 20_000))
+    f = CuckooFilter.of(keys[:9000])
+    assert f.contains(keys[:9000]).all() and f.contains(others).mean() < 0.002
+    assert f.insert(keys[9000:12000]) and f.contains(keys[:12000]).all() and len(f) == 12000
+    f = CuckooFilter.load(f.dump())
+    f.delete(keys[:8000])
+    assert f.contains(keys[8000:12000]).all() and f.contains(keys[:8000]).mean() < 0.002 and len(f) == 4000
+    small = CuckooFilter(np.zeros((16, 4), np.uint16))
+    assert not small.insert(keys[:100])  # full: said so, not lost
+    same = np.full(6, keys[0])  # equal fingerprints in one pair of buckets
+    f = CuckooFilter.of(keys[1:50])
+    assert f.insert(same)
+    f.delete(same)
+    assert len(f) == 49 and len(CuckooFilter.of(keys[:0])) == 0
+
+
+def key(line):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(BLANK))
+
+
+def plain(rows, indexed=None):
+    """Kept text, lines and dropped lines of every row, given the indexed rows."""
+    held = collections.defaultdict(set)
+    for i, text in indexed if indexed is not None else rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= 20:
+                held[key(line)].add(-1 if i is None else i)
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        own = -1 if i is None else i
+        stay = [x for x in lines if len(held[key(x)]) < 3 or max(held[key(x)]) == own]
+        out.append((i, "\n".join(stay), len(lines), len(lines) - len(stay)))
+    return sorted(out, key=str)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "x", {"a": 1}) for i, t in rows],
+                                 "doc_id long, text string, n_lines string, drops map<string,int>").repartition(3)
+
+
+def result(df):
+    return sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in df.collect()), key=str)
+
+
+def tables(index):
+    counts = sorted(map(tuple, index.counts.collect()))
+    members = {s: len(CuckooFilter.load(bytes(f))) for s, f in index.filters.collect()}
+    held = sorted(map(tuple, index.references.collect()), key=str)
+    return counts, {s: n for s, n in members.items() if n}, held
+
+
+def sample(seed):
+    rng = random.Random(seed)
+    pool = [f"Shared line number {i} of the pool, é" for i in range(12)] + ["short", "", " \t", "exactly twenty chars", "nineteen characters"]
+    rows = []
+    for i in [*range(40), 7, 7, None, None, 10**12]:
+        lines = [rng.choice([" ", "", "\t\x0b"]) + rng.choice([str.upper, str])(rng.choice(pool)) + rng.choice(["", "  ", "\r"])
+                 if rng.random() < 0.5 else f"line only in row {rng.random()} here" for _ in range(rng.randrange(0, 9))]
+        rows.append((i, "\n".join(lines)))
+    return [*rows, (50, None), (51, ""), (52, "\n\n"), rows[3], rows[3]]
+
+
+def test_rows_match_plain(spark):
+    rows = sample(5)
+    index = LineIndex(spark, shards=3, salts=2)
+    index.insert(frame(spark, rows))
+    got = index.deduplicated(frame(spark, rows))
+    assert result(got) == plain(rows) and sum(r[3] for r in plain(rows)) > 20
+    assert dict(got.dtypes)["drops"] == "map<string,int>" and got.columns == ["doc_id", "text", "drops", "n_lines", "n_dropped"]
+    assert index.deduplicated(frame(spark, rows).limit(0)).count() == 0
+    empty = LineIndex(spark)
+    empty.insert(frame(spark, rows).limit(0))
+    assert result(empty.deduplicated(frame(spark, rows))) == plain(rows, [])
+
+
+def test_insertions_and_deletions_are_reversible(spark, tmp_path):
+    rows = sample(8)
+    a, b = rows[:25], rows[25:]
+    once = LineIndex(spark, shards=3)
+    once.insert(frame(spark, a))
+    want = tables(once)
+    index = LineIndex(spark, str(tmp_path / "lines"), shards=3)
+    index.insert(frame(spark, a))
+    index.insert(frame(spark, b))
+    both = LineIndex.open(spark, str(tmp_path / "lines"))
+    assert result(both.deduplicated(frame(spark, rows))) == plain(rows)
+    known = tables(both)
+    index.insert(frame(spark, b))  # known already
+    assert tables(index) == known
+    ids = {i for i, _ in b} - {i for i, _ in a}
+    index.delete(spark.createDataFrame([(i,) for i in ids | {-99}], "doc_id long"))
+    assert tables(index) == want
+    assert result(index.deduplicated(frame(spark, rows))) == plain(rows, a)
+    index.delete(frame(spark, rows).select("doc_id"))
+    assert [len(t) for t in tables(index)] == [0, 0, 0]
+    index.insert(frame(spark, a))
+    assert tables(index) == want
+
+
+def test_full_filters_are_built_anew(spark):
+    line = "a line that many documents share, number {}"
+    first = [(i, line.format(0)) for i in range(3)]
+    more = [(10 + i, "\n".join(line.format(k) for k in range(400))) for i in range(3)]
+    index = LineIndex(spark, shards=1)
+    index.insert(frame(spark, first))
+    index.insert(frame(spark, more))
+    assert tables(index)[1] == {0: 400}
+    assert result(index.deduplicated(frame(spark, first + more))) == plain(first + more)
+
+
+def test_documents_match_plain(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    index = LineIndex(spark)
+    index.insert(docs)
+    assert result(index.deduplicated(docs)) == plain([tuple(r) for r in docs.collect()])
