@@ -1,5 +1,8 @@
 """User-function contracts: per-task mapper with setup/teardown, grouped-aggregate and whole-window escape hatches.
 
+The last two bring a whole group into one task: they are the second form, for functions that cannot be stated with partial
+states.  Those that can belong in :mod:`eventspark.functions.aggregates`, whose groups may have any size.
+
 These are the slow path and only exist for logic that built-in expressions cannot state; every operator of the
 library that has a built-in form uses it instead.  All of them are Arrow-batched (``mapInArrow`` / ``pandas_udf`` /
 ``applyInPandas``), never row-at-a-time.

@@ -26,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.runs import run_starts, same_key
 from ..session import reliable_checkpoint
 
 _NONE = -(1 << 63)  # no pending timer
@@ -53,21 +53,6 @@ def _join_ns(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inn
     return out if how in ("left_anti", "left_semi") else out.drop(*[f"_r_{c}" for c in cols])
 
 
-def _run_starts(keys: pa.Array) -> np.ndarray:
-    """Where runs of equal keys begin; NULLs are equal, and so are NaNs."""
-    a, b = keys[1:], keys[:-1]
-    if pa.types.is_nested(keys.type):
-        own = keys.to_pylist()
-        differ = np.array([x != y for x, y in zip(own[1:], own, strict=False)], bool)
-    else:
-        differ = pc.fill_null(pc.not_equal(a, b), True).to_numpy(zero_copy_only=False)
-        same = pc.and_(pc.is_null(a), pc.is_null(b))
-        if pa.types.is_floating(keys.type):
-            same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
-        differ &= ~same.to_numpy(zero_copy_only=False)
-    return np.concatenate([[0], np.flatnonzero(differ) + 1])
-
-
 def _trend(x: np.ndarray, before: np.ndarray) -> np.ndarray:
     """Rises arm, falls clear; NaN is above all numbers, as Spark orders it."""
     up = (x > before) | (np.isnan(x) & ~np.isnan(before))
@@ -237,7 +222,7 @@ def _piece_pass(how: str, gap: int):
             return
         pid = batches[0].column(0)[0].as_py()
         keys, ts = _whole(batches, "key"), _whole(batches, "ts").to_numpy()
-        start = _run_starts(keys)
+        start = run_starts(keys)
         if how == "rise":
             x = _whole(batches, "x").to_numpy()
             kind = np.append(_NEUTRAL, _trend(x[1:], x[:-1]))
@@ -280,10 +265,10 @@ def _compose(how: str, gap: int):
         for batch in it:
             out = _Rows()
             keys = batch.column(batch.schema.get_field_index("key"))
-            starts = set(_run_starts(keys).tolist()) if batch.num_rows else set()
+            starts = set(run_starts(keys).tolist()) if batch.num_rows else set()
             rows = batch.select([*_LONGS, *_DOUBLES]).to_pylist()
             for i, r in enumerate(rows):
-                if i in starts and (i or not have or len(_run_starts(pa.concat_arrays([last_key, keys[:1]]))) > 1):
+                if i in starts and (i or not have or not same_key([last_key], [keys[:1]])):
                     if have and timer != _NONE and not (how == "order" and paid):
                         out.add(last_key, 1, tag=_RESULT, a=timer, b=timer - gap, n=count, flag=3)
                     timer, count, before, paid, seen, waiting = _NONE, 0, None, False, False, None

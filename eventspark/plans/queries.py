@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, udfs
+from ..functions.aggregates import Aggregate, WindowFunction, aggregate, window_process
 from ..operators import control, distinct, joins, patterns, replay, rolling, text, timers, topn, transforms, windows
 from ..sinks import kafka, keyed
 from ..sources import views
@@ -137,25 +139,53 @@ def q_kafka_encode(spark, sf_dir):
 
 def _by_hour(spark, sf_dir):
     ev = events(spark, sf_dir)
-    return ev.select("event_type", F.col("value").alias("temperature"), F.window("ts", "1 hour").end.alias("window_end"))
+    return ev.select("event_type", F.col("value").alias("temperature"), F.window("ts", "1 hour").end.alias("window_end"),
+                     "ts", "event_id")
+
+
+def _ends_step(state, batch):
+    found = pc.min_max(batch.column("temperature")).as_py()
+    return _ends_merge(state, (found["min"], found["max"])), None
+
+
+def _ends_merge(a, b):
+    return (min((v for v in (a[0], b[0]) if v is not None), default=None),
+            max((v for v in (a[1], b[1]) if v is not None), default=None))
+
+
+def _ends_finish(state):
+    return pa.RecordBatch.from_pydict({"min_temp": pa.array([state[0]], pa.float64()),
+                                       "max_temp": pa.array([state[1]], pa.float64())})
+
+
+#: Lowest and highest value of a window, at its end.
+ENDS = WindowFunction(lambda: (None, None), _ends_step, _ends_merge, _ends_finish)
 
 
 @query("window_apply")
 def q_window_apply(spark, sf_dir):
     """Lowest and highest value per type and hour by a whole-window function."""
-    def ends(pdf):
-        return pd.DataFrame({"event_type": pdf["event_type"].iloc[:1], "window_end": pdf["window_end"].iloc[:1],
-                             "min_temp": pdf["temperature"].min(), "max_temp": pdf["temperature"].max()})
+    return window_process(_by_hour(spark, sf_dir), ["event_type", "window_end"], ["ts", "event_id"], ENDS,
+                          "min_temp double, max_temp double")
+
+
+def _mean_add(state, batch):
+    column = batch.column("temperature")
+    return _mean_merge(state, (pc.sum(column).as_py() or 0.0, len(column) - column.null_count))
+
+
+def _mean_merge(a, b):
+    return a[0] + b[0], a[1] + b[1]
+
 
-    return udfs.window_apply(_by_hour(spark, sf_dir), ["event_type", "window_end"], ends,
-                             "event_type string, window_end timestamp_ntz, min_temp double, max_temp double")
+#: Mean from sum and count.
+MEAN = Aggregate(lambda: (0.0, 0), _mean_add, _mean_merge, lambda s: s[0] / s[1] if s[1] else None)
 
 
 @query("udaf_avg")
 def q_udaf_avg(spark, sf_dir):
     """Mean value per type and hour by a user-defined aggregate, to six places."""
-    out = udfs.grouped_agg(_by_hour(spark, sf_dir), ["event_type", "window_end"], lambda s: float(s.mean()),
-                           "temperature", "double", "avg_temp")
+    out = aggregate(_by_hour(spark, sf_dir), ["event_type", "window_end"], MEAN, ["temperature"], "double", "avg_temp")
     return out.withColumn("avg_temp", F.round("avg_temp", 6))
 
 
