@@ -12,6 +12,7 @@ the chains against them.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,6 +28,30 @@ def event_timers(df: DataFrame, *, key: str = "key", ts: str = "ts", delay: str
     return df.select(key, (F.col(ts) + interval(delay)).alias("timer_ts")).distinct()
 
 
+class Fifo:
+    """A queue of whole numbers: its first and its last can be seen."""
+
+    def __init__(self):
+        self.items = deque()
+
+    def __len__(self) -> int:
+        return len(self.items)
+
+    @property
+    def first(self) -> int:
+        return self.items[0]
+
+    @property
+    def last(self) -> int:
+        return self.items[-1]
+
+    def append(self, value: int) -> None:
+        self.items.append(value)
+
+    def popleft(self) -> int:
+        return self.items.popleft()
+
+
 @dataclass(frozen=True)
 class FoldSpec:
     """A keyed state machine over time-ordered rows.
@@ -36,7 +61,8 @@ class FoldSpec:
     output tuples (without the key); ``finish(state)`` fires whatever timer is pending and clears it; ``due(state)``
     is the pending timer (microseconds) or None.  Timers fire when time passes them strictly, so a row at exactly the
     timer's time is still seen first.  ``finish`` is due at the end of a key's rows; the streaming fold
-    (``eventspark.streaming.stateful``) calls it once the watermark has passed ``due``.
+    (``eventspark.streaming.stateful``) calls it once the watermark has passed ``due``.  ``queues`` names the entries of
+    the state that are a :class:`Fifo` of whole numbers; a stream keeps each element of them in a state cell of its own.
     """
     make: Callable[[], dict]
     step: Callable[[dict, tuple], list]
@@ -45,6 +71,7 @@ class FoldSpec:
     columns: tuple[str, ...]
     order: tuple[str, ...]
     out_fields: tuple[tuple[str, T.DataType], ...]
+    queues: tuple[str, ...] = ()
 
     def out_schema(self, key: str, key_type: T.DataType) -> T.StructType:
         return T.StructType([T.StructField(key, key_type)] + [T.StructField(n, t) for n, t in self.out_fields])

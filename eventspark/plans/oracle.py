@@ -165,7 +165,13 @@ ORACLE["uv_exact"] = with_views(V_BEHAVIORS) + UV_EXACT
 ORACLE["uv_bloom"] = with_views(V_BEHAVIORS) + UV_EXACT
 
 ORACLE["uv_hll"] = with_views(V_BEHAVIORS, "uv AS (" + UV_EXACT + ")") + """
-SELECT window_start, window_end, uv, true AS within_5_percent FROM uv"""
+SELECT window_start, window_end, uv, uv AS uv_estimate FROM uv"""
+
+ORACLE["uv_hll_sliding"] = with_views(V_BEHAVIORS) + f"""
+SELECT window_end - INTERVAL '6 hours' AS window_start, window_end, count(DISTINCT user_id) AS uv
+FROM (SELECT user_id, {sliding_ends('ts', '6 hours', '1 hour')} AS window_end
+      FROM behaviors WHERE behavior = 'pv')
+GROUP BY window_end"""
 
 ORACLE["uv_report"] = with_views(V_BEHAVIORS, "uv AS (" + UV_EXACT + ")") + """
 SELECT window_end, uv, 'window end: ' || strftime(window_end, '%Y-%m-%d %I:%M:%S') || ' uv count: ' || CAST(uv AS VARCHAR)

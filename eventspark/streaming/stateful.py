@@ -1,20 +1,22 @@
 """Order-sensitive keyed operators on streams: one ``transformWithStateInPandas`` processor for every fold.
 
 A :class:`~eventspark.operators.timers.FoldSpec` states an operator as a step function over a key's rows in time
-order plus a pending timer.  On a stream the rows of a key arrive in micro-batches, possibly out of order within a
-batch, so the processor keeps per key
+order plus a pending timer.  On a stream the rows of a key arrive in micro-batches, possibly out of order, so the
+processor keeps per key
 
-* ``buf`` (list state) — rows not yet final, i.e. with event time at or after the current watermark;
-* ``fold`` (value state) — the step function's state (a small dict, stored as JSON).
+* ``rows`` (map state) — rows not yet final, by the millisecond of their event time, each with a timer at its end;
+* ``fold`` (value state) — the step function's state (a small dict, stored as JSON), and
+* one map state per queue of that state, from a running number to the element: the JSON holds the queue's ends only.
 
-Whenever the key is visited (new rows, or one of its event-time timers expired) it feeds the buffered rows older than
-the watermark to ``step`` in ``order``, then fires the spec's pending timer while it is older than the watermark,
-and registers timers for the next buffered row and the next pending timer.  Rows older than the watermark can no
-longer be joined by earlier rows (Spark drops rows older than the watermark before the processor), so the output equals
-the batch fold over the same rows once the watermark has passed them — the parity tests check exactly that.
+Arriving rows go into their millisecond's cell.  When the watermark passes it, Spark calls the timers in time order:
+the cell's rows are fed to ``step`` in ``order``, then the spec's pending timer fires if it is due by then.  Rows older
+than the watermark can no longer be joined by earlier rows (Spark drops rows older than the watermark before the
+processor), so the output equals the batch fold over the same rows once the watermark has passed them — the parity tests
+check exactly that.
 
-State per key is the fold state plus the rows of the last ``delay`` of event time: bounded by the watermark delay, not
-by the key's history.  A key's rows still go to one task per micro-batch, which is what keyed state means.
+A row costs the same however many rows and timers its key has pending.  State per key is the fold state plus the rows of
+the last ``delay`` of event time: bounded by the watermark delay, not by the key's history.  A key's rows still go to one
+task per micro-batch, which is what keyed state means.
 
 The batch twins use window functions and prefix scans (:mod:`eventspark.operators.joins`, ``control``, ``patterns``);
 the specs below restate those operators as folds for streams.
@@ -32,60 +34,95 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.durations import to_micros
-from ..operators.timers import FoldSpec
+from ..operators.timers import Fifo, FoldSpec
+
+
+class StateQueue:
+    """The interface of :class:`~eventspark.operators.timers.Fifo` over a map state: one cell per element."""
+
+    def __init__(self, cells, head: int = 0, tail: int = 0):
+        self.cells, self.head, self.tail = cells, head, tail
+
+    def __len__(self) -> int:
+        return self.tail - self.head
+
+    @property
+    def first(self) -> int:
+        return self.cells.getValue((self.head,))[0]
+
+    @property
+    def last(self) -> int:
+        return self.cells.getValue((self.tail - 1,))[0]
+
+    def append(self, value: int) -> None:
+        self.cells.updateValue((self.tail,), (value,))
+        self.tail += 1
+
+    def popleft(self) -> int:
+        value = self.first
+        self.cells.removeKey((self.head,))
+        self.head += 1
+        return value
+
+
+_LONG = T.StructType([T.StructField("v", T.LongType())])
 
 
 class FoldProcessor(StatefulProcessor):
-    def __init__(self, spec: FoldSpec, buf_schema: T.StructType, out_names: list[str], positions: list[int]):
+    def __init__(self, spec: FoldSpec, row_schema: T.StructType, out_names: list[str], positions: list[int]):
         self.spec = spec
         self.positions = positions
-        self.buf_schema = buf_schema
+        self.row_schema = row_schema
         self.out_names = out_names
         self.order_idx = [spec.columns.index(c) for c in spec.order]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.fold = handle.getValueState("fold", T.StructType([T.StructField("s", T.StringType())]))
-        self.buf = handle.getListState("buf", self.buf_schema)
+        self.rows = handle.getMapState("rows", _LONG, T.StructType([T.StructField("r", T.ArrayType(self.row_schema))]))
+        self.queues = {q: handle.getMapState(f"queue_{q}", _LONG, _LONG) for q in self.spec.queues}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # by position: computed input columns may reach the worker under positional names
-        new = []
+        new: dict[int, list] = {}
         for pdf in rows:
-            new.extend(zip(*[pdf.iloc[:, i].tolist() for i in self.positions]))
-        yield from self._advance(key, new, timerValues.getCurrentWatermarkInMs())
+            # by position: computed input columns may reach the worker under positional names
+            for r in zip(*[pdf.iloc[:, i].tolist() for i in self.positions], strict=True):
+                new.setdefault(r[0] // 1000, []).append(r)
+        for ms, own in new.items():
+            if self.rows.containsKey((ms,)):
+                own = [tuple(r) for r in self.rows.getValue((ms,))[0]] + own
+            else:
+                self.handle.registerTimer(ms + 1)
+            self.rows.updateValue((ms,), (own,))
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
-
-    def _advance(self, key, new: list, wm_ms: int) -> Iterator[pd.DataFrame]:
-        spec = self.spec
-        pending = [tuple(r) for r in self.buf.get()] if self.buf.exists() else []
-        pending.extend(new)
-        state = json.loads(self.fold.get()[0]) if self.fold.exists() else spec.make()
-        wm_us = max(wm_ms, 0) * 1000
-        pending.sort(key=lambda r: tuple(r[i] for i in self.order_idx))
-        out = []
-        rest = []
-        for r in pending:
-            if r[0] < wm_us:
+        at = expiredTimerInfo.getExpiryTimeInMs()  # all earlier times are final
+        spec, out = self.spec, []
+        state = self._load()
+        if self.rows.containsKey((at - 1,)):
+            for r in sorted((tuple(r) for r in self.rows.getValue((at - 1,))[0]),
+                            key=lambda r: tuple(r[i] for i in self.order_idx)):
                 out.extend(spec.step(state, r))
-            else:
-                rest.append(r)
-        while (d := spec.due(state)) is not None and d < wm_us:
+            self.rows.removeKey((at - 1,))
+        while (d := spec.due(state)) is not None and d < at * 1000:
             out.extend(spec.finish(state))
-        self.fold.update((json.dumps(state),))
-        if rest:
-            self.buf.put(rest)
-            self.handle.registerTimer(rest[0][0] // 1000 + 1)
-        elif self.buf.exists():
-            self.buf.clear()
-        d = spec.due(state)
         if d is not None:
             self.handle.registerTimer(d // 1000 + 1)
+        self._save(state)
         if out:
             yield pd.DataFrame([(*key, *o) for o in out], columns=self.out_names)
 
+    def _load(self) -> dict:
+        if not self.fold.exists():
+            state = self.spec.make()
+            return state | {q: StateQueue(cells) for q, cells in self.queues.items()}
+        state = json.loads(self.fold.get()[0])
+        return state | {q: StateQueue(cells, *state[q]) for q, cells in self.queues.items()}
+
+    def _save(self, state: dict) -> None:
+        self.fold.update((json.dumps(state | {q: (state[q].head, state[q].tail) for q in self.queues}),))
+
     def close(self) -> None:
         pass
 
@@ -93,9 +130,9 @@ class FoldProcessor(StatefulProcessor):
 def stream_fold(df: DataFrame, spec: FoldSpec, *, key: str) -> DataFrame:
     """Run ``spec`` per ``key`` over a watermarked stream.  ``df`` holds ``key`` and ``spec.columns`` (event time in
     epoch microseconds first) plus the watermarked event-time column."""
-    buf_schema = T.StructType([df.schema[c] for c in spec.columns])
+    row_schema = T.StructType([df.schema[c] for c in spec.columns])
     out_schema = spec.out_schema(key, df.schema[key].dataType)
-    proc = FoldProcessor(spec, buf_schema, [f.name for f in out_schema.fields],
+    proc = FoldProcessor(spec, row_schema, [f.name for f in out_schema.fields],
                          [df.columns.index(c) for c in spec.columns])
     return df.groupBy(key).transformWithStateInPandas(proc, out_schema, "Append", "EventTime")
 
@@ -159,8 +196,8 @@ def switch_gate_spec(duration: str = "10 seconds") -> FoldSpec:
     d = to_micros(duration)
 
     def close_before(s, t):
-        while s["closes"] and s["closes"][0] < t:
-            s["closes"].pop(0)
+        while s["closes"] and s["closes"].first < t:
+            s["closes"].popleft()
             s["gate"] = False
 
     def step(s, r):
@@ -168,21 +205,20 @@ def switch_gate_spec(duration: str = "10 seconds") -> FoldSpec:
         close_before(s, ts)
         if rank == 0:
             s["gate"] = True
-            s["closes"].append(ts + d)
-            s["closes"].sort()
+            s["closes"].append(ts + d)  # rows come in time order, so the queue is sorted
             return []
         return [(ts, temp, eid)] if s["gate"] else []
 
     def finish(s):
         if s["closes"]:
-            s["closes"].pop(0)
+            s["closes"].popleft()
             s["gate"] = False
         return []
 
-    return FoldSpec(lambda: {"gate": False, "closes": []}, step, finish,
-                    lambda s: s["closes"][0] if s["closes"] else None,
+    return FoldSpec(lambda: {"gate": False, "closes": Fifo()}, step, finish,
+                    lambda s: s["closes"].first if s["closes"] else None,
                     ("_ts_us", "_rank", "event_id", "temperature"), ("_ts_us", "_rank", "event_id"),
-                    (("_ts_out", T.LongType()), ("temperature", T.DoubleType()), ("event_id", T.LongType())))
+                    (("_ts_out", T.LongType()), ("temperature", T.DoubleType()), ("event_id", T.LongType())), ("closes",))
 
 
 def login_fail_spec(within: str = "5 seconds", n: int = 3) -> FoldSpec:
@@ -296,19 +332,18 @@ def event_timers_spec(delay: str = "10 seconds") -> FoldSpec:
 
     def step(s, r):
         out = []
-        while s["t"] and s["t"][0] < r[0]:
-            out.append((s["t"].pop(0),))
+        while s["t"] and s["t"].first < r[0]:
+            out.append((s["t"].popleft(),))
         t = r[0] + d
-        if t not in s["t"]:
+        if not s["t"] or s["t"].last != t:  # rows come in time order, so equal times are neighbours
             s["t"].append(t)
-            s["t"].sort()
         return out
 
     def finish(s):
-        return [(s["t"].pop(0),)] if s["t"] else []
+        return [(s["t"].popleft(),)] if s["t"] else []
 
-    return FoldSpec(lambda: {"t": []}, step, finish, lambda s: s["t"][0] if s["t"] else None,
-                    ("_ts_us", "event_id"), ("_ts_us", "event_id"), (("_timer_us", T.LongType()),))
+    return FoldSpec(lambda: {"t": Fifo()}, step, finish, lambda s: s["t"].first if s["t"] else None,
+                    ("_ts_us", "event_id"), ("_ts_us", "event_id"), (("_timer_us", T.LongType()),), ("t",))
 
 
 def event_timers_stream(df: DataFrame, *, key: str = "key", delay: str = "10 seconds") -> DataFrame:

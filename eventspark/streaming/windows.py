@@ -5,7 +5,9 @@ a watermarked stream unchanged.  What differs on streams:
 
 * top-N per window — ``row_number`` is rejected on streams, so the final window counts (append mode) are ranked per
   micro-batch in ``foreachBatch`` (see :func:`hot_items_handler`);
-* distinct users — ``count_distinct`` is rejected on streams: ``dropDuplicates(window, user)`` then ``count``;
+* distinct users — ``count_distinct`` is rejected on streams: ``dropDuplicates(window, user)`` then ``count``; with
+  bounded state, Bloom bitmaps per window and bucket, and sketch panes united into sliding windows (the tumbling sketch
+  of :func:`eventspark.operators.distinct.uv_hll` runs on streams as it is);
 * sliding counts — pane pre-aggregation as in batch, chained through ``window_time`` so the second aggregation
   keeps the event time.
 """
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.durations import to_seconds
+from ..operators import distinct
 from ..operators.topn import top_n_per_window
 
 
@@ -59,3 +62,26 @@ def uv_stream(df: DataFrame, *, user: str = "user_id", ts: str = "ts", size: str
     firsts = df.where(F.col(user).isNotNull()).select(F.window(F.col(ts), size).alias("w"), user).dropDuplicates(["w", user])
     out = firsts.groupBy("w").agg(F.count(F.lit(1)).alias("uv"))
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv")
+
+
+def uv_bloom_stream(df: DataFrame, *, user: str = "user_id", ts: str = "ts", size: str = "1 hour",
+                    expected: int = distinct.BLOOM_EXPECTED, fpp: float = distinct.BLOOM_FPP) -> DataFrame:
+    """Bloom estimate of distinct users per window: bitmaps per (window, bucket), then their set bits per window.
+    Windows without a user give no row."""
+    bits = distinct.bloom_bits(df.select(ts, user), user=user, expected=expected, fpp=fpp)
+    maps = bits.groupBy(F.window(F.col(ts), size).alias("b"), "bucket").agg(
+        F.bitmap_count(F.bitmap_construct_agg("bit")).alias("x"))
+    out = maps.groupBy(F.window(F.window_time("b"), size).alias("w")).agg(F.sum("x").alias("set_bits"))
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      distinct.bloom_estimate(F.col("set_bits"), expected=expected, fpp=fpp).alias("uv"))
+
+
+def uv_hll_sliding_stream(df: DataFrame, *, user: str = "user_id", ts: str = "ts", size: str = "1 hour",
+                          slide: str = "5 minutes", lg_k: int = 12) -> DataFrame:
+    """Estimated distinct users per sliding window from sketch panes."""
+    if to_seconds(size) % to_seconds(slide):
+        raise ValueError("size must be a multiple of slide")
+    panes = df.groupBy(F.window(F.col(ts), slide).alias("p")).agg(F.hll_sketch_agg(F.col(user), lg_k).alias("s"))
+    out = panes.groupBy(F.window(F.window_time("p"), size, slide).alias("w")).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("s")).alias("uv"))
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv")

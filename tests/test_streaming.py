@@ -507,3 +507,211 @@ def test_replay_handlers_idempotent_on_rerun(spark, batch_events, tmp_path):
         return norm(spark.read.parquet(out))
 
     assert run_cl("cl_twice", True) == run_cl("cl_once", False)
+
+
+# --- keyed window state ------------------------------------------------------------------------------------------------
+
+def test_allowed_lateness_keyed_state(spark, arrival_dir, batch_events, tmp_path):
+    """The rule with the watermark constant during a batch, against a row-by-row restatement of it."""
+    import shutil
+    from eventspark.streaming.keyed import allowed_lateness_stream
+    from eventspark.streaming.sources import read_parquet_stream
+    d = tmp_path / "in"
+    shutil.copytree(arrival_dir, d)
+    schema = views.arrivals(read_table(spark, SF001, "events")).schema
+    files = sorted(os.listdir(d))
+    parts = [pd.read_parquet(os.path.join(d, f)) for f in files if f.endswith(".parquet")]
+    # more, smaller batches; every fifth row comes one batch late
+    pdf = pd.concat(parts).sort_values(["arrival", "event_id"]).reset_index(drop=True)
+    step = -(-len(pdf) // 8)
+    batch_no = pdf.index // step + (pdf["event_id"] % 5 == 0)
+    for f in files:
+        os.rename(os.path.join(d, f), os.path.join(tmp_path, f"moved-{f}"))
+    batches = [pdf[batch_no == i] for i in range(9)]
+    for j in range(2):
+        batches.append(pdf.iloc[:1].assign(key="__flush", ts=pd.Timestamp("2100-01-01") + pd.Timedelta(days=j)))
+    for i, b in enumerate(batches):
+        b = b.astype({"ts": "datetime64[us]", "arrival": "datetime64[us]"})
+        p = os.path.join(d, f"part-{i:03d}.parquet")
+        b.to_parquet(p, index=False)
+        os.utime(p, (1_000_000 + i * 10, 1_000_000 + i * 10))
+    size, bound, late = pd.Timedelta("1 hour"), pd.Timedelta("12 hours"), pd.Timedelta("3 days")
+    src = read_parquet_stream(spark, str(d), schema, max_files_per_trigger=1)
+    got = run_stream(spark, allowed_lateness_stream(src, size="1 hour", bound="12 hours", lateness="3 days"), tmp_path)
+    want, state, newest = [], {}, None
+    for b in batches:
+        now = None if newest is None else (newest - bound).floor("ms")
+        updates = []
+        for r in b.itertuples():
+            start = r.ts.floor("1h")
+            w = (r.key, start, start + size)
+            s = state.setdefault(w, [0, 0, False])
+            if now is None or now < w[2]:
+                s[0] += 1
+            elif now < w[2] + late:
+                updates.append(w)
+        for w, s in state.items():
+            if now is not None and now >= w[2] and not s[2]:
+                s[2] = True
+                if s[0]:
+                    want.append((*w, 1, "first", s[0]))
+        for w in updates:
+            s = state[w]
+            s[1] += 1
+            no = (s[0] > 0) + s[1]
+            want.append((*w, no, "first" if no == 1 else "update", s[0] + s[1]))
+        newest = max(x for x in (newest, b["ts"].max()) if x is not None and not pd.isna(x))
+    rows_ = [(r["key"], pd.Timestamp(r["window_start"]), pd.Timestamp(r["window_end"]), r["firing"], r["kind"], r["cnt"])
+             for r in got.collect() if r["key"] != "__flush"]
+    assert sorted(rows_) == sorted(w for w in want if w[0] != "__flush")
+    kinds = [w[4] for w in want]
+    assert kinds.count("update") > 20 and kinds.count("first") > 100
+
+
+def test_topn_changelog_keyed_state(spark, stream_dir, batch_events, tmp_path):
+    """Every batch's changes lead from the top n of the rows before it to the top n of the rows up to it."""
+    from eventspark.streaming.keyed import topn_changelog_stream
+    schema = read_table(spark, SF001, "events").schema
+    out = {}
+
+    def collect(df, batch_id):
+        out[batch_id] = [tuple(r) for r in df.select(
+            "is_add", F.col("window_end").cast("timestamp_ntz").alias("window_end"), "item_id", "cnt", "rank").collect()]
+    src = views.behaviors(event_time(read_parquet_stream(spark, stream_dir, schema, max_files_per_trigger=1)), only="pv")
+    log = topn_changelog_stream(src, n=3, size="1 day", slide="6 hours")
+    q = (log.writeStream.outputMode("update").foreachBatch(collect).option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    files = sorted(f for f in os.listdir(stream_dir) if f.endswith(".parquet"))
+    state = set()
+    for batch_id in range(N_FILES):
+        changes = out[batch_id]
+        state = (state - {r[1:] for r in changes if not r[0]}) | {r[1:] for r in changes if r[0]}
+        seen = spark.read.schema(schema).parquet(*[os.path.join(stream_dir, f) for f in files[:batch_id + 1]])
+        want = topn.hot_items(views.behaviors(seen, only="pv"), n=3, size="1 day", slide="6 hours")
+        assert state == {tuple(r) for r in want.select("window_end", "item_id", "cnt", "rank").collect()}
+    assert any(not r[0] for r in out[1])
+
+
+def test_topn_changelog_forgets_old_windows(spark, stream_dir, tmp_path):
+    from eventspark.streaming.keyed import topn_changelog_stream
+    schema = read_table(spark, SF001, "events").schema
+    old = read_table(spark, SF001, "events").orderBy("ts").limit(20).toPandas().assign(event_type="view")
+    d = tmp_path / "in"
+    d.mkdir()
+    for i, b in enumerate([old, old.assign(ts=pd.Timestamp("2100-01-01")), old, old]):
+        p = str(d / f"part-{i}.parquet")
+        b.astype({"ts": "datetime64[us]"}).to_parquet(p, index=False)
+        os.utime(p, (1_000_000 + i * 10, 1_000_000 + i * 10))
+    src = views.behaviors(event_time(read_parquet_stream(spark, str(d), schema, max_files_per_trigger=1)), only="pv")
+    log = topn_changelog_stream(src, size="1 day", slide="6 hours", retention="1 day")
+    name = "changelog_retention"
+    q = (log.writeStream.format("memory").queryName(name).outputMode("update")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    # rows that come again after the windows are over change nothing
+    assert spark.table(name).where(F.year("window_end") < 2099).where("NOT is_add").count() == 0
+    assert spark.table(name).where(F.year("window_end") < 2099).count() > 0
+
+
+def test_bloom_and_sketch_streams(spark, stream_dir, disordered_dir, batch_events, tmp_path):
+    """Shuffled batches set the same bits: the streams' bitmaps equal the batch's bit for bit."""
+    pv = views.behaviors(batch_events, only="pv")
+
+    def stream():
+        return views.behaviors(stream_events(spark, disordered_dir, delay="40 days"), only="pv")
+
+    def hexed(df):
+        return df.withColumn("bitmap", F.hex("bitmap"))
+    flushed = F.year("window_end") < 2099
+    got = run_stream(spark, hexed(distinct.bloom_bitmaps(stream(), size="1 day")), tmp_path).where(flushed)
+    assert norm(got) == norm(hexed(distinct.bloom_bitmaps(pv, size="1 day"))) and got.count() > 10
+    got = run_stream(spark, swin.uv_bloom_stream(stream(), size="1 day"), tmp_path).where(flushed)
+    assert norm(got) == norm(distinct.uv_bloom(pv, size="1 day"))
+    got = run_stream(spark, distinct.uv_hll(stream(), size="1 day"), tmp_path).where(flushed)
+    assert norm(got) == norm(distinct.uv_hll(pv, size="1 day"))
+    got = run_stream(spark, swin.uv_hll_sliding_stream(stream(), size="1 day", slide="6 hours"), tmp_path).where(flushed)
+    assert norm(got) == norm(distinct.uv_hll_sliding(pv, size="1 day", slide="6 hours"))
+
+
+class _Cells:
+    """A map state in memory that counts its calls."""
+
+    def __init__(self):
+        self.cells, self.calls = {}, 0
+
+    def containsKey(self, k):
+        self.calls += 1
+        return k in self.cells
+
+    def getValue(self, k):
+        self.calls += 1
+        return self.cells[k]
+
+    def updateValue(self, k, v):
+        self.calls += 1
+        self.cells[k] = v
+
+    def removeKey(self, k):
+        self.calls += 1
+        del self.cells[k]
+
+
+class _Value:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = v
+
+
+@pytest.mark.parametrize("spec,row", [(stateful.event_timers_spec("30 hours"), lambda t: (t, t)),
+                                      (stateful.switch_gate_spec("30 hours"), lambda t: (t, 0, t, 1.0))])
+def test_a_row_costs_the_same_however_much_is_pending(spec, row):
+    """100,000 pending timers of one key: state calls per row, and the size of the JSON state, stay as they were."""
+    from types import SimpleNamespace
+    cells = {}
+    timers_set = set()
+    handle = SimpleNamespace(getValueState=lambda n, s: _Value(), registerTimer=timers_set.add,
+                             getMapState=lambda n, *s: cells.setdefault(n, _Cells()))
+    proc = stateful.FoldProcessor(spec, T.StructType([]), ["k"] + [f for f, _ in spec.out_fields], list(range(len(row(0)))))
+    proc.init(handle)
+    cost, longest = [], 0
+    for i in range(1, 100_001):
+        before = sum(c.calls for c in cells.values())
+        us = i * 1_000_000
+        list(proc.handleInputRows(("k",), [pd.DataFrame([row(us)])] if i in (1, 100_000) else [_Frame(row(us))], None))
+        list(proc.handleExpiredTimer(("k",), None, SimpleNamespace(getExpiryTimeInMs=lambda us=us: us // 1000 + 1)))
+        cost.append(sum(c.calls for c in cells.values()) - before)
+        longest = max(longest, len(proc.fold.get()[0]))
+    assert len(cells[f"queue_{spec.queues[0]}"].cells) == 100_000
+    assert max(cost[10:]) <= max(cost[:10]) + 1 and longest < 100
+
+
+class _Frame:
+    """One row in the shape of a frame, without the cost of one."""
+
+    def __init__(self, row):
+        self.row = row
+
+    @property
+    def iloc(self):
+        return self
+
+    def __getitem__(self, at):
+        return _Column(self.row[at[1]])
+
+
+class _Column:
+    def __init__(self, v):
+        self.v = v
+
+    def tolist(self):
+        return [self.v]
