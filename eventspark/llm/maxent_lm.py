@@ -1,21 +1,25 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-``log p(word | context) = log p(class | context) + log p(word | class)``.
+``log p(word | context) = log p(class | context) + log p(word | class, context)``, both softmaxes.
 
 * Classes: each of the most frequent words is its own class, all other words fall into classes by their last two
-  bytes, a text's end is one more.  Within a class a word has ``(c + 1) / (N_class + V_class + 1)``: one unseen word per
-  class keeps the distribution whole.
-* ``p(class | context)`` is a maximum-entropy model over four hashed features of the preceding words: the last word,
-  the one before (a skip), both together, and the classes by ending of the last three.
+  bytes, a text's end is one more.
+* ``p(class | context)`` has four hashed features of the preceding words: the last word, the one before (a skip), both
+  together, and the classes by ending of the last three.
+* ``p(word | class, context)`` has one weight per word and hashed last word (``CONTEXTS`` of them), on the class's unigram
+  shares ``(c + 1) / (N_class + V_class + 1)``, one unseen word per class among them.  The same smoothed step as below,
+  taken from those shares, gives weights whose softmax is already normalised: with ``k`` the word's count in the context,
+  ``K`` the class's and ``s`` = ``INSIDE``, a word has ``(k + s * share) / (K + s)``.  The counts by word and context are a
+  Spark table that grows with the corpus.
 
 Training is distributed: every round each task sums class counts per feature over its texts, the sums are added block by
 block, and the driver applies one scaled gradient step (of the logarithmic form of iterative scaling, ``log observed /
 expected`` over the number of features).  Every round covers every training text.  The first one sums the observed counts,
 which hold for all rounds, and starts from the class frequencies, whose expectations need no softmax; the later ones sum
-the softmax's expectations.  The weights are ``FEATURES * CLASSES`` numbers at any size of corpus.
+the softmax's expectations.  These weights are ``FEATURES * CLASSES`` numbers at any size of corpus.
 
-Scoring works on sparse batches: four gathered weight rows per token.  Word counts of the most frequent words go to
-the tasks; all others are looked up by a join on the word's hash.
+Scoring works on sparse batches: four gathered weight rows per token.  Counts of the most frequent words, by context,
+go to the tasks (``most * CONTEXTS`` numbers at most); all other words are looked up by a join on the word's hash.
 
 Words are runs outside 0x20 and 0x09-0x0D after lower-casing A-Z, known by a 64-bit hash (two different words get the
 same one with a chance of about ``V**2 / 2**65``).
@@ -46,6 +50,8 @@ ENDINGS, OWN = 47, 32
 CLASSES = 1 + ENDINGS + OWN
 END = 0
 BLOCK = 512
+#: Hashed last words of the softmax inside a class, and how many tokens the class's own shares weigh there.
+CONTEXTS, INSIDE = 32, 100.0
 _END_HASH, _PAD = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
 
 
@@ -73,6 +79,14 @@ def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         yield closed(*held)
 
 
+def contexts(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The hashed last word before each token."""
+    one = np.empty_like(h)
+    one[1:] = h[:-1]
+    one[(np.cumsum(counts) - counts)] = _PAD
+    return (words.mix(one + U(5)) % U(CONTEXTS)).astype(np.int64)
+
+
 def features(h: np.ndarray, e: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """``ACTIVE x tokens`` feature numbers from the tokens before each, none of them across a text's start."""
     place = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -98,7 +112,9 @@ class Model:
     top_count: np.ndarray
     own: np.ndarray  # sorted hashes of the words with a class of their own
     own_class: np.ndarray
+    top_by: np.ndarray  # their counts by context, a row per word
     size: np.ndarray  # N_class + V_class + 1
+    inside: np.ndarray  # CONTEXTS x CLASSES tokens
     n_tokens: int
     n_words: int
 
@@ -109,28 +125,38 @@ class Model:
         at = np.minimum(np.searchsorted(self.own, h), len(self.own) - 1)
         return np.where(self.own[at] == h, self.own_class[at], e)
 
-    def logits(self, f: np.ndarray) -> np.ndarray:
-        out = self.weights[f[0]]
-        for x in f[1:]:
-            out += self.weights[x]
-        out += self.bias
-        return out
+    def softmax(self, f: np.ndarray, block: int = 2048) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """``(tokens, exp(logits), their sums)`` in blocks that stay in the processor's cache."""
+        z, more = np.empty((2, block, CLASSES), np.float32)
+        # no logit can overflow below this bound of their size, so the largest needn't be taken off
+        safe = ACTIVE * np.abs(self.weights).max(initial=0) + np.abs(self.bias).max(initial=0) < 80
+        for at in range(0, f.shape[1], block):
+            part = f[:, at:at + block]
+            own, other = z[:part.shape[1]], more[:part.shape[1]]
+            np.take(self.weights, part[0], axis=0, out=own, mode="clip")
+            for x in part[1:]:
+                np.take(self.weights, x, axis=0, out=other, mode="clip")
+                own += other
+            own += self.bias
+            if not safe:
+                own -= own.max(axis=1, keepdims=True)
+            np.exp(own, out=own)
+            yield slice(at, at + part.shape[1]), own, own.sum(axis=1, keepdims=True)
 
     def chances(self, f: np.ndarray) -> np.ndarray:
-        z = self.logits(f)
-        z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        return z
+        """``CLASSES x tokens``."""
+        out = np.empty((CLASSES, f.shape[1]), np.float32)
+        for own, z, total in self.softmax(f):
+            z /= total
+            out[:, own] = z.T
+        return out
 
-    def log_class(self, f: np.ndarray, c: np.ndarray, block: int = 8192) -> np.ndarray:
+    def log_class(self, f: np.ndarray, c: np.ndarray) -> np.ndarray:
         out = np.empty(len(c))
-        for at in range(0, len(c), block):
-            z = self.logits(f[:, at:at + block])
-            z -= z.max(axis=1, keepdims=True)
-            own = z[np.arange(len(z)), c[at:at + block]].astype(np.float64)
-            np.exp(z, out=z)
-            out[at:at + block] = own - np.log(z.sum(axis=1, dtype=np.float64))
+        tiny = np.finfo(np.float32).tiny
+        for own, z, total in self.softmax(f):
+            mine = z[np.arange(len(z)), c[own]]
+            out[own] = np.log(np.maximum(mine, tiny), dtype=np.float64) - np.log(total[:, 0], dtype=np.float64)
         return out
 
 
@@ -139,17 +165,33 @@ def held_out(id_col: str, parts: int = 7, part: int = 2) -> Column:
 
 
 def _counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word counts of each batch: hash, class by ending, count."""
+    """Counts of each batch's words by context: hash, class by ending, context, count."""
     for batch in it:
-        parts, kinds = [], []
-        for _, _, h, e, _ in tokens(batch.column(0)):
+        parts, kinds, before = [], [], []
+        for _, _, h, e, counts in tokens(batch.column(0)):
             parts.append(h)
             kinds.append(e)
+            before.append(contexts(h, counts))
         if parts:
-            h, e = np.concatenate(parts), np.concatenate(kinds)
-            word, first, n = np.unique(h, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.signed(word)), pa.array(e[first]), pa.array(n)],
-                                             names=["word", "ending", "n"])
+            h, e, b = np.concatenate(parts), np.concatenate(kinds), np.concatenate(before)
+            order = np.lexsort((b, h))
+            h, b = h[order], b[order]
+            first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (b[1:] != b[:-1])]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words.signed(h[first])), pa.array(e[order[first]]), pa.array(b[first]),
+                 pa.array(np.diff(np.append(first, len(h))))], names=["word", "ending", "context", "n"])
+
+
+def _packed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with their counts by context as ``CONTEXTS`` numbers in one cell."""
+    for batch in it:
+        by = np.zeros((batch.num_rows, CONTEXTS), np.float32)
+        lists = batch.column(3)
+        for i, entry in enumerate(lists):
+            for c, n in entry.as_py():
+                by[i, c] = n
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([x.tobytes() for x in by], pa.binary())],
+                                         names=["word", "ending", "n", "by"])
 
 
 def _sums(model: Model, expected: bool):
@@ -168,9 +210,7 @@ def _sums(model: Model, expected: bool):
                     continue
                 for at in range(0, len(h), 1 << 16):
                     part = np.ascontiguousarray(f[:, at:at + (1 << 16)])
-                    p = np.empty((CLASSES, part.shape[1]), np.float32)
-                    for to in range(0, part.shape[1], 8192):
-                        p[:, to:to + 8192] = model.chances(part[:, to:to + 8192]).T
+                    p = model.chances(part)
                     for c in range(CLASSES):  # class by class: four times as fast as sorting the tokens by feature
                         due[c] += np.bincount(part.ravel(), np.tile(p[c], ACTIVE), FEATURES)
         total = (due.T if expected else seen.reshape(FEATURES, CLASSES)).astype(np.float32)
@@ -212,68 +252,82 @@ def _gathered(texts: DataFrame, model: Model, expected: bool) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, text_col: str, most: int = 1 << 17, rounds: int = 2,
+def train(docs: DataFrame, text_col: str, most: int = 1 << 16, rounds: int = 2,
           smooth: float = 100.0) -> tuple[Model, DataFrame]:
-    """The model learnt from ``docs`` and the table ``(word, n)`` of all its word counts.
+    """The model learnt from ``docs`` and the table ``(word, ending, n, by)`` of all its word counts, ``by`` context.
 
     ``most`` bounds the word counts that go to the tasks.  The first step and each of the ``rounds`` after it cover all
     texts.
     """
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    counts = reliable_checkpoint(texts.mapInArrow(_counted, "word long, ending long, n long").groupBy("word")
-                                 .agg(F.min("ending").alias("ending"), F.sum("n").alias("n")))
-    top = most_frequent(counts, most).collect()
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = texts.mapInArrow(_counted, "word long, ending long, context long, n long").repartition(parts, "word")
+    counts = counts.groupBy("word", "context").agg(F.min("ending").alias("ending"), F.sum("n").alias("n"))
+    counts = reliable_checkpoint(counts.groupBy("word").agg(  # the same partitioning: no further shuffle
+        F.min("ending").alias("ending"), F.sum("n").alias("n"),
+        F.map_from_entries(F.collect_list(F.struct("context", "n"))).alias("by")))  # CONTEXTS entries at most
+    top = most_frequent(counts, most).mapInArrow(_packed, "word long, ending long, n long, by binary").collect()
     order = sorted(top, key=lambda r: (-r["n"], r["word"]))
     own = [r for r in order if r["ending"] != END][:OWN]
-    size = np.ones(CLASSES)
+    size, inside = np.ones(CLASSES), np.zeros((CONTEXTS, CLASSES))
     for r in counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():  # ENDINGS + 1
         size[r["ending"]] += r["n"] + r["v"]
+    spread = counts.select("ending", F.explode("by").alias("context", "k"))
+    for r in spread.groupBy("context", "ending").agg(F.sum("k").alias("k")).collect():  # CONTEXTS * (ENDINGS + 1)
+        inside[r["context"], r["ending"]] = r["k"]
     n_tokens, n_words = (counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first())
     for i, r in enumerate(own):
         size[r["ending"]] -= r["n"] + 1
         size[1 + ENDINGS + i] += r["n"] + 1
-    by_hash = sorted((np.int64(r["word"]).view(U), r["n"]) for r in top)
+        by = np.frombuffer(r["by"], np.float32)
+        inside[:, r["ending"]] -= by
+        inside[:, 1 + ENDINGS + i] = by
+    by_hash = sorted((np.int64(r["word"]).view(U), r["n"], r["by"]) for r in top)
     own_hash = sorted((np.int64(r["word"]).view(U), 1 + ENDINGS + i) for i, r in enumerate(own))
     bias = np.log(np.maximum(size, 1) / np.maximum(size, 1).sum())
     model = Model(np.zeros((FEATURES, CLASSES), np.float32), bias.astype(np.float32),
-                  np.array([h for h, _ in by_hash], U), np.array([n for _, n in by_hash], np.int64),
+                  np.array([h for h, _, _ in by_hash], U), np.array([n for _, n, _ in by_hash], np.int64),
                   np.array([h for h, _ in own_hash], U), np.array([c for _, c in own_hash], np.int64),
-                  size, int(n_tokens), int(n_words))
+                  np.frombuffer(b"".join(by for _, _, by in by_hash), np.float32).reshape(-1, CONTEXTS),
+                  size, inside, int(n_tokens), int(n_words))
     p = np.exp(bias)
     seen = _gathered(texts, model, False)
     for step in range(rounds + 1):
         due = _gathered(texts, model, True) if step else seen.sum(axis=1, keepdims=True) * p
         pace = (1 if step else 2) / ACTIVE
         model.weights += (pace * np.log((seen + smooth * p) / (due + smooth * p))).astype(np.float32)
-    return model, counts.select("word", "n")
+    return model, counts
 
 
 def _scored(model: Model):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_size = np.log10(model.size)
+        unseen = np.log10(INSIDE / model.size)  # a word without a count has this share, times INSIDE
         for batch in it:
             for row, to, h, e, counts in tokens(batch.column(2)):
-                c = model.classes(h, e)
-                value = model.log_class(features(h, e, counts), c) / math.log(10) - log_size[c]
-                known = np.zeros(len(h), np.int64)
+                c, b = model.classes(h, e), contexts(h, counts)
+                value = model.log_class(features(h, e, counts), c) / math.log(10) - np.log10(model.inside[b, c] + INSIDE)
+                known, by = np.zeros(len(h), np.int64), np.zeros(len(h))
                 if len(model.top):
                     at = np.minimum(np.searchsorted(model.top, h), len(model.top) - 1)
                     known = np.where(model.top[at] == h, model.top_count[at], 0)
-                first = np.cumsum(counts) - counts
+                    by = model.top_by[at, b].astype(np.float64)
                 rest, of = known == 0, np.repeat(np.arange(to - row), counts)
-                pair = np.lexsort((h[rest], of[rest]))
-                w, o = h[rest][pair], of[rest][pair]
-                start = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (o[1:] != o[:-1])])) if len(w) else np.zeros(0, int)
+                value += np.where(rest, unseen[c], np.log10(by + INSIDE * (known + 1) / model.size[c]))
+                first = np.cumsum(counts) - counts
+                group = np.lexsort((b[rest], h[rest], of[rest]))
+                w, o, k = h[rest][group], of[rest][group], b[rest][group]
+                new = (w[1:] != w[:-1]) | (o[1:] != o[:-1]) | (k[1:] != k[:-1])
+                start = np.flatnonzero(np.concatenate([[True], new])) if len(w) else np.zeros(0, int)
                 times = np.diff(np.concatenate([start, [len(w)]]))
-                ends = np.searchsorted(o[start], np.arange(to - row + 1)).astype(np.int32)
+                ends = pa.array(np.searchsorted(o[start], np.arange(to - row + 1)).astype(np.int32))
+                lists = [pa.array(words.signed(w[start])), pa.array(k[start].astype(np.int32)), pa.array(times.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, to - row), batch.column(1).slice(row, to - row), pa.array(counts),
                      pa.array(np.add.reduceat(value, first)),
                      pa.array(np.add.reduceat(np.where(rest, 0, np.log10(known + 1.0)), first)),
                      pa.array(np.add.reduceat((~rest).astype(np.int64), first)),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(words.signed(w[start]))),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(times.astype(np.int32)))],
-                    names=["row", "doc_id", "n_tokens", "part", "counted", "known", "rare", "times"])
+                     *[pa.ListArray.from_arrays(ends, x) for x in lists]],
+                    names=["row", "doc_id", "n_tokens", "part", "counted", "known", "rare", "context", "times"])
 
     return run
 
@@ -288,16 +342,21 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     model, counts = train(rows.filter(~held_out("doc_id")), "text")
     done = reliable_checkpoint(rows.mapInArrow(
         _scored(model), "row long, doc_id long, n_tokens long, part double, counted double, known long, "
-                        "rare array<long>, times array<int>"))
-    rare = done.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
-        "row", F.col("x.rare").alias("rare"), F.col("x.times").alias("times"))
+                        "rare array<long>, context array<int>, times array<int>"))
+    rare = done.select("row", F.explode(F.arrays_zip("rare", "context", "times")).alias("x")).select("row", "x.*")
     found = rare.join(counts, F.col("rare") == F.col("word"))
+    # the rare word's share of its class in this context, over that of a word without a count
+    size = F.element_at(F.array(*[F.lit(float(x)) for x in model.size[:ENDINGS + 1]]), (F.col("ending") + 1).cast("int"))
+    by = F.coalesce(F.element_at("by", F.col("context").cast("long")), F.lit(0))
+    gain = F.log10(by * size / F.lit(INSIDE) + F.col("n") + 1)
     found = reliable_checkpoint(found.groupBy(F.col("row").alias("row_")).agg(
-        F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"), F.sum("times").alias("more_known")))
+        F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"), F.sum(F.col("times") * gain).alias("more_score"),
+        F.sum("times").alias("more_known")))
     per = F.lit(math.log10(model.n_tokens + model.n_words + 1))
     counted = F.col("counted") + F.coalesce("more", F.lit(0.0))
-    return done.drop("rare", "times").join(found, F.col("row") == F.col("row_"), "left").select(
+    return done.drop("rare", "context", "times").join(found, F.col("row") == F.col("row_"), "left").select(
         "doc_id", held_out("doc_id").alias("held_out"), "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-        (counted - F.col("n_tokens") * per).alias("base_score"), (F.col("part") + counted).alias("score"))
+        (counted - F.col("n_tokens") * per).alias("base_score"),
+        (F.col("part") + F.coalesce("more_score", F.lit(0.0))).alias("score"))

@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -258,6 +259,56 @@ def test_language_model(spark):
     assert score_texts(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [1 << 16, 40])
+def test_language_model_is_a_whole_distribution(spark, monkeypatch, most):
+    """Twenty texts, scored by a dense softmax over classes and words; every context's chances add up to one."""
+    rng = random.Random(9)
+    pool = ["alpha", "beta", "gamma", "delta", "of", "the", *[f"w{i}" for i in range(60)]]
+    rows = [(i, " ".join(rng.choices(pool, k=rng.randrange(0, 40)))) for i in range(20)]
+    kept = {}
+    trained = maxent_lm.train
+
+    def noted(docs, text_col):
+        kept["model"], kept["counts"] = trained(docs, text_col, most=most)
+        return kept["model"], kept["counts"]
+
+    monkeypatch.setattr(maxent_lm, "train", noted)
+    got = {r["doc_id"]: r["score"] for r in score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    model = kept["model"]
+    assert len(model.top) <= most
+
+    def cut(text):
+        _, _, h, e, n = next(maxent_lm.tokens(pa.array([text])))
+        return h, model.classes(h, e), maxent_lm.contexts(h, n), model.chances(maxent_lm.features(h, e, n))
+    train = [cut(t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    unigram, pair, kind = collections.Counter(), collections.Counter(), {}
+    for h, c, b, _ in train:
+        for w, x, y in zip(h.tolist(), c.tolist(), b.tolist(), strict=True):
+            unigram[w] += 1
+            pair[w, y] += 1
+            kind[w] = x
+    members = {x: [w for w in kind if kind[w] == x] for x in range(maxent_lm.CLASSES)}
+
+    def inside(w, x, b):
+        """The softmax over the class's words and its one unseen word, of weights on their shares."""
+        total = sum(unigram[v] + 1 for v in members[x]) + 1
+        here = sum(pair[v, b] for v in members[x])
+        def up(v):
+            share = (unigram[v] + 1) / total
+            weight = math.log((pair[v, b] + maxent_lm.INSIDE * share) / (here * share + maxent_lm.INSIDE * share))
+            return share * math.exp(weight)
+        return up(w) / sum(up(v) for v in [*members[x], "unseen"])
+
+    for i, text in rows:
+        h, c, b, chances = cut(text)
+        want = sum(math.log10(chances[x, k]) + math.log10(inside(w, x, y))
+                   for k, (w, x, y) in enumerate(zip(h.tolist(), c.tolist(), b.tolist(), strict=True)))
+        assert math.isclose(got[i], want, rel_tol=1e-4)
+        for k in range(len(h)):
+            whole = sum(chances[x, k] * sum(inside(w, x, b[k]) for w in [*members[x], "unseen"]) for x in range(maxent_lm.CLASSES))
+            assert math.isclose(whole, 1, rel_tol=1e-4)
+
+
 def test_language_model_rounds_cover_all_texts(spark, monkeypatch):
     docs, summed, gathered = spark.range(60).selectExpr("id AS doc_id", "concat('the w', id % 7, ' of x') AS text"), [], maxent_lm._gathered
 
