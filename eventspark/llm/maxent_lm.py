@@ -51,7 +51,7 @@ CLASSES = 1 + ENDINGS + OWN
 END = 0
 BLOCK = 512
 #: Hashed last words of the softmax inside a class, and how many tokens the class's own shares weigh there.
-CONTEXTS, INSIDE = 32, 100.0
+CONTEXTS, INSIDE = 32, 1000.0
 _END_HASH, _PAD = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -16,13 +17,13 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from conftest import SF01
+from conftest import SF01, SF001
 from eventspark.llm import chat, maxent_lm, queries
 from eventspark.llm.maxent_lm import score_texts
 from eventspark.llm.mixing import Target, mix_sources
 from eventspark.llm.packing import encoder, nnls, pack, plan, slots
 from eventspark.llm.personal_data import base_spans, find_spans, masked, personal_data
-from eventspark.llm.quality_knn import quality_scores, train
+from eventspark.llm.quality_knn import quality_scores, term_counts, train
 from eventspark.llm.url_filter import Rule, Segmenter, host_words, judge_urls, unigrams
 from oracle_check import duck, frame_digest
 
@@ -178,6 +179,68 @@ def test_quality(spark):
     assert quality_scores(docs.limit(0), train(docs.limit(0), none)).count() == 0
 
 
+def test_vote_matches_brute_force(spark):
+    """Every document's neighbours by one cosine at a time, and their weighted labels added up one by one."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    model = train(docs, spark.read.parquet(f"{SF001}/labels.parquet"))
+    got = {r["doc_id"]: r["score"] for r in quality_scores(docs, model).collect()}
+    unit = model.vectors.astype(float)
+    for r in docs.collect():
+        own = model.latent(term_counts(pa.array([r["text"]])))[0].astype(float)
+        cosines = sorted(((float(sum(a * b for a, b in zip(own, v, strict=True))), int(y))
+                          for v, y in zip(unit, model.labels, strict=True)), reverse=True)[:model.neighbours]
+        mass = sum(max(c, 0) ** model.power for c, _ in cosines)
+        want = sum(max(c, 0) ** model.power * y for c, y in cosines) / mass if mass else model.labels.mean()
+        assert math.isclose(got[r["doc_id"]], want, abs_tol=2e-3)  # single precision, ties at the last neighbour
+
+
+def test_segments_match_all_splits():
+    rng = random.Random(3)
+    for _ in range(200):
+        counts = {"".join(rng.choices("ab", k=rng.randrange(2, 5))): rng.randrange(1, 50) for _ in range(6)}
+        run = "".join(rng.choices("abc", k=rng.randrange(1, 10)))
+        total = sum(counts.values()) + 1
+
+        def cost(words, counts=counts, total=total):
+            return sum(-math.log(counts[w] / total) if w in counts else math.log(total) + math.log(10) * len(w) for w in words)
+        cuts = [[run[a:b] for a, b in zip([0, *at], [*at, len(run)], strict=True)]
+                for k in range(len(run)) for at in itertools.combinations(range(1, len(run)), k)]
+        assert math.isclose(cost(Segmenter(counts).split(run)), min(map(cost, cuts)))
+
+
+def test_url_verdicts_match_brute_force(spark):
+    """Naive Bayes over plain counters: the log odds of every page."""
+    pages = spark.read.parquet(f"{SF001}/pages.parquet")
+    rows = {r["page_id"]: r for r in judge_urls(pages, queries.URL_RULES).collect()}
+    word = collections.Counter(w for r in pages.collect() for w in re.findall("[a-z]+", (r["html"] or "").translate(
+        str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))) if 2 <= len(w) <= 20)
+    seg = Segmenter(word)
+    bag = {}
+    for i, r in rows.items():
+        own = [w for run in re.findall("[a-z]+|[0-9]+", r["host"]) for w in (seg.split(run) if run.isalpha() else [f"#{len(run)}"])]
+        own = [f"h:{w}" for w in own] + [f"p:{x}" if x.isalpha() else f"p:#{len(x)}" for x in re.findall("[a-z]+|[0-9]+", r["path"].lower())]
+        bag[i] = [zlib.crc32(t.encode()) % (1 << 15) for t in own]
+    seen = {v: collections.Counter(b for i, r in rows.items() if r["rule"] and r["verdict"] == v for b in bag[i]) for v in ("allow", "block")}
+    number = {v: sum(bool(r["rule"]) and r["verdict"] == v for r in rows.values()) for v in seen}
+    kinds = len(set(seen["allow"]) | set(seen["block"])) + 1
+
+    def share(v, b):
+        return math.log((seen[v][b] + 0.1) / (sum(seen[v].values()) + 0.1 * kinds))
+    for i, r in rows.items():
+        odds = math.log((number["allow"] + 1) / (number["block"] + 1)) + sum(share("allow", b) - share("block", b) for b in bag[i])
+        assert math.isclose(r["log_odds"], odds, rel_tol=1e-6, abs_tol=1e-6)
+        assert r["rule"] or r["verdict"] == ("allow" if r["log_odds"] >= 0 else "block")
+
+
+def test_ids_of_all_documents_match_the_library(spark):
+    slow = Tokenizer.from_file(queries.VOCABULARY)
+    slow.encode_special_tokens = True
+    fast = encoder(queries.VOCABULARY, queries.RANKS, public_tokenizers.PATTERN)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{SF01}/documents.parquet").select("text").collect()]
+    for text, want in zip(texts, slow.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert fast(text).tolist() == want.ids
+
+
 def test_mixing_reaches_targets(spark):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randrange(1, 60), rng.choice(["en", "en", "en", "de", None]), f"s{min(rng.randrange(6), 3)}", 0) for i in range(4000)]
