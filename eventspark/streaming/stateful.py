@@ -221,6 +221,23 @@ def switch_gate_spec(duration: str = "10 seconds") -> FoldSpec:
                     (("_ts_out", T.LongType()), ("temperature", T.DoubleType()), ("event_id", T.LongType())), ("closes",))
 
 
+def smoke_gate_spec(threshold: float = -100.0, default_level: str = "LOW", alert_level: str = "HIGH") -> FoldSpec:
+    """Control rows (``_rank`` 0) set the level; readings (``_rank`` 1) above ``threshold`` pass while it is
+    ``alert_level``.  A control row without a level changes nothing."""
+    def step(s, r):
+        ts, rank, eid, key, temp, level = r
+        if rank == 0:
+            s["level"] = s["level"] if level is None else level
+            return []
+        passes = s["level"] == alert_level and temp is not None and (temp > threshold or temp != temp)
+        return [(key, ts, temp, eid)] if passes else []
+
+    return FoldSpec(lambda: {"level": default_level}, step, lambda s: [], lambda s: None,
+                    ("_ts_us", "_rank", "event_id", "id", "temperature", "level"), ("_ts_us", "_rank", "event_id"),
+                    (("id", T.StringType()), ("_ts_out", T.LongType()), ("temperature", T.DoubleType()),
+                     ("event_id", T.LongType())))
+
+
 def login_fail_spec(within: str = "5 seconds", n: int = 3) -> FoldSpec:
     """``n`` strictly consecutive ``fail`` rows of a key spanning less than ``within``."""
     w = to_micros(within)
@@ -312,6 +329,23 @@ def gate_by_switch_stream(readings: DataFrame, switches: DataFrame, *, duration:
     return out.select(key, ts_of("_ts_out").alias("ts"), "temperature", "event_id")
 
 
+def smoke_alerts_stream(readings: DataFrame, levels: DataFrame, *, threshold: float = -100.0, default_level: str = "LOW",
+                        alert_level: str = "HIGH", buckets: int | None = None) -> DataFrame:
+    """The global control gate on two watermarked streams that may be out of order.
+
+    Readings are dealt to ``buckets`` keys (as many as shuffle partitions) by their id, and every control row goes to
+    each of them.  A bucket keeps both for the watermark delay and judges readings in time order once the watermark has
+    passed them, so a control row that arrives after its readings still counts."""
+    n = buckets or int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ctrl = levels.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("_bucket"), "ts",
+                         us().alias("_ts_us"), F.lit(0).alias("_rank"), "event_id", F.lit(None).cast("string").alias("id"),
+                         F.lit(None).cast("double").alias("temperature"), "level")
+    data = readings.select(F.pmod(F.xxhash64("id"), F.lit(n)).cast("long").alias("_bucket"), "ts", us().alias("_ts_us"),
+                           F.lit(1).alias("_rank"), "event_id", "id", "temperature", F.lit(None).cast("string").alias("level"))
+    out = stream_fold(ctrl.unionByName(data), smoke_gate_spec(threshold, default_level, alert_level), key="_bucket")
+    return out.select("id", ts_of("_ts_out").alias("ts"), "temperature", "event_id")
+
+
 def login_fail_3_stream(logins: DataFrame, *, within: str = "5 seconds") -> DataFrame:
     prepared = logins.select("user_id", "ts", us().alias("_ts_us"), "event_type", "ip_address", "event_id")
     out = stream_fold(prepared, login_fail_spec(within, 3), key="user_id")

@@ -464,6 +464,13 @@ def test_fold_parity_with_out_of_order_batches(spark, disordered_dir, batch_even
           stateful.reconcile_stream(sl, sr, key="order_id", tolerance="1 day"), tmp_path, "order_id", FLUSH_ORDER)
 
 
+def test_smoke_gate_of_shuffled_batches(spark, disordered_dir, batch_events, tmp_path):
+    s = stream_events(spark, disordered_dir, delay="40 days")
+    check(spark, control.smoke_alerts(views.readings(batch_events), views.smoke_levels(batch_events), threshold=-100.0),
+          stateful.smoke_alerts_stream(views.readings(s), views.smoke_levels(s), threshold=-100.0, buckets=3),
+          tmp_path, "id", FLUSH_SENSOR)
+
+
 def test_replay_handlers_idempotent_on_rerun(spark, batch_events, tmp_path):
     """Re-running a batch id (as after a failure) leaves outputs, carries and versioned state as a single run."""
     from eventspark.streaming import replay as sreplay
