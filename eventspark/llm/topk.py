@@ -2,7 +2,8 @@
 
 Candidates are dealt by hash to shards of about ``shard_rows`` vectors; every query goes to every shard.  A task holds
 one shard as a matrix and multiplies it with the queries, ``tile`` at a time, keeping only the ``k`` best of each
-query.  The lists of all shards are merged per query, first within each task, then in the shuffle.
+query.  The lists are merged as a tree: those of ``fan`` neighbouring shards into one list of ``k`` per query, those of
+``fan`` such groups again, until one list is left; no step brings more than ``fan * k`` rows of a query together.
 
 Scores are integers: components are ``floor(scale * x)``.  Products are taken in double precision where every sum is
 below 2^53 and thus exact, else in 64-bit integers.
@@ -70,14 +71,15 @@ def _search(k: int, tile: int):
                     for at in range(0, len(own), tile):
                         q = own[at:at + tile]
                         found = best(products(m[at:at + tile], ready[d][1]), q, ready[d][0], k)
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found],
-                                                         names=["query_id", "vec_id", "score"])
+                        yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in found],
+                                                          pa.array(np.full(len(found[0]), shard))],
+                                                         names=["query_id", "vec_id", "score", "part"])
 
     return run
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, shard_rows: int = 16_384,
-          tile: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+          tile: int = 256, fan: int = 32, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)`` of the ``k`` best rows of every row with ``is_query``."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                           F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("is_query"))
@@ -92,9 +94,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
                                              .alias("shard"), "is_query", "vec_id", "v")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = parts.union(queries).repartition(n, "shard").sortWithinPartitions("shard", "is_query", "vec_id")
-    lists = dealt.mapInArrow(_search(k, tile), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return lists.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    lists = dealt.mapInArrow(_search(k, tile), "query_id long, vec_id long, score long, part long")
+    while True:
+        shards = -(-shards // fan)
+        lists = _merged(lists.withColumn("part", F.floor(F.col("part") / fan)), k)
+        if shards == 1:
+            return lists.select("query_id", "rank", "vec_id", "score")
+
+
+def _merged(lists: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of each query in each part."""
+    rank = F.row_number().over(Window.partitionBy("query_id", "part").orderBy(F.desc("score"), "vec_id"))
+    return lists.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
 def top_k_sql(every: int, k: int = 5, scale: int = 256) -> str:

@@ -66,11 +66,12 @@ def test_links_of_shared_ids(spark):
                    (7, 1, 1, False), (9, 2, 1, False), (9, 2, 1, False)]
 
 
-def test_top_k_matches_brute_force(spark):
+@pytest.mark.parametrize("fan", [2, 32])
+def test_top_k_matches_brute_force(spark, fan):
     rows = sample(3)
     rows += [rows[0], (900, rows[0][1], 0, 1), (901, rows[0][1], 0, 1), (None, [1.0] * 8, 0, 1)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = [tuple(r) for r in top_k(df, F.col("vec_id") % 5 == 0, shard_rows=40, tile=4).collect()]
+    got = [tuple(r) for r in top_k(df, F.col("vec_id") % 5 == 0, shard_rows=40, tile=4, fan=fan).collect()]
     ints = {i: np.floor(np.array(v, np.float32).astype(float) * 256).astype(np.int64) for i, v, _, _ in rows if i is not None and fine(v)}
     want = []
     for q in (i for i in ints if i % 5 == 0):
