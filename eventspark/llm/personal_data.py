@@ -20,6 +20,7 @@ are code points, end exclusive.  A null text counts as empty and has no spans; o
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -45,6 +46,7 @@ _INVISIBLE = "­​‌‍⁠﻿"
 _MAP = {ord(a): b for a, b in _LOOKALIKES.items()} | {0xFF01 + i: chr(0x21 + i) for i in range(94)}
 _MAP |= {0x3000: " ", 0x00A0: " ", 0x2010: "-", 0x2011: "-", 0x2024: ".", 0x3002: ".", 0xFE52: ".", 0xFE6B: "@"}
 _ODD = re.compile("[" + "".join(map(chr, sorted(_MAP))) + _INVISIBLE + "]")
+_UNSEEN = re.compile(f"[{_INVISIBLE}]+")
 _DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())}
 _SPELLED = "(?:" + "|".join(_DIGITS) + ")"
 _DIGIT_RUN = re.compile(rf"(?:\bplus[\s-]+)?\b{_SPELLED}\b(?:[\s,-]{{1,3}}(?:{_SPELLED}\b|[0-9]++))+", re.I)
@@ -95,34 +97,53 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class _Tape:
-    """A rewritten text with the source span of each of its characters."""
+    """A rewritten text and the way back from its characters to the source, kept as the edits alone."""
 
     def __init__(self, text: str):
-        self.source, self.text, self.start, self.end = text, text, list(range(len(text))), list(range(1, len(text) + 1))
+        self.source = self.text = text
+        self.layers: list[tuple[list[int], list[tuple[int, int, int]]]] = []
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Replaces the non-overlapping, sorted ``(start, end, new text)``."""
         if not edits:
             return
-        text, start, end, at = [], [], [], 0
+        text, begin, spans, at, size = [], [], [], 0, 0
         for s, e, new in edits:
             text += [self.text[at:s], new]
-            start += self.start[at:s] + [self.start[s]] * len(new)
-            end += self.end[at:s] + [self.end[e - 1]] * len(new)
+            size += s - at
+            begin.append(size)  # where the new text begins, and in ``spans`` where it ends
+            size += len(new)
+            spans.append((s, e, size))
             at = e
         self.text = "".join([*text, self.text[at:]])
-        self.start, self.end = start + self.start[at:], end + self.end[at:]
+        self.layers.append((begin, spans))
+
+    def _back(self, at: int, last: bool) -> int:
+        """The source character of one here; of an edit's the first or the last."""
+        for begin, spans in reversed(self.layers):
+            k = bisect.bisect_right(begin, at) - 1
+            if k >= 0:
+                s, e, end = spans[k]
+                at = at - end + e if at >= end else e - 1 if last else s
+        return at
+
+    def start(self, at: int) -> int:
+        return self._back(at, False)
+
+    def end(self, at: int) -> int:
+        return self._back(at, True) + 1
 
 
 def _plain_letters(tape: _Tape) -> None:
-    tape.rewrite([(m.start(), m.end(), _MAP.get(ord(m[0]), "")) for m in _ODD.finditer(tape.text)])
+    tape.text = tape.text.translate(_MAP)  # one character for one, so places stay
+    tape.rewrite([(m.start(), m.end(), "") for m in _UNSEEN.finditer(tape.text)])
     dots = ("46;", "2e;", "period;")
     tape.rewrite([(m.start(), m.end(), "." if m[0].lower().endswith(dots) else "@") for m in _ESCAPED.finditer(tape.text)])
 
 
 def _made_dot(tape: _Tape, start: int, end: int) -> bool:
     """Whether a dot there was something else in the source."""
-    return any(tape.text[i] == "." and tape.source[tape.start[i]:tape.end[i]] != "." for i in range(start, end))
+    return any(tape.text[i] == "." and tape.source[tape.start(i):tape.end(i)] != "." for i in range(start, end))
 
 
 def _at_dot(tape: _Tape) -> None:
@@ -177,7 +198,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
         _spelled_digits(tape)
         _at_dot(tape)
         for s, k, e in base_spans(tape.text):
-            lo, hi = tape.start[s], max(tape.end[s:e])
+            lo, hi = tape.start(s), tape.end(e - 1)
             if tape.text[s:e] != text[lo:hi] and not any(a <= lo and hi <= b for a, kind, b in base if kind == k):
                 found.append((lo, k, hi, False))
     return [(KINDS[k], s, e, b) for s, k, e, b in sorted(found)]
