@@ -50,6 +50,8 @@ ENDINGS, OWN = 47, 32
 CLASSES = 1 + ENDINGS + OWN
 END = 0
 BLOCK = 512
+#: Ranges of word hashes that one part of the counting shuffle handles, one after another.
+SPLIT = 16
 #: Hashed last words of the softmax inside a class, and how many tokens the class's own shares weigh there.
 CONTEXTS, INSIDE = 32, 1000.0
 _END_HASH, _PAD = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
@@ -164,22 +166,58 @@ def held_out(id_col: str, parts: int = 7, part: int = 2) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % parts == part, F.lit(False))
 
 
-def _counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of each batch's words by context: hash, class by ending, context, count."""
+def _reduced(h: np.ndarray, e: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Equal ``(word, context)`` pairs added up, in order; ``n``: their counts, one each if not given."""
+    order = np.lexsort((b, h))
+    h, e, b = h[order], e[order], b[order]
+    first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (b[1:] != b[:-1])]))
+    total = np.diff(np.append(first, len(h))) if n is None else np.add.reduceat(n[order], first)
+    return h[first], e[first], b[first], total
+
+
+def _counted(parts: int):
+    """Counts of each batch's words by context, packed into one row per range of hashes (``SPLIT`` of them a part)."""
+    ranges = parts * SPLIT
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            found = [(h, e, contexts(h, counts)) for _, _, h, e, counts in tokens(batch.column(0))]
+            if not found:
+                continue
+            h, e, b, n = _reduced(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            at = (h >> U(40)) * U(ranges) >> U(24)  # hashes come in order, so their ranges do
+            cuts = np.searchsorted(at, np.arange(ranges + 1).astype(U))
+            have = np.flatnonzero(np.diff(cuts))
+            packed = [[x[cuts[i]:cuts[i + 1]].tobytes() for i in have]
+                      for x in (h, e.astype(np.uint8), b.astype(np.uint8), n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(have), *[pa.array(x, pa.binary()) for x in packed]],
+                                             names=["range", "words", "endings", "contexts", "counts"])
+
+    return run
+
+
+def _added_up(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one range after another: its words with their counts by context.  A task holds one range."""
+    def words_of(held: list) -> pa.RecordBatch:
+        h, e, b, n = _reduced(*(np.concatenate([np.frombuffer(r[i], t) for r in held])
+                                for i, t in enumerate((U, np.uint8, np.uint8, np.int64))))
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        ends = pa.array(np.append(first, len(h)).astype(np.int32))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words.signed(h[first])), pa.array(np.minimum.reduceat(e, first).astype(np.int64)),
+             pa.array(np.add.reduceat(n, first)), pa.MapArray.from_arrays(ends, pa.array(b.astype(np.int64)), pa.array(n))],
+            names=["word", "ending", "n", "by"])
+
+    last, held = None, []
     for batch in it:
-        parts, kinds, before = [], [], []
-        for _, _, h, e, counts in tokens(batch.column(0)):
-            parts.append(h)
-            kinds.append(e)
-            before.append(contexts(h, counts))
-        if parts:
-            h, e, b = np.concatenate(parts), np.concatenate(kinds), np.concatenate(before)
-            order = np.lexsort((b, h))
-            h, b = h[order], b[order]
-            first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (b[1:] != b[:-1])]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.signed(h[first])), pa.array(e[order[first]]), pa.array(b[first]),
-                 pa.array(np.diff(np.append(first, len(h))))], names=["word", "ending", "context", "n"])
+        for i, at in enumerate(batch.column(0).to_pylist()):
+            if at != last and held:
+                yield words_of(held)
+                held = []
+            last = at
+            held.append([batch.column(c)[i].as_py() for c in range(1, 5)])
+    if held:
+        yield words_of(held)
 
 
 def _packed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,11 +299,9 @@ def train(docs: DataFrame, text_col: str, most: int = 1 << 16, rounds: int = 2,
     """
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = texts.mapInArrow(_counted, "word long, ending long, context long, n long").repartition(parts, "word")
-    counts = counts.groupBy("word", "context").agg(F.min("ending").alias("ending"), F.sum("n").alias("n"))
-    counts = reliable_checkpoint(counts.groupBy("word").agg(  # the same partitioning: no further shuffle
-        F.min("ending").alias("ending"), F.sum("n").alias("n"),
-        F.map_from_entries(F.collect_list(F.struct("context", "n"))).alias("by")))  # CONTEXTS entries at most
+    counts = texts.mapInArrow(_counted(parts), "range long, words binary, endings binary, contexts binary, counts binary")
+    counts = reliable_checkpoint(counts.repartition(parts, "range").sortWithinPartitions("range").mapInArrow(
+        _added_up, "word long, ending long, n long, by map<long,long>"))
     top = most_frequent(counts, most).mapInArrow(_packed, "word long, ending long, n long, by binary").collect()
     order = sorted(top, key=lambda r: (-r["n"], r["word"]))
     own = [r for r in order if r["ending"] != END][:OWN]
