@@ -84,6 +84,13 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_of_a_long_path(spark):
+    ids = np.random.default_rng(2).permutation(100_000).tolist()
+    links = spark.createDataFrame(list(zip(ids, ids[1:], strict=False)), "u long, v long")
+    got = connected_components(links)
+    assert got.count() == 100_000 and got.filter("component <> 0").count() == 0
+
+
 def test_edges_and_chains(spark):
     rng = random.Random(1)
     vocab = [f"w{i}" for i in range(500)]
