@@ -211,3 +211,28 @@ def test_rows_without_time_change_nothing(spark):
         assert want == got
     counts = {(r["id"], str(r["fire_ts"]), r["cnt"]) for r in timers.periodic_counts(rows).collect()}
     assert counts == {("a", "2024-01-01 00:00:10", 2), ("a", "2024-01-01 00:00:22", 3), (None, "2024-01-01 00:00:11", 1)}
+
+
+def test_size_estimates_stay_those_of_the_files(spark):
+    """Twenty rounds of joining a frame with its own aggregate, each written: the planner's estimate does not grow."""
+    import gc
+    import os
+    from eventspark import session
+    df = spark.range(500).select("id", F.lit(None).alias("nothing"), (F.col("id") % 7).alias("k"))
+    out = first = session.reliable_checkpoint(df)
+
+    def estimate(frame):
+        return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    for _ in range(20):
+        top = out.groupBy("k").agg(F.max("id").alias("m"))
+        out = session.reliable_checkpoint(out.join(top, "k").select(F.least("id", "m").alias("id"), "nothing", "k"))
+    assert estimate(out) < 100 * estimate(first)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect())) and out.schema.simpleString() == df.schema.simpleString()
+    folders = [f for _, f in session._written[-10:]]
+    del top
+    gc.collect()
+    for _ in range(20):  # folders that no plan reads go, the one that is still read stays
+        spark._jvm.System.gc()
+        session._remove_unread(spark)
+    kept = [f for f in folders if os.path.exists(f.replace("file:", ""))]
+    assert folders[-1] in kept and len(kept) < len(folders) and out.count() == 500
