@@ -5,9 +5,9 @@ the previous batch's watermark; a late-row *side output* therefore cannot come f
 stream carries no watermark on this path and ``foreachBatch`` applies the batch replay operators
 (:mod:`eventspark.operators.replay`) to every micro-batch: rows of a batch arrive after all rows of earlier batches,
 in ``(arrival, event_id)`` order within the batch, and the running max event time of all earlier batches is carried
-in.  The carry is one row per batch id in a small parquet table under the checkpoint folder, written after the
-batch's outputs; a replayed batch id reads only the carries of earlier ids, so a re-run after a failure gives the
-same split (outputs must be written idempotently per batch id, e.g. overwrite of a ``batch_id`` partition).
+in.  The carry is one row, versioned by batch id under the checkpoint folder and written after the batch's outputs; a
+replayed batch id reads the version before its own, so a re-run after a failure gives the same split (outputs must be
+written idempotently per batch id, e.g. overwrite of a ``batch_id`` partition).  Only the last two versions are kept.
 """
 
 from __future__ import annotations
@@ -20,18 +20,24 @@ from pyspark.sql import types as T
 
 from ..operators import replay
 from ..operators.chains import _join_ns
-from .sources import path_exists
 from .versions import version_before, write_version
 
 CARRY_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("max_us", T.LongType())])
 
 
+def _carried(spark, carry_path: str, batch_id: int):
+    """The row that the batch before left, or None."""
+    got = version_before(spark, carry_path, batch_id)
+    return None if got is None else got.first()
+
+
+def _carry(spark, row: tuple, schema: T.StructType, carry_path: str, batch_id: int) -> None:
+    write_version(spark.createDataFrame([row], schema).coalesce(1), carry_path, batch_id)
+
+
 def _carry_before(spark, carry_path: str, batch_id: int) -> int | None:
-    if not path_exists(spark, carry_path):
-        return None
-    got = (spark.read.schema(CARRY_SCHEMA).parquet(carry_path).where(F.col("batch_id") < batch_id)
-           .agg(F.max("max_us").alias("m")).first())
-    return None if got is None else got["m"]
+    got = _carried(spark, carry_path, batch_id)
+    return None if got is None else got["max_us"]
 
 
 def replay_batches(transform: Callable[[DataFrame, int | None], DataFrame],
@@ -45,9 +51,7 @@ def replay_batches(transform: Callable[[DataFrame, int | None], DataFrame],
         write(transform(batch, carry), batch_id)
         batch_max = batch.agg(F.max(F.unix_micros(F.col(ts).cast("timestamp"))).alias("m")).first()["m"]
         known = [x for x in (carry, batch_max) if x is not None]
-        # a re-run batch id appends the same value again, which the max above ignores
-        (spark.createDataFrame([(int(batch_id), max(known) if known else None)], CARRY_SCHEMA)
-         .coalesce(1).write.mode("append").parquet(carry_path))
+        _carry(spark, (int(batch_id), max(known) if known else None), CARRY_SCHEMA, carry_path, batch_id)
 
     return handle
 
@@ -73,25 +77,21 @@ LEVEL_CARRY_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType()), T.St
 def smoke_alerts_handler(write: Callable[[DataFrame, int], None], carry_path: str,
                          split: Callable[[DataFrame], tuple[DataFrame, DataFrame]], *, threshold: float = -100.0):
     """``foreachBatch`` handler for the global control gate: each batch is gated with the level carried from the
-    latest control row of earlier batches (one row stored per batch id).  Batches must arrive in time order, as the
+    latest control row of earlier batches (one row).  Batches must arrive in time order, as the
     ascending-timestamp sources of this operator do."""
     from ..operators import control
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         readings, levels = split(batch)
-        carried = None
-        if path_exists(spark, carry_path):
-            prev = (spark.read.schema(LEVEL_CARRY_SCHEMA).parquet(carry_path).where(F.col("batch_id") < batch_id)
-                    .where(F.col("level").isNotNull())
-                    .agg(F.max_by("level", F.struct("ts_us", "event_id")).alias("l")).first())
-            carried = prev["l"] if prev else None
-        write(control.smoke_alerts(readings, levels, threshold=threshold, initial_level=carried), batch_id)
-        last = (levels.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "event_id", "level")
+        prev = _carried(spark, carry_path, batch_id)
+        write(control.smoke_alerts(readings, levels, threshold=threshold, initial_level=prev["level"] if prev else None), batch_id)
+        last = (levels.where(F.col("level").isNotNull())
+                .select(F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "event_id", "level")
                 .orderBy(F.desc("ts_us"), F.desc("event_id")).limit(1).collect())
-        row = (int(batch_id), last[0]["ts_us"], last[0]["event_id"], last[0]["level"]) if last else \
-            (int(batch_id), None, None, None)
-        spark.createDataFrame([row], LEVEL_CARRY_SCHEMA).coalesce(1).write.mode("append").parquet(carry_path)
+        known = [tuple(r) for r in last] + ([tuple(prev)[1:]] if prev and prev["level"] is not None else [])
+        row = max(known, key=lambda r: r[:2]) if known else (None, None, None)
+        _carry(spark, (int(batch_id), *row), LEVEL_CARRY_SCHEMA, carry_path, batch_id)
 
     return handle
 
@@ -150,8 +150,7 @@ def allowed_lateness_handler(write: Callable[[DataFrame, int], None], carry_path
             write_version(merged.where(keep).select(
                 *kw, "n0", (F.col("_nu_prev") + F.col("_nub")).alias("nu"), (F.col("_fired_prev") | passed).alias("fired")),
                 state_path, batch_id)
-            (spark.createDataFrame([(int(batch_id), new_max)], CARRY_SCHEMA).coalesce(1).write.mode("append")
-             .parquet(carry_path))
+            _carry(spark, (int(batch_id), new_max), CARRY_SCHEMA, carry_path, batch_id)
         finally:
             c.unpersist()
 
@@ -168,17 +167,13 @@ def union_watermark_handler(write: Callable[[DataFrame, int], None], carry_path:
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ca = cb = None
-        if path_exists(spark, carry_path):
-            got = (spark.read.schema(PAIR_CARRY_SCHEMA).parquet(carry_path).where(F.col("batch_id") < batch_id)
-                   .agg(F.max("max_a").alias("a"), F.max("max_b").alias("b")).first())
-            ca, cb = (got["a"], got["b"]) if got else (None, None)
+        prev = _carried(spark, carry_path, batch_id)
+        ca, cb = (prev["max_a"], prev["max_b"]) if prev else (None, None)
         a, b = split(batch)
         write(replay.union_watermark_trace(a, b, bound=bound, initial_max_a_us=ca, initial_max_b_us=cb), batch_id)
         mx = lambda d: d.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("m")).first()["m"]
         na = [x for x in (ca, mx(a)) if x is not None]
         nb = [x for x in (cb, mx(b)) if x is not None]
-        (spark.createDataFrame([(int(batch_id), max(na) if na else None, max(nb) if nb else None)], PAIR_CARRY_SCHEMA)
-         .coalesce(1).write.mode("append").parquet(carry_path))
+        _carry(spark, (int(batch_id), max(na) if na else None, max(nb) if nb else None), PAIR_CARRY_SCHEMA, carry_path, batch_id)
 
     return handle
