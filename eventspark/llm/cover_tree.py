@@ -7,13 +7,15 @@ compared only with vectors of the same label:
 2. A label's points are split into blocks of about ``block`` points by their nearest pivot (a bounded sample of points,
    as many of them as the label needs) and, where a pivot has more, by hash.
 3. Each block builds a cover tree: nested levels whose radii halve, every node with its exact covering radius.
-4. Pairs of blocks whose roots lie farther apart than both radii plus the link radius are dropped.  The others are
-   traversed together from the roots; the same bound prunes pairs of nodes, and what reaches single points is compared
-   by cosine in double precision.
-5. A pair of blocks returns link counts per point and a spanning forest of its links, never the links themselves.
+4. Up to ``tile`` blocks of a cell (fewer where they would hold over 32 MB) form a tile, a node above their roots with
+   a covering radius of its own.  Pairs of tiles, then of blocks, that lie farther apart than both radii plus the link
+   radius are dropped, on roots and radii alone.  A block travels once to each tile that holds a near block of it.
+5. Near blocks are traversed together from their roots; the same bound prunes pairs of nodes, and what reaches single
+   points is compared by cosine in double precision.
+6. A pair of blocks returns link counts per point and a spanning forest of its links, never the links themselves.
 
 Work is quadratic in a label only as far as the bounds fail to prune, which in many dimensions without clusters they
-do: distances between unrelated vectors concentrate, and blocks of one label then all meet.
+do: distances between unrelated vectors concentrate, and tiles of one label then all meet.
 
 Nulls and odd inputs: a null label, a null or zero vector and one with null or non-finite components link with
 nothing; vectors of different length don't either; repeated rows, and rows that share an id, count as vectors of their
@@ -29,14 +31,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventspark.llm.components import connected_components
-from eventspark.llm.vectors import matrices, usable
+from eventspark.llm.vectors import matrices, packed, unpacked, usable
 from eventspark.session import reliable_checkpoint
 
 _SLACK = 1e-7  # added to every bound, so rounding never prunes a link
+_TILE_BYTES = 1 << 25
 
 
 class Node:
@@ -124,70 +127,103 @@ def traverse(x: np.ndarray, y: np.ndarray, a: Node, b: Node, cosine: float, link
 def _normal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Unit vectors as bytes; null for a zero vector."""
     for batch in it:
-        units: list[bytes | None] = [None] * batch.num_rows
+        units = []
         some = np.flatnonzero(batch.column(2).is_valid().to_numpy(zero_copy_only=False))
         for at, x in matrices(batch.column(2).take(pa.array(some))):
             top = np.abs(x).max(axis=1, initial=0)
             at, x = at[top > 0], x[top > 0] / top[top > 0, None]  # so that neither squares nor norms leave the range
-            for row, unit in zip(some[at], x / np.sqrt((x * x).sum(axis=1, keepdims=True)), strict=True):
-                units[row] = unit.tobytes()
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(units, pa.binary())],
-                                         names=["vec_id", "label", "unit"])
+            units.append((some[at], x / np.sqrt((x * x).sum(axis=1, keepdims=True))))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], packed(batch.num_rows, units)], names=["vec_id", "label", "unit"])
 
 
 def _cells(pivots: list[bytes]):
     by_size: dict[int, list[np.ndarray]] = {}
     for p in pivots:
-        by_size.setdefault(len(p), []).append(np.frombuffer(p))
+        by_size.setdefault(len(p) // 8, []).append(np.frombuffer(p))
+    stacked = {d: np.stack(own) for d, own in by_size.items()}
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            units, use = batch.column(1).to_pylist(), batch.column(4).to_numpy()
-            size, cell = np.array([len(u) for u in units], np.int64), np.zeros(batch.num_rows, np.int64)
-            for n, own in by_size.items():
-                rows = np.flatnonzero(size == n)
-                x = np.frombuffer(b"".join(units[r] for r in rows)).reshape(len(rows), n // 8)
-                unused = np.arange(len(own)) >= use[rows, None]
-                cell[rows] = np.where(unused, -np.inf, x @ np.stack(own).T).argmax(axis=1)
+            use, cell = batch.column(4).to_numpy(), np.zeros(batch.num_rows, np.int64)
+            for rows, x in unpacked(batch.column(1)):
+                own = stacked.get(x.shape[1])
+                if own is not None:
+                    unused = np.arange(len(own)) >= use[rows, None]
+                    cell[rows] = np.where(unused, -np.inf, x @ own.T).argmax(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(cell, pa.int64())],
                                              names=["label", "unit", "rep", "n", "cell"])
 
     return run
 
 
-def _blocks(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("rep")
-    x = np.stack([np.frombuffer(u) for u in pdf["unit"]])
-    root = build(x, np.arange(len(x)))
-    payload = pickle.dumps((pdf["rep"].to_numpy(), pdf["n"].to_numpy(), x, root), protocol=5)
-    return pd.DataFrame({"label": [key[0]], "size": [key[1]], "block": [key[2] << 32 | key[3]],
-                         "center": [x[root.center].tolist()], "radius": [root.radius], "payload": [payload]})
+def _blocks(block: int, tile: int):
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        label, size, cell, salt = key
+        pdf = pdf.sort_values("rep")
+        x = np.frombuffer(b"".join(pdf["unit"])).reshape(len(pdf), size // 8)
+        root = build(x, np.arange(len(x)))
+        payload = pickle.dumps((pdf["rep"].to_numpy(), pdf["n"].to_numpy(), x, root), protocol=5)
+        a_tile = max(1, min(tile, _TILE_BYTES // (block * size)))
+        return pd.DataFrame({"label": [label], "size": [size], "tile": [cell << 32 | salt // a_tile],
+                             "block": [cell << 32 | salt], "center": [x[root.center].tolist()], "radius": [root.radius],
+                             "payload": [payload]})
 
+    return run
 
-def _pairs(cosine: float):
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for r in range(batch.num_rows):
-                same = batch.column(0)[r].as_py()
-                rep, n, x, a = pickle.loads(batch.column(1)[r].as_buffer())
-                if same:
-                    links = Links(n)
+
+def _tile_links(cosine: float):
+    """Links between the blocks of two tiles or within one; a block's number is larger in the later tile."""
+    limit = math.sqrt(2 - 2 * cosine) + _SLACK
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        held = [(tile, *pickle.loads(payload)) for tile, payload in zip(pdf["tile"], pdf["payload"], strict=True)]
+        found = [(np.zeros(0, np.int64),) * 3]
+        for at, (tile, rep, n, x, a) in enumerate(held):
+            for of, (other, m, y, b) in ((of, rest) for of, *rest in held[at:]):
+                if (tile, of) != (key[2], key[3]):
+                    continue
+                if a is b:
+                    links, both = Links(n), rep
                     traverse(x, x, a, a, cosine, links, 0)
-                else:
-                    other, m, y, b = pickle.loads(batch.column(2)[r].as_buffer())
-                    links = Links(np.concatenate([n, m]))
+                elif np.linalg.norm(x[a.center] - y[b.center]) <= a.radius + b.radius + limit:
+                    links, both = Links(np.concatenate([n, m])), np.concatenate([rep, other])
                     traverse(x, y, a, b, cosine, links, len(rep))
-                    rep = np.concatenate([rep, other])
+                else:
+                    continue
                 have = np.flatnonzero(links.count)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rep[have]), pa.array(links.count[have]), pa.array(rep[links.label[have]])],
-                    names=["rep", "links", "other"])
+                found.append((both[have], links.count[have], both[links.label[have]]))
+        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(["rep", "links", "other"], zip(*found, strict=True), strict=True)})
 
     return run
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.98, block: int = 4096, pivots: int = 64, id_col: str = "vec_id",
-                 vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def _gap(p: Column, q: Column) -> Column:
+    """Distance of two array columns."""
+    return F.sqrt(F.aggregate(F.zip_with(p, q, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, t: s + t))
+
+
+def _near_tiles(blocks: DataFrame, limit: float) -> DataFrame:
+    """``(label, size, ta, tb, block)``: the blocks of each pair of tiles that lie near a block of the other tile."""
+    tiles = blocks.groupBy("label", "size", "tile").agg(F.sort_array(F.collect_list(F.struct("block", "center", "radius"))).alias("own"))
+    tiles = tiles.withColumn("middle", F.col("own")[0]["center"])
+    tiles = tiles.withColumn("reach", F.array_max(F.transform("own", lambda b: _gap(b["center"], F.col("middle")) + b["radius"])))
+    tiles = reliable_checkpoint(tiles)
+    a, b = (tiles.select("label", "size", F.col("tile").alias(f"t{s}"), F.col("own").alias(f"own_{s}"),
+                         F.col("middle").alias(f"middle_{s}"), F.col("reach").alias(f"reach_{s}")) for s in "ab")
+    pairs = a.join(b, ["label", "size"]).filter(
+        (F.col("ta") <= F.col("tb"))
+        & (_gap(F.col("middle_a"), F.col("middle_b")) <= F.col("reach_a") + F.col("reach_b") + F.lit(limit)))
+
+    def near(own: str, others: str) -> Column:
+        return F.transform(F.filter(own, lambda p: F.exists(others, lambda q: _gap(p["center"], q["center"])
+                                                            <= p["radius"] + q["radius"] + F.lit(limit))), lambda p: p["block"])
+
+    return pairs.select("label", "size", "ta", "tb", F.explode(F.array_union(near("own_a", "own_b"), near("own_b", "own_a"))).alias("block"))
+
+
+def near_vectors(vectors: DataFrame, cosine: float = 0.98, block: int = 4096, pivots: int = 64, tile: int = 4,
+                 id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row."""
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"),
@@ -206,22 +242,12 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, block: int = 4096, pi
         "label", F.length("unit").alias("size"), "cell", F.pmod(F.xxhash64("unit"), F.col("salts")).alias("salt"),
         "unit", "rep", "n")
     blocks = reliable_checkpoint(reliable_checkpoint(salted).groupBy("label", "size", "cell", "salt").applyInPandas(
-        _blocks, "label string, size int, block long, center array<double>, radius double, payload binary"))
-    a = blocks.select("label", "size", F.col("block").alias("a"), F.col("center").alias("ca"), F.col("radius").alias("ra"))
-    b = blocks.select("label", "size", F.col("block").alias("b"), F.col("center").alias("cb"), F.col("radius").alias("rb"))
-    apart = F.aggregate(F.zip_with("ca", "cb", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, t: s + t)
-    near = a.join(b, ["label", "size"]).filter(
-        (F.col("a") <= F.col("b"))
-        & (F.sqrt(apart) <= F.col("ra") + F.col("rb") + F.lit(math.sqrt(2 - 2 * cosine) + _SLACK)))
-    near = reliable_checkpoint(near.select("label", "size", "a", "b"))
-    left = blocks.select("label", "size", F.col("block").alias("a"), F.col("payload").alias("pa"))
-    right = blocks.select("label", "size", F.col("block").alias("b"), F.col("payload").alias("pb"))
-    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = near.join(left, ["label", "size", "a"]).join(right, ["label", "size", "b"])
-    both = both.select((F.col("a") == F.col("b")).alias("same"), "pa", F.when(F.col("a") != F.col("b"), F.col("pb")).alias("pb"),
-                       F.xxhash64("label", "size", "a", "b").alias("pair")).repartition(n, "pair")
-    found = reliable_checkpoint(both.select("same", "pa", "pb").mapInArrow(
-        _pairs(cosine), "rep long, links long, other long"))
+        _blocks(block, tile),
+        "label string, size int, tile long, block long, center array<double>, radius double, payload binary"))
+    met = reliable_checkpoint(_near_tiles(blocks, math.sqrt(2 - 2 * cosine) + _SLACK))
+    met = met.join(blocks.select("label", "size", "tile", "block", "payload"), ["label", "size", "block"])
+    found = reliable_checkpoint(met.groupBy("label", "size", "ta", "tb").applyInPandas(
+        _tile_links(cosine), "rep long, links long, other long"))
     counts = reliable_checkpoint(found.groupBy(F.col("rep").alias("node_")).agg(F.sum("links").alias("links")))
     parts = reliable_checkpoint(connected_components(found.select(F.col("rep").alias("u"), F.col("other").alias("v"))))
     per = reliable_checkpoint(points.join(counts, F.col("rep") == F.col("node_"), "left").drop("node_")

@@ -5,8 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from eventspark.llm.cover_tree import near_vectors
+from eventspark.llm.cover_tree import _near_tiles, near_vectors
 from eventspark.llm.topk import products, top_k
+from eventspark.llm.vectors import packed, unpacked
 from pyspark.sql import functions as F
 
 SCHEMA = "vec_id long, embedding array<float>, label int, component long"
@@ -35,11 +36,11 @@ def fine(v):
     return v is not None and all(x is not None and np.isfinite(x) for x in v)
 
 
-@pytest.mark.parametrize("block", [16, 4096])
-def test_links_match_brute_force(spark, block):
+@pytest.mark.parametrize(("block", "tile"), [(4, 2), (16, 4), (4096, 4)])
+def test_links_match_brute_force(spark, block, tile):
     rows = sample()
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in
-           near_vectors(spark.createDataFrame(rows, SCHEMA), block=block).collect()}
+           near_vectors(spark.createDataFrame(rows, SCHEMA), block=block, tile=tile).collect()}
     root, links = {r[0]: r[0] for r in rows}, dict.fromkeys((r[0] for r in rows), 0)
 
     def find(x):
@@ -58,6 +59,29 @@ def test_links_match_brute_force(spark, block):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_binaries_of_matrices():
+    rng = np.random.default_rng(0)
+    parts = [(np.array([4, 0]), rng.normal(size=(2, 3))), (np.array([2]), rng.normal(size=(1, 5)))]
+    column = packed(6, parts)
+    assert column.is_valid().to_pylist() == [True, False, True, False, True, False]
+    assert all(column[int(r)].as_py() == x.tobytes() for rows, m in parts for r, x in zip(rows, m, strict=True))
+    back = {int(r): x.tolist() for rows, m in unpacked(column.slice(1)) for r, x in zip(rows, m, strict=True)}
+    assert back == {0: [], 1: parts[1][1][0].tolist(), 2: [], 3: parts[0][1][0].tolist(), 4: []}
+    assert len(packed(0, [])) == 0 and list(unpacked(packed(0, []))) == []
+
+
+def test_far_tiles_are_dropped(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (np.eye(8)[i % 8] + rng.normal(size=8) * 0.01).tolist(), 1, 0) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = near_vectors(df, block=8).collect()
+    assert {r["component_id"] for r in got} == set(range(8)) and all(r["n_links"] == 49 for r in got)
+    roots = [(1, 64, t, t << 32 | b, [float(3 * t), float(b) / 10], 0.05, b"") for t in range(40) for b in range(3)]
+    blocks = spark.createDataFrame(roots, "label long, size int, tile long, block long, center array<double>, radius double, payload binary")
+    met = _near_tiles(blocks, 0.2)
+    assert met.filter("ta <> tb").count() == 0 and met.count() == 120
+
+
 def test_links_of_shared_ids(spark):
     rows = [(1, [1.0, 0.0], 1, 0), (2, [1.0, 0.01], 1, 0), (1, [0.0, 1.0], 1, 0), (1, [0.5, 0.5], 2, 0), (7, [0.5, 0.51], 2, 0),
             (None, [1.0, 0.0], 1, 0), (9, [0.0, 1.0], 1, 0), (9, [0.0, 2.0], 1, 0)]
