@@ -55,6 +55,8 @@ SPLIT = 16
 #: Hashed last words of the softmax inside a class, and how many tokens the class's own shares weigh there.
 CONTEXTS, INSIDE = 32, 1000.0
 _END_HASH, _PAD = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
+#: The class by ending of each pair of last byte (times 256) and byte before it.
+_BY_ENDING = (words.mix(np.arange(1 << 16, dtype=U)) % U(ENDINGS)).astype(np.int64) + 1
 
 
 def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -73,9 +75,9 @@ def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         if not held:
             held = [row, to, [], [], np.zeros(to - row, np.int64)]
         held[2].append(words.hash_spans(part, starts, ends))
-        last = words._LOWER[part[ends - 1]].astype(U)
-        before = np.where(ends - starts > 1, words._LOWER[part[np.maximum(ends - 2, 0)]], 0).astype(U)
-        held[3].append((words.mix(last * U(256) + before) % U(ENDINGS)).astype(np.int64) + 1)
+        last = words._LOWER[part[ends - 1]].astype(np.int64)
+        before = np.where(ends - starts > 1, words._LOWER[part[np.maximum(ends - 2, 0)]], 0)
+        held[3].append(_BY_ENDING[last * 256 + before])
         held[4] = held[4] + counts
     if held:
         yield closed(*held)
@@ -86,23 +88,36 @@ def contexts(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     one = np.empty_like(h)
     one[1:] = h[:-1]
     one[(np.cumsum(counts) - counts)] = _PAD
-    return (words.mix(one + U(5)) % U(CONTEXTS)).astype(np.int64)
+    return (words.mix(one + U(5)) & U(CONTEXTS - 1)).view(np.int64)
 
 
 def features(h: np.ndarray, e: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """``ACTIVE x tokens`` feature numbers from the tokens before each, none of them across a text's start."""
-    place = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
+    first = np.cumsum(counts) - counts
 
     def back(x: np.ndarray, k: int, pad) -> np.ndarray:
         out = np.full_like(x, pad)
         out[k:] = x[:len(x) - k]
-        out[place < k] = pad
+        for i in range(k):  # where a text ends before, this is the start of a later one
+            out[(first + i)[first + i < len(x)]] = pad
         return out
 
     one, two = back(h, 1, _PAD), back(h, 2, _PAD)
     ends = (back(e, 1, 63) * 64 + back(e, 2, 63)) * 64 + back(e, 3, 63)
     raw = [one + U(1), two * U(3) + U(2), one * U(0x9E3779B97F4A7C15) + two * U(5) + U(3), ends.astype(U) * U(7) + U(4)]
-    return np.stack([(words.mix(x) % U(FEATURES)).astype(np.int64) for x in raw])
+    return np.stack([(words.mix(x) & U(FEATURES - 1)).view(np.int64) for x in raw])
+
+
+_BITS = FEATURES.bit_length() - 1
+
+
+def _codes(f: np.ndarray) -> np.ndarray:
+    """The feature numbers of each token in one, the first feature's highest."""
+    return ((f[0] << _BITS | f[1]) << _BITS | f[2]) << _BITS | f[3]
+
+
+def _unpacked(codes: np.ndarray) -> np.ndarray:
+    return np.stack([codes >> k * _BITS & FEATURES - 1 for k in (3, 2, 1, 0)])
 
 
 @dataclass
@@ -145,14 +160,32 @@ class Model:
             np.exp(own, out=own)
             yield slice(at, at + part.shape[1]), own, own.sum(axis=1, keepdims=True)
 
-    def chances(self, f: np.ndarray) -> np.ndarray:
-        """``CLASSES x tokens``."""
-        out = np.empty((CLASSES, f.shape[1]), np.float32)
+    def chances(self, f: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
+        """``CLASSES x tokens``, each token's times ``times``."""
+        out = np.empty((CLASSES, f.shape[1]))
         for own, z, total in self.softmax(f):
-            z /= total
+            z *= 1 / total if times is None else times[own, None] / total
             out[:, own] = z.T
         return out
 
+    def expect(self, codes: np.ndarray, due: np.ndarray, block: int = 1 << 14) -> None:
+        """Adds the expected class counts of tokens with these packed features to ``due``, ``CLASSES x FEATURES``.
+
+        Tokens of equal features have the same softmax, which is taken once.  In the order of their codes those of an
+        equal first feature follow each other and are added up as runs.
+        """
+        codes, times = np.unique(codes, return_counts=True)
+        times = times.astype(np.float32)
+        for at in range(0, len(codes), block):
+            f = _unpacked(codes[at:at + block])
+            p = self.chances(f, times[at:at + block])
+            run = np.flatnonzero(np.concatenate([[True], f[0, 1:] != f[0, :-1]]))
+            first = f[0, run]
+            for c in range(CLASSES):  # class by class: faster than a row of classes per token
+                for x in f[1:]:
+                    due[c] += np.bincount(x, p[c], FEATURES)
+                due[c, first] += np.add.reduceat(p[c], run)
+
     def log_class(self, f: np.ndarray, c: np.ndarray) -> np.ndarray:
         out = np.empty(len(c))
         tiny = np.finfo(np.float32).tiny
@@ -167,8 +200,11 @@ def held_out(id_col: str, parts: int = 7, part: int = 2) -> Column:
 
 
 def _reduced(h: np.ndarray, e: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """Equal ``(word, context)`` pairs added up, in order; ``n``: their counts, one each if not given."""
-    order = np.lexsort((b, h))
+    """Equal ``(word, context)`` pairs added up, in order; ``n``: their counts, one each if not given.
+
+    Without ``n`` words that differ only in the lowest bits may alternate, and then come with more than one count."""
+    # the context in the lowest bits gives one quick sort instead of two stable ones
+    order = np.argsort(h & ~U(CONTEXTS - 1) | b.astype(U)) if n is None else np.lexsort((b, h))
     h, e, b = h[order], e[order], b[order]
     first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (b[1:] != b[:-1])]))
     total = np.diff(np.append(first, len(h))) if n is None else np.add.reduceat(n[order], first)
@@ -232,12 +268,14 @@ def _packed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["word", "ending", "n", "by"])
 
 
-def _sums(model: Model, expected: bool):
-    """Observed or expected class counts per feature of a task's texts, in blocks of features."""
+def _sums(model: Model, expected: bool, window: int = 1 << 20):
+    """Observed or expected class counts per feature of a task's texts, in blocks of features.
+
+    About ``window`` tokens are held at a time, so that the softmax of features that repeat there is taken once."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0 if expected else FEATURES * CLASSES)
-        due = np.zeros((CLASSES, FEATURES) if expected else 0)
+        due, held = np.zeros((CLASSES, FEATURES) if expected else 0), []
         for batch in it:
             for _, _, h, e, counts in tokens(batch.column(0)):
                 f = features(h, e, counts)
@@ -246,11 +284,12 @@ def _sums(model: Model, expected: bool):
                     for x in f:
                         seen += np.bincount(x * CLASSES + c, minlength=len(seen))
                     continue
-                for at in range(0, len(h), 1 << 16):
-                    part = np.ascontiguousarray(f[:, at:at + (1 << 16)])
-                    p = model.chances(part)
-                    for c in range(CLASSES):  # class by class: four times as fast as sorting the tokens by feature
-                        due[c] += np.bincount(part.ravel(), np.tile(p[c], ACTIVE), FEATURES)
+                held.append(_codes(f))
+                if sum(map(len, held)) >= window:
+                    model.expect(np.concatenate(held), due)
+                    held = []
+        if held:
+            model.expect(np.concatenate(held), due)
         total = (due.T if expected else seen.reshape(FEATURES, CLASSES)).astype(np.float32)
         for b in range(FEATURES // BLOCK):
             part = np.ascontiguousarray(total[b * BLOCK:(b + 1) * BLOCK])

@@ -372,6 +372,33 @@ def test_language_model_is_a_whole_distribution(spark, monkeypatch, most):
             assert math.isclose(whole, 1, rel_tol=1e-4)
 
 
+def test_expected_counts_of_repeated_features():
+    rng = np.random.default_rng(3)
+    model = maxent_lm.Model(rng.normal(size=(maxent_lm.FEATURES, maxent_lm.CLASSES)).astype(np.float32),
+                            rng.normal(size=maxent_lm.CLASSES).astype(np.float32), *[None] * 9)
+    f = rng.integers(0, maxent_lm.FEATURES, (maxent_lm.ACTIVE, 700))[:, rng.integers(0, 700, 5000)]
+    f[0, :3000] = 5  # one first feature on both sides of a block's border
+    assert (maxent_lm._unpacked(maxent_lm._codes(f)) == f).all()
+    due, want = np.zeros((2, maxent_lm.CLASSES, maxent_lm.FEATURES))
+    model.expect(maxent_lm._codes(f), due, block=256)
+    for x in f:
+        for c, p in enumerate(model.chances(f)):
+            want[c] += np.bincount(x, p, maxent_lm.FEATURES)
+    assert np.allclose(due, want, rtol=1e-4, atol=1e-6) and math.isclose(due.sum(), f.size, rel_tol=1e-5)
+
+
+def test_counts_of_words_that_differ_in_low_bits():
+    rng = np.random.default_rng(4)
+    h = (rng.integers(0, 5, 3000).astype(np.uint64) << np.uint64(40)) + rng.integers(0, 3, 3000).astype(np.uint64)
+    b, e = rng.integers(0, maxent_lm.CONTEXTS, 3000), (h % np.uint64(7)).astype(np.int64)
+    parts = maxent_lm._reduced(h, e, b)
+    assert (np.diff(parts[0] >> np.uint64(40)).astype(np.int64) >= 0).all()
+    whole = maxent_lm._reduced(*parts)
+    want = collections.Counter(zip(h.tolist(), b.tolist(), strict=True))
+    assert {(w, k): n for w, k, n in zip(whole[0].tolist(), whole[2].tolist(), whole[3].tolist(), strict=True)} == want
+    assert len(whole[0]) == len(want)
+
+
 def test_language_model_rounds_cover_all_texts(spark, monkeypatch):
     docs, summed, gathered = spark.range(60).selectExpr("id AS doc_id", "concat('the w', id % 7, ' of x') AS text"), [], maxent_lm._gathered
 
