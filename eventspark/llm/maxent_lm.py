@@ -50,6 +50,10 @@ ENDINGS, OWN = 47, 32
 CLASSES = 1 + ENDINGS + OWN
 END = 0
 BLOCK = 512
+#: Features whose expectations one matrix product adds up, and the tokens it takes at most.
+NEAR, PIECE = 16, 1024
+#: Bytes of text cut into words at once; what that takes stays in the processor's cache.
+CHUNK = 1 << 18
 #: Ranges of word hashes that one part of the counting shuffle handles, one after another.
 SPLIT = 16
 #: Hashed last words of the softmax inside a class, and how many tokens the class's own shares weigh there.
@@ -67,7 +71,7 @@ def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         at = np.cumsum(counts)
         return row, to, np.insert(np.concatenate(h), at, _END_HASH), np.insert(np.concatenate(e), at, END), counts + 1
 
-    for row, to, part, bounds in words.chunks(column):
+    for row, to, part, bounds in words.chunks(column, CHUNK):
         if held and held[0] != row:
             yield closed(*held)
             held = []
@@ -142,54 +146,74 @@ class Model:
         at = np.minimum(np.searchsorted(self.own, h), len(self.own) - 1)
         return np.where(self.own[at] == h, self.own_class[at], e)
 
-    def softmax(self, f: np.ndarray, block: int = 2048) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-        """``(tokens, exp(logits), their sums)`` in blocks that stay in the processor's cache."""
+    def tables(self) -> tuple[np.ndarray, np.ndarray, bool]:
+        """What the first feature (with the bias) and the others contribute per class, and whether as factors.
+
+        Factors save the ``exp`` of each token.  No product of them can overflow below this bound of the logits' size;
+        beyond it these are summands, whose largest sum is taken off."""
+        factors = bool(ACTIVE * np.abs(self.weights).max(initial=0) + np.abs(self.bias).max(initial=0) < 80)
+        first = self.weights + self.bias
+        return (np.exp(first), np.exp(self.weights), True) if factors else (first, self.weights, False)
+
+    def softmax(self, f: np.ndarray, tables: tuple[np.ndarray, np.ndarray, bool] | None = None,
+                block: int = 1024) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """``(tokens, exp(logits), their sums)`` in blocks that stay in the processor's cache; ``tables``: if at hand."""
+        first, others, factors = tables or self.tables()
         z, more = np.empty((2, block, CLASSES), np.float32)
-        # no logit can overflow below this bound of their size, so the largest needn't be taken off
-        safe = ACTIVE * np.abs(self.weights).max(initial=0) + np.abs(self.bias).max(initial=0) < 80
+        ones = np.ones(CLASSES, np.float32)
         for at in range(0, f.shape[1], block):
             part = f[:, at:at + block]
             own, other = z[:part.shape[1]], more[:part.shape[1]]
-            np.take(self.weights, part[0], axis=0, out=own, mode="clip")
+            np.take(first, part[0], axis=0, out=own, mode="clip")
             for x in part[1:]:
-                np.take(self.weights, x, axis=0, out=other, mode="clip")
-                own += other
-            own += self.bias
-            if not safe:
+                np.take(others, x, axis=0, out=other, mode="clip")
+                if factors:
+                    own *= other
+                else:
+                    own += other
+            if not factors:
                 own -= own.max(axis=1, keepdims=True)
-            np.exp(own, out=own)
-            yield slice(at, at + part.shape[1]), own, own.sum(axis=1, keepdims=True)
+                np.exp(own, out=own)
+            yield slice(at, at + part.shape[1]), own, (own @ ones)[:, None]
 
-    def chances(self, f: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
-        """``CLASSES x tokens``, each token's times ``times``."""
+    def chances(self, f: np.ndarray) -> np.ndarray:
+        """``CLASSES x tokens``."""
         out = np.empty((CLASSES, f.shape[1]))
         for own, z, total in self.softmax(f):
-            z *= 1 / total if times is None else times[own, None] / total
-            out[:, own] = z.T
+            out[:, own] = (z / total).T
         return out
 
-    def expect(self, codes: np.ndarray, due: np.ndarray, block: int = 1 << 14) -> None:
+    def expect(self, codes: np.ndarray, due: np.ndarray, block: int = 1 << 16) -> None:
         """Adds the expected class counts of tokens with these packed features to ``due``, ``CLASSES x FEATURES``.
 
-        Tokens of equal features have the same softmax, which is taken once.  In the order of their codes those of an
-        equal first feature follow each other and are added up as runs.
+        Tokens of equal features have the same softmax, which is taken once.  In the order of their features' numbers
+        tokens of ``NEAR`` neighbouring numbers follow each other; a product with the matrix that marks each one's number
+        adds them up.
         """
         codes, times = np.unique(codes, return_counts=True)
         times = times.astype(np.float32)
+        tables, sums = self.tables(), np.zeros((FEATURES, CLASSES))
+        p = np.empty((min(block, len(codes)), CLASSES), np.float32)
+        rows, marks, mark = np.empty((PIECE, CLASSES), np.float32), np.empty((PIECE, NEAR), np.float32), np.eye(NEAR, dtype=np.float32)
         for at in range(0, len(codes), block):
             f = _unpacked(codes[at:at + block])
-            p = self.chances(f, times[at:at + block])
-            run = np.flatnonzero(np.concatenate([[True], f[0, 1:] != f[0, :-1]]))
-            first = f[0, run]
-            for c in range(CLASSES):  # class by class: faster than a row of classes per token
-                for x in f[1:]:
-                    due[c] += np.bincount(x, p[c], FEATURES)
-                due[c, first] += np.add.reduceat(p[c], run)
-
-    def log_class(self, f: np.ndarray, c: np.ndarray) -> np.ndarray:
+            for own, z, total in self.softmax(f, tables):
+                np.multiply(z, times[at:at + block][own, None] / total, out=p[own])
+            x = f.astype(np.uint16).ravel()
+            order = np.argsort(x, kind="stable")
+            x, order = x[order], np.tile(np.arange(f.shape[1]), ACTIVE)[order]
+            cuts, x = np.searchsorted(x, np.arange(0, FEATURES, NEAR, np.uint16)).tolist() + [len(x)], x & np.uint16(NEAR - 1)
+            for i in range(FEATURES // NEAR):
+                for a in range(cuts[i], cuts[i + 1], PIECE):
+                    b = min(a + PIECE, cuts[i + 1])
+                    sums[i * NEAR:i * NEAR + NEAR] += mark.take(x[a:b], 0, marks[:b - a], "clip").T @ p.take(
+                        order[a:b], 0, rows[:b - a], "clip")
+        due += sums.T
+
+    def log_class(self, f: np.ndarray, c: np.ndarray, tables: tuple[np.ndarray, np.ndarray, bool] | None = None) -> np.ndarray:
         out = np.empty(len(c))
         tiny = np.finfo(np.float32).tiny
-        for own, z, total in self.softmax(f):
+        for own, z, total in self.softmax(f, tables):
             mine = z[np.arange(len(z)), c[own]]
             out[own] = np.log(np.maximum(mine, tiny), dtype=np.float64) - np.log(total[:, 0], dtype=np.float64)
         return out
@@ -275,21 +299,28 @@ def _sums(model: Model, expected: bool, window: int = 1 << 20):
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0 if expected else FEATURES * CLASSES)
-        due, held = np.zeros((CLASSES, FEATURES) if expected else 0), []
+        due, held, classes = np.zeros((CLASSES, FEATURES) if expected else 0), [], []
+
+        def add() -> None:
+            codes = np.concatenate(held)
+            if expected:
+                model.expect(codes, due)
+            else:
+                c = np.concatenate(classes)
+                for k in range(ACTIVE):
+                    np.add(seen, np.bincount((codes >> k * _BITS & FEATURES - 1) * CLASSES + c, minlength=len(seen)), out=seen)
+            held.clear()
+            classes.clear()
+
         for batch in it:
             for _, _, h, e, counts in tokens(batch.column(0)):
-                f = features(h, e, counts)
+                held.append(_codes(features(h, e, counts)))
                 if not expected:
-                    c = model.classes(h, e)
-                    for x in f:
-                        seen += np.bincount(x * CLASSES + c, minlength=len(seen))
-                    continue
-                held.append(_codes(f))
+                    classes.append(model.classes(h, e))
                 if sum(map(len, held)) >= window:
-                    model.expect(np.concatenate(held), due)
-                    held = []
+                    add()
         if held:
-            model.expect(np.concatenate(held), due)
+            add()
         total = (due.T if expected else seen.reshape(FEATURES, CLASSES)).astype(np.float32)
         for b in range(FEATURES // BLOCK):
             part = np.ascontiguousarray(total[b * BLOCK:(b + 1) * BLOCK])
@@ -374,16 +405,33 @@ def train(docs: DataFrame, text_col: str, most: int = 1 << 16, rounds: int = 2,
     return model, counts
 
 
+def _finder(top: np.ndarray, bits: int = 18):
+    """``np.searchsorted(top, h)`` for well mixed hashes: starts at the first of equal leading bits."""
+    starts = np.searchsorted(top, np.arange(1 << bits, dtype=U) << U(64 - bits))
+    closed = np.append(top, ~U(0))
+
+    def find(h: np.ndarray) -> np.ndarray:
+        at = starts[h >> U(64 - bits)]
+        more = np.flatnonzero(closed[at] < h)
+        while len(more):
+            at[more] += 1
+            more = more[closed[at[more]] < h[more]]
+        return at
+
+    return find
+
+
 def _scored(model: Model):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unseen = np.log10(INSIDE / model.size)  # a word without a count has this share, times INSIDE
+        tables, find = model.tables(), _finder(model.top)
         for batch in it:
             for row, to, h, e, counts in tokens(batch.column(2)):
                 c, b = model.classes(h, e), contexts(h, counts)
-                value = model.log_class(features(h, e, counts), c) / math.log(10) - np.log10(model.inside[b, c] + INSIDE)
+                value = model.log_class(features(h, e, counts), c, tables) / math.log(10) - np.log10(model.inside[b, c] + INSIDE)
                 known, by = np.zeros(len(h), np.int64), np.zeros(len(h))
                 if len(model.top):
-                    at = np.minimum(np.searchsorted(model.top, h), len(model.top) - 1)
+                    at = np.minimum(find(h), len(model.top) - 1)
                     known = np.where(model.top[at] == h, model.top_count[at], 0)
                     by = model.top_by[at, b].astype(np.float64)
                 rest, of = known == 0, np.repeat(np.arange(to - row), counts)

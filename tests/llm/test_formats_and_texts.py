@@ -387,6 +387,70 @@ def test_expected_counts_of_repeated_features():
     assert np.allclose(due, want, rtol=1e-4, atol=1e-6) and math.isclose(due.sum(), f.size, rel_tol=1e-5)
 
 
+def _random_model(rng, size=1.0):
+    return maxent_lm.Model((size * rng.normal(size=(maxent_lm.FEATURES, maxent_lm.CLASSES))).astype(np.float32),
+                           rng.normal(size=maxent_lm.CLASSES).astype(np.float32), *[None] * 9)
+
+
+def test_softmax_takes_no_exponential_per_token(monkeypatch):
+    rng = np.random.default_rng(5)
+    model, taken, exp = _random_model(rng), [], np.exp
+
+    def noted(x, *args, **kw):
+        taken.append(np.size(x))
+        return exp(x, *args, **kw)
+
+    monkeypatch.setattr(np, "exp", noted)
+    codes = maxent_lm._codes(rng.integers(0, maxent_lm.FEATURES, (maxent_lm.ACTIVE, 100_000)))
+    model.expect(codes, due := np.zeros((maxent_lm.CLASSES, maxent_lm.FEATURES)))
+    assert math.isclose(due.sum(), codes.size * maxent_lm.ACTIVE, rel_tol=1e-5)
+    assert sum(taken) <= 2 * model.weights.size < codes.size * maxent_lm.CLASSES / 3
+
+
+@pytest.mark.parametrize("size", [1.0, 60.0])
+def test_softmax_of_small_and_large_weights(size):
+    rng = np.random.default_rng(6)
+    model = _random_model(rng, size)
+    assert model.tables()[2] == (size == 1.0)
+    f = rng.integers(0, maxent_lm.FEATURES, (maxent_lm.ACTIVE, 3000))
+    z = model.weights.astype(np.float64)[f].sum(axis=0) + model.bias
+    z -= z.max(axis=1, keepdims=True)
+    want = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    assert np.allclose(model.chances(f), want.T, rtol=1e-3, atol=1e-6)
+    mine = want[np.arange(3000), want.argmax(axis=1)]
+    assert np.allclose(model.log_class(f, want.argmax(axis=1)), np.log(mine), rtol=1e-3, atol=1e-5)
+
+
+def test_expected_counts_of_a_frequent_feature():
+    """More tokens of one feature than a product takes, in several blocks, beside single ones."""
+    rng = np.random.default_rng(7)
+    model = _random_model(rng)
+    f = rng.integers(0, maxent_lm.FEATURES, (maxent_lm.ACTIVE, 9000))
+    f[1, :7000], f[3, 100:], f[2, 0] = 16, maxent_lm.FEATURES - 1, 0
+    model.expect(maxent_lm._codes(f), due := np.zeros((maxent_lm.CLASSES, maxent_lm.FEATURES)), block=4096)
+    p = model.chances(f)
+    want = [sum(np.bincount(x, p[c], maxent_lm.FEATURES) for x in f) for c in range(maxent_lm.CLASSES)]
+    assert np.allclose(due, want, rtol=1e-4, atol=1e-6)
+
+
+def test_words_are_found_by_their_leading_bits():
+    rng = np.random.default_rng(8)
+    most, top = np.uint64(2**64 - 1), rng.integers(0, 2**64, 3000, np.uint64)
+    top = np.unique(np.concatenate([top, top[:50] + np.arange(50, dtype=np.uint64)]))
+    for known in (top, np.append(top, most), top[:0], top[:1]):
+        h = np.concatenate([known, known + np.uint64(1), rng.integers(0, 2**64, 5000, np.uint64), [np.uint64(0), most]])
+        assert (maxent_lm._finder(known)(h) == np.searchsorted(known, h)).all()
+
+
+def test_tokens_do_not_depend_on_where_chunks_end():
+    rng = random.Random(10)
+    texts = [" ".join(rng.choices(["Aa", "b", "ccc\n", "d\u00e9"], k=k)) for k in (0, 5, 150_000, 3, 40_000, 60_000)]
+    got = [x for part in maxent_lm.tokens(pa.array([*texts, None])) for x in part[4].tolist()]
+    assert got == [len(re.findall(r"[^\x20\x09-\x0D]+", t)) + 1 for t in texts] + [1]
+    h = np.concatenate([part[2] for part in maxent_lm.tokens(pa.array([*texts, None]))])
+    assert (h == np.concatenate([part[2] for t in [*texts, None] for part in maxent_lm.tokens(pa.array([t], pa.string()))])).all()
+
+
 def test_counts_of_words_that_differ_in_low_bits():
     rng = np.random.default_rng(4)
     h = (rng.integers(0, 5, 3000).astype(np.uint64) << np.uint64(40)) + rng.integers(0, 3, 3000).astype(np.uint64)
