@@ -68,7 +68,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def word_spans(raw: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Byte starts and ends of the words of ``raw``; ``doc_starts`` are the starts of its non-empty texts."""
-    inside = ~_SEP[raw]
+    inside = (raw != 0x20) & (raw - np.uint8(9) > 4)  # wraps below 9; faster than a table
     edge = np.zeros(len(raw) + 1, dtype=bool)
     edge[doc_starts] = True
     edge[-1] = True
@@ -85,7 +85,11 @@ def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         return np.zeros(0, U)
     power, inverse = _powers(len(raw))
     sums = np.zeros(len(raw) + 1, U)
-    np.cumsum((_LOWER[raw].astype(U) + U(1)) * power[:len(raw)], out=sums[1:])
+    lower = raw + ((raw - np.uint8(65) < 26).view(np.uint8) << 5)  # wraps below 65; faster than a table
+    values = lower.astype(U)
+    values += U(1)
+    values *= power[:len(raw)]
+    np.cumsum(values, out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 

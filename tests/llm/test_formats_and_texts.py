@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF01, SF001
-from eventspark.llm import chat, maxent_lm, queries
+from eventspark.llm import chat, maxent_lm, queries, words
 from eventspark.llm.maxent_lm import score_texts
 from eventspark.llm.mixing import Target, mix_sources
 from eventspark.llm.packing import encoder, nnls, pack, plan, slots
@@ -442,6 +442,17 @@ def test_words_are_found_by_their_leading_bits():
         assert (maxent_lm._finder(known)(h) == np.searchsorted(known, h)).all()
 
 
+def test_words_of_all_bytes():
+    raw = np.random.default_rng(11).permutation(np.tile(np.arange(256, dtype=np.uint8), 8))
+    starts, ends = words.word_spans(raw, np.array([0, 700]))
+    want = [(k + m.start(), k + m.end()) for k, part in ((0, raw[:700]), (700, raw[700:]))
+            for m in re.finditer(rb"[^\x20\x09-\x0D]+", part.tobytes())]
+    assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == want
+    lower = np.frombuffer(raw.tobytes().lower(), np.uint8)
+    assert (words.hash_spans(raw, starts, ends) == words.hash_spans(lower, starts, ends)).all()
+    assert len(set(words.hash_spans(np.arange(256, dtype=np.uint8), np.arange(256), np.arange(256) + 1).tolist())) == 256 - 26
+
+
 def test_tokens_do_not_depend_on_where_chunks_end():
     rng = random.Random(10)
     texts = [" ".join(rng.choices(["Aa", "b", "ccc\n", "d\u00e9"], k=k)) for k in (0, 5, 150_000, 3, 40_000, 60_000)]
